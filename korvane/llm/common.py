@@ -2,45 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: bytes.translate table that lower-cases A-Z and leaves every other byte.
-LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. One is made only where it is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="korvane-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
+from ..operators.graph import components
+from ..storage import drop_staged, new_path, shared_dir, stage
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back. This cuts the lineage; a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._korvane_path = path
-    return out
+__all__ = ["LOWER", "components", "crc_mod", "drop_staged", "forest", "new_path", "own_columns", "shared_dir", "stage", "task_rows"]
 
-
-def drop_staged(df: DataFrame) -> None:
-    """Remove a table of stage() that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._korvane_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+#: bytes.translate table that lower-cases A-Z and leaves every other byte.
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
 def own_columns(df: DataFrame, names: list[str]) -> DataFrame:
@@ -80,31 +52,6 @@ def task_rows(df: DataFrame, key: list[str], item: str, limit: int) -> DataFrame
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (a, b): (node, component), component being the smallest node reachable.
-
-    Labels start at the node itself. Each round takes the smallest label among a node's neighbours and then that label's
-    own label (pointer jumping), until a round changes nothing. All tables are staged; the joins read scans on either
-    side, so that adaptive execution can split a node with very many edges. Nothing but one count per round is collected.
-    """
-    pairs = edges.where(F.col("a") != F.col("b"))
-    both = stage(pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
-    old = [labels]
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("label").alias("near"))
-        lower = stage(labels.join(near, "node").select("node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("changed")), "labels")
-        up = lower.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        after = stage(lower.join(up, "label").select("node", F.least("label", "up").alias("label"), (F.col("changed") | (F.col("up") < F.col("label"))).alias("changed")), "labels")
-        drop_staged(lower)
-        changed = after.where("changed").limit(1).count()
-        if not changed:
-            return after.select("node", F.col("label").alias("component"))
-        for x in old:
-            drop_staged(x)
-        labels, old = after.select("node", "label"), [after]
-
-
 def forest(n: int, near) -> list[tuple[int, int]]:
     """A spanning forest of n items. near(i, rest) says which of the items `rest` link with item i.
 

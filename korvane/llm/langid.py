@@ -89,12 +89,11 @@ def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3,
     return e, w, b
 
 
-def fit(docs: DataFrame, most: int = 800, error: float = 0.005) -> dict:
-    """Train on four fifths of the labelled sample; temperature and rejection from the rest.
+def fit(docs: DataFrame, most: int = 800, reject: float = 0.5) -> dict:
+    """Train on four fifths of the labelled sample; the temperature comes from the rest.
 
-    `most` bounds the rows of each language gathered to the driver. The temperature makes the scores of short spans
-    probabilities; documents under the smallest score at which the error among the accepted is `error` or less are
-    rejected.
+    `most` bounds the rows of each language gathered to the driver. The temperature makes the scores probabilities, so
+    that a document under `reject` is one whose language is more likely wrong than right.
     """
     rows = labelled_sample(docs, most)
     langs = sorted(rows["lang"].unique().tolist())
@@ -105,16 +104,11 @@ def fit(docs: DataFrame, most: int = 800, error: float = 0.005) -> dict:
         return {"langs": langs, "scores": np.zeros((BUCKETS, len(langs)), np.float32), "bias": np.zeros(len(langs)), "heat": 1.0, "reject": 0.0}
     held, kept = all_of[::5], [x for k, x in enumerate(all_of) if k % 5] or all_of
     e, w, b = train(kept, len(langs))
-    model = {"langs": langs, "scores": (e @ w).astype(np.float32), "bias": b, "heat": 1.0, "reject": 0.0}
+    model = {"langs": langs, "scores": (e @ w).astype(np.float32), "bias": b, "heat": 1.0, "reject": reject}
     logits = np.array([logits_of(ws[:40], model) for ws, _ in held])
     y = np.array([k for _, k in held])
     grid = 2.0 ** np.arange(-4, 4.25, 0.25)
     model["heat"] = float(min(grid, key=lambda h: -np.log(np.maximum(softmax(logits / h)[np.arange(len(y)), y], 1e-9)).mean()))
-    p = softmax(logits / model["heat"])
-    order = np.argsort(-p.max(1), kind="stable")
-    wrong = np.cumsum(p.argmax(1)[order] != y[order]) / np.arange(1, len(y) + 1)
-    fine = np.flatnonzero(wrong <= error)
-    model["reject"] = float(p.max(1)[order[fine[-1]]]) if len(fine) and fine[-1] + 1 < len(y) else 0.0
     return model
 
 
