@@ -84,9 +84,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[pd.D
     good = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(crc_mod("doc_id", 3) != 1).groupBy("doc_id").agg(F.max("quality").alias("y"))
     n = {r["y"]: r["count"] for r in good.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, most / max(1, n.get(1, 0))).otherwise(most / max(1, n.get(0, 0)))
+    # About 2 * most rows, whatever the size of the tables: they are broadcast.
     chosen = good.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < share * (1 << 20))
     texts = docs.select("doc_id", "text").where("text IS NOT NULL AND text != ''")
-    rows = texts.join(chosen, "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id", kind="stable")
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id", kind="stable")
     return rows, n.get(1, 0) / max(1, sum(n.values())) if n else 0.5
 
 
