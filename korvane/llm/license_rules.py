@@ -317,7 +317,7 @@ RULES = r"""
 3 all-rights-reserved reserved all rights reserved
 3 proprietary proprietary proprietary and confidential
 3 proprietary proprietary proprietary license
-3 proprietary prohibited unauthorized (?:copying|reproduction|use) (?:or )?(?:reproduction|distribution) .{0,60}?prohibited
+3 proprietary prohibited unauthorized (?:copying|reproduction|use) (?:or )?(?:reproduction|distribution) (?:[a-z0-9]+ ){0,8}prohibited
 4 public-domain domain public domain
 4 creative-commons commons creative commons
 4 copyleft copyleft copyleft

@@ -9,12 +9,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, own_columns, stage
+from .common import own_columns, stage
 
 WINDOW = 4096
 END = 2
@@ -26,11 +28,19 @@ TASK_TOKENS = 8_000_000
 #: Neighbours in rank order among which whole ones are sought before one is cut.
 LOOK = 64
 #: Entries of a worker's table of words; it starts anew beyond that.
-KEPT_WORDS = 250_000
-
-#: How the tokenizer parts an ASCII word without white space.
-ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-PLAIN = re.compile(rb"[!-~]+\Z")
+KEPT_WORDS = 400_000
+
+#: Words of the letters of Latin-1 and Latin Extended-A, in which the tokenizer's normalisation does no more than lower-case.
+#: Left out are the letter that becomes two when lower-cased, and white space beyond ASCII.
+LATIN = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]+")
+#: How the tokenizer parts such a word once it is in lower case.
+_L, _N = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_L}{_N}]+")
+#: Byte-level BPE writes each byte as a character: printable ones as they are, the others from 256 on.
+_printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_others = [b for b in range(256) if b not in _printable]
+BYTE_CHARS = {b: chr(b) for b in _printable} | {b: chr(256 + k) for k, b in enumerate(_others)}
+AS_CHARS = str.maketrans({chr(b): c for b, c in BYTE_CHARS.items()})
 _tables: dict[str, Words] = {}
 
 
@@ -41,10 +51,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Words(dict):
-    """Bytes of a word without white space, A-Z lower-cased -> its ids as little-endian 16-bit numbers.
+    """A word without white space, A-Z lower-cased -> its ids as little-endian 16-bit numbers.
 
-    The tokenizer drops white space and never joins what it parts, so a text's ids are its words' ids in turn. Printable
-    ASCII words are parted here and only their pieces go to the tokenizer's model; all others go to it whole.
+    The tokenizer drops white space and never joins what it parts, so a text's ids are its words' ids in turn. Words of
+    Latin letters are parted here, and only their pieces go to the tokenizer's model; all others go to it whole.
     """
 
     def __init__(self, path: str):
@@ -55,28 +65,39 @@ class Words(dict):
         if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
-    def __missing__(self, word: bytes) -> bytes:
-        if PLAIN.match(word) and b"<|" not in word:
-            found = b"".join([self.pieces.get(p) or self.piece(p) for p in ASCII_PIECES.findall(word)])
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            found = self.pieces.get(word) or self.piece(word)
+        elif LATIN.fullmatch(word) and "<|" not in word:
+            found = b"".join([self.pieces.get(p) or self.piece(p) for p in PIECES.findall(word.lower())])
         else:
-            ids = self.whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            ids = self.whole.encode(word, add_special_tokens=False).ids
             found = struct.pack(f"<{len(ids)}H", *ids)
         self[word] = found
         return found
 
-    def piece(self, piece: bytes) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.decode())]
+    def piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(AS_CHARS))]
         self.pieces[piece] = found = struct.pack(f"<{len(ids)}H", *ids)
         return found
 
-    def encode(self, text: str | None) -> bytes:
-        raw = (text or "").encode("utf-8", "replace").translate(LOWER)
-        out = b"".join(map(self.__getitem__, raw.split()))
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where each text's ids end. Each distinct word is looked up once."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words = lists.flatten().dictionary_encode()
+        ids = [self[w] for w in words.dictionary.to_pylist()]
+        flat = np.frombuffer(b"".join(ids), "<u2")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        which = words.indices.to_numpy(zero_copy_only=False)
+        n = sizes[which]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] - ends + n, n) + np.arange(int(n.sum()))
+        offsets = lists.offsets.to_numpy()
         if len(self) > KEPT_WORDS:
             self.clear()
         if len(self.pieces) > KEPT_WORDS:
             self.pieces.clear()
-        return out
+        return flat[at], np.concatenate(([0], ends))[offsets[1:] - offsets[0]]
 
 
 def words_table(path: str | None) -> Words:
@@ -87,37 +108,54 @@ def words_table(path: str | None) -> Words:
     return _tables[path]
 
 
-def signature(distinct: np.ndarray) -> tuple[int, int]:
-    """Two weighted minimum hashes of a document's distinct ids. Later ids of a BPE vocabulary are rarer and weigh more."""
-    t = distinct.astype(np.uint64)
-    out = []
-    for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        h = (t + np.uint64(1)) * np.uint64(salt)
-        h ^= h >> np.uint64(29)
-        u = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(11)).astype(float) / (1 << 53)
-        out.append(int(t[np.argmin(-np.log(u + 1e-18) / (t + np.uint64(64)).astype(float))]))
-    return out[0], out[1]
+def weights(salt: int) -> np.ndarray:
+    """A number for each id whose minimum over a set is a weighted minimum hash. Later ids of a BPE vocabulary are rarer and weigh more."""
+    t = np.arange(1 << 16, dtype=np.uint64)
+    h = (t + np.uint64(1)) * np.uint64(salt)
+    h ^= h >> np.uint64(29)
+    u = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(11)).astype(float) / (1 << 53)
+    return -np.log(u + 1e-18) / (t + np.uint64(64)).astype(float)
+
+
+_hashes = [weights(salt) for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None) -> DataFrame:
     """A row for each document (kind 0: uid, id, tokens, signatures, compressed ids), and for each task one (kind 1) whose ids are how many of its documents hold each token."""
+    schema = pa.schema([("kind", pa.int32()), ("uid", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int32()), ("s2", pa.int32()), ("ids", pa.binary())])
 
     def run(batches):
         words, pack, part = words_table(path), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
-        df, k = np.zeros(1 << 16, np.uint32), 0
+        end, df, k = np.array([END], "<u2"), np.zeros(1 << 16, np.uint32), 0
         for b in batches:
-            rows = []
-            for i, t in zip(b["id"], b["t"], strict=True):
-                raw = words.encode(t) + struct.pack("<H", END)
-                distinct = np.flatnonzero(np.bincount(np.frombuffer(raw, "<u2")))
-                df[distinct] += 1
-                rows.append((0, part << 36 | k, None if pd.isna(i) else int(i), len(raw) // 2, *signature(distinct), pack.compress(raw)))
-                k += 1
-            yield pd.DataFrame(rows, columns=["kind", "uid", "id", "n", "s1", "s2", "ids"]).astype({"id": "Int64"})
-        yield pd.DataFrame([(1, part, None, k, 0, 0, pack.compress(df.tobytes()))], columns=["kind", "uid", "id", "n", "s1", "s2", "ids"]).astype({"id": "Int64"})
+            for some in slices(b):
+                ids, ends = words.encode_all(some.column(1))
+                rows, start = [], 0
+                for i, stop in zip(some.column(0).to_pylist(), ends.tolist(), strict=True):
+                    own = np.concatenate([ids[start:stop], end])
+                    distinct = np.unique(own)
+                    df[distinct] += 1
+                    s1, s2 = (int(distinct[h[distinct].argmin()]) for h in _hashes)
+                    rows.append((0, part << 36 | k, i, len(own), s1, s2, pack.compress(own.tobytes())))
+                    start, k = stop, k + 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"kind": 1, "uid": part, "id": None, "n": k, "s1": 0, "s2": 0, "ids": pack.compress(df.tobytes())}], schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "kind int, uid long, id long, n long, s1 int, s2 int, ids binary")
+    return rows.mapInArrow(run, "kind int, uid long, id long, n long, s1 int, s2 int, ids binary")
+
+
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about `most` bytes of text; a longer text is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    start = size = 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > start and size + n > most:
+            yield batch.slice(start, k - start)
+            start, size = k, 0
+        size += n
+    if start < len(sizes):
+        yield batch.slice(start)
 
 
 def document_frequencies(table: DataFrame) -> tuple[np.ndarray, int, int]:
@@ -155,10 +193,9 @@ class Index:
     def __init__(self, docs: list[Doc], idf: np.ndarray, mean: float):
         for d in docs:
             if d.terms is None:
-                counts = np.bincount(d.ids)
-                terms = np.flatnonzero(counts)
-                d.terms = terms = terms[idf[terms] > 0]
-                d.tf = counts[terms].astype(np.float32)
+                terms, counts = np.unique(d.ids, return_counts=True)
+                told = idf[terms] > 0
+                d.terms, d.tf = terms[told].astype(np.int64), counts[told].astype(np.float32)
         sizes = [len(d.terms) for d in docs]
         terms = np.concatenate([d.terms for d in docs])
         tf = np.concatenate([d.tf for d in docs])

@@ -285,9 +285,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
 
     entries = stage(distinct.select("rep", "ids", "vector").mapInPandas(enter, "cell int, rep long, ids array<long>, vector array<double>, code binary"), "ann-index")
     parts = stage(entries.groupBy("cell").agg(F.ceil(F.count("*") / SCAN).cast("int").alias("parts")), "ann-parts")
-    salted = entries.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))  # MOST_CELLS rows
+    salted = entries.join(F.broadcast(parts), "cell")  # MOST_CELLS rows
+    salted = salted.select("cell", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "rep", "ids", "vector", "code")
     asked_rows = distinct.where("asked").select("rep", "vector").repartition(max(12, total // 100_000)).mapInPandas(ask, "cell int, rep long, vector array<double>")
-    spread = asked_rows.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    places = parts.select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    spread = asked_rows.join(F.broadcast(places), "cell").select("cell", "part", "rep", "vector")
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -306,7 +308,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                     best = near[np.lexsort((rep[near], -score))][: k + 1]
                     exact = (c[best] * q[i]).sum(1) / (norm[best] * size[i])
                     out.append(pd.DataFrame({"rep": owner, "ids": ids[best], "score": exact}))
-        return pd.concat(out) if out else pd.DataFrame({"rep": [], "ids": [], "score": []})
+        return pd.concat(out) if out else pd.DataFrame({"rep": np.zeros(0, np.int64), "ids": np.zeros(0, object), "score": np.zeros(0)})
 
     found = spread.groupBy("cell", "part").cogroup(salted.groupBy("cell", "part")).applyInPandas(scan, "rep long, ids array<long>, score double")
     found = found.select("rep", "score", F.explode("ids").alias("id"))

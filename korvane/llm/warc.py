@@ -19,7 +19,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
-from pyspark.sql.types import StructType
 
 from .common import new_path, stage
 
@@ -178,9 +177,8 @@ class WarcReader(DataSourceReader):
         return found or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        schema = StructType.fromDDL(RECORDS)
-        names, types = schema.names, [pa.binary() if f.name == "payload" else pa.int64() if f.name in ("payload_bytes", "offset") else pa.string() for f in schema]
-        arrow = pa.schema(list(zip(names, types, strict=True)))
+        kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+        arrow = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in RECORDS.split(", "))])
         if not partition.path:
             return
         system, _ = fs.FileSystem.from_uri(self.path)

@@ -182,3 +182,16 @@ def test_packing_prefers_lexical_neighbours():
         pool.append(packing.Doc(k, k, (rng.integers(0, 90, 500) + 100 * half).astype(np.uint16)))
     same = [len({d.id % 2 for d, _, _ in w}) == 1 for w in packing.fill(pool, idf, 500.0, False)]
     assert np.mean(same) >= 0.75
+
+
+def test_words_are_parted_as_the_tokenizer_does():
+    import pyarrow as pa
+
+    words = packing.Words(packing.tokenizer_path())
+    rng = np.random.default_rng(4)
+    odd = ["don't", "'sx'll\"'re", "a1b22", "\u00bdx\u00b2", "\u00dcber-\u00c4rger\u00df", "\u0130stanbul", "\u03a3\u03af\u03c3\u03c5\u03a6\u039f\u03a3", "x\u00a0y", "x\x85y", "\x1c\x1f a\x0bb\x0cc", "<|endoftext|>b", "e\u0301cole", "\u65e5\u672c", "\U0001f600!?", "\u0149\u017f\u00aa\u00b5", "\x00\x01", " lead", "trail ", "", "\u00ad", "x\u2028y"]
+    alphabet = list("abcdexyz'-.,019 \n") + ["\u00e9", "\u00fc", "\u00df", "\u00c9", "\u0152", "\u00b3", "\u20ac"]
+    texts = odd + ["".join(rng.choice(alphabet, int(rng.integers(1, 60)))) for _ in range(2000)]
+    ids, ends = words.encode_all(pa.array(texts))
+    for t, a, b in zip(texts, [0, *ends[:-1]], ends, strict=True):
+        assert ids[a:b].tolist() == words.whole.encode(t, add_special_tokens=False).ids, repr(t)
