@@ -241,17 +241,17 @@ RULES = r"""
 2 cc-by-3.0 commons creative commons attribution (?:unported |license )?(?:version )?3 0
 2 cc-by-2.0 commons creative commons attribution (?:generic |license )?(?:version )?2 0
 2 cc-by commons creative commons attribution
-2 cc-by-nc-nd-4.0 nd cc by nc nd 4 0
-2 cc-by-nc-nd nd cc by nc nd
-2 cc-by-nc-sa-4.0 sa cc by nc sa 4 0
-2 cc-by-nc-sa sa cc by nc sa
-2 cc-by-nc-4.0 nc cc by nc 4 0
-2 cc-by-nc nc cc by nc
-2 cc-by-nd-4.0 nd cc by nd 4 0
-2 cc-by-nd nd cc by nd
-2 cc-by-sa-4.0 sa cc by sa 4 0
-2 cc-by-sa-3.0 sa cc by sa 3 0
-2 cc-by-sa sa cc by sa
+2 cc-by-nc-nd-4.0 cc cc by nc nd 4 0
+2 cc-by-nc-nd cc cc by nc nd
+2 cc-by-nc-sa-4.0 cc cc by nc sa 4 0
+2 cc-by-nc-sa cc cc by nc sa
+2 cc-by-nc-4.0 cc cc by nc 4 0
+2 cc-by-nc cc cc by nc
+2 cc-by-nd-4.0 cc cc by nd 4 0
+2 cc-by-nd cc cc by nd
+2 cc-by-sa-4.0 cc cc by sa 4 0
+2 cc-by-sa-3.0 cc cc by sa 3 0
+2 cc-by-sa cc cc by sa
 2 cc-by-4.0 cc cc by 4 0
 2 cc-by-3.0 cc cc by 3 0
 2 cc-by-2.0 cc cc by 2 0
@@ -309,9 +309,18 @@ RULES = r"""
 3 lgpl lgpl lgpl (?:v )?[23](?: [01])?
 3 agpl agpl agpl (?:v )?3(?: 0)?
 3 mpl mpl mpl (?:v )?[12](?: [01])?
-3 mit mit (?:released|licensed|available|distributed) under (?:the )?(?:terms of the )?mit
-3 bsd bsd (?:released|licensed|available|distributed) under (?:the )?(?:terms of the )?bsd
-3 gpl gpl (?:released|licensed|available|distributed) under (?:the )?(?:terms of the )?gpl
+3 mit released released under (?:the )?(?:terms of the )?mit
+3 mit licensed licensed under (?:the )?(?:terms of the )?mit
+3 mit available available under (?:the )?(?:terms of the )?mit
+3 mit distributed distributed under (?:the )?(?:terms of the )?mit
+3 bsd released released under (?:the )?(?:terms of the )?bsd
+3 bsd licensed licensed under (?:the )?(?:terms of the )?bsd
+3 bsd available available under (?:the )?(?:terms of the )?bsd
+3 bsd distributed distributed under (?:the )?(?:terms of the )?bsd
+3 gpl released released under (?:the )?(?:terms of the )?gpl
+3 gpl licensed licensed under (?:the )?(?:terms of the )?gpl
+3 gpl available available under (?:the )?(?:terms of the )?gpl
+3 gpl distributed distributed under (?:the )?(?:terms of the )?gpl
 3 public-domain domain (?:dedicated|released|placed) (?:in)?to the public domain
 3 public-domain domain this work is in the public domain
 3 all-rights-reserved reserved all rights reserved

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import own_columns, stage
+from .common import stage
 
 WINDOW = 4096
 END = 2
@@ -320,9 +320,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumnRenamed("id", "doc_id")
+    return pieces_of(pack(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+def pieces_of(packed_rows: DataFrame) -> DataFrame:
+    return packed_rows.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "doc_uid")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, the last: the pieces."""
-    return pack(own_columns(docs, ["doc_uid"])).withColumnRenamed("id", "doc_id")
+    return pieces_of(pack(docs))
