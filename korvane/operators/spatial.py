@@ -83,12 +83,12 @@ def segment_distance(x: Column, y: Column, ax: Column, ay: Column, bx: Column, b
 
 
 def smallest_container(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, x: str, y: str, ring: str, size: float) -> DataFrame:
-    """Points with the smallest polygon that holds them: (point_key, polygon_key, area); the smaller key of equal areas. Points in none are left out."""
+    """Points with the smallest polygon that holds them: (point_key, polygon_key, _area); the smaller key of equal areas. Points in none are left out."""
     sized = polygons.withColumn("_area", ring_area(F.col(ring)))
     spot = box(F.col(x), F.col(y), F.col(x), F.col(y))
     pairs = cell_join(points, sized, spot, box_of(F.col(ring)), size, inside(F.col(x), F.col(y), F.col(ring)))
-    best = pairs.groupBy(point_key).agg(F.min(F.struct(F.col("_area").alias("area"), F.col(polygon_key))).alias("_best"))
-    return best.select(point_key, F.col(f"_best.{polygon_key}").alias(polygon_key), F.col("_best.area").alias("area"))
+    best = pairs.groupBy(point_key).agg(F.min(F.struct(F.col("_area").alias("a"), F.col(polygon_key).alias("k"))).alias("_best"))
+    return best.select(point_key, F.col("_best.k").alias(polygon_key), F.col("_best.a").alias("_area"))
 
 
 def contained_or_snapped(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, x: str, y: str, ring: str, size: float, snap: float) -> DataFrame:

@@ -63,3 +63,26 @@ def rank_opportunities(df: DataFrame, label: str, key: str, top: int) -> DataFra
     """Rank within each thesis: yield, value gained and cost (small first), then the key; and whether it is one of the top."""
     order = [F.desc_nulls_last("yield_pct"), F.desc_nulls_last("gain"), F.asc_nulls_last("cost"), F.asc(key)]
     return flag_top(df, [label], order, top, "thesis_rank", "is_top")
+
+
+def site_thesis(contaminated: Column, vacant: Column, year_built: Column, land_share: Column, gains: Column, old: int = 1960, worn: float = 0.6) -> Column:
+    """Why to touch a site, the first that applies: brownfield, teardown (old, and mostly worth its land), infill (vacant), improvement (worth more enlarged)."""
+    return (
+        F.when(F.coalesce(contaminated, F.lit(False)), "brownfield")
+        .when(~vacant & F.coalesce((year_built < old) & (land_share >= worn), F.lit(False)), "teardown")
+        .when(vacant, "infill")
+        .when(F.coalesce(gains > 0, F.lit(False)), "improvement")
+        .otherwise("none")
+    )
+
+
+def screens(irr_pct: Column, yield_pct: Column, cover: Column, least_irr: float = 8.0, least_yield: float = 6.0, least_cover: float = 1.2) -> list[Column]:
+    """Whether a site passes each screen, and all of them; a figure that is missing does not pass."""
+    ok = [F.coalesce(c >= least, F.lit(False)) for c, least in ((irr_pct, least_irr), (yield_pct, least_yield), (cover, least_cover))]
+    return [ok[0].alias("passes_irr"), ok[1].alias("passes_yield"), ok[2].alias("passes_cover"), (ok[0] & ok[1] & ok[2]).alias("passes")]
+
+
+def road_gate(by_use: DataFrame, cadastral: DataFrame, marginal: DataFrame, other_use: DataFrame, key: str) -> DataFrame:
+    """The parcels that are road: by their use, and by the cadastre, but for marginal ones that the roll uses otherwise."""
+    doubtful = marginal.select(key).join(other_use.select(key), key, "left_semi")
+    return by_use.select(key).union(cadastral.select(key).join(doubtful, key, "left_anti")).distinct()

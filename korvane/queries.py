@@ -473,7 +473,7 @@ def point_in_polygon(spark, sf_dir):
     ax, ay, s = (F.col("p_partkey") * 7919 % 2003).cast("double"), (F.col("p_partkey") * 104729 % 2003).cast("double"), F.col("p_partkey") % 90 + 20
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     t = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("tri"), F.array(corner(ax, ay), corner(ax + s, ay), corner(ax, ay + s)).alias("ring"))
-    return spatial.smallest_container(p, t, "pt", "tri", "x", "y", "ring", 100.0)
+    return spatial.smallest_container(p, t, "pt", "tri", "x", "y", "ring", 100.0).withColumnRenamed("_area", "area")
 
 
 @query("""

@@ -54,7 +54,7 @@ def ring_of(coordinates: Column) -> Column:
     return F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, encodings: Sequence[str] = ("UTF-8", "windows-1252"), separator: str = ",") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, schema: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), separator: str = ",") -> DataFrame:
     """Delimited text with a header, in the first of the encodings that decodes all of it."""
     for encoding in encodings:
         df = spark.read.schema(schema).option("header", "true").option("sep", separator).option("encoding", encoding).option("multiLine", "true").csv(path)

@@ -10,16 +10,21 @@ from pyspark.sql import functions as F
 from ..operators.relational import latest_per_key
 
 
+def timed(events: DataFrame, late: str) -> DataFrame:
+    """A stream with its watermark, which needs timestamps with a zone; tables as they are."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def windowed(events: DataFrame, window: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Counts and sums by window and event type. Works on streams, with a watermark, and on tables."""
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = timed(events, late)
     grouped = rows.groupBy(F.window("ts", window, slide) if slide else F.window("ts", window), "event_type")
     return grouped.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Sessions of a user, parted by quiet of at least the gap."""
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = timed(events, late)
     grouped = rows.groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return grouped.select("user_id", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n", "total")
 
@@ -27,7 +32,7 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
 def deduplicated(events: DataFrame, keys: Sequence[str], late: str = "10 minutes") -> DataFrame:
     """The first arrival of each key; state is forgotten once the watermark has passed."""
     if events.isStreaming:
-        return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(list(keys))
+        return timed(events, late).dropDuplicatesWithinWatermark(list(keys))
     return latest_per_key(events, keys, [F.asc("ts"), F.asc("event_id")])
 
 
