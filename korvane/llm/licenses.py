@@ -53,7 +53,7 @@ def lowered(text: Column) -> Column:
 def line_of(text: Column) -> Column:
     """All words of a text in lower case, a space on each side of each."""
     words = F.regexp_replace(F.regexp_replace(lowered(text), GAP, "  "), r"^ +| +$", "")
-    return F.when(words == "", F.lit("")).otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
+    return F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), r"^ +$", "")
 
 
 def words_in(part: Column) -> Column:
@@ -107,7 +107,7 @@ def detections(line: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_words, base, found) for each row of docs: base of base_of() and found of detections().
+    """(id, n_words, base, found) for each row of docs: base of base_of(), and found of detections(), hints only where nothing better is left.
 
     Null and empty texts have no words and nothing found. Texts are read whole. Repeated rows and null ids keep their
     rows; other columns are not read. start and end count characters of the line of words, from 1, end exclusive.
@@ -116,7 +116,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = docs.select(F.col(id_col).alias("id"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(text.rlike(gate()), line_of(text)).alias("line"))
     base = F.when(F.col("line").isNotNull(), base_of(F.col("line")))
     found = F.when(F.col("line").isNotNull(), detections(F.col("line")))
-    return rows.select("id", "n_words", base.alias("base"), found.alias("found"))
+    rows = rows.select("id", "n_words", base.alias("base"), found.alias("found"))
+    best = F.array_min(F.transform("found", lambda d: d["tier"]))
+    return rows.select("id", "n_words", "base", F.when(best == 4, F.col("found")).otherwise(F.filter("found", lambda d: d["tier"] < 4)).alias("found"))
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,7 +283,7 @@ def slow_found(text):
     line = "".join(f" {w} " for w in words)
     every = [(m.start(), -m.end(), t, k, label) for k, (t, label, word, p) in enumerate(licenses.rules()) if f" {word} " in line for m in re.finditer(licenses.padded(p), line)]
     kept = [d for d in every if not any((e[0], e[1]) != (d[0], d[1]) and e[0] <= d[0] and e[1] <= d[1] and e[2] <= d[2] or (e[0], e[1]) == (d[0], d[1]) and (e[2], e[3]) < (d[2], d[3]) for e in every)]
-    return sorted({d[4] for d in kept})
+    return sorted({d[4] for d in kept if d[2] < 4 or min(e[2] for e in kept) == 4})
 
 
 TEXTS = [
@@ -300,6 +300,7 @@ TEXTS = [
     "",
     "?!",
     "plain words only",
+    "licensed under whatever, free software",
     "gnu general public license " * 3000,
     "Boost Software License - GNU GPL v3, LGPL 2.1; BSD 3-Clause License",
 ]
