@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import columns as C
 from .functions import finance, grid
-from .operators import fulltext, linking, lots, retrieval, spatial
+from .operators import fulltext, linking, lots, relational, retrieval, spatial, texts
 from .plans import opportunities, programs
 from .queries import PLACES_SQL, boxes, places, query, table
 
@@ -118,14 +118,14 @@ def apportioned_values(spark, sf_dir):
 @query("""
 WITH f AS (SELECT p_partkey, p_retailprice AS stable, p_size % 30 AS m, 0.04 + (p_size % 5) / 100.0::DOUBLE AS cap FROM part),
 y AS (SELECT p_partkey, stable, cap, list_transform(range(0, 5), lambda y: stable / 12 * list_sum(list_transform(range(12 * y + 1, 12 * y + 13), lambda k: CASE WHEN m > 0 THEN least(CAST(k AS DOUBLE) / m, 1) ELSE 1 END))) AS v FROM f)
-SELECT p_partkey, round(v[1], 4) AS year_1, round(v[2], 4) AS year_2, round(v[5] + stable / cap, 4) AS year_5,
+SELECT p_partkey, round(v[1], 7) AS year_1, round(v[2], 7) AS year_2, round(v[5] + stable / cap, 4) AS year_5,
   round(-10 * stable + list_sum(list_transform(range(1, 6), lambda i: v[i] / power(1.06, i))) + stable / cap / power(1.06, 5), 3) AS npv FROM y
 """)
 def cash_flows(spark, sf_dir):
     size, stable = F.col("p_size"), F.col("p_retailprice")
     flows = lots.cash_flows(10 * stable, stable, size % 30, 0.04 + (size % 5) / 100.0, 5)
     rows = table(spark, sf_dir, "part").select("p_partkey", flows.alias("f"))
-    return rows.select("p_partkey", F.round(F.get("f", 1), 4).alias("year_1"), F.round(F.get("f", 2), 4).alias("year_2"), F.round(F.get("f", 5), 4).alias("year_5"), F.round(finance.npv(F.col("f"), F.lit(0.06)), 3).alias("npv"))
+    return rows.select("p_partkey", F.round(F.get("f", 1), 7).alias("year_1"), F.round(F.get("f", 2), 7).alias("year_2"), F.round(F.get("f", 5), 4).alias("year_5"), F.round(finance.npv(F.col("f"), F.lit(0.06)), 3).alias("npv"))
 
 
 @query(f"""WITH {PLACES_SQL},
@@ -240,3 +240,83 @@ def buildable_area(spark, sf_dir):
     kind = F.when(k % 3 == 0, "attached").when(k % 3 == 1, "semi").otherwise("detached")
     box = lots.buildable_box(size + 5, size * 2, size % 7, F.when(k % 3 != 0, size % 5), size % 4, kind, F.when(k % 4 != 0, 40.0))
     return table(spark, sf_dir, "part").select("p_partkey", box.alias("b")).select("p_partkey", "b.*")
+
+
+@query("""
+WITH l AS (SELECT p_partkey AS lot, CAST(p_partkey % 50 * 30 AS DOUBLE) AS x, CAST(p_partkey // 50 * 40 + p_partkey % 5 * 3 AS DOUBLE) AS y FROM part),
+e AS (SELECT lot, x AS x0, x + 20 AS x1, unnest([y, y + 25]) AS ey FROM l),
+s AS (SELECT s_suppkey AS street, CAST(s_suppkey * 37 % 400 AS DOUBLE) AS sx, CAST(s_suppkey * 53 % 300 AS DOUBLE) AS sy FROM supplier),
+d AS (SELECT lot, street, 20.0::DOUBLE AS length, greatest(sqrt(power(greatest(sx - x0, x0 - sx - 200, 0), 2) + power(ey - sy, 2)), sqrt(power(greatest(sx - x1, x1 - sx - 200, 0), 2) + power(ey - sy, 2))) AS away FROM e, s),
+n AS (SELECT lot, street, sum(length) AS length, 8.0::DOUBLE AS cutoff_m FROM d WHERE away <= 8 GROUP BY ALL)
+SELECT * FROM n UNION ALL SELECT lot, street, sum(length), 16.0::DOUBLE FROM d WHERE away <= 16 AND lot NOT IN (SELECT lot FROM n) GROUP BY ALL
+""")
+def fallback_frontage(spark, sf_dir):
+    k = F.col("p_partkey")
+    x, y = (k % 50 * 30).cast("double"), (F.floor(k / 50) * 40 + k % 5 * 3).cast("double")
+    corner = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    rows = table(spark, sf_dir, "part").select(k.alias("lot"), F.array(corner(x, y), corner(x + 20, y), corner(x + 20, y + 25), corner(x, y + 25)).alias("ring"))
+    s = F.col("s_suppkey")
+    sx, sy = (s * 37 % 400).cast("double"), (s * 53 % 300).cast("double")
+    return lots.fallback_frontage(rows, table(spark, sf_dir, "supplier").select(s.alias("street"), sx.alias("ax"), sy.alias("ay"), (sx + 200).alias("bx"), sy.alias("by")))
+
+
+@query("""
+WITH l AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS a, CAST(p_partkey % 40 AS DOUBLE) AS b FROM part)
+SELECT p_partkey, round(CASE WHEN (a + b) / 2 <= a THEN (a + b) / 2 ELSE a END, 6) AS x, round(CASE WHEN (a + b) / 2 <= a THEN 0 ELSE (a + b) / 2 - a END, 6) AS y FROM l
+""")
+def line_midpoints(spark, sf_dir):
+    """Lines of two strokes, to the right and then up."""
+    a, b, zero = F.col("p_size").cast("double"), (F.col("p_partkey") % 40).cast("double"), F.lit(0.0)
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.array(corner(zero, zero), corner(a, zero), corner(a, b)).alias("line"))
+    return rows.select("p_partkey", lots.point_along(F.col("line")).alias("p")).select("p_partkey", F.round("p.x", 6).alias("x"), F.round("p.y", 6).alias("y"))
+
+
+@query("""
+WITH m AS (SELECT doc_id, regexp_extract_all(text, '(?:GNU|Apache|MIT|CC|Version|version|Licensed)') AS l FROM documents),
+p AS (SELECT doc_id, unnest(l) AS mention, unnest(range(0, len(l))) AS place FROM m)
+SELECT doc_id, mention, CAST(min(place) AS INTEGER) AS place FROM p GROUP BY ALL
+""")
+def first_mentions(spark, sf_dir):
+    return texts.first_mentions(table(spark, sf_dir, "documents"), "(?:GNU|Apache|MIT|CC|Version|version|Licensed)")
+
+
+@query("""
+WITH v AS (SELECT p_partkey, CASE WHEN p_partkey % 6 != 0 THEN p_retailprice END AS h, CASE WHEN p_partkey % 4 != 0 THEN p_retailprice + p_size - 25 END AS e, CASE WHEN p_partkey % 3 != 0 THEN p_retailprice + p_size % 17 - 8 END AS r FROM part)
+SELECT p_partkey, CASE WHEN h IS NULL AND e IS NULL AND r IS NULL THEN 'none' WHEN h >= coalesce(e, h) AND h >= coalesce(r, h) THEN 'hold' WHEN e >= coalesce(r, e) AND e > coalesce(h, e - 1) THEN 'enhance' ELSE 'rebuild' END AS future,
+  round(greatest(h, e, r) - coalesce(h, 0), 4) AS gain FROM v
+""")
+def three_futures(spark, sf_dir):
+    k, price = F.col("p_partkey"), F.col("p_retailprice")
+    best, gain = opportunities.futures(F.when(k % 6 != 0, price), F.when(k % 4 != 0, price + F.col("p_size") - 25), F.when(k % 3 != 0, price + F.col("p_size") % 17 - 8))
+    return table(spark, sf_dir, "part").select("p_partkey", best, F.round(gain, 4).alias("gain"))
+
+
+@query("""
+WITH f AS (SELECT p_partkey, p_retailprice AS noi, -8 * p_retailprice AS f0, 12 * p_retailprice AS f2, p_size * 10.0::DOUBLE AS debt FROM part)
+SELECT p_partkey, round((1 + sqrt(1 + 4 * 8 * 13)) / 16 * 100 - 100, 4) AS irr_pct, round(noi / (8 * noi) * 100, 4) AS yield_pct, round((noi + 13 * noi) / (8 * noi), 4) AS multiple, round(CASE WHEN debt > 0 THEN noi / debt END, 4) AS cover FROM f
+""")
+def site_returns(spark, sf_dir):
+    """Eight years' income paid, one received after a year and thirteen after two: the rate solves 8 q^2 = q + 13 for q = 1 + rate."""
+    noi = F.col("p_retailprice")
+    figures = opportunities.returns(F.array(-8 * noi, noi, 13 * noi), noi, 8 * noi, F.col("p_size") * 10.0)
+    rows = table(spark, sf_dir, "part").select("p_partkey", *figures)
+    return rows.select("p_partkey", *[F.round(c, 4).alias(c) for c in ("irr_pct", "yield_pct", "multiple", "cover")])
+
+
+@query("""
+WITH a AS (SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total, CAST(to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} ORDER BY o_orderkey)) AS VARCHAR) AS orders FROM orders GROUP BY 1),
+t AS (SELECT o_custkey, arg_min(o_orderkey, (-o_totalprice, o_orderkey)) AS largest_order FROM orders GROUP BY 1)
+SELECT c_custkey, n_name, r_name, coalesce(n_orders, 0) AS n_orders, total, orders, largest_order, c_acctbal < 0 AS in_debt
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN a ON a.o_custkey = c_custkey LEFT JOIN t ON t.o_custkey = c_custkey
+""")
+def wide_profile(spark, sf_dir):
+    """One wide row a customer: dimensions, measures, its rows as JSON, and its largest one."""
+    c, n, r, o = (table(spark, sf_dir, x) for x in ("customer", "nation", "region", "orders"))
+    sums = o.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    lists = relational.nested_json(o, ["o_custkey"], ["o_orderkey"], ["o_orderkey", "o_orderstatus"], "orders")
+    largest = relational.argmax_row(o, ["o_custkey"], "o_totalprice", "o_orderkey", ["o_orderkey"]).withColumnRenamed("o_orderkey", "largest_order")
+    rows = c.withColumn("o_custkey", F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    for part in (sums, lists, largest):
+        rows = rows.join(part, "o_custkey", "left")
+    return rows.select("c_custkey", "n_name", "r_name", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "total", "orders", "largest_order", (F.col("c_acctbal") < 0).alias("in_debt"))

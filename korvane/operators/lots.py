@@ -102,3 +102,48 @@ def buildable_box(width: Column, depth: Column, front: Column, rear: Column, sid
     area = across * along
     cover = width * depth * coverage_pct / 100
     return F.struct(area.alias("area"), F.least(area, cover).alias("cap"), F.when(area <= 0, "margins").when(cover < area, "coverage").otherwise("margins").alias("binding"))
+
+
+#: Distances within which a boundary may follow a street that it does not touch, tried in turn.
+FALLBACK_M = (8.0, 16.0)
+
+
+def fallback_frontage(lots: DataFrame, streets: DataFrame, ladder: tuple[float, ...] = FALLBACK_M) -> DataFrame:
+    """(lot, street, length, cutoff_m) for lots (lot, ring) that share no vertices with a road.
+
+    A side fronts on a street (street, ax, ay, bx, by) if both its ends lie within the cutoff and it runs within 45
+    degrees of the street's direction. A wider cutoff is tried only for lots that the narrower ones found nothing for.
+    """
+    from .spatial import box, cell_join, segment_distance
+
+    sides = lots.select("lot", F.explode(edges(F.col("ring"))).alias("e")).select("lot", *[F.col(f"e.{p}.{c}").alias(f"{p}{c}_") for p in "ab" for c in "xy"])
+    side_box = box(F.least("ax_", "bx_"), F.least("ay_", "by_"), F.greatest("ax_", "bx_"), F.greatest("ay_", "by_"))
+    street_box = box(F.least("ax", "bx"), F.least("ay", "by"), F.greatest("ax", "bx"), F.greatest("ay", "by"))
+    ends = [segment_distance(F.col(f"{p}x_"), F.col(f"{p}y_"), *[F.col(c) for c in ("ax", "ay", "bx", "by")]) for p in "ab"]
+    dx, dy, sx, sy = F.col("bx_") - F.col("ax_"), F.col("by_") - F.col("ay_"), F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    length = F.hypot(dx, dy)
+    along = F.abs(dx * sx + dy * sy) >= length * F.hypot(sx, sy) * (0.5**0.5)
+    out = None
+    for cutoff in ladder:
+        rest = sides if out is None else sides.join(out.select("lot").distinct(), "lot", "left_anti")
+        near = cell_join(rest, streets, side_box, street_box, 50.0, (ends[0] <= cutoff) & (ends[1] <= cutoff) & along & (length > 0), cutoff)
+        found = near.groupBy("lot", "street").agg(F.sum(length).alias("length")).withColumn("cutoff_m", F.lit(cutoff))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def point_along(line: Column, share: float = 0.5) -> Column:
+    """struct(x, y): the point at a share of the length of a line, an array of struct(x, y). Null for less than two points."""
+    n = F.size(line)
+    steps = F.transform(F.sequence(F.lit(1), n - 1), lambda k: F.struct(F.get(line, k - 1).alias("a"), F.get(line, k).alias("b")))
+    size = lambda s: F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"])
+    goal = F.aggregate(steps, F.lit(0.0), lambda t, s: t + size(s)) * share
+    start = F.struct(F.lit(0.0).alias("done"), F.get(line, 0)["x"].alias("x"), F.get(line, 0)["y"].alias("y"))
+
+    def step(a: Column, s: Column) -> Column:
+        t = F.greatest(F.least((goal - a["done"]) / F.nullif(size(s), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+        moved = t.isNotNull() & (goal >= a["done"])
+        return F.struct((a["done"] + size(s)).alias("done"), F.when(moved, s["a"]["x"] + t * (s["b"]["x"] - s["a"]["x"])).otherwise(a["x"]).alias("x"), F.when(moved, s["a"]["y"] + t * (s["b"]["y"] - s["a"]["y"])).otherwise(a["y"]).alias("y"))
+
+    found = F.aggregate(steps, start, step, lambda a: F.struct(a["x"].alias("x"), a["y"].alias("y")))
+    return F.when(n >= 2, found)

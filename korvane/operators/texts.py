@@ -137,3 +137,9 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
         return html.map(lambda h: [{"table": t, "row": r, "col": c, "text": x} for t, r, c, x in table_cells(h)])
 
     return pages.select(F.col(id_col).alias("page_id"), F.explode(cells(F.col(html_col))).alias("_c")).select("page_id", "_c.*")
+
+
+def first_mentions(docs: DataFrame, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mention, place): each different match of a pattern in a text, and which match (from 0) it first is."""
+    found = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("place", "mention"))
+    return found.groupBy("doc_id", "mention").agg(F.min("place").alias("place"))

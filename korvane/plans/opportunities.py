@@ -86,3 +86,19 @@ def road_gate(by_use: DataFrame, cadastral: DataFrame, marginal: DataFrame, othe
     """The parcels that are road: by their use, and by the cadastre, but for marginal ones that the roll uses otherwise."""
     doubtful = marginal.select(key).join(other_use.select(key), key, "left_semi")
     return by_use.select(key).union(cadastral.select(key).join(doubtful, key, "left_anti")).distinct()
+
+
+def futures(hold: Column, enhance: Column, rebuild: Column) -> list[Column]:
+    """The best of three futures of a site and what it gains over holding; the less invasive of equal ones, null values are no option."""
+    best = largest_label([("hold", hold), ("enhance", enhance), ("rebuild", rebuild)])
+    value = F.greatest(hold, enhance, rebuild)
+    return [best.alias("future"), (value - F.coalesce(hold, F.lit(0.0))).alias("gain")]
+
+
+def returns(flows: Column, noi: Column, cost: Column, debt_service: Column) -> list[Column]:
+    """irr_pct, yield_pct, multiple (money back over money in) and cover (income over debt service) of yearly flows."""
+    from ..functions.finance import irr
+
+    money = lambda keep: F.aggregate(F.filter(flows, keep), F.lit(0.0), lambda s, f: s + f)
+    out, back = -money(lambda f: f < 0), money(lambda f: f > 0)
+    return [(irr(flows) * 100).alias("irr_pct"), yield_on_cost(noi, cost).alias("yield_pct"), F.when(out > 0, back / out).alias("multiple"), F.when(debt_service > 0, noi / debt_service).alias("cover")]

@@ -277,13 +277,13 @@ def knn_comparables(spark, sf_dir):
 
 @query(f"""WITH {SITES_SQL},
 m AS (SELECT key, count(*) AS n, median(CASE WHEN o_dwellings > 0 THEN o_value / o_dwellings END) AS d, median(CASE WHEN o_floor > 0 THEN o_value / o_floor END) AS f, median(CASE WHEN o_lot > 0 THEN o_value / o_lot END) AS l FROM knn GROUP BY key)
-SELECT s.key, coalesce(n, 0) AS n, round(coalesce(CASE WHEN dwellings > 0 THEN d * dwellings END, CASE WHEN floor > 0 THEN f * floor END, CASE WHEN lot > 0 THEN l * lot END), 4) AS estimate,
+SELECT s.key, coalesce(n, 0) AS n, round(coalesce(CASE WHEN dwellings > 0 THEN d * dwellings END, CASE WHEN floor > 0 THEN f * floor END, CASE WHEN lot > 0 THEN l * lot END), 7) AS estimate,
   CASE WHEN dwellings > 0 AND d IS NOT NULL THEN 'per_dwelling' WHEN floor > 0 AND f IS NOT NULL THEN 'per_floor_area' WHEN lot > 0 AND l IS NOT NULL THEN 'per_land_area' ELSE 'none' END AS basis
 FROM sites s LEFT JOIN m ON m.key = s.key
 """)
 def value_cascade(spark, sf_dir):
     rows = sites(spark, sf_dir)
-    return comparables.value_cascade(comparables.nearest(rows), rows).withColumn("estimate", F.round("estimate", 4))
+    return comparables.value_cascade(comparables.nearest(rows), rows).withColumn("estimate", F.round("estimate", 7))
 
 
 @query("""
