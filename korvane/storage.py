@@ -28,9 +28,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._korvane_path = path
+    _staged.append(path)
     return out
 
 
+#: Folders that this driver has staged. Results read them lazily, so nothing removes them by itself.
+_staged: list[str] = []
+
+
+def drop_all_staged(spark: SparkSession) -> None:
+    """Remove all tables of stage(), once their results have been written or collected."""
+    while _staged:
+        remove(spark, _staged.pop())
+
+
 def drop_staged(df: DataFrame) -> None:
     """Remove a table of stage() that nothing reads any more."""
     remove(df.sparkSession, df._korvane_path)

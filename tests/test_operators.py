@@ -142,3 +142,12 @@ def test_streams_equal_tables(spark, tmp_path, sf_dir):
     q = stream.writeStream.foreachBatch(events.merge_into(target, ["user_id"])).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp2")).start()
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == table.select("user_id").distinct().count()
+
+
+def test_staged_tables_can_be_removed(spark):
+    from korvane import storage
+
+    df = storage.stage(spark.range(3), "t")
+    assert df.count() == 3 and storage.exists(spark, df._korvane_path)
+    storage.drop_all_staged(spark)
+    assert not storage.exists(spark, df._korvane_path)
