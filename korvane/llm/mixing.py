@@ -11,6 +11,8 @@ from .common import own_columns
 PART = 8.0
 #: Terms of the distribution of one part; the rest of its tail is below 1e-16.
 TERMS = 48
+#: Columns that the mixture adds.
+ADDED = ["copy", "rate", "shuffle_key"]
 #: Rows of the table of rates up to which it is broadcast.
 BROADCAST_SOURCES = 50_000
 
@@ -59,7 +61,7 @@ def replicate(docs: DataFrame, table: DataFrame, seed: str = "mix", id_col: str
     The draw inverts the distribution at a hash of seed and id, so a document is drawn alike in every run; repeated rows
     of an id are drawn alike too, and a null id counts as the empty text. Clashing columns of docs get the suffix _input.
     """
-    docs = own_columns(docs, ["copy", "rate", "shuffle_key"])
+    docs = own_columns(docs, ADDED)
     cdf = table.select(F.col("source").alias("_source"), F.col("rate"), F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("int").alias("_parts"), poisson_table(F.col("rate")).alias("_cdf"))
     on = F.col(source_col).eqNullSafe(F.col("_source"))
     if table.count() <= BROADCAST_SOURCES:
@@ -127,5 +129,6 @@ FROM copies
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the mixture, with the columns of docs; a document drawn n times is n rows."""
-    return mix(docs).select(docs.columns)
+    """Pipeline stage: the mixture, with the columns of docs, clashing ones too; a document drawn n times is n rows."""
+    renamed = dict(zip(docs.columns, own_columns(docs, ADDED).columns, strict=True))
+    return mix(docs).select([F.col(new).alias(old) for old, new in renamed.items()])

@@ -145,6 +145,11 @@ def test_mixing_equals_sql(docs):
     assert "copy_input" in out.columns and set(out["copy_input"].dropna()) == {9.0}
 
 
+def test_mixing_stage_keeps_clashing_columns(spark, docs):
+    out = mixing.mixed(spark, docs, "")
+    assert out.columns == docs.columns and {r["copy"] for r in out.collect()} <= {9, None}
+
+
 def test_mixing_meets_targets(spark):
     docs = spark.range(40000).selectExpr("id AS doc_id", "repeat('x', 10) AS text", "CASE WHEN id % 10 = 0 THEN 'a' WHEN id = 1 THEN 'c' ELSE 'b' END AS source")
     weights = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("z", 5.0)], "source string, weight double")
