@@ -147,7 +147,17 @@ h AS (SELECT doc_id, field, word, max(weight) * (1 + ln(count(*))) AS s FROM w W
 SELECT doc_id, round(sum(s), 6) AS score, count(DISTINCT word) AS n_words FROM h GROUP BY doc_id ORDER BY n_words DESC, round(sum(s), 9) DESC, doc_id LIMIT 20
 """)
 def full_text_search(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7f]"))
+    """ASCII texts only, as its SQL does not fold accents; full_text_search_all searches all documents."""
+    return licence_hits(table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7f]")))
+
+
+@query()
+def full_text_search_all(spark, sf_dir):
+    """All documents: texts beyond ASCII are folded, and a row with a null text is found by its source."""
+    return licence_hits(table(spark, sf_dir, "documents"))
+
+
+def licence_hits(docs):
     return fulltext.search(docs, [("text", "B"), ("source", "A")], "Licensed license GNU src3", 20, "doc_id").withColumn("score", F.round("score", 6))
 
 

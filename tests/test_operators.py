@@ -1,11 +1,17 @@
 """Operators on small fixtures."""
 
 import json
+import math
+import re
+import unicodedata
+from collections import Counter
 
 import pytest
+from korvane import more_queries  # noqa: F401
 from korvane.functions import columns as C
 from korvane.operators import lots, pyramid, relational, retrieval, spatial, texts
 from korvane.plans.datasets import Dataset, Registry
+from korvane.queries import QUERIES
 from korvane.sources import readers, snapshots
 from korvane.streaming import events
 from pyspark.sql import functions as F
@@ -151,3 +157,22 @@ def test_staged_tables_can_be_removed(spark):
     assert df.count() == 3 and storage.exists(spark, df._korvane_path)
     storage.drop_all_staged(spark)
     assert not storage.exists(spark, df._korvane_path)
+
+
+def test_full_text_search_meets_all_documents(spark, tmp_path):
+    texts_of = ["Licénsed à GNU, licensed", None, "license ünïcödé", "plain license", "rien du tout à voir", "", None, "LICENSE gnu GNU é"]
+    rows = [(k, t, "src3" if k in (1, 2) else "Src3" if k == 7 else "other") for k, t in enumerate(texts_of)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {}
+    for k, text, source in rows:
+        seen, score = set(), 0.0
+        for value, weight in ((text, 0.4), (source, 1.0)):
+            plain = "".join(c for c in unicodedata.normalize("NFD", value or "") if not unicodedata.combining(c)).lower()
+            for word, n in Counter(re.findall("[a-z0-9]+", plain)).items():
+                if word in ("licensed", "license", "gnu", "src3"):
+                    seen.add(word)
+                    score += weight * (1 + math.log(n))
+        if seen:
+            expected[k] = (round(score, 6), len(seen))
+    got = QUERIES["full_text_search_all"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["score"], r["n_words"]) for r in got} == expected and {0, 1, 2, 7} <= set(expected)
