@@ -24,8 +24,17 @@ SELECT grp AS group_id, count(*) AS n_items, min(o_orderdate) AS first_date, str
 FROM g x JOIN i USING (item) GROUP BY grp HAVING bool_or(o_orderstatus = 'F')
 """)
 def decision_links(spark, sf_dir):
-    """Large orders stand in for items, their customers and dates for the keys that link them."""
-    i = table(spark, sf_dir, "orders").where("o_totalprice > 470000").withColumn("item", F.col("o_orderkey"))
+    """Large orders stand in for items, their customers and dates for the keys that link them; decision_links_all takes all orders."""
+    return decided_groups(table(spark, sf_dir, "orders").where("o_totalprice > 470000"))
+
+
+@query()
+def decision_links_all(spark, sf_dir):
+    return decided_groups(table(spark, sf_dir, "orders"))
+
+
+def decided_groups(orders):
+    i = orders.withColumn("item", F.col("o_orderkey"))
     key = F.explode(F.array(F.concat(F.lit("c:"), F.col("o_custkey").cast("string")), F.concat(F.lit("d:"), F.date_format("o_orderdate", "yyyy-MM-dd"))))
     keys = linking.rare_keys(i.select("item", key.alias("key"), "o_orderpriority"), "o_orderpriority", 2, "d:")
     linked = linking.link_items(keys, i).withColumn("decided", F.col("o_orderstatus") == "F").withColumn("first_date", F.col("o_orderdate")).withColumn("kind", F.col("o_orderpriority"))

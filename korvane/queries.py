@@ -114,8 +114,23 @@ FROM (SELECT DISTINCT c_mktsegment FROM customer) m CROSS JOIN (SELECT DISTINCT
 LEFT JOIN s ON s.c_mktsegment = m.c_mktsegment AND s.o_orderpriority = p.o_orderpriority
 """)
 def densified_grid(spark, sf_dir):
+    """Large orders only, so that some combinations are empty; densified_grid_all takes all orders."""
+    return segment_grid(spark, sf_dir, "o_totalprice > 480000")
+
+
+@query("""
+WITH s AS (SELECT c_mktsegment, o_orderpriority, count(*) AS n, round(avg(o_totalprice), 2) AS mean_price FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+SELECT m.c_mktsegment, p.o_orderpriority, coalesce(s.n, 0) AS n, s.mean_price
+FROM (SELECT DISTINCT c_mktsegment FROM customer) m CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p
+LEFT JOIN s ON s.c_mktsegment = m.c_mktsegment AND s.o_orderpriority = p.o_orderpriority
+""")
+def densified_grid_all(spark, sf_dir):
+    return segment_grid(spark, sf_dir, "true")
+
+
+def segment_grid(spark, sf_dir, counted: str) -> DataFrame:
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    stats = orders.where("o_totalprice > 480000").join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
+    stats = orders.where(counted).join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
     return relational.densify(stats, [customers.select("c_mktsegment").distinct(), orders.select("o_orderpriority").distinct()], {"n": 0})
 
 
@@ -234,8 +249,17 @@ reach AS (SELECT DISTINCT a AS node, a AS other FROM both_ UNION SELECT r.node,
 SELECT node, min(other) AS component FROM reach GROUP BY node
 """)
 def connected_components(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where("l_extendedprice > 99000")
-    return components(rows.select(F.col("l_partkey").alias("a"), (F.lit(1000000000) + F.col("l_orderkey")).alias("b")))
+    """Dear lines only, for the recursive SQL; connected_components_all takes the whole table."""
+    return part_components(table(spark, sf_dir, "lineitem").where("l_extendedprice > 99000"))
+
+
+@query()
+def connected_components_all(spark, sf_dir):
+    return part_components(table(spark, sf_dir, "lineitem"))
+
+
+def part_components(lines: DataFrame) -> DataFrame:
+    return components(lines.select(F.col("l_partkey").alias("a"), (F.lit(1000000000) + F.col("l_orderkey")).alias("b")))
 
 
 # Values and opportunities.
@@ -498,8 +522,23 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 QUALIFY rank <= 5
 """)
 def cosine_topk(spark, sf_dir):
+    """Half of the stated queries; cosine_topk_all takes every id divisible by 50."""
+    return nearest_of_label(spark, sf_dir, "vec_id % 100 = 0")
+
+
+@query("""
+WITH q AS (SELECT vec_id AS query_id, label, embedding AS e FROM embeddings WHERE vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM (
+  SELECT query_id, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.e AS DOUBLE[])) AS score FROM q JOIN embeddings v ON v.label = q.label)
+QUALIFY rank <= 5
+""")
+def cosine_topk_all(spark, sf_dir):
+    return nearest_of_label(spark, sf_dir, "vec_id % 50 = 0")
+
+
+def nearest_of_label(spark, sf_dir, asked: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), "label")
+    q = e.where(asked).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), "label")
     return retrieval.search_many(e, q, 5, "vec_id", "embedding", ["label"]).withColumn("score", F.round("score", 6))
 
 

@@ -176,3 +176,48 @@ def test_full_text_search_meets_all_documents(spark, tmp_path):
             expected[k] = (round(score, 6), len(seen))
     got = QUERIES["full_text_search_all"](spark, str(tmp_path)).collect()
     assert {r["doc_id"]: (r["score"], r["n_words"]) for r in got} == expected and {0, 1, 2, 7} <= set(expected)
+
+
+def roots(edges):
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {x: find(x) for x in list(up)}
+
+
+def test_components_of_the_whole_table(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey", "l_orderkey").collect()
+    expected = roots([(r["l_partkey"], 1000000000 + r["l_orderkey"]) for r in lines])
+    assert {tuple(r) for r in QUERIES["connected_components_all"](spark, sf_dir).select("node", "component").collect()} == set(expected.items())
+
+
+def test_links_of_all_orders(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").collect()
+    by = {r["o_orderkey"]: r for r in orders}
+    keys, occasions = {}, {}
+    for r in orders:
+        keys.setdefault(("c", r["o_custkey"]), []).append(r["o_orderkey"])
+        day = str(r["o_orderdate"])[:10]
+        keys.setdefault(("d", day), []).append(r["o_orderkey"])
+        occasions.setdefault(day, set()).add(r["o_orderpriority"])
+    edges = [(k, k) for k in by]
+    for (kind, key), items in keys.items():
+        if kind == "c" or len(occasions[key]) < 2:
+            edges += [(items[0], k) for k in items]
+    groups = {}
+    for item, group in roots(edges).items():
+        groups.setdefault(group, []).append(by[item])
+    expected = set()
+    for group, rows in groups.items():
+        if any(r["o_orderstatus"] == "F" for r in rows):
+            kinds = Counter(r["o_orderpriority"] for r in rows)
+            expected.add((group, len(rows), min(r["o_orderdate"] for r in rows), ",".join(sorted({r["o_orderstatus"] for r in rows})), min(kinds, key=lambda k: (-kinds[k], k))))
+    got = QUERIES["decision_links_all"](spark, sf_dir).select("group_id", "n_items", "first_date", "statuses", "kind").collect()
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
