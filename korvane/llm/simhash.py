@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,19 +38,21 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(id, fp): one row per row of docs, fp the fingerprint as a signed long.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, digest: bool = False) -> DataFrame:
+    """(id, fp[, digest]): one row per row of docs, fp the fingerprint as a signed long, digest the text's md5.
 
     A null or blank text has fingerprint 0; repeated rows give repeated rows; other columns are not read.
     """
 
+    more = ["digest"] * digest
+
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, width) for t in b["t"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"id": b["id"], "fp": fps})
+            fps = np.array([fingerprint(t, width) for t in b.column("t").to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps, pa.int64()), *[b.column(c) for c in more]], ["id", "fp", *more])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *[F.md5(text_col).alias("digest")] * digest)
+    return rows.mapInArrow(run, "id long, fp long" + ", digest string" * digest)
 
 
 def block_keys(n: int, distance: int) -> list[list[tuple[int, int]]]:
@@ -115,18 +118,27 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     return tasks.groupBy("call").applyInPandas(run, "a long, b long")
 
 
+def groups(fps: DataFrame, distance: int = 4) -> DataFrame:
+    """(fp, root, component): for each fingerprint of rows (id, fp) its group, named by the smallest fingerprint, and the group's smallest id.
+
+    Fingerprints are the nodes, whatever ids their rows have: null and repeated ids neither drop nor merge any.
+    """
+    distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    found = components(links(distinct.select("fp", F.col("fp").alias("rep")), distance))
+    rooted = stage(distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")), "simhash-rooted")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    return stage(rooted.join(named, "root").select("fp", "root", "component"), "simhash-named")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
     """(id, fp, component): the fingerprint and the smallest id reachable over links of at most `distance` bits.
 
     Equal fingerprints are one node, so exact copies cost one row. Blank and null texts share fingerprint 0 and link as
-    any others. Repeated ids keep all their rows; a null id never names a component (null if there is no other). An empty
-    table gives an empty result.
+    any others. Repeated ids keep all their rows, and link nothing by themselves; a null id never names a component (null
+    if there is no other). An empty table gives an empty result.
     """
     fps = stage(fingerprints(docs, id_col, text_col, width), "simhash")
-    distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-distinct")
-    found = components(links(distinct.where("rep IS NOT NULL"), distance))
-    named = distinct.join(found, distinct["rep"] == found["node"], "left").select(F.col("fp"), F.coalesce("component", "rep").alias("component"))
-    return fps.join(stage(named, "simhash-named"), "fp").select("id", "fp", "component")
+    return fps.join(groups(fps, distance).select("fp", "component"), "fp").select("id", "fp", "component")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +147,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest id of each group of near duplicates stays."""
+    """Pipeline stage: of each group of near duplicates the document with the smallest id stays, one without an id only where none has one.
+
+    Rows are told apart by id and text, so rows of one id with unrelated texts all stay, as do clean rows without an id.
+    """
     columns = docs.columns
-    kept = near_duplicates(docs).where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(columns)
+    fps = stage(fingerprints(docs, digest=True), "simhash")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.coalesce("digest", F.lit("")).alias("digest"))
+    kept = fps.join(groups(fps).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k"))
+    kept = kept.select(F.col("k.id").alias("_id"), F.col("k.digest").alias("_digest"))
+    marked = docs.withColumn("_row_id", F.col("doc_id").cast("long")).withColumn("_row_digest", F.coalesce(F.md5("text"), F.lit("")))
+    chosen = marked.join(kept, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_digest") == F.col("_digest")), "left_semi")
+    return chosen.dropDuplicates(["_row_id", "_row_digest"]).select(columns)

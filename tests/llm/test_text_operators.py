@@ -85,6 +85,31 @@ def test_simhash_stage_keeps_one_of_each_group(docs, spark):
     assert 0 in ids and 60 not in ids and 61 not in ids and ids.count(5) == 1
 
 
+def test_simhash_of_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(rng.choice(WORDS, 80)) for _ in range(8)]
+    big = 2**60 + 1
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (9, texts[4]), (None, texts[4]), (big, texts[5]), (None, None), (7, texts[6])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(table).collect()
+    component = {(r["id"], r["fp"] % 2**64): r["component"] for r in found}
+    of = lambda i, t: component[i, slow_fingerprint(t)]
+    assert len(found) == len(rows)
+    assert of(None, texts[0]) is None and of(7, texts[2]) == of(7, texts[3]) == of(8, texts[3]) == 7 and of(None, texts[4]) == 9 and of(big, texts[5]) == big
+    kept = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(spark, table, "").collect())
+    assert kept == Counter([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (big, texts[5]), (None, None), (7, texts[6])])
+
+
+def test_simhash_links_through_rows_without_ids(spark, monkeypatch):
+    fps = {"a": 0, "b": 0b1111, "c": 0b11111111, "far": 2**63 - 1}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *a, **k: docs)
+    rows = spark.createDataFrame([(5, fps["a"]), (None, fps["b"]), (3, fps["c"]), (3, fps["far"])], "id long, fp long")
+    got = {(r["id"], r["fp"]): r["component"] for r in simhash.near_duplicates(rows).collect()}
+    assert got == {(5, fps["a"]): 3, (None, fps["b"]): 3, (3, fps["c"]): 3, (3, fps["far"]): 3}
+    by = {r["fp"]: r["root"] for r in simhash.groups(rows).collect()}
+    assert by[fps["a"]] == by[fps["b"]] == by[fps["c"]] != by[fps["far"]]
+
+
 def test_quality_learns_and_takes_all_rows(spark, docs):
     rng = np.random.default_rng(1)
     good = [" ".join(rng.choice(WORDS, 60)) for _ in range(240)]
