@@ -1,7 +1,7 @@
 """Development programs: every admissible combination of floors is a row, and the best one of each site is kept.
 
-What a site may hold is a handful of whole numbers (storeys by use, levels below ground), so the choices of a site are
-some dozens of rows. They are made by explode, judged by column expressions, and reduced by one aggregation with partial
+What a site may hold is a handful of whole numbers (storeys by use, levels below ground) that its own limits bound, so the
+choices of a site are some dozens of rows, or some hundreds for a tower. They are made by explode, judged by column expressions, and reduced by one aggregation with partial
 results; no site is gathered anywhere, and the work grows with the number of sites.
 """
 
@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import finance
 
-#: Choices of storeys of one use, and of levels below ground.
-MOST_FLOORS, MOST_BASEMENTS = 12, 3
-
 
 @dataclass(frozen=True)
 class Economics:
@@ -37,10 +34,10 @@ class Economics:
 
 def choices(sites: DataFrame) -> DataFrame:
     """sites (key, buildable_m2, lot_m2, floors_max, commercial_max, basements_max, dwellings_max, density_max) once for each choice of floors."""
-    upto = lambda c, most: F.sequence(F.lit(0), F.least(F.greatest(F.coalesce(c, F.lit(0)), F.lit(0)), F.lit(most)).cast("int"))
-    rows = sites.withColumn("residential", F.explode(upto(F.col("floors_max"), MOST_FLOORS)))
-    rows = rows.withColumn("commercial", F.explode(upto(F.least("commercial_max", F.col("floors_max") - F.col("residential")), MOST_FLOORS)))
-    return rows.withColumn("basements", F.explode(upto(F.col("basements_max"), MOST_BASEMENTS))).where("residential + commercial > 0")
+    upto = lambda c: F.sequence(F.lit(0), F.greatest(F.coalesce(c, F.lit(0)), F.lit(0)).cast("int"))
+    rows = sites.withColumn("residential", F.explode(upto(F.col("floors_max"))))
+    rows = rows.withColumn("commercial", F.explode(upto(F.least("commercial_max", F.col("floors_max") - F.col("residential")))))
+    return rows.withColumn("basements", F.explode(upto(F.col("basements_max")))).where("residential + commercial > 0")
 
 
 def judged(rows: DataFrame, e: Economics) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from korvane import more_queries  # noqa: F401
 from korvane.functions import columns as C
 from korvane.operators import lots, pyramid, relational, retrieval, spatial, texts
+from korvane.plans import programs
 from korvane.plans.datasets import Dataset, Registry
 from korvane.queries import QUERIES
 from korvane.sources import readers, snapshots
@@ -221,3 +222,25 @@ def test_links_of_all_orders(spark, sf_dir):
             expected.add((group, len(rows), min(r["o_orderdate"] for r in rows), ",".join(sorted({r["o_orderstatus"] for r in rows})), min(kinds, key=lambda k: (-kinds[k], k))))
     got = QUERIES["decision_links_all"](spark, sf_dir).select("group_id", "n_items", "first_date", "statuses", "kind").collect()
     assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
+def test_programs_of_tall_sites(spark):
+    limits = {"tower": (400.0, 2000.0, 20, 0, 5, None, None), "deep": (400.0, 400.0, 20, 0, 5, None, None), "shops": (300.0, 4000.0, 20, 18, 5, 0, None), "none": (400.0, 400.0, 20, 20, 0, None, None)}
+    rows = [(k, *v) for k, v in limits.items()]
+    sites = spark.createDataFrame(rows, "key string, buildable_m2 double, lot_m2 double, floors_max int, commercial_max int, basements_max int, dwellings_max int, density_max double")
+    e, annuity = programs.Economics(rent=4000.0, rate_per_square_foot=90.0), (1 - 1.06**-30) / 0.06
+    expected = {}
+    for key, (plate, lot, floors, shops, deepest, most, _) in limits.items():
+        found = []
+        for r in range(floors + 1):
+            for c in range(min(shops, floors - r) + 1):
+                for b in range(deepest + 1):
+                    dwellings = min(math.floor(plate * r / 85), 1 << 40 if most is None else most)
+                    stalls = math.ceil(dwellings * 0.5 + plate * c / 100)
+                    if r + c and stalls <= math.floor(plate * b / 32) + math.floor((lot - plate) * 0.25 / 32):
+                        noi = (dwellings * 4000 * 12 * 0.95 + plate * c / 0.09290304 * 90 * 0.95) * 0.65
+                        found.append((-round(noi * annuity - plate * (r + c) * 2600 - plate * b * 1500, 2), r, c, b))
+        expected[key] = min(found)[1:] if found else (None, None, None)
+    got = {r["key"]: r for r in programs.best_programs(sites, e).collect()}
+    assert {k: (r["residential"], r["commercial"], r["basements"]) for k, r in got.items()} == expected
+    assert expected["tower"][0] == 20 and expected["deep"][2] > 3 and expected["shops"][1] > 12 and got["none"]["status"] == "infeasible"
