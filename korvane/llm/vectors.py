@@ -242,13 +242,30 @@ class Index:
         self.shortlist = max(4 * k, int(np.ceil((places[min(len(places) - 1, int(np.ceil(TUNE_RECALL * len(places))))] + 1) * share)))
 
 
+def cells_needed(ranked: np.ndarray, held: np.ndarray, probes: int, ids: int) -> np.ndarray:
+    """How many of its ranked cells each query reads: `probes`, or more until they hold so many ids, at most all."""
+    enough = held[ranked].cumsum(1) >= ids
+    return np.maximum(probes, np.where(enough.any(1), enough.argmax(1) + 1, ranked.shape[1]))
+
+
+def entries_needed(ids, n: int) -> int:
+    """How many of the entries, in order, hold n distinct ids; at least n where there are as many, so that ties of scores are kept."""
+    seen: set[int] = set()
+    for k, some in enumerate(ids):
+        if len(seen) >= n:
+            return max(k, min(n, len(ids)))
+        seen.update(some)
+    return len(ids)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): for each row where is_query holds, the k nearest other rows found, by cosine.
 
     The index is fitted on FIT_SAMPLE distinct vectors and holds every row: equal vectors are one entry that keeps their
     k + 1 smallest ids, as no query can return more of them. Scores are exact; ties go to the smaller id. Vectors that are
     null, zero or hold null or non-finite components, null ids, and vectors of another length than the most frequent one
-    take no part. Fewer rows are returned only where there are fewer candidates. Rows with a repeated id count once.
+    take no part. A query reads on past the tuned number of cells until those read hold k + 1 ids, so fewer rows are
+    returned only where there are fewer candidates. Rows with a repeated id count once, with their best score.
     """
     spark = vectors.sparkSession
     query = F.coalesce(is_query, F.lit(False))
@@ -277,13 +294,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
 
     def ask(batches):
         for b in batches:
-            q = matrix(b["vector"])
-            if len(q):
-                q /= np.linalg.norm(q, axis=1, keepdims=True)
-                cells = index.value.ranked(q)[:, : index.value.probes]
-                yield pd.DataFrame({"cell": cells.ravel(), "rep": np.repeat(b["rep"].to_numpy(), cells.shape[1]), "vector": list(np.repeat(matrix(b["vector"]), cells.shape[1], 0))})
+            x = matrix(b["vector"])
+            if len(x):
+                cells = index.value.ranked(x / np.linalg.norm(x, axis=1, keepdims=True))
+                row, rank = np.nonzero(np.arange(cells.shape[1])[None] < cells_needed(cells, held_ids.value, index.value.probes, k + 1)[:, None])
+                yield pd.DataFrame({"cell": cells[row, rank], "rep": b["rep"].to_numpy()[row], "vector": list(x[row])})
 
     entries = stage(distinct.select("rep", "ids", "vector").mapInPandas(enter, "cell int, rep long, ids array<long>, vector array<double>, code binary"), "ann-index")
+    first_cells = entries.select(F.explode("ids").alias("id"), "cell").groupBy("id").agg(F.min("cell").alias("cell"))
+    counts = first_cells.groupBy("cell").count().limit(MOST_CELLS).collect()  # a row for each cell; an id in several cells counts in one
+    held_ids = spark.sparkContext.broadcast(np.bincount([r["cell"] for r in counts], [r["count"] for r in counts], len(index.value.centres)))
     parts = stage(entries.groupBy("cell").agg(F.ceil(F.count("*") / SCAN).cast("int").alias("parts")), "ann-parts")
     salted = entries.join(F.broadcast(parts), "cell")  # MOST_CELLS rows
     salted = salted.select("cell", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "rep", "ids", "vector", "code")
@@ -298,6 +318,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
             codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
             c, rep, ids = matrix(right["vector"]), right["rep"].to_numpy(), right["ids"].to_numpy()
             norm, most = np.linalg.norm(c, axis=1), min(index.value.shortlist, len(c))
+            flat = np.concatenate(ids)
+            if len(np.unique(flat)) < len(flat):  # an id of several vectors could fill the list alone: all are scored
+                most = len(c)
             for s in range(0, len(left), 256):
                 q = matrix(left["vector"].iloc[s : s + 256])
                 size = np.linalg.norm(q, axis=1)
@@ -305,17 +328,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                 for i, owner in enumerate(left["rep"].iloc[s : s + 256]):
                     near = np.argsort(d[i], kind="stable")[:most]
                     score = (c[near] @ q[i]) / (norm[near] * size[i])
-                    best = near[np.lexsort((rep[near], -score))][: k + 1]
+                    best = near[np.lexsort((rep[near], -score))]
+                    best = best[: k + 1 if most < len(c) else entries_needed(ids[best], k + 1)]
                     exact = (c[best] * q[i]).sum(1) / (norm[best] * size[i])
                     out.append(pd.DataFrame({"rep": owner, "ids": ids[best], "score": exact}))
         return pd.concat(out) if out else pd.DataFrame({"rep": np.zeros(0, np.int64), "ids": np.zeros(0, object), "score": np.zeros(0)})
 
     found = spread.groupBy("cell", "part").cogroup(salted.groupBy("cell", "part")).applyInPandas(scan, "rep long, ids array<long>, score double")
-    found = found.select("rep", "score", F.explode("ids").alias("id"))
+    found = found.select("rep", "score", F.explode("ids").alias("id")).groupBy("rep", "id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "id")
     found = stage(found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place"), "ann-found")
     queries = rows.where("query").select(F.col("id").alias("query_id"), "vector").distinct().join(distinct.where("asked").select("vector", "rep"), "vector").select("query_id", "rep")
-    pairs = queries.join(found, "rep").where("id != query_id")
+    pairs = queries.join(found, "rep").where("id != query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 

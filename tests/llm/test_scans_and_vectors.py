@@ -268,6 +268,34 @@ def test_search_edges(spark, embeddings):
     assert [tuple(r) for r in vectors.search(two, F.col("vec_id") == 50).collect()] == [(50, 1, 51, pytest.approx(0.5**0.5))]
 
 
+def test_search_reads_on_until_there_are_enough(spark):
+    """More tight clusters than cells: one probe finds nearly all, and some lone pairs have a cell of their own."""
+    rng = np.random.default_rng(0)
+    centres, lone = rng.normal(size=(90, 12)), rng.normal(size=(30, 12))
+    x = np.concatenate([np.repeat(centres, 39, 0) + rng.normal(size=(3510, 12)) * 1e-3, np.repeat(lone, 2, 0) + rng.normal(size=(60, 12)) * 1e-4])
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    out = vectors.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") >= 3510).collect()
+    got = defaultdict(list)
+    for r in out:
+        got[r["query_id"]].append(r["id"])
+    assert set(got) == set(range(3510, 3570))
+    assert all(len(v) == len(set(v)) == 5 and q not in v for q, v in got.items())
+
+
+def test_search_counts_an_id_of_many_vectors_once(spark):
+    rng = np.random.default_rng(6)
+    rows = [(1, (np.ones(6) + rng.normal(size=6) * 1e-3).tolist()) for _ in range(30)] + [(0, [1.0] * 6)] + [(k, rng.normal(size=6).tolist()) for k in range(2, 9)]
+    got = [r["id"] for r in vectors.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert len(got) == len(set(got)) == 5 and got[0] == 1
+
+
+def test_cells_needed():
+    ranked, held = np.array([[0, 1, 2], [2, 1, 0], [1, 0, 2]]), np.array([1, 2, 9])
+    assert vectors.cells_needed(ranked, held, 1, 6).tolist() == [3, 1, 3]
+    assert vectors.cells_needed(ranked, held, 2, 3).tolist() == [2, 2, 2]
+    assert vectors.cells_needed(ranked, held, 1, 99).tolist() == [3, 3, 3]
+
+
 # Licences.
 
 
