@@ -25,8 +25,6 @@ from .common import new_path, stage
 MAGIC = b"\x1f\x8b\x08"
 RANGE_BYTES = 16 << 20
 READ_BYTES = 1 << 20
-#: Longest header block of a record.
-MOST_HEADER = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 SAME = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads of so many bytes and more are stored once.
@@ -65,7 +63,7 @@ def parse(raw: bytes) -> dict | None:
     """The record that a decoded member holds; None if it holds none."""
     if not raw.startswith(b"WARC/1."):
         return None
-    end = raw.find(b"\r\n\r\n", 0, MOST_HEADER)
+    end = raw.find(b"\r\n\r\n")
     head = dict(x.split(": ", 1) for x in raw[:end].decode("utf-8", "replace").split("\r\n")[1:] if ": " in x) if end > 0 else {}
     if not head.get("Content-Length", "").isdigit() or "WARC-Type" not in head:
         return None

@@ -156,6 +156,13 @@ def test_warc_owns_each_record_once_and_skips_damage():
     assert got == ["urn:page:0", "urn:page:1", "urn:page:3"]
 
 
+def test_warc_of_a_long_url():
+    url = "http://x/" + "u" * (2 << 20)
+    data = warc.record({"record_id": "urn:page:1", "record_type": "response", "target_uri": url, "refers_to": None, "payload_digest": "00" * 20, "payload_bytes": 5, "payload": b"hello"})
+    got = [r for _, r in warc.records_in(io.BytesIO(data), 0, len(data))]
+    assert [(r["target_uri"], r["payload"]) for r in got] == [(url, b"hello")]
+
+
 def test_warc_of_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_pages(pages, f"file://{tmp_path}/none")
