@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -51,10 +52,10 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def labelled_sample(docs: DataFrame, most: int) -> pd.DataFrame:
     """(text, lang) of documents whose crc32(doc_id as text) mod 4 is not 2, about `most` rows at most for each language.
 
-    The bound is kept by a hash of the id. Only languages of at least two rows are learnt.
+    The bound is kept by a hash of the id. All languages of at least two rows are learnt.
     """
     rows = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND text != '' AND lang IS NOT NULL").where(crc_mod("doc_id", 4) != 2)
-    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().where("count > 1").orderBy(F.desc("count"), "lang").limit(400).collect()}
+    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().where("count > 1").collect()}
     if not n:
         return pd.DataFrame({"doc_id": [], "text": [], "lang": []})
     share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, v in n.items() for x in (k, float(most) / v)]), F.col("lang")), F.lit(0.0))
@@ -92,7 +93,7 @@ def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3,
 def fit(docs: DataFrame, most: int = 800, reject: float = 0.5) -> dict:
     """Train on four fifths of the labelled sample; the temperature comes from the rest.
 
-    `most` bounds the rows of each language gathered to the driver. The temperature makes the scores probabilities, so
+    Whole texts are calibrated, as whole texts are scored. `most` bounds the rows of each language gathered to the driver. The temperature makes the scores probabilities, so
     that a document under `reject` is one whose language is more likely wrong than right.
     """
     rows = labelled_sample(docs, most)
@@ -105,7 +106,7 @@ def fit(docs: DataFrame, most: int = 800, reject: float = 0.5) -> dict:
     held, kept = all_of[::5], [x for k, x in enumerate(all_of) if k % 5] or all_of
     e, w, b = train(kept, len(langs))
     model = {"langs": langs, "scores": (e @ w).astype(np.float32), "bias": b, "heat": 1.0, "reject": reject}
-    logits = np.array([logits_of(ws[:40], model) for ws, _ in held])
+    logits = logits_of((ws for ws, _ in held), len(held), model, Sums(model))
     y = np.array([k for _, k in held])
     grid = 2.0 ** np.arange(-4, 4.25, 0.25)
     model["heat"] = float(min(grid, key=lambda h: -np.log(np.maximum(softmax(logits / h)[np.arange(len(y)), y], 1e-9)).mean()))
@@ -117,11 +118,6 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
-def logits_of(words: list[bytes], model: dict) -> np.ndarray:
-    grams, _ = subwords(words)
-    return model["scores"][grams].mean(0) + model["bias"] if len(grams) else model["bias"]
-
-
 class Sums(dict):
     """word -> row of the table of sums over its subwords; unseen words queue up and are summed together."""
 
@@ -141,20 +137,25 @@ class Sums(dict):
         return self.rows
 
 
-def predict_batch(texts, model: dict, sums: Sums) -> tuple[list[str], np.ndarray]:
-    """The language and calibrated score of each whole text. `und`, score 0: null, or without a letter."""
-    totals = np.zeros((len(texts), len(model["langs"]) + 1))
-    for k, t in enumerate(texts):
-        if t:
-            counts = Counter(words_of(t))
+def logits_of(lists: Iterable[list[bytes]], n: int, model: dict, sums: Sums) -> np.ndarray:
+    """A row of logits for each of n lists of words, that of a whole text."""
+    totals = np.zeros((n, len(model["langs"]) + 1))
+    for k, words in enumerate(lists):
+        if words:
+            counts = Counter(words)
             at = np.fromiter(map(sums.__getitem__, counts), np.int64, len(counts))
             totals[k] = np.fromiter(counts.values(), float, len(counts)) @ sums.table()[at]
         if len(sums) > KEPT_WORDS:
             sums.clear()
             sums.rows = sums.rows[:0]
+    return totals[:, :-1] / np.maximum(totals[:, -1:], 1) + model["bias"]
+
+
+def predict_batch(texts, model: dict, sums: Sums) -> tuple[list[str], np.ndarray]:
+    """The language and calibrated score of each whole text. `und`, score 0: null, or without a letter."""
     if not model["langs"]:
         return [NONE] * len(texts), np.zeros(len(texts))
-    p = softmax((totals[:, :-1] / np.maximum(totals[:, -1:], 1) + model["bias"]) / model["heat"])
+    p = softmax(logits_of((words_of(t) for t in texts), len(texts), model, sums) / model["heat"])
     known = [bool(t and LETTER.search(t)) for t in texts]
     best = p.argmax(1)
     return [model["langs"][b] if ok else NONE for b, ok in zip(best, known, strict=True)], np.where(known, p.max(1), 0.0)

@@ -150,6 +150,23 @@ def test_language_of_awkward_rows(docs):
     assert langid.predict(empty, langid.fit(empty)).count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    rows = [(k, f"wort{k // 8} text", f"l{k // 8:03}") for k in range(8 * 410)]
+    found = langid.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 800)
+    assert found["lang"].nunique() == 410
+
+
+def test_temperature_comes_from_whole_texts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    seen = []
+    real = langid.softmax
+    monkeypatch.setattr(langid, "softmax", lambda z: seen.append(z) or real(z))
+    rows = [(k, " ".join(["same"] * 40 + [("aaa" if k % 2 else "zzz") + str(rng.integers(9))] * 400), "a" if k % 2 else "z") for k in range(60)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    logits = seen[0] * 2.0**-4
+    assert len(logits) and np.ptp(logits[:, 0] - logits[:, 1]) > 1e-3 and model["langs"] == ["a", "z"]
+
+
 def test_subwords_are_those_of_each_word_alone():
     words = [b"ab", b"xyz", b"q"]
     grams, owner = langid.subwords(words)
