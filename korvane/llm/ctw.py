@@ -5,15 +5,17 @@ own over the bytes before. A node mixes its Krichevsky-Trofimov estimate with wh
 priori; the weights that the training text gives the two sides are exact.
 
 How the work is dealt out: rows are packed into blocks of some megabytes. A block counts its (DEPTH + 1)-grams and sends
-them, once each, to the part that holds their two latest context bytes, so each subtree from depth two on lies in one
-part. The parts send the sums of the 256 * 255 nodes above to the driver, which weighs depths 0 and 1 (a bound that no
-corpus exceeds), and then answer each block's grams with their log probability. No other count passes the driver, and
-the counts grow with the corpus.
+them, once each, to the part that holds their three latest context bytes, so each subtree from depth three on lies in
+one part, and the grams after a frequent pair of bytes are spread over many. The parts' sums for the nodes of depth two
+(one for each pair of bytes and leading bits that occurs, at most 256 * 256 * 255 whatever the corpus) go to the driver,
+which weighs depths 0 to 2; the parts then answer each block's grams with their log probability. No other count passes
+the driver, and the counts grow with the corpus.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,12 +32,16 @@ DEPTH = 5
 #: Stands before, between and after texts, and for the end of a text; UTF-8 has no such byte.
 END = 0xFF
 BLOCK_BYTES, PART_BYTES, CHUNK_BYTES = 16 << 20, 32 << 20, 2 << 20
+#: Texts of one chunk.
+MOST_TEXTS = 65_000
+#: Depth from which on a subtree lies in one part.
+TOP = 3
 HALF = np.log(0.5)
 
 
-def canonical(text: str | None) -> bytes:
-    """The words of the whole text, A-Z lower-cased, with one space between them."""
-    return b" ".join((text or "").encode("utf-8", "replace").translate(LOWER).split())
+def lowered(text: str | None) -> bytes:
+    """The bytes of the whole text, white space and all, with A-Z lower-cased."""
+    return (text or "").encode("utf-8", "replace").translate(LOWER)
 
 
 # Sorted arrays as small blobs.
@@ -72,40 +78,38 @@ def sums_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # Grams of texts.
 
 
-def chunks(texts: list[bytes]):
-    """Slices of texts of about CHUNK_BYTES and fewer than 65 536 texts each; a longer text is a slice of its own."""
-    start = size = 0
-    for k, t in enumerate(texts):
-        if k > start and (size + len(t) > CHUNK_BYTES or k - start >= 65_000):
-            yield slice(start, k)
-            start, size = k, 0
-        size += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
+def grams(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(key, index of the text, first such index) at every byte and at the end of each text, some CHUNK_BYTES at a time.
 
-
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(key, index of the text) at every byte and at the end of each text. A key holds the context, latest byte first, then the byte."""
+    A key holds the context, latest byte first, then the byte. A long text is cut anywhere: contexts reach back over the
+    cut. Indexes count from the first text of the chunk and stay below 2 ** 16.
+    """
     gap = bytes([END]) * DEPTH
     raw = np.frombuffer(gap + b"".join(chain.from_iterable((t, gap) for t in texts)), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    key = np.zeros(len(raw) - DEPTH, np.uint64)
-    for back in range(1, DEPTH + 1):
+    starts = np.cumsum(sizes + DEPTH) - sizes
+    at = DEPTH
+    while at < len(raw):
+        first = max(0, int(np.searchsorted(starts, at, "right")) - 1)
+        end = min(at + CHUNK_BYTES, len(raw), *starts[first + MOST_TEXTS : first + MOST_TEXTS + 1].tolist())
+        text = np.searchsorted(starts, np.arange(at, end), "right") - 1
+        inside = np.arange(at, end) - starts[text] <= sizes[text]
+        key = np.zeros(end - at, np.uint64)
+        for back in range(1, DEPTH + 1):
+            np.left_shift(key, np.uint64(8), out=key)
+            key |= raw[at - back : end - back]
         np.left_shift(key, np.uint64(8), out=key)
-        key |= raw[DEPTH - back : len(raw) - back]
-    np.left_shift(key, np.uint64(8), out=key)
-    key |= raw[DEPTH:]
-    starts = np.cumsum(sizes + DEPTH) - (sizes + DEPTH)
-    at = np.repeat(starts - np.cumsum(sizes + 1) + sizes + 1, sizes + 1) + np.arange(int(sizes.sum()) + len(texts))
-    return key[at], np.repeat(np.arange(len(texts)), sizes + 1)
+        key |= raw[at:end]
+        if inside.any():
+            yield key[inside], text[inside] - first, first
+        at = end
 
 
 def count_grams(texts: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of all texts, and how often each is in the training ones."""
     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for part in chunks(texts):
-        key, text = grams(texts[part])
-        key = np.sort(key << np.uint64(1) | train[part].astype(np.uint64)[text])
+    for key, text, first in grams(texts):
+        key = np.sort(key << np.uint64(1) | train[first:].astype(np.uint64)[text])
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         n = np.diff(np.append(starts, len(key)))
         key = key[starts]
@@ -186,23 +190,31 @@ class Tree:
 
 
 def upper(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
-    """Depths 0 and 1, from the sums (node = latest byte * 256 + leading bits, n0, n1, log probability below).
+    """Depths 0 to 2, from the sums of depth 2 (node = two latest bytes and leading bits, n0, n1, log probability below).
 
-    The probability of a one is a + b * (what depth two says), or `end` where nothing deeper was seen.
+    The probability of a one is a + b * (what depth two says), or `end` where no such node is; depth two says
+    w2 * kt2 + (1 - w2) * (what depth three says), or kt2 where nothing deeper was seen.
     """
-    n0, n1, below = (np.bincount(nodes["node"], nodes[c], 1 << 16) for c in ("n0", "n1", "below"))
-    n0, n1 = n0.astype(np.int64), n1.astype(np.int64)
 
     def weigh(n0, n1, below):
         own = log_kt(n0, n1)
         weighted = np.logaddexp(HALF + own, HALF + below)
         return (n1 + 0.5) / (n0 + n1 + 1), np.exp(HALF + own - weighted), weighted
 
+    nodes = nodes.sort_values("node")
+    node, n0, n1 = (nodes[c].to_numpy(np.int64) for c in ("node", "n0", "n1"))
+    kt2, w2, log2 = weigh(n0, n1, nodes["below"].to_numpy(float))
+    parent = node >> 16 << 8 | node & 255
+    n0, n1, below = (np.bincount(parent, x, 1 << 16) for x in (n0, n1, log2))
+    n0, n1 = n0.astype(np.int64), n1.astype(np.int64)
     kt1, w1, log1 = weigh(n0, n1, below)
     seen = n0 + n1 > 0
     log1 = np.where(seen, log1, 0.0)
     kt0, w0, _ = (np.tile(x, 256) for x in weigh(n0.reshape(256, 256).sum(0), n1.reshape(256, 256).sum(0), log1.reshape(256, 256).sum(0)))
     return {
+        "node": node.astype(np.uint64),
+        "kt2": kt2,
+        "w2": w2,
         "a": np.where(seen, w0 * kt0 + (1 - w0) * w1 * kt1, kt0),
         "b": np.where(seen, (1 - w0) * (1 - w1), 0.0),
         "end": np.where(seen, w0 * kt0 + (1 - w0) * kt1, kt0),
@@ -212,11 +224,21 @@ def upper(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
 def log10_of(keys: np.ndarray, tree: Tree, above: dict[str, np.ndarray]) -> np.ndarray:
     """Log10 of the model's probability of each gram's byte after its context."""
     total = np.zeros(len(keys))
+    pair = keys >> np.uint64(8 * (DEPTH - 1)) << np.uint64(8)
     latest = (keys >> np.uint64(8 * DEPTH)).astype(np.int64) * 256
     byte = (keys & np.uint64(255)).astype(np.int64)
+    nodes = above["node"]
     for j in range(8):
-        p, seen = tree.ones(keys, j, 2)
-        at = latest + (1 << j | byte >> (8 - j))
+        p, deeper = tree.ones(keys, j, TOP)
+        bits = 1 << j | byte >> (8 - j)
+        if len(nodes):
+            wanted = pair | bits.astype(np.uint64)
+            k = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
+            seen = nodes[k] == wanted
+            p = np.where(deeper, above["w2"][k] * above["kt2"][k] + (1 - above["w2"][k]) * p, above["kt2"][k])
+        else:
+            seen = np.zeros(len(keys), bool)
+        at = latest + bits
         p = np.where(seen, above["a"][at] + above["b"][at] * p, above["end"][at])
         total += np.log10(np.where(byte >> (7 - j) & 1, p, 1 - p))
     return total
@@ -231,7 +253,7 @@ def packed_blocks(docs: DataFrame, blocks: int, id_col: str, text_col: str, held
     def run(batches):
         pack, k = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() * 7919
         for b in batches:
-            texts = [canonical(t) for t in b["t"]]
+            texts = [lowered(t) for t in b["t"]]
             ids = [None if pd.isna(i) else int(i) for i in b["id"]]
             train = (~b["held"].astype(bool)).tolist()
             rows = []
@@ -268,9 +290,7 @@ def word_parts(words, parts: int) -> dict[int, list[bytes]]:
 
 def gathered(packs: DataFrame, parts: int) -> DataFrame:
     """(block, part, kind, keys, counts): each block's distinct grams (kind 0) and words (kind 1) with their training counts."""
-    spread = (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(parts)
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, train, texts = unpack(pdf)
         known, every = Counter(), set()
         for t, own in zip(texts, train, strict=True):
@@ -280,7 +300,7 @@ def gathered(packs: DataFrame, parts: int) -> DataFrame:
             rows.append((key[0], part, 1, zstandard.compress(b"\n".join(words), 3), squeeze(np.array([known[w] for w in words], np.uint64))))
         del known, every
         keys, counts = count_grams(texts, train)
-        part = spread[(keys >> np.uint64(8 * (DEPTH - 1))).astype(np.int64)]
+        part = ((keys >> np.uint64(8 * (DEPTH + 1 - TOP))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(cuts)).tolist():
@@ -308,18 +328,18 @@ def word_totals(pdf: pd.DataFrame) -> tuple[Counter, list[list[bytes]]]:
 
 
 def sums_of_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    """What the driver needs of a part: for depth 1 (kind 0) node sums; of words (kind 1) tokens and distinct words."""
+    """What the driver needs of a part: the sums of depth 2 (kind 0); of words (kind 1) tokens and distinct words."""
     kind = int(pdf["kind"].iloc[0])
     if kind == 1:
         counts = np.fromiter(word_totals(pdf)[0].values(), np.int64)
         return pd.DataFrame({"kind": [1], "node": [0], "n0": [int(counts.sum())], "n1": [int((counts > 0).sum())], "below": [0.0]})
     keys, counts, _, _ = merged(pdf)
     keys, counts = keys[counts > 0], counts[counts > 0]
-    tree, out = Tree(keys, counts, 2), []
+    tree, out = Tree(keys, counts, TOP), []
     for j in range(8):
-        ids, _, _, log_below = tree.at[2][j]
-        n0, n1 = tree.totals[2][j]
-        node = (ids >> np.uint64(j + 8)).astype(np.int64) * 256 + (1 << j | (ids & np.uint64((1 << j) - 1)).astype(np.int64))
+        ids, _, _, log_below = tree.at[TOP][j]
+        n0, n1 = tree.totals[TOP][j]
+        node = (ids >> np.uint64(j + 8)).astype(np.int64) << 8 | (1 << j | (ids & np.uint64((1 << j) - 1)).astype(np.int64))
         distinct, at = np.unique(node, return_inverse=True)
         out.append(pd.DataFrame({"kind": 0, "node": distinct, "n0": np.bincount(at, n0, len(distinct)).astype(np.int64), "n1": np.bincount(at, n1, len(distinct)).astype(np.int64), "below": np.bincount(at, log_below, len(distinct))}))
     return pd.concat(out)
@@ -337,7 +357,7 @@ def answers(table: DataFrame, above) -> DataFrame:
         else:
             keys, counts, own, blocks = merged(pdf)
             held = counts > 0
-            value = log10_of(keys, Tree(keys[held], counts[held], 2), above.value).astype(np.float32)
+            value = log10_of(keys, Tree(keys[held], counts[held], TOP), above.value)
             for block, raw, k in zip(blocks, pdf["keys"], own, strict=True):
                 rows.append((block, 0, raw, squeeze(value[np.searchsorted(keys, k)])))
         return pd.DataFrame(rows, columns=["block", "kind", "keys", "values"])
@@ -351,28 +371,29 @@ def scored(packs: DataFrame, replies: DataFrame, tokens: int, distinct: int, end
     def run(pdf: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         ids, train, texts = unpack(pdf)
         unknown, end = float(np.log10(0.5 / floor)), float(np.log10((ends + 0.5) / floor))
-        words, keys, values = {}, [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
+        words, keys, values = {}, [np.zeros(0, np.uint64)], [np.zeros(0)]
         for kind, raw, v in zip(got["kind"], got["keys"], got["values"], strict=True):
             if kind == 1:
                 n = unsqueeze(v, np.uint64)
                 words.update(zip(zstandard.decompress(raw).split(b"\n"), np.where(n > 0, np.log10((n + 0.5) / floor), unknown).tolist(), strict=True))
             else:
                 keys.append(unsqueeze_sorted(raw))
-                values.append(unsqueeze(v, np.float32))
+                values.append(unsqueeze(v, np.float64))
         keys, values = np.concatenate(keys), np.concatenate(values)
         order = np.argsort(keys)
-        keys, values = keys[order], values[order].astype(float)
-        rows = []
-        for part in chunks(texts):
-            key, text = grams(texts[part])
+        keys, values = keys[order], values[order]
+        total = np.zeros(len(texts))
+        for key, text, first in grams(texts):
             both = np.sort(key << np.uint64(16) | text.astype(np.uint64))
             key = both >> np.uint64(16)
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             value = np.repeat(values[np.searchsorted(keys, key[starts])], np.diff(np.append(starts, len(key))))
-            total = np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), value, len(texts[part]))
-            for i, own, t, s in zip(ids[part], train[part].tolist(), texts[part], total.tolist(), strict=True):
-                logs = list(map(words.__getitem__, t.split()))
-                rows.append((i, not own, len(logs) + 1, len(logs) - logs.count(unknown) + (ends > 0), tokens, sum(logs) + end, s, len(t)))
+            sums = np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), value)
+            total[first : first + len(sums)] += sums
+        rows = []
+        for i, own, t, s in zip(ids, train.tolist(), texts, total.tolist(), strict=True):
+            logs = list(map(words.__getitem__, t.split()))
+            rows.append((i, not own, len(logs) + 1, len(logs) - logs.count(unknown) + (ends > 0), tokens, sum(logs) + end, s, len(t)))
         return pd.DataFrame(rows, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]).astype({"id": "Int64"})
 
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
@@ -383,8 +404,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Train on the rows that are not held out and score all rows.
 
     Returns (id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes): score is the log10 probability
-    of the text's words with one space between them, A-Z lower-cased, and of its end; -score / log10(2) / (n_bytes + 1) is
-    the code length per byte. base_score is that of single words, as smoothed counts. Null and blank texts are an end
+    of the text's bytes as they stand, white space too, A-Z lower-cased, and of its end; -score / log10(2) / (n_bytes + 1)
+    is the code length per byte. base_score is that of single words, as smoothed counts. Null and blank texts are an end
     alone. held_out is a condition (null: none, and a null value is false); repeated rows count and are scored as often
     as they occur. Without training rows every bit has probability one half. An empty table gives an empty result.
     """
@@ -396,11 +417,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sums = table.groupBy("part", "kind").applyInPandas(sums_of_part, "kind int, node int, n0 long, n1 long, below double")
     nodes = sums.groupBy("kind", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below")).toPandas()
     words = nodes[nodes["kind"] == 1]
-    above = docs.sparkSession.sparkContext.broadcast(upper(nodes[nodes["kind"] == 0]))  # 256 * 256 nodes at most
+    above = docs.sparkSession.sparkContext.broadcast(upper(nodes[nodes["kind"] == 0]))  # 256 * 256 * 255 nodes at most
     ends = int(size[1])
     return scored(packs, answers(table, above), int(words["n0"].sum()) + ends, int(words["n1"].sum()) + (ends > 0), ends)
 
 
 def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """score_texts over all documents; those whose crc32(doc_id as text) mod 5 is 1 are held out. A null id is not."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return score_texts(docs, held_out=crc_mod("doc_id", 5) == 1).withColumnRenamed("id", "doc_id")
