@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..storage import drop_staged, new_path, shared_dir, stage
 
-__all__ = ["LOWER", "components", "crc_mod", "drop_staged", "forest", "new_path", "own_columns", "shared_dir", "stage", "task_rows"]
+__all__ = ["LOWER", "components", "crc_mod", "drop_staged", "forest", "named_groups", "new_path", "own_columns", "shared_dir", "stage", "task_rows"]
 
 #: bytes.translate table that lower-cases A-Z and leaves every other byte.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -73,3 +73,11 @@ def forest(n: int, near) -> list[tuple[int, int]]:
             queue += found
             rest = rest[~hit]
     return edges
+
+
+def named_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root, component) for each of nodes (node, least): its group under edges (a, b), named by the smallest node, and the group's smallest `least`."""
+    found = components(edges)
+    rooted = stage(nodes.join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("root")), "groups-rooted")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    return stage(rooted.join(named, "root").select("node", "root", "component"), "groups-named")

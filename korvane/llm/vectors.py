@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import components, forest, stage, task_rows
+from .common import forest, named_groups, stage, task_rows
 
 # Shared: which vectors count, and distinct ones.
 
@@ -20,21 +22,36 @@ def usable(vector: Column) -> Column:
 
 
 def matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, 1))
+    """Vectors as rows in double precision, each times a power of two so that no square overflows or vanishes; cosines stay as they are."""
+    if not len(column):
+        return np.zeros((0, 1))
+    x = np.stack(column.to_numpy()).astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def sample_of(distinct: DataFrame, most: int, key: str, n: int) -> np.ndarray:
-    """About `most` of n distinct vectors, chosen by a hash of `key`, in double precision."""
-    rows = distinct.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20)) < F.lit(min(1.0, most / max(1, n)) * (1 << 20)))
-    return matrix(rows.select(key, "vector").toPandas().sort_values(key)["vector"])
+def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row. The same for (a, b) and (b, a), and whatever rows stand beside them."""
+    return (a * b).sum(-1) / (np.sqrt((a * a).sum(-1)) * np.sqrt((b * b).sum(-1)))
+
+
+def share_of(key: str, n: float, salt: str) -> Column:
+    """True for the share n (0 to 1) of rows, by a hash of the key."""
+    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 20)) < F.lit(min(1.0, n) * (1 << 20))
 
 
 # Near-duplicates.
 
 #: Vectors of a cell that one task holds against one another.
 CHUNK = 4096
-#: Vectors for each pivot; pivots at most; vectors that pivots are chosen from.
-PER_PIVOT, MOST_PIVOTS, PIVOT_SAMPLE = 2000, 1024, 8192
+#: Vectors for each pivot; pivots of one split; vectors of a cell that its pivots are chosen from.
+PER_PIVOT, MOST_PIVOTS, PIVOT_SAMPLE = 2000, 256, 8192
+#: Rows of a cell that one task deals out.
+DEAL = 50_000
+CELL = ["label", "dim", "cell"]
 
 
 def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -57,83 +74,127 @@ def cells_of(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarr
     square = np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1)[None] - 2 * x @ pivots.T, 0)
     home = square.argmin(1)
     best = square[np.arange(len(x)), home]
-    apart = np.sqrt(np.maximum(((pivots[:, None] - pivots[None]) ** 2).sum(2), 1e-300)) if len(pivots) <= 256 else None
-    between = apart[home] if apart is not None else np.stack([np.sqrt(np.maximum(((pivots - pivots[h]) ** 2).sum(1), 1e-300)) for h in home])
+    apart = np.sqrt(np.maximum(((pivots[:, None] - pivots[None]) ** 2).sum(2), 1e-300))
     slack = 1e-9
-    near = (np.sqrt(square) <= np.sqrt(best)[:, None] + 2 * radius + slack) & ((square - best[:, None]) <= 2 * between * (radius + slack))
+    near = (np.sqrt(square) <= np.sqrt(best)[:, None] + 2 * radius + slack) & ((square - best[:, None]) <= 2 * apart[home] * (radius + slack))
     near[np.arange(len(x)), home] = True
     row, cell = np.nonzero(near)
     return row, cell, home[row] == cell
 
 
+def split_cells(rows: DataFrame, big: DataFrame, radius: float) -> DataFrame:
+    """The rows of the cells of `big` (CELL, n) dealt to cells of their own pivots, as cells_of says.
+
+    A cell's pivots are chosen in one task from about PIVOT_SAMPLE of its vectors; its rows are dealt out by tasks of
+    about DEAL rows. A row is at home where its copy was at home before and the new cell is its home.
+    """
+    schema = rows.schema
+    wanted = rows.join(big, CELL)
+    sample = wanted.where(F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 20)) * F.col("n") < PIVOT_SAMPLE * (1 << 20)).select(*CELL, "n", "node", "vector")
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", kind="stable")
+        count = int(np.clip(-(-int(pdf["n"].iloc[0]) // PER_PIVOT), 2, MOST_PIVOTS))
+        pivots = spread_pivots(unit(matrix(pdf["vector"])), count)
+        return pdf[[*CELL, "n"]].iloc[:1].assign(pivots=[pivots.ravel()])
+
+    label = schema["label"].dataType.simpleString()
+    pivots = sample.groupBy(*CELL).applyInPandas(choose, f"label {label}, dim int, cell string, n long, pivots array<double>")
+    salts = F.greatest(F.ceil(F.col("n") / DEAL), F.lit(1)).cast("int")
+    spread = stage(pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))), "vectors-pivots")
+    dealt = wanted.withColumn("salt", F.pmod(F.xxhash64("node", F.lit("deal")), salts).cast("int")).drop("n")
+    names = [f.name for f in schema]
+
+    def deal(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return left[names].iloc[:0]
+        x = unit(matrix(left["vector"]))
+        row, cell, home = cells_of(x, np.asarray(right["pivots"].iloc[0]).reshape(-1, x.shape[1]), radius)
+        out = left.iloc[row].copy()
+        out["cell"] = [f"{a}.{b}" for a, b in zip(out["cell"], cell.tolist(), strict=True)]
+        out["home"] = out["home"].to_numpy(bool) & home
+        return out[names]
+
+    keys = [*CELL, "salt"]
+    return dealt.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(deal, schema)
+
+
+def cells(rows: DataFrame, radius: float) -> list[DataFrame]:
+    """Tables that together hold every row in cells: split again while a cell holds more than CHUNK vectors and splitting helps.
+
+    A split helps where its cells together have at most half as many pairs as the cell had; other cells, such as balls of
+    near copies within the radius, stay whole. Each round is a few joins; one row is collected.
+    """
+    done, open_ = [], rows
+    while True:
+        sizes = stage(open_.groupBy(*CELL).agg(F.count("*").alias("n")), "vectors-sizes")
+        big = sizes.where(F.col("n") > CHUNK)
+        if not big.limit(1).count():
+            return [*done, open_]
+        parts = stage(split_cells(open_, big, radius), "vectors-split")
+        pairs = parts.groupBy("label", "dim", F.regexp_replace("cell", r"\.\d+$", "").alias("cell"), F.col("cell").alias("part")).agg(F.count("*").cast("double").alias("n"))
+        pairs = pairs.groupBy(*CELL).agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+        helped = stage(big.join(pairs, CELL).where(F.col("pairs") <= 0.5 * F.col("n").cast("double") * F.col("n")).select(*CELL), "vectors-helped")
+        done.append(open_.join(helped, CELL, "left_anti"))
+        parent = parts.withColumn("part", F.col("cell")).withColumn("cell", F.regexp_replace("cell", r"\.\d+$", ""))
+        open_ = stage(parent.join(helped, CELL, "left_semi").withColumn("cell", F.col("part")).select(rows.columns), "vectors-cells")
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component, kept): vectors of equal label link at a cosine of `threshold` or more.
 
     n_links counts the other rows linked directly, component is the smallest id reachable, kept is id = component. Equal
-    vectors are one node with a weight, so copies are never paired. Vectors that are null, zero, or hold null or
-    non-finite components, those with a null label or a null id, and vectors of unequal length never link: n_links 0,
-    component the id itself. Rows with a repeated id stay rows of their own and count as links. threshold lies in (0, 1].
+    vectors of a label are one node with a weight, so copies are never paired. Vectors that are null, zero, or hold null
+    or non-finite components, those with a null label or a null id, and vectors of unequal length never link: n_links 0,
+    component the id itself. Rows with a repeated id stay rows of their own, with the links of their own vectors, and
+    count as links. Norms may be as large or small as doubles go. threshold lies in (0, 1].
     """
-    spark = vectors.sparkSession
     all_rows = stage(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label")), "vectors")
-    rows = all_rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector")))
-    distinct = stage(rows.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "vectors-distinct")
-    sizes = distinct.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).orderBy("dim").limit(64).collect()
-    counts = distinct.select("label").distinct().count()
+    fit = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector"))
+    rows = all_rows.where(fit)
+    distinct = stage(rows.groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("weight")).withColumn("node", F.monotonically_increasing_id()), "vectors-distinct")
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
-    pivots = {}
-    for r in sizes:  # a set of pivots for each length of vectors
-        some = sample_of(distinct.where(F.size("vector") == r["dim"]), PIVOT_SAMPLE, "rep", r["n"])
-        some = some / np.linalg.norm(some, axis=1, keepdims=True) if len(some) else some
-        pivots[r["dim"]] = spread_pivots(some, int(np.clip(-(-r["n"] // (PER_PIVOT * max(1, counts))), 1, MOST_PIVOTS)))
-    shared = spark.sparkContext.broadcast(pivots)  # MOST_PIVOTS vectors at most for each length
-
-    def deal(batches):
-        for b in batches:
-            for dim, g in b.groupby(b["vector"].map(len)):
-                x = matrix(g["vector"])
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                p = shared.value.get(dim, np.zeros((0, dim)))
-                row, cell, home = cells_of(x, p, radius) if len(p) else (np.arange(len(g)), np.zeros(len(g), int), np.ones(len(g), bool))
-                out = g.iloc[row].copy()
-                out["dim"], out["cell"], out["home"] = dim, cell, home
-                yield out[["label", "dim", "cell", "home", "rep", "weight", "vector"]]
-
-    label_type = distinct.schema["label"].dataType.simpleString()
-    dealt = stage(distinct.mapInPandas(deal, f"label {label_type}, dim int, cell int, home boolean, rep long, weight long, vector array<double>"), "vectors-cells")
-    tasks = task_rows(dealt, ["label", "dim", "cell"], "rep", CHUNK)
+    start = distinct.select("label", F.size("vector").alias("dim"), F.lit("0").alias("cell"), F.lit(True).alias("home"), "node", "weight", "vector")
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep", kind="stable")
+        pdf = pdf.sort_values("node", kind="stable")
         x = matrix(pdf["vector"])
-        norm = np.linalg.norm(x, axis=1)
-        rep, weight, own, home = (pdf[c].to_numpy() for c in ("rep", "weight", "_own", "home"))
+        u = unit(x)
+        node, weight, own, home = (pdf[c].to_numpy() for c in ("node", "weight", "_own", "home"))
         across = pdf["_i"].iloc[0] != pdf["_j"].iloc[0]
-        links, linked = np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        links, bits = np.zeros(len(x), np.int64), []
         for k in range(0, len(x), 512):
-            hit = (x[k : k + 512] @ x.T) / (norm[k : k + 512, None] * norm[None]) >= threshold
+            value = u[k : k + 512] @ u.T
+            hit = value >= threshold
+            for a, b in zip(*np.nonzero(np.abs(value - threshold) < 1e-9), strict=True):  # too near to tell from a product of matrices
+                hit[a, b] = cosine(x[k + a], x[b]) >= threshold
             hit[np.arange(len(hit)), np.arange(k, k + len(hit))] = False
-            if across:  # pairs within a chunk are counted in the chunk's own task
-                hit &= own[k : k + 512, None] != own[None]
-            links[k : k + 512] = hit @ weight
-            linked[k : k + 512] = hit.any(1)
-        at = np.flatnonzero(linked)
-        y, m = x[at], norm[at]
-        edges = forest(len(at), lambda i, rest: (y[rest] @ y[i]) / (m[i] * m[rest]) >= threshold)
+            # Pairs within a chunk are counted in the chunk's own task.
+            links[k : k + 512] = (hit & (own[k : k + 512, None] != own[None]) if across else hit) @ weight
+            bits.append(np.packbits(hit, axis=1))
+        bits = np.concatenate(bits)
+        at = np.flatnonzero(bits.any(1))
+        edges = forest(len(at), lambda i, rest: np.unpackbits(bits[at[i]], count=len(x))[at[rest]].astype(bool))
         some = home & (links > 0)
-        return pd.DataFrame({"a": np.concatenate([rep[some], [rep[at[i]] for i, _ in edges]]), "b": np.concatenate([np.full(some.sum(), -1), [rep[at[k]] for _, k in edges]]), "links": np.concatenate([links[some], np.full(len(edges), -1)])}).astype(np.int64)
-
-    found = stage(tasks.groupBy("label", "dim", "cell", "_i", "_j").applyInPandas(join, "a long, b long, links long"), "vectors-links")
-    labels = components(found.where("links < 0").select("a", "b"))
-    direct = found.where("links >= 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    named = distinct.join(direct, "rep", "left").join(labels, F.col("rep") == F.col("node"), "left")
-    named = stage(named.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")), "vectors-named")
+        a, b = node[at[[i for i, _ in edges]]] if edges else np.zeros(0, np.int64), node[at[[k for _, k in edges]]] if edges else np.zeros(0, np.int64)
+        return pd.DataFrame({"a": np.concatenate([node[some], a]), "b": np.concatenate([np.full(some.sum(), -1), b]), "links": np.concatenate([links[some], np.full(len(edges), -1)])}).astype(np.int64)
+
+    found = None
+    for part in cells(start, radius):
+        some = task_rows(part, CELL, "node", CHUNK).groupBy(*CELL, "_i", "_j").applyInPandas(join, "a long, b long, links long")
+        found = some if found is None else found.union(some)
+    found = stage(found, "vectors-links")
+    named = named_groups(distinct.select("node", "least"), found.where("links < 0").select("a", "b")).select("node", "component")
+    direct = found.where("links >= 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    named = distinct.join(named, "node").join(direct, "node", "left")
+    named = stage(named.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component"), "vectors-named")
     out = rows.join(named, ["label", "vector"]).select("id", "n_links", "component")
-    rest = all_rows.where(~(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector")))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    rest = all_rows.where(~fit).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return out.union(rest).withColumn("kept", F.coalesce(F.col("id") == F.col("component"), F.lit(False)))
 
 
 def op5_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """near_vectors over all embeddings, at a cosine of 0.98."""
     out = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
@@ -160,40 +221,38 @@ FROM v JOIN component c ON v.vec_id = c.a LEFT JOIN n ON v.vec_id = n.a
 
 # Nearest neighbours.
 
-#: Vectors that the index is fitted on; queries and recall that probes and shortlist are set by.
-FIT_SAMPLE, TUNE_QUERIES, TUNE_RECALL = 16_384, 256, 0.98
-MOST_CELLS, PARTS_OF, CODES = 1024, 4, 256
-#: Vectors of a cell that one task scans.
-SCAN = 20_000
+#: Vectors that the coarse centroids and codebooks are fitted on, and vectors for each finer centroid.
+FIT_SAMPLE, PER_CELL = 16_384, 64
+#: Queries that cells read and shortlists are set by, and the share of their true neighbours that each must find.
+TUNE_QUERIES, TUNE_RECALL = 128, 0.975
+PARTS_OF, CODES = 4, 256
+#: Coded vectors, and queries, that one task scans.
+SCAN, ASK = 10_000, 20_000
 
 
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int = 1) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        own = ((centres**2).sum(1)[None] - 2 * x @ centres.T).argmin(1)
+        own = nearest(x, centres)
         n = np.bincount(own, minlength=len(centres))
         sums = np.stack([np.bincount(own, x[:, d], len(centres)) for d in range(x.shape[1])], 1)
         centres[n > 0] = sums[n > 0] / n[n > 0, None]
     return centres
 
 
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.concatenate([((centres**2).sum(1)[None] - 2 * x[k : k + 4096] @ centres.T).argmin(1) for k in range(0, max(1, len(x)), 4096)])
+
+
 class Index:
-    """Coarse centroids of unit vectors, and for their residuals a codebook for each group of PARTS_OF components."""
+    """Centroids of the cells, and for what is left of vectors a codebook for each group of PARTS_OF components."""
 
-    def __init__(self, sample: np.ndarray, total: int, k: int):
-        x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-        self.dim = x.shape[1]
-        self.centres = k_means(x, int(np.clip(round(total**0.5), 1, MOST_CELLS)), 10)
-        home = self.home(x)
-        rest = x - self.centres[home]
+    def __init__(self, centres: np.ndarray, sample: np.ndarray):
+        self.centres, self.dim = centres, sample.shape[1]
+        rest = sample - centres[nearest(sample, centres)]
         self.cuts = list(range(0, self.dim, PARTS_OF))
         self.books = [k_means(rest[:8192, c : c + PARTS_OF], CODES, 8) for c in self.cuts]
-        self.probes, self.shortlist = len(self.centres), 8 * k
-        self.tune(x, home, total, k)
-
-    def home(self, x: np.ndarray) -> np.ndarray:
-        return ((self.centres**2).sum(1)[None] - 2 * x @ self.centres.T).argmin(1)
 
     def ranked(self, q: np.ndarray) -> np.ndarray:
         """Cells in the order in which unit queries look at them."""
@@ -201,45 +260,98 @@ class Index:
 
     def codes(self, x: np.ndarray, home: np.ndarray) -> np.ndarray:
         rest = x - self.centres[home]
-        return np.stack([((b**2).sum(1)[None] - 2 * rest[:, c : c + PARTS_OF] @ b.T).argmin(1) for c, b in zip(self.cuts, self.books, strict=True)], 1).astype(np.uint8)
+        return np.stack([nearest(rest[:, c : c + PARTS_OF], b) for c, b in zip(self.cuts, self.books, strict=True)], 1).astype(np.uint8)
+
+    def distances(self, q: np.ndarray, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Asymmetric: squared distances of whole unit queries to coded vectors, by tables.
 
-    def distances(self, q: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric: squared distances of whole queries to coded vectors of one cell, by a table for each query and part."""
-        rest, out = q - self.centres[cell], np.zeros((len(q), len(codes)))
+        A coded vector is its cell's centroid c and an entry b for each part, so the distance is |q - c|^2, plus the sum
+        over the parts of b^2 + 2 b c, which no query changes, minus twice that of q b, which is one table for each query.
+        """
+        near = 1 + (self.centres**2).sum(1)[None] - 2 * q @ self.centres.T
+        out, fixed = near[:, cell], np.zeros(len(codes))
         for p, (c, b) in enumerate(zip(self.cuts, self.books, strict=True)):
-            part = rest[:, c : c + PARTS_OF]
-            table = (part**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * part @ b.T
-            out += table[:, codes[:, p]]
-        return out
+            code = codes[:, p]
+            fixed += (b[code] ** 2).sum(1) + 2 * (b[code] * self.centres[cell, c : c + PARTS_OF]).sum(1)
+            out -= 2 * (q[:, c : c + PARTS_OF] @ b.T)[:, code]
+        return out + fixed
 
-    def tune(self, x: np.ndarray, home: np.ndarray, total: int, k: int) -> None:
-        """The fewest probes, then the shortest list for reranking, that find TUNE_RECALL of the sample's own neighbours.
 
-        The list is for a cell and grows with the share of the rows that the sample is.
-        """
-        q = np.linspace(0, len(x) - 1, min(TUNE_QUERIES, len(x))).astype(int)
-        if len(x) <= k + 1:
-            return
-        score = x[q] @ x.T
-        score[np.arange(len(q)), q] = -np.inf
-        true = np.argpartition(-score, k, 1)[:, :k]
-        order = self.ranked(x[q])
-        rank = np.empty_like(order)
-        rank[np.arange(len(q))[:, None], order] = np.arange(order.shape[1])[None]
-        at = np.sort(rank[np.arange(len(q))[:, None], home[true]].ravel())
-        self.probes = int(at[min(len(at) - 1, int(np.ceil(TUNE_RECALL * len(at))))]) + 1
-        codes, places = self.codes(x, home), []
-        for cell in np.unique(home[true]):
-            inside = np.flatnonzero(home == cell)
-            who, which = np.nonzero(home[true] == cell)
-            d = self.distances(x[q[np.unique(who)]], cell, codes[inside])
-            line = {w: d[i] for i, w in enumerate(np.unique(who))}
-            for w, r in zip(who, which, strict=True):
-                own = line[w][np.searchsorted(inside, true[w, r])]
-                places.append(int((line[w] < own).sum()))
-        places = np.sort(places)
-        share = max(1.0, total / len(x))
-        self.shortlist = max(4 * k, int(np.ceil((places[min(len(places) - 1, int(np.ceil(TUNE_RECALL * len(places))))] + 1) * share)))
+def cell_centres(distinct: DataFrame, sample: np.ndarray, total: int) -> np.ndarray:
+    """About sqrt(total) centroids in two levels.
+
+    The coarse ones, their square root, come from the driver's sample. Each coarse cell's finer ones are fitted in a task
+    on its part of a sample of PER_CELL vectors for each, as many as its share of that sample says. So centroids grow
+    with the square root of the table, and no task fits more than its coarse cell.
+    """
+    wanted = max(1, round(total**0.5))
+    coarse = k_means(sample, max(1, round(wanted**0.5)), 10)
+    shared = distinct.sparkSession.sparkContext.broadcast(coarse)
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield pd.DataFrame({"coarse": nearest(unit(matrix(b["vector"])), shared.value), "node": b["node"], "vector": b["vector"]})
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit(matrix(pdf.sort_values("node")["vector"]))
+        centres = k_means(x, max(1, round(len(x) / PER_CELL)), 10)
+        return pd.DataFrame({"coarse": pdf["coarse"].iloc[0], "k": np.arange(len(centres)), "centre": list(centres)})
+
+    some = distinct.where(share_of("node", wanted * PER_CELL / total, "cells")).select("node", "vector")
+    found = some.mapInPandas(part, "coarse int, node long, vector array<double>").groupBy("coarse").applyInPandas(fit, "coarse int, k int, centre array<double>").toPandas()
+    return np.stack(found.sort_values(["coarse", "k"])["centre"].to_numpy()) if len(found) else coarse
+
+
+def tuned(distinct: DataFrame, entries: DataFrame, index, total: int, k: int) -> tuple[int, int]:
+    """(cells to read, length of the shortlist) at which TUNE_RECALL of the true neighbours of some asked vectors are found.
+
+    About TUNE_QUERIES asked vectors are held against every row: once for their k nearest others, and once for how many
+    coded vectors seem nearer than those.
+    """
+    spark = distinct.sparkSession
+    asked = distinct.where("asked")
+    n = max(1, asked.count())
+    queries = asked.where(share_of("node", TUNE_QUERIES / n, "tune")).select("node", "vector").toPandas().sort_values("node")
+    if not len(queries):
+        queries = asked.select("node", "vector").orderBy("node").limit(TUNE_QUERIES).toPandas()
+    if not len(queries) or total <= k + 1:
+        return len(index.value.centres), total
+    q, own = unit(matrix(queries["vector"])), queries["node"].to_numpy()
+    shared = spark.sparkContext.broadcast((q, own))  # about TUNE_QUERIES vectors
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q, own = shared.value
+        for b in batches:
+            if len(b):
+                x, node, home = unit(matrix(b["vector"])), b["node"].to_numpy(), b["cell"].to_numpy()
+                score = q @ x.T
+                score[own[:, None] == node[None]] = -9
+                near = np.argsort(-score, 1, kind="stable")[:, : min(k, len(x))]
+                yield pd.DataFrame({"query": np.repeat(np.arange(len(q)), near.shape[1]), "node": node[near].ravel(), "cell": home[near].ravel(), "code": b["code"].to_numpy()[near].ravel(), "score": np.take_along_axis(score, near, 1).ravel()})
+
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "node")
+    true = entries.mapInPandas(best, "query int, node long, cell int, code binary, score double").withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).toPandas()
+    true = true[true["score"] > -2]
+    ranked = index.value.ranked(q)
+    rank = np.empty_like(ranked)
+    rank[np.arange(len(q))[:, None], ranked] = np.arange(ranked.shape[1])[None]
+    probes = np.sort(rank[true["query"], true["cell"]])
+    limits = np.array([index.value.distances(q[[i]], np.array([c]), np.frombuffer(code, np.uint8)[None])[0, 0] for i, c, code in zip(true["query"], true["cell"], true["code"], strict=True)])
+    bounds = spark.sparkContext.broadcast((true["query"].to_numpy(), limits))
+
+    def nearer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        (q, _), (of, limit) = shared.value, bounds.value
+        counts = np.zeros(len(limit), np.int64)
+        for b in batches:
+            if len(b):
+                d = np.sort(index.value.distances(q, b["cell"].to_numpy(), np.frombuffer(b"".join(b["code"]), np.uint8).reshape(len(b), -1)), 1)
+                counts += np.array([np.searchsorted(d[i], x - 1e-9) for i, x in zip(of, limit, strict=True)], np.int64)
+        yield pd.DataFrame({"at": np.arange(len(limit)), "n": counts})
+
+    places = np.sort(entries.select("cell", "code").mapInPandas(nearer, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()["n"].to_numpy())
+    at = min(len(probes) - 1, int(np.ceil(TUNE_RECALL * len(probes))))
+    return int(probes[at]) + 1, max(4 * k, int(places[at]) + 1)
 
 
 def cells_needed(ranked: np.ndarray, held: np.ndarray, probes: int, ids: int) -> np.ndarray:
@@ -248,24 +360,40 @@ def cells_needed(ranked: np.ndarray, held: np.ndarray, probes: int, ids: int) ->
     return np.maximum(probes, np.where(enough.any(1), enough.argmax(1) + 1, ranked.shape[1]))
 
 
-def entries_needed(ids, n: int) -> int:
-    """How many of the entries, in order, hold n distinct ids; at least n where there are as many, so that ties of scores are kept."""
-    seen: set[int] = set()
-    for k, some in enumerate(ids):
-        if len(seen) >= n:
-            return max(k, min(n, len(ids)))
-        seen.update(some)
-    return len(ids)
+def shortlist(order: np.ndarray, least: np.ndarray, most: int, ids: int) -> np.ndarray:
+    """Of entries in order the first `most`, and the first of each id until there are `ids` ids: an id of many vectors fills no list alone."""
+    first = np.sort(np.unique(least[order], return_index=True)[1])[:ids]
+    return order[np.union1d(np.arange(min(most, len(order))), first)]
+
+
+def totals(df: DataFrame, key: str, n: int) -> np.ndarray:
+    """The column n of df (key, n) as an array by key; df has a row for each cell or group of cells at most."""
+    got = df.collect()
+    return np.bincount([r[key] for r in got], [r["n"] for r in got], n).astype(np.int64) if got else np.zeros(n, np.int64)
+
+
+def groups_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parts, first group) of each cell: cells share a group up to SCAN coded vectors, and a larger cell has several of its own."""
+    parts, base, group, room = np.maximum(1, -(-sizes // SCAN)), np.zeros(len(sizes), np.int64), -1, 0
+    for cell, (n, size) in enumerate(zip(parts.tolist(), sizes.tolist(), strict=True)):
+        if n > 1 or size > room:
+            group, room = group + 1, SCAN
+        base[cell], room = group, room - size
+        if n > 1:
+            group, room = group + n - 1, 0
+    return parts, base
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): for each row where is_query holds, the k nearest other rows found, by cosine.
 
-    The index is fitted on FIT_SAMPLE distinct vectors and holds every row: equal vectors are one entry that keeps their
-    k + 1 smallest ids, as no query can return more of them. Scores are exact; ties go to the smaller id. Vectors that are
-    null, zero or hold null or non-finite components, null ids, and vectors of another length than the most frequent one
-    take no part. A query reads on past the tuned number of cells until those read hold k + 1 ids, so fewer rows are
-    returned only where there are fewer candidates. Rows with a repeated id count once, with their best score.
+    The index holds every row: equal vectors are one entry that keeps their k + 1 smallest ids, as no query can return
+    more of them. Queries meet coded vectors only; the vectors of a query's shortlist are fetched and scored exactly, and
+    ties go to the smaller id. Cells read and shortlist are set by what some queries' true neighbours need (tuned()).
+    Vectors that are null, zero or hold null or non-finite components, null ids, and vectors of another length than the
+    most frequent one take no part. A query reads on past the tuned number of cells until those read hold k + 1 ids, so
+    fewer rows are returned only where there are fewer candidates. Rows with a repeated id count once, with their best
+    score; a query id of several vectors has the best of their neighbours.
     """
     spark = vectors.sparkSession
     query = F.coalesce(is_query, F.lit(False))
@@ -278,73 +406,114 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     rows = rows.where(F.size("vector") == dims[0]["dim"])
     few = rows.groupBy("vector", "id").agg(F.max("query").alias("query"))
     few = few.withColumn("place", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("place") <= k + 1)
-    held = few.groupBy("vector").agg(F.min("id").alias("rep"), F.array_sort(F.collect_list("id")).alias("ids"))
+    held = few.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     asked = rows.where("query").select("vector", F.lit(True).alias("asked")).distinct()
-    distinct = stage(held.join(asked, "vector", "left").select("rep", "ids", "vector", F.coalesce("asked", F.lit(False)).alias("asked")), "ann-distinct")
+    distinct = held.join(asked, "vector", "left").select("ids", "vector", F.coalesce("asked", F.lit(False)).alias("asked"))
+    distinct = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "ann-distinct")
     total = distinct.count()
-    index = spark.sparkContext.broadcast(Index(sample_of(distinct, FIT_SAMPLE, "rep", total), total, k))  # MOST_CELLS centroids and a codebook
+    some = distinct.where(share_of("node", FIT_SAMPLE / total, "sample")).select("node", "vector").toPandas().sort_values("node")
+    if not len(some):
+        some = distinct.select("node", "vector").limit(FIT_SAMPLE).toPandas().sort_values("node")
+    sample = unit(matrix(some["vector"]))
+    index = spark.sparkContext.broadcast(Index(cell_centres(distinct, sample, total), sample))  # about sqrt(total) centroids and a codebook
+    cells = len(index.value.centres)
+
+    def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                x = unit(matrix(b["vector"]))
+                home = nearest(x, index.value.centres)
+                yield pd.DataFrame({"cell": home, "node": b["node"], "ids": b["ids"], "vector": b["vector"], "code": [c.tobytes() for c in index.value.codes(x, home)]})
+
+    entries = stage(distinct.select("node", "ids", "vector").mapInPandas(enter, "cell int, node long, ids array<long>, vector array<double>, code binary"), "ann-index")
+    probes, most = tuned(distinct, entries, index, total, k)
+    first_cells = entries.select(F.explode("ids").alias("id"), "cell").groupBy("id").agg(F.min("cell").alias("cell"))  # an id in several cells counts in one
+    held_ids = spark.sparkContext.broadcast(totals(first_cells.groupBy("cell").agg(F.count("*").alias("n")), "cell", cells))  # a number for each cell
+    parts, base = groups_of(totals(entries.groupBy("cell").agg(F.count("*").alias("n")), "cell", cells))
+    last = int((base + parts).max())
+
+    def reads(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        ranked = index.value.ranked(unit(matrix(b["vector"])))
+        row, rank = np.nonzero(np.arange(cells)[None] < cells_needed(ranked, held_ids.value, probes, k + 1)[:, None])
+        return row, ranked[row, rank]
+
+    def asked_groups(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(row, group, cells read there) for each group of cells that a query reads."""
+        row, cell = reads(b)
+        at = np.repeat(np.arange(len(row)), parts[cell])
+        group = base[cell[at]] + np.arange(len(at)) - np.repeat(np.cumsum(parts[cell]) - parts[cell], parts[cell])
+        both = row[at] * last + group
+        order = np.argsort(both, kind="stable")
+        starts = np.flatnonzero(np.diff(both[order], prepend=-1))
+        return both[order][starts] // last, both[order][starts] % last, np.split(cell[at][order], starts[1:])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(last, np.int64)
+        for b in batches:
+            if len(b):
+                n += np.bincount(asked_groups(b)[1], minlength=last)
+        yield pd.DataFrame({"group": np.flatnonzero(n), "n": n[n > 0]})
+
+    asked = distinct.where("asked").select("node", "vector").repartition(max(12, total // 100_000))
+    crowd = totals(asked.mapInPandas(count, "group int, n long").groupBy("group").agg(F.sum("n").alias("n")), "group", last)
+    salts = np.maximum(1, -(-crowd // ASK))  # for each group of cells
 
-    def enter(batches):
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = matrix(b["vector"])
-            if len(x):
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                home = index.value.home(x)
-                yield pd.DataFrame({"cell": home, "rep": b["rep"], "ids": b["ids"], "vector": b["vector"], "code": [c.tobytes() for c in index.value.codes(x, home)]})
+            if len(b):
+                row, group, read = asked_groups(b)
+                node = b["node"].to_numpy()[row]
+                yield pd.DataFrame({"group": group, "salt": node % salts[group], "node": node, "vector": b["vector"].to_numpy()[row], "cells": read})
 
-    def ask(batches):
+    def offer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = matrix(b["vector"])
-            if len(x):
-                cells = index.value.ranked(x / np.linalg.norm(x, axis=1, keepdims=True))
-                row, rank = np.nonzero(np.arange(cells.shape[1])[None] < cells_needed(cells, held_ids.value, index.value.probes, k + 1)[:, None])
-                yield pd.DataFrame({"cell": cells[row, rank], "rep": b["rep"].to_numpy()[row], "vector": list(x[row])})
-
-    entries = stage(distinct.select("rep", "ids", "vector").mapInPandas(enter, "cell int, rep long, ids array<long>, vector array<double>, code binary"), "ann-index")
-    first_cells = entries.select(F.explode("ids").alias("id"), "cell").groupBy("id").agg(F.min("cell").alias("cell"))
-    counts = first_cells.groupBy("cell").count().limit(MOST_CELLS).collect()  # a row for each cell; an id in several cells counts in one
-    held_ids = spark.sparkContext.broadcast(np.bincount([r["cell"] for r in counts], [r["count"] for r in counts], len(index.value.centres)))
-    parts = stage(entries.groupBy("cell").agg(F.ceil(F.count("*") / SCAN).cast("int").alias("parts")), "ann-parts")
-    salted = entries.join(F.broadcast(parts), "cell")  # MOST_CELLS rows
-    salted = salted.select("cell", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "rep", "ids", "vector", "code")
-    asked_rows = distinct.where("asked").select("rep", "vector").repartition(max(12, total // 100_000)).mapInPandas(ask, "cell int, rep long, vector array<double>")
-    places = parts.select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    spread = asked_rows.join(F.broadcast(places), "cell").select("cell", "part", "rep", "vector")
+            if len(b):
+                cell, node = b["cell"].to_numpy(), b["node"].to_numpy()
+                group = base[cell] + node % parts[cell]
+                n = salts[group]
+                at = np.repeat(np.arange(len(b)), n)
+                yield pd.DataFrame({"group": group[at], "salt": np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n), "cell": cell[at], "node": node[at], "least": b["least"].to_numpy()[at], "code": b["code"].to_numpy()[at]})
+
+    asks = asked.mapInPandas(ask, "group int, salt int, node long, vector array<double>, cells array<int>")
+    offers = entries.select("cell", "node", F.col("ids")[0].alias("least"), "code").mapInPandas(offer, "group int, salt int, cell int, node long, least long, code binary")
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            right = right.sort_values("rep", kind="stable")
+            right = right.sort_values("node", kind="stable")
             codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
-            c, rep, ids = matrix(right["vector"]), right["rep"].to_numpy(), right["ids"].to_numpy()
-            norm, most = np.linalg.norm(c, axis=1), min(index.value.shortlist, len(c))
-            flat = np.concatenate(ids)
-            if len(np.unique(flat)) < len(flat):  # an id of several vectors could fill the list alone: all are scored
-                most = len(c)
-            for s in range(0, len(left), 256):
-                q = matrix(left["vector"].iloc[s : s + 256])
-                size = np.linalg.norm(q, axis=1)
-                d = index.value.distances(q / size[:, None], int(left["cell"].iloc[0]), codes)
-                for i, owner in enumerate(left["rep"].iloc[s : s + 256]):
-                    near = np.argsort(d[i], kind="stable")[:most]
-                    score = (c[near] @ q[i]) / (norm[near] * size[i])
-                    best = near[np.lexsort((rep[near], -score))]
-                    best = best[: k + 1 if most < len(c) else entries_needed(ids[best], k + 1)]
-                    exact = (c[best] * q[i]).sum(1) / (norm[best] * size[i])
-                    out.append(pd.DataFrame({"rep": owner, "ids": ids[best], "score": exact}))
-        return pd.concat(out) if out else pd.DataFrame({"rep": np.zeros(0, np.int64), "ids": np.zeros(0, object), "score": np.zeros(0)})
-
-    found = spread.groupBy("cell", "part").cogroup(salted.groupBy("cell", "part")).applyInPandas(scan, "rep long, ids array<long>, score double")
-    found = found.select("rep", "score", F.explode("ids").alias("id")).groupBy("rep", "id").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("rep").orderBy(F.desc("score"), "id")
-    found = stage(found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place"), "ann-found")
-    queries = rows.where("query").select(F.col("id").alias("query_id"), "vector").distinct().join(distinct.where("asked").select("vector", "rep"), "vector").select("query_id", "rep")
-    pairs = queries.join(found, "rep").where("id != query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).cast("int"))
+            cell, node, least, own = right["cell"].to_numpy(), right["node"].to_numpy(), right["least"].to_numpy(), left["node"].to_numpy()
+            for s in range(0, len(left), 64):
+                some = left.iloc[s : s + 64]
+                d = index.value.distances(unit(matrix(some["vector"])), cell, codes)
+                for i, (line, read) in enumerate(zip(d, some["cells"], strict=True)):
+                    at = np.flatnonzero(np.isin(cell, read))
+                    near = at[shortlist(np.argsort(line[at], kind="stable"), least[at], most, k + 1)]
+                    out.append(pd.DataFrame({"query": own[s + i], "node": node[near], "least": least[near], "d": line[near]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": [], "node": [], "least": [], "d": []})
+
+    keys = ["group", "salt"]
+    found = asks.groupBy(*keys).cogroup(offers.groupBy(*keys)).applyInPandas(scan, "query long, node long, least long, d double")
+    near = Window.partitionBy("query").orderBy("d", "node")
+    found = found.withColumn("place", F.row_number().over(near)).withColumn("first", (F.row_number().over(Window.partitionBy("query", "least").orderBy("d", "node")) == 1).cast("int"))
+    found = found.withColumn("ids", F.sum("first").over(near.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("place") <= most) | ((F.col("first") == 1) & (F.col("ids") <= k + 1)))
+    short = stage(found.select("query", "node"), "ann-shortlist")
+    pairs = short.join(entries.select("node", "ids", "vector"), "node").join(distinct.where("asked").select(F.col("node").alias("query"), F.col("vector").alias("q")), "query")
+
+    @F.pandas_udf("double")
+    def exact(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(cosine(matrix(a), matrix(b)) if len(a) else [], dtype=float)
+
+    scored = pairs.select("query", exact("q", "vector").alias("score"), F.explode("ids").alias("id")).groupBy("query", "id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    top = scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place")
+    queries = rows.where("query").select(F.col("id").alias("query_id"), "vector").distinct().join(distinct.where("asked").select("vector", F.col("node").alias("query")), "vector").select("query_id", "query")
+    wanted = queries.join(top, "query").where("id != query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    ranked = wanted.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """search over all embeddings for those whose vec_id is divisible by 50."""
     out = search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
     return out.withColumnRenamed("id", "vec_id")
-
