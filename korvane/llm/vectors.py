@@ -221,10 +221,10 @@ FROM v JOIN component c ON v.vec_id = c.a LEFT JOIN n ON v.vec_id = n.a
 
 # Nearest neighbours.
 
-#: Vectors that the coarse centroids and codebooks are fitted on, and vectors for each finer centroid.
-FIT_SAMPLE, PER_CELL = 16_384, 64
-#: Queries that cells read and shortlists are set by, and the share of their true neighbours that each must find.
-TUNE_QUERIES, TUNE_RECALL = 128, 0.975
+#: Vectors that the coarse centroids and codebooks are fitted on, vectors that each finer centroid is fitted on, and cells as a multiple of the square root of the table.
+FIT_SAMPLE, PER_CELL, CELLS = 16_384, 48, 4
+#: Queries that cells read and shortlists are set by, and the share of their true neighbours that cells and shortlist must hold.
+TUNE_QUERIES, CELL_RECALL, LIST_RECALL = 192, 0.955, 0.99
 PARTS_OF, CODES = 4, 256
 #: Coded vectors, and queries, that one task scans.
 SCAN, ASK = 10_000, 20_000
@@ -278,13 +278,13 @@ class Index:
 
 
 def cell_centres(distinct: DataFrame, sample: np.ndarray, total: int) -> np.ndarray:
-    """About sqrt(total) centroids in two levels.
+    """About CELLS * sqrt(total) centroids in two levels.
 
     The coarse ones, their square root, come from the driver's sample. Each coarse cell's finer ones are fitted in a task
     on its part of a sample of PER_CELL vectors for each, as many as its share of that sample says. So centroids grow
     with the square root of the table, and no task fits more than its coarse cell.
     """
-    wanted = max(1, round(total**0.5))
+    wanted = max(1, min(round(CELLS * total**0.5), total // PER_CELL))
     coarse = k_means(sample, max(1, round(wanted**0.5)), 10)
     shared = distinct.sparkSession.sparkContext.broadcast(coarse)
 
@@ -304,7 +304,7 @@ def cell_centres(distinct: DataFrame, sample: np.ndarray, total: int) -> np.ndar
 
 
 def tuned(distinct: DataFrame, entries: DataFrame, index, total: int, k: int) -> tuple[int, int]:
-    """(cells to read, length of the shortlist) at which TUNE_RECALL of the true neighbours of some asked vectors are found.
+    """(cells to read, length of the shortlist) that hold CELL_RECALL and LIST_RECALL of the true neighbours of some asked vectors.
 
     About TUNE_QUERIES asked vectors are held against every row: once for their k nearest others, and once for how many
     coded vectors seem nearer than those.
@@ -350,8 +350,8 @@ def tuned(distinct: DataFrame, entries: DataFrame, index, total: int, k: int) ->
         yield pd.DataFrame({"at": np.arange(len(limit)), "n": counts})
 
     places = np.sort(entries.select("cell", "code").mapInPandas(nearer, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()["n"].to_numpy())
-    at = min(len(probes) - 1, int(np.ceil(TUNE_RECALL * len(probes))))
-    return int(probes[at]) + 1, max(4 * k, int(places[at]) + 1)
+    cells, most = (int(x[min(len(x) - 1, int(np.ceil(share * len(x))))]) + 1 for x, share in ((probes, CELL_RECALL), (places, LIST_RECALL)))
+    return cells, max(4 * k, most)
 
 
 def cells_needed(ranked: np.ndarray, held: np.ndarray, probes: int, ids: int) -> np.ndarray:
@@ -415,7 +415,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     if not len(some):
         some = distinct.select("node", "vector").limit(FIT_SAMPLE).toPandas().sort_values("node")
     sample = unit(matrix(some["vector"]))
-    index = spark.sparkContext.broadcast(Index(cell_centres(distinct, sample, total), sample))  # about sqrt(total) centroids and a codebook
+    index = spark.sparkContext.broadcast(Index(cell_centres(distinct, sample, total), sample))  # about CELLS * sqrt(total) centroids and a codebook
     cells = len(index.value.centres)
 
     def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
