@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,12 +25,26 @@ K1, B = 1.2, 0.75
 #: Documents and tokens of one shard of the index; a shard ends at whichever comes first.
 SHARD_DOCS, SHARD_TOKENS = 512, 2_000_000
 #: Tokens of one task.
-TASK_TOKENS = 8_000_000
+TASK_TOKENS = 3_000_000
 #: Neighbours in rank order among which whole ones are sought before one is cut.
 LOOK = 64
 #: Entries of a worker's table of words; it starts anew beyond that.
 KEPT_WORDS = 400_000
 
+#: What the table of words assumes of a tokenizer; others encode texts themselves.
+ASSUMED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
 #: Words of the letters of Latin-1 and Latin Extended-A, in which the tokenizer's normalisation does no more than lower-case.
 #: Left out are the letter that becomes two when lower-cased, and white space beyond ASCII.
 LATIN = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]+")
@@ -51,19 +66,24 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Words(dict):
-    """A word without white space, A-Z lower-cased -> its ids as little-endian 16-bit numbers.
+    """A word without white space, A-Z lower-cased -> its ids as little-endian numbers.
 
-    The tokenizer drops white space and never joins what it parts, so a text's ids are its words' ids in turn. Words of
-    Latin letters are parted here, and only their pieces go to the tokenizer's model; all others go to it whole.
+    This holds for tokenizers of the kind ASSUMED describes: they drop white space and never join what they part, so a
+    text's ids are its words' ids in turn. Words of Latin letters are parted here, and only their pieces go to the
+    tokenizer's model; all others go to it whole. Tokenizers of any other kind encode whole texts, without the table.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         self.whole = Tokenizer.from_file(path)
         self.model, self.pieces = self.whole.model, {}
-        if self.whole.get_vocab_size() > 1 << 16:
-            raise ValueError("ids of more than 16 bits")
+        config = json.loads(self.whole.to_str())
+        added = [t["content"] for t in config["added_tokens"]]
+        self.plain = all(config[k] == v for k, v in ASSUMED.items()) and config["model"]["type"] == "BPE" and not config["model"].get("dropout") and all(t.startswith("<|") for t in added)
+        self.size = max([END, *self.whole.get_vocab(with_added_tokens=True).values()]) + 1
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
 
     def __missing__(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
@@ -71,23 +91,25 @@ class Words(dict):
         elif LATIN.fullmatch(word) and "<|" not in word:
             found = b"".join([self.pieces.get(p) or self.piece(p) for p in PIECES.findall(word.lower())])
         else:
-            ids = self.whole.encode(word, add_special_tokens=False).ids
-            found = struct.pack(f"<{len(ids)}H", *ids)
+            found = np.array(self.whole.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
         self[word] = found
         return found
 
     def piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(AS_CHARS))]
-        self.pieces[piece] = found = struct.pack(f"<{len(ids)}H", *ids)
+        self.pieces[piece] = found = np.array(ids, self.dtype).tobytes()
         return found
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's ids end. Each distinct word is looked up once."""
+        if not self.plain:
+            lists = [self.whole.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, self.dtype), *[np.array(x, self.dtype) for x in lists]]), np.cumsum([len(x) for x in lists], dtype=np.int64)
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         words = lists.flatten().dictionary_encode()
         ids = [self[w] for w in words.dictionary.to_pylist()]
-        flat = np.frombuffer(b"".join(ids), "<u2")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         which = words.indices.to_numpy(zero_copy_only=False)
         n = sizes[which]
         ends = np.cumsum(n)
@@ -108,25 +130,23 @@ def words_table(path: str | None) -> Words:
     return _tables[path]
 
 
-def weights(salt: int) -> np.ndarray:
+def weights(salt: int, size: int) -> np.ndarray:
     """A number for each id whose minimum over a set is a weighted minimum hash. Later ids of a BPE vocabulary are rarer and weigh more."""
-    t = np.arange(1 << 16, dtype=np.uint64)
+    t = np.arange(size, dtype=np.uint64)
     h = (t + np.uint64(1)) * np.uint64(salt)
     h ^= h >> np.uint64(29)
     u = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(11)).astype(float) / (1 << 53)
     return -np.log(u + 1e-18) / (t + np.uint64(64)).astype(float)
 
 
-_hashes = [weights(salt) for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-
-
 def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None) -> DataFrame:
     """A row for each document (kind 0: uid, id, tokens, signatures, compressed ids), and for each task one (kind 1) whose ids are how many of its documents hold each token."""
     schema = pa.schema([("kind", pa.int32()), ("uid", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int32()), ("s2", pa.int32()), ("ids", pa.binary())])
 
     def run(batches):
         words, pack, part = words_table(path), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
-        end, df, k = np.array([END], "<u2"), np.zeros(1 << 16, np.uint32), 0
+        hashes = [weights(salt, words.size) for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+        end, df, k = np.array([END], words.dtype), np.zeros(words.size, np.uint32), 0
         for b in batches:
             for some in slices(b):
                 ids, ends = words.encode_all(some.column(1))
@@ -135,7 +155,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None) ->
                     own = np.concatenate([ids[start:stop], end])
                     distinct = np.unique(own)
                     df[distinct] += 1
-                    s1, s2 = (int(distinct[h[distinct].argmin()]) for h in _hashes)
+                    s1, s2 = (int(distinct[h[distinct].argmin()]) for h in hashes)
                     rows.append((0, part << 36 | k, i, len(own), s1, s2, pack.compress(own.tobytes())))
                     start, k = stop, k + 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
@@ -158,7 +178,7 @@ def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(start)
 
 
-def document_frequencies(table: DataFrame) -> tuple[np.ndarray, int, int]:
+def document_frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
     """(documents holding each token, documents, tokens) over the whole table. The vocabulary bounds what is collected."""
 
     def run(batches):
@@ -170,7 +190,7 @@ def document_frequencies(table: DataFrame) -> tuple[np.ndarray, int, int]:
 
     sums = table.where("kind = 1").select("ids").mapInPandas(run, "token int, df long").groupBy("token").agg(F.sum("df").alias("df")).toPandas()
     all_of = table.where("kind = 0").agg(F.count("*").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    df = np.zeros(1 << 16, np.int64)
+    df = np.zeros(size, np.int64)
     df[sums["token"]] = sums["df"]
     return df, int(all_of["docs"]), int(all_of["tokens"])
 
@@ -215,7 +235,7 @@ class Index:
 def fill(docs: list[Doc], idf: np.ndarray, mean: float, last: bool, window: int = WINDOW) -> Iterator[list[tuple[Doc, int, int]]]:
     """Full windows of pieces (document, start, length) from one shard; what is left stays in the documents.
 
-    A document longer than the window first gives windows of its own. Then the longest unused one is the seed: its
+    A document longer than the window first gives windows of its own. Then the longest with anything left is the seed: its
     neighbours by BM25 follow in rank order, whole ones first; the best that does not fit is cut to fill the rest, and
     what is left of it waits, unused. The last call of a task also parts the remaining tokens into windows of powers of two.
     """
@@ -277,13 +297,15 @@ def fill(docs: list[Doc], idf: np.ndarray, mean: float, last: bool, window: int
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """Pieces (doc_uid, id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]) that cover every id of every row once.
 
-    A document's ids are its text's, then END; null and blank texts are END alone. Rows of one id are documents of their
+    A document's ids are its text's by the tokenizer file, then END; null and blank texts are END alone. Rows of one id are documents of their
     own, told apart by doc_uid. Shards of the index are neighbours by lexical signature: rows are range-partitioned by it
     and then by row, so a group of copies of any size is parted too. All windows are full, but for the ends of tasks,
     which are parted into powers of two: nothing is padded. An empty table gives an empty result.
     """
     table = stage(tokenized(docs, id_col, text_col, tokenizer), "tokens")
-    df, n_docs, n_tokens = document_frequencies(table)
+    words = words_table(tokenizer)
+    dtype = words.dtype
+    df, n_docs, n_tokens = document_frequencies(table, words.size)
     idf = np.maximum(0, np.log((n_docs - df + 0.5) / (df + 0.5))).astype(np.float32)
     mean = n_tokens / max(1, n_docs)
 
@@ -307,7 +329,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         waiting = 0
         for b in batches:
             for uid, i, raw in zip(b["uid"], b["id"], b["ids"], strict=True):
-                pool.append(Doc(uid, None if pd.isna(i) else int(i), np.frombuffer(unpack.decompress(raw), "<u2")))
+                pool.append(Doc(uid, None if pd.isna(i) else int(i), np.frombuffer(unpack.decompress(raw), dtype)))
                 waiting += len(pool[-1].ids)
                 if len(pool) >= SHARD_DOCS or waiting >= SHARD_TOKENS:
                     yield windows(False)
@@ -320,6 +342,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pack over all documents with the contract's tokenizer, as pieces without their ids."""
     return pieces_of(pack(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
@@ -328,5 +351,5 @@ def pieces_of(packed_rows: DataFrame) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: the pieces."""
+    """Pipeline stage, the last: the pieces of every row, null and empty texts too; repeated rows are packed as often as they occur."""
     return pieces_of(pack(docs))

@@ -221,6 +221,69 @@ def test_packing_is_exact(docs):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["cased", "large"])
+def test_packing_takes_any_tokenizer(spark, docs, tmp_path, kind):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = packing.tokenizer_path("byte_bpe_50k.json")
+    if kind == "large":  # ids of more than 16 bits
+        big = Tokenizer(models.WordLevel({"?": 0, "Hello": 69_999, "World": 1, "two": 66_000} | {f"w{k}": k for k in range(3, 69_000) if k != 66_000}, unk_token="?"))
+        big.pre_tokenizer = pre_tokenizers.Whitespace()
+        path = str(tmp_path / "large.json")
+        big.save(path)
+    whole = Tokenizer.from_file(path)
+    table = spark.createDataFrame([(1, "Hello World the Cat"), (2, "  two\n\nlines "), (3, None), (4, "")], "doc_id long, text string").union(docs.select("doc_id", "text").where("doc_id = 7"))
+    texts = {r["doc_id"]: r["text"] for r in table.collect()}
+    rows = packing.pack(table, tokenizer=path, with_ids=True).toPandas()
+    assert rows["doc_uid"].nunique() == len(texts)
+    for _, g in rows.sort_values(["doc_uid", "start"]).groupby("doc_uid"):
+        assert np.concatenate(g["ids"].to_list()).tolist() == [*whole.encode(texts[g["id"].iloc[0]] or "", add_special_tokens=False).ids, 2]
+    assert not packing.Words(path).plain and packing.Words(packing.tokenizer_path()).plain
+
+
+def test_shard_index_is_bm25():
+    rng = np.random.default_rng(9)
+    docs = [packing.Doc(k, k, rng.integers(0, 40, int(rng.integers(1, 200))).astype(np.uint16)) for k in range(30)]
+    df = np.array([sum(t in set(d.ids.tolist()) for d in docs) for t in range(40)])
+    idf = np.maximum(0, np.log((30 - df + 0.5) / (df + 0.5))).astype(np.float32)
+    mean = np.mean([len(d.ids) for d in docs])
+    index = packing.Index(docs, idf, mean)
+    for d in docs:
+        expected = []
+        for e in docs:
+            n = Counter(e.ids.tolist())
+            expected.append(sum(idf[t] * n[t] * 2.2 / (n[t] + 1.2 * (0.25 + 0.75 * len(e.ids) / mean)) for t in set(d.ids.tolist()) if n[t]))
+        assert np.allclose(index.scores(d.terms), expected, rtol=1e-4)
+
+
+def test_a_window_takes_the_best_unused_neighbours():
+    """Each window against a plain walk down the seed's ranking: whole ones that fit among the first LOOK, then the best cut."""
+    rng = np.random.default_rng(10)
+    pool = [packing.Doc(k, k, (rng.integers(0, 60, int(rng.integers(20, 120))) + 60 * (k % 3)).astype(np.uint16)) for k in range(90)]
+    idf = np.ones(200, np.float32)
+    index, left = packing.Index(pool, idf, 70.0), {d.id: len(d.ids) for d in pool}
+    for pieces in packing.fill(pool, idf, 70.0, False, 256):
+        seed = pieces[0][0].id
+        assert seed == min((k for k in left if left[k]), key=lambda k: (-len(pool[k].ids), k))
+        score = index.scores(pool[seed].terms)
+        left[seed] -= pieces[0][2]
+        room = 256 - pieces[0][2]
+        near = sorted((k for k in left if left[k]), key=lambda k: (-score[k], k))[: packing.LOOK]
+        expected = []
+        for k in near:
+            if left[k] <= room:
+                expected.append((k, left[k]))
+                room -= left[k]
+                left[k] = 0
+        for k in near:
+            if room and left[k]:
+                n = min(room, left[k])
+                expected.append((k, n))
+                room -= n
+                left[k] -= n
+        assert [(d.id, n) for d, _, n in pieces[1:]] == expected
+
+
 def test_packing_prefers_lexical_neighbours():
     rng = np.random.default_rng(0)
     pool, idf = [], np.ones(200, np.float32)
