@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,18 +49,17 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def labelled_sample(docs: DataFrame, most: int) -> pd.DataFrame:
-    """(text, lang) of documents whose crc32(doc_id as text) mod 4 is not 2, about `most` rows at most for each language.
+def labelled_sample(docs: DataFrame, most: int, most_bytes: int) -> pd.DataFrame:
+    """(text, lang) of documents whose crc32(doc_id as text) mod 4 is not 2, about `most` rows and `most_bytes` of text at most for each language.
 
-    The bound is kept by a hash of the id. All languages of at least two rows are learnt.
+    The bounds are kept by a hash of the id, and texts are whole. All languages are learnt, rare ones from all their rows.
     """
     rows = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND text != '' AND lang IS NOT NULL").where(crc_mod("doc_id", 4) != 2)
-    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().where("count > 1").collect()}
-    if not n:
-        return pd.DataFrame({"doc_id": [], "text": [], "lang": []})
-    share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, v in n.items() for x in (k, float(most) / v)]), F.col("lang")), F.lit(0.0))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < share * (1 << 20))
-    return chosen.toPandas().sort_values("doc_id", kind="stable")
+    held = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+    share = held.select("lang", F.least(F.lit(float(most)) / F.col("n"), F.lit(float(most_bytes)) / F.col("size")).alias("share"))
+    # A row for each language; the hash keeps about `most` rows of each.
+    chosen = rows.join(share, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    return chosen.select("doc_id", "text", "lang").toPandas().sort_values("doc_id", kind="stable")
 
 
 def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3, rate: float = 0.3, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,20 +89,25 @@ def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3,
     return e, w, b
 
 
-def fit(docs: DataFrame, most: int = 800, reject: float = 0.5) -> dict:
+def fit(docs: DataFrame, most: int = 800, reject: float = 0.5, most_bytes: int = 8 << 20) -> dict:
     """Train on four fifths of the labelled sample; the temperature comes from the rest.
 
-    Whole texts are calibrated, as whole texts are scored. `most` bounds the rows of each language gathered to the driver. The temperature makes the scores probabilities, so
-    that a document under `reject` is one whose language is more likely wrong than right.
+    Whole texts are calibrated, as whole texts are scored. `most` and `most_bytes` bound what of each language is gathered
+    to the driver. The temperature makes the scores probabilities, so that a document under `reject` is one whose language
+    is more likely wrong than right. A language's first four rows are always trained on.
     """
-    rows = labelled_sample(docs, most)
+    rows = labelled_sample(docs, most, most_bytes)
     langs = sorted(rows["lang"].unique().tolist())
     index = {x: k for k, x in enumerate(langs)}
     all_of = [(words_of(t), index[x]) for t, x in zip(rows["text"], rows["lang"], strict=True)]
     all_of = [x for x in all_of if x[0]]
     if not all_of:
         return {"langs": langs, "scores": np.zeros((BUCKETS, len(langs)), np.float32), "bias": np.zeros(len(langs)), "heat": 1.0, "reject": 0.0}
-    held, kept = all_of[::5], [x for k, x in enumerate(all_of) if k % 5] or all_of
+    seen, held, kept = Counter(), [], []
+    for x in all_of:
+        seen[x[1]] += 1
+        (kept if seen[x[1]] % 5 else held).append(x)
+    held = held or kept
     e, w, b = train(kept, len(langs))
     model = {"langs": langs, "scores": (e @ w).astype(np.float32), "bias": b, "heat": 1.0, "reject": reject}
     logits = logits_of((ws for ws, _ in held), len(held), model, Sums(model))
@@ -168,7 +172,10 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     label among them, are never read.
     """
 
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers for each language
+
     def run(batches):
+        model = shared.value
         sums = Sums(model)
         for b in batches:
             lang, p = predict_batch(b["t"].tolist(), model, sums)
@@ -179,18 +186,31 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """predict over all documents; those whose crc32(doc_id as text) mod 4 is 2 are held out. A null id is not."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = predict(docs, fit(docs)).withColumnRenamed("id", "doc_id")
     return out.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents whose language is rejected go."""
+    """Pipeline stage: documents whose language is rejected go.
+
+    Those are the ones under the rejection score, and null texts and texts without a letter. Each row is judged by its own
+    text, so repeated rows and null ids stay or go with it. Where no language can be learnt, only texts without a letter
+    go. An empty table gives an empty result.
+    """
     model = fit(docs)
+    shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers for each language
 
     @F.pandas_udf("boolean")
-    def accepted(texts: pd.Series) -> pd.Series:
-        lang, p = predict_batch(texts.tolist(), model, Sums(model))
-        return pd.Series([x != NONE and s >= model["reject"] for x, s in zip(lang, p, strict=True)], dtype=bool)
+    def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = shared.value
+        sums = Sums(model)
+        for texts in batches:
+            if not model["langs"]:
+                yield pd.Series([bool(t and LETTER.search(t)) for t in texts], dtype=bool)
+                continue
+            lang, p = predict_batch(texts.tolist(), model, sums)
+            yield pd.Series([x != NONE and s >= model["reject"] for x, s in zip(lang, p, strict=True)], dtype=bool)
 
     return docs.where(accepted(F.col("text"))).select(docs.columns)
