@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, components, forest, stage, task_rows
+from .common import LOWER, forest, named_groups, stage, task_rows
 
 BITS = 64
 #: A block key may gather this many fingerprints before it is dealt out as pairs of chunks.
@@ -91,6 +91,26 @@ def key_forest(keys: np.ndarray, fps: np.ndarray, reps: np.ndarray, distance: in
     return edges
 
 
+def finer(rows: DataFrame, keys: list[list[tuple[int, int]]], distance: int) -> DataFrame:
+    """rows (fp, rep, block, key) with each key of more than CHUNK fingerprints cut up by the bits outside its blocks.
+
+    Those bits are cut into distance + 1 stretches, of which a close pair shares one: each stretch with its bits is a key.
+    """
+    masks = []
+    for k, chosen in enumerate(keys):
+        free = [b for b in range(BITS) if not any(first <= b < first + bits for first, bits in chosen)]
+        fixed = sum(1 << b for b in range(BITS)) - sum(1 << b for b in free)
+        for j, part in enumerate(np.array_split(free, distance + 1)):
+            mask = fixed | sum(1 << int(b) for b in part)
+            masks.append((k, len(keys) + k * (distance + 1) + j, mask - (1 << 64) if mask >> 63 else mask))
+    hot = rows.groupBy("block", "key").count().where(F.col("count") > CHUNK).select("block", "key", F.lit(True).alias("hot"))
+    options = F.array(*[F.struct(F.lit(k).alias("of"), F.lit(b).alias("block"), F.lit(m).cast("long").alias("mask")) for k, b, m in masks])
+    own = F.array(F.struct(F.col("block"), F.col("key")))
+    cut = F.transform(F.filter(options, lambda o: o["of"] == F.col("block")), lambda o: F.struct(o["block"].alias("block"), F.col("fp").bitwiseAND(o["mask"]).alias("key")))
+    marked = rows.join(hot, ["block", "key"], "left").withColumn("k", F.explode(F.when(F.col("hot"), cut).otherwise(own)))
+    return marked.select("fp", "rep", F.col("k.block").alias("block"), F.col("k.key").alias("key"))
+
+
 def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     """(a, b): edges between the representatives of distinct fingerprints (fp, rep) that connect all within `distance`.
 
@@ -105,9 +125,11 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
             value = F.shiftleft(value, bits) + F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1))
         return value
 
-    rows = distinct.select("fp", "rep", F.posexplode(F.array(*[key(k) for k in keys])).alias("block", "key"))
+    rows = stage(finer(distinct.select("fp", "rep", F.posexplode(F.array(*[key(k) for k in keys])).alias("block", "key")), keys, distance), "simhash-keys")
     tasks = task_rows(rows, ["block", "key"], "fp", CHUNK)
-    calls = max(12, -(-n * len(keys) // PER_CALL))
+    # Rows of the tasks: a key of more than CHUNK is copied once for each of its chunks.
+    sizes = rows.groupBy("block", "key").count().agg(F.sum(F.col("count") * F.ceil(F.col("count") / CHUNK)).alias("n")).first()
+    calls = max(12, -(-int(sizes["n"] or 0) // PER_CALL))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         task = pd.util.hash_pandas_object(pdf[["block", "key", "i", "j"]], index=False).to_numpy()
@@ -124,10 +146,8 @@ def groups(fps: DataFrame, distance: int = 4) -> DataFrame:
     Fingerprints are the nodes, whatever ids their rows have: null and repeated ids neither drop nor merge any.
     """
     distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    found = components(links(distinct.select("fp", F.col("fp").alias("rep")), distance))
-    rooted = stage(distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")), "simhash-rooted")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return stage(rooted.join(named, "root").select("fp", "root", "component"), "simhash-named")
+    named = named_groups(distinct.select(F.col("fp").alias("node"), "least"), links(distinct.select("fp", F.col("fp").alias("rep")), distance))
+    return named.withColumnRenamed("node", "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
@@ -142,6 +162,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """near_duplicates over all documents, 4-word shingles, 4 differing bits."""
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
