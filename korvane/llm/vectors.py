@@ -227,7 +227,7 @@ FIT_SAMPLE, PER_CELL, CELLS = 16_384, 48, 4
 TUNE_QUERIES, CELL_RECALL, LIST_RECALL = 192, 0.955, 0.99
 PARTS_OF, CODES = 4, 256
 #: Coded vectors, and queries, that one task scans.
-SCAN, ASK = 10_000, 20_000
+SCAN, ASK = 2_048, 20_000
 
 
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int = 1) -> np.ndarray:
