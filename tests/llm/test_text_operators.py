@@ -8,7 +8,10 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from korvane.llm import langid, mixing, packing, quality, simhash
+from korvane.llm.common import components
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
@@ -66,13 +69,14 @@ def test_block_keys_meet_all_close_pairs(n, distance):
         assert any(all((a ^ b) >> f & (1 << w) - 1 == 0 for f, w in key) for key in keys)
 
 
-def test_simhash_splits_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "CHUNK", 16)
+@pytest.mark.parametrize("chunk", [4, 16, 60])
+def test_simhash_splits_hot_keys(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
     rng = np.random.default_rng(5)
     base = int(rng.integers(0, 2**62))
     fps = {base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 60, (150, 2))} | {int(x) for x in rng.integers(0, 2**62, 100)}
     distinct = spark.createDataFrame([(f, k) for k, f in enumerate(sorted(fps))], "fp long, rep long")
-    found = {r["node"]: r["component"] for r in simhash.components(simhash.links(distinct)).collect()}
+    found = {r["node"]: r["component"] for r in components(simhash.links(distinct)).collect()}
     ordered = sorted(fps)
     expected = smallest_reachable(list(range(len(ordered))), ordered, lambda a, b: (a ^ b).bit_count() <= 4)
     assert all(found.get(k, k) == expected[k] for k in range(len(ordered)))
@@ -152,8 +156,89 @@ def test_language_of_awkward_rows(docs):
 
 def test_every_language_is_learnt(spark):
     rows = [(k, f"wort{k // 8} text", f"l{k // 8:03}") for k in range(8 * 410)]
-    found = langid.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 800)
-    assert found["lang"].nunique() == 410
+    rows += [(90_000 + k, "wort", f"rare{k}") for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.labelled_sample(table, 800, 8 << 20)
+    learnt = {x for i, _, x in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(found["lang"]) == learnt and len(learnt) > 430
+    assert langid.labelled_sample(table, 800, 20).groupby("lang").size().mean() < 3
+    assert set(langid.fit(table.where("lang LIKE 'rare%'"))["langs"]) == {x for x in learnt if x.startswith("rare")}
+
+
+def test_language_equals_brute_force(spark, docs):
+    """Whole predictions text by text: every n-gram of every word by itself, no table, batch or cache."""
+    import math
+    import re
+
+    model = langid.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+    def slow(text):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        total, n = np.zeros(len(model["langs"])), 0
+        for word in re.findall("[a-z\x80-\U0010ffff]+", low):
+            raw = b"<" + word.encode() + b">"
+            for size in langid.SIZES:
+                for k in range(len(raw) - size + 1):
+                    h = 14695981039346656037
+                    for c in raw[k : k + size]:
+                        h = (h ^ c) * 1099511628211 % 2**64
+                    total += model["scores"][(h ^ h >> 29) % langid.BUCKETS]
+                    n += 1
+        z = (total / max(n, 1) + model["bias"]) / model["heat"]
+        p = [math.exp(x - z.max()) for x in z]
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        return model["langs"][int(np.argmax(p))], max(p) / sum(p)
+
+    short = docs.where("length(text) < 3000 OR text IS NULL")
+    rows = langid.predict(short, model).collect()
+    expected = {r["doc_id"]: slow(r["text"]) for r in short.collect()}
+    assert len(rows) == short.count()
+    for r in rows:
+        lang, p = expected[r["id"]]
+        assert r["lang_pred"] == lang and abs(r["score"] - p) < 1e-5
+
+
+def test_quality_equals_brute_force(spark, docs):
+    """Whole scores text by text, with compressors made anew for each."""
+    import math
+
+    import zstandard
+
+    sf = "/root/testdata/sf0.01"
+    model = quality.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def size(raw, part):
+        kind = zstandard.DICT_TYPE_AUTO if raw[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
+        return len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(raw, dict_type=kind), write_content_size=False, write_dict_id=False).compress(part))
+
+    for r in quality.score(docs, model).collect():
+        raw = next((d["text"] for d in docs.collect() if d["doc_id"] == r["id"]), None)
+        raw = (raw or "").encode()
+        parts = [raw[k : k + 2048] for k in range(0, len(raw), 2048)]
+        good, bad = (sum(size(model[c], p) for p in parts) for c in ("good", "bad"))
+        score = 1 / (1 + math.exp(-(model["w"][0] + model["w"][1] * 10 * (bad - good) / max(len(raw), 1))))
+        assert (r["bytes"], r["good_bytes"], r["bad_bytes"]) == (len(raw), good, bad) and abs(r["score"] - score) < 1e-9
+
+
+def test_filter_stages_on_awkward_rows(spark, docs, tmp_path):
+    """Nulls, blank texts, repeated rows, clashing columns and empty tables, by the stages' own rules."""
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    assert quality.keep_good(spark, docs, folder).count() == docs.count()
+    sf = "/root/testdata/sf0.01"
+    for stage_of in (quality.keep_good, langid.keep_identified, simhash.keep_one, mixing.mixed):
+        out = stage_of(spark, docs, sf)
+        assert out.columns == docs.columns and out.count() <= docs.count() * 4
+        assert stage_of(spark, docs.limit(0), sf).count() == 0
+    model = langid.fit(docs)
+    said = Counter((r["id"], r["accepted"]) for r in langid.predict(docs, model).collect())
+    kept = Counter(r["doc_id"] for r in langid.keep_identified(spark, docs, sf).collect())
+    assert kept == Counter({i: n for (i, ok), n in said.items() if ok})
+    assert packing.packed(spark, docs, sf).select("doc_uid").distinct().count() == docs.count()
+    assert packing.packed(spark, docs.limit(0), sf).count() == 0
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.keep_identified(spark, unlabelled, sf).count() == sum(any(c.isalpha() for c in r["text"] or "") for r in docs.collect())
 
 
 def test_temperature_comes_from_whole_texts(spark, monkeypatch):
