@@ -8,71 +8,71 @@ earlier line wins.
 """
 
 RULES = r"""
-1 mit spdx spdx license identifier mit
-1 mit-0 spdx spdx license identifier mit 0
-1 x11 spdx spdx license identifier x11
-1 apache-1.0 spdx spdx license identifier apache 1 0
-1 apache-1.1 spdx spdx license identifier apache 1 1
-1 apache-2.0 spdx spdx license identifier apache 2 0
-1 gpl-1.0-only spdx spdx license identifier gpl 1 0 only
-1 gpl-1.0-or-later spdx spdx license identifier gpl 1 0 or later
-1 gpl-2.0-only spdx spdx license identifier gpl 2 0 only
-1 gpl-2.0-or-later spdx spdx license identifier gpl 2 0 or later
-1 gpl-2.0 spdx spdx license identifier gpl 2 0
-1 gpl-3.0-only spdx spdx license identifier gpl 3 0 only
-1 gpl-3.0-or-later spdx spdx license identifier gpl 3 0 or later
-1 gpl-3.0 spdx spdx license identifier gpl 3 0
-1 lgpl-2.0-only spdx spdx license identifier lgpl 2 0 only
-1 lgpl-2.0-or-later spdx spdx license identifier lgpl 2 0 or later
-1 lgpl-2.1-only spdx spdx license identifier lgpl 2 1 only
-1 lgpl-2.1-or-later spdx spdx license identifier lgpl 2 1 or later
-1 lgpl-2.1 spdx spdx license identifier lgpl 2 1
-1 lgpl-3.0-only spdx spdx license identifier lgpl 3 0 only
-1 lgpl-3.0-or-later spdx spdx license identifier lgpl 3 0 or later
-1 lgpl-3.0 spdx spdx license identifier lgpl 3 0
-1 agpl-3.0-only spdx spdx license identifier agpl 3 0 only
-1 agpl-3.0-or-later spdx spdx license identifier agpl 3 0 or later
-1 agpl-3.0 spdx spdx license identifier agpl 3 0
-1 bsd-1-clause spdx spdx license identifier bsd 1 clause
-1 bsd-2-clause spdx spdx license identifier bsd 2 clause
-1 bsd-2-clause-patent spdx spdx license identifier bsd 2 clause patent
-1 bsd-3-clause spdx spdx license identifier bsd 3 clause
-1 bsd-3-clause-clear spdx spdx license identifier bsd 3 clause clear
-1 bsd-4-clause spdx spdx license identifier bsd 4 clause
-1 0bsd spdx spdx license identifier 0bsd
-1 isc spdx spdx license identifier isc
-1 mpl-1.1 spdx spdx license identifier mpl 1 1
-1 mpl-2.0 spdx spdx license identifier mpl 2 0
-1 epl-1.0 spdx spdx license identifier epl 1 0
-1 epl-2.0 spdx spdx license identifier epl 2 0
-1 eupl-1.1 spdx spdx license identifier eupl 1 1
-1 eupl-1.2 spdx spdx license identifier eupl 1 2
-1 cddl-1.0 spdx spdx license identifier cddl 1 0
-1 cddl-1.1 spdx spdx license identifier cddl 1 1
-1 cc0-1.0 spdx spdx license identifier cc0 1 0
-1 cc-by-3.0 spdx spdx license identifier cc by 3 0
-1 cc-by-4.0 spdx spdx license identifier cc by 4 0
-1 cc-by-sa-3.0 spdx spdx license identifier cc by sa 3 0
-1 cc-by-sa-4.0 spdx spdx license identifier cc by sa 4 0
-1 cc-by-nc-4.0 spdx spdx license identifier cc by nc 4 0
-1 cc-by-nd-4.0 spdx spdx license identifier cc by nd 4 0
-1 cc-by-nc-sa-4.0 spdx spdx license identifier cc by nc sa 4 0
-1 cc-by-nc-nd-4.0 spdx spdx license identifier cc by nc nd 4 0
-1 unlicense spdx spdx license identifier unlicense
-1 wtfpl spdx spdx license identifier wtfpl
-1 zlib spdx spdx license identifier zlib
-1 bsl-1.0 spdx spdx license identifier bsl 1 0
-1 artistic-1.0 spdx spdx license identifier artistic 1 0
-1 artistic-2.0 spdx spdx license identifier artistic 2 0
-1 ofl-1.1 spdx spdx license identifier ofl 1 1
-1 odbl-1.0 spdx spdx license identifier odbl 1 0
-1 ms-pl spdx spdx license identifier ms pl
-1 ms-rl spdx spdx license identifier ms rl
-1 psf-2.0 spdx spdx license identifier (?:psf|python) 2 0
-1 postgresql spdx spdx license identifier postgresql
-1 openssl spdx spdx license identifier openssl
-1 sspl-1.0 spdx spdx license identifier sspl 1 0
-1 busl-1.1 spdx spdx license identifier busl 1 1
+1 mit spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) mit
+1 mit-0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) mit 0
+1 x11 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) x11
+1 apache-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) apache 1 0
+1 apache-1.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) apache 1 1
+1 apache-2.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) apache 2 0
+1 gpl-1.0-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 1 0 only
+1 gpl-1.0-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 1 0 or later
+1 gpl-2.0-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 2 0 only
+1 gpl-2.0-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 2 0 or later
+1 gpl-2.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 2 0
+1 gpl-3.0-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 3 0 only
+1 gpl-3.0-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 3 0 or later
+1 gpl-3.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) gpl 3 0
+1 lgpl-2.0-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 2 0 only
+1 lgpl-2.0-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 2 0 or later
+1 lgpl-2.1-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 2 1 only
+1 lgpl-2.1-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 2 1 or later
+1 lgpl-2.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 2 1
+1 lgpl-3.0-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 3 0 only
+1 lgpl-3.0-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 3 0 or later
+1 lgpl-3.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) lgpl 3 0
+1 agpl-3.0-only spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) agpl 3 0 only
+1 agpl-3.0-or-later spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) agpl 3 0 or later
+1 agpl-3.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) agpl 3 0
+1 bsd-1-clause spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsd 1 clause
+1 bsd-2-clause spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsd 2 clause
+1 bsd-2-clause-patent spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsd 2 clause patent
+1 bsd-3-clause spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsd 3 clause
+1 bsd-3-clause-clear spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsd 3 clause clear
+1 bsd-4-clause spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsd 4 clause
+1 0bsd spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) 0bsd
+1 isc spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) isc
+1 mpl-1.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) mpl 1 1
+1 mpl-2.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) mpl 2 0
+1 epl-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) epl 1 0
+1 epl-2.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) epl 2 0
+1 eupl-1.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) eupl 1 1
+1 eupl-1.2 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) eupl 1 2
+1 cddl-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cddl 1 0
+1 cddl-1.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cddl 1 1
+1 cc0-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc0 1 0
+1 cc-by-3.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by 3 0
+1 cc-by-4.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by 4 0
+1 cc-by-sa-3.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by sa 3 0
+1 cc-by-sa-4.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by sa 4 0
+1 cc-by-nc-4.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by nc 4 0
+1 cc-by-nd-4.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by nd 4 0
+1 cc-by-nc-sa-4.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by nc sa 4 0
+1 cc-by-nc-nd-4.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) cc by nc nd 4 0
+1 unlicense spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) unlicense
+1 wtfpl spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) wtfpl
+1 zlib spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) zlib
+1 bsl-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) bsl 1 0
+1 artistic-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) artistic 1 0
+1 artistic-2.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) artistic 2 0
+1 ofl-1.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) ofl 1 1
+1 odbl-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) odbl 1 0
+1 ms-pl spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) ms pl
+1 ms-rl spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) ms rl
+1 psf-2.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) (?:psf|python) 2 0
+1 postgresql spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) postgresql
+1 openssl spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) openssl
+1 sspl-1.0 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) sspl 1 0
+1 busl-1.1 spdx spdx (?:licen[cs]e |short )?(?:identifier|expression|id) busl 1 1
 2 gpl-1.0 gnu gnu general public license (?:version |v )?(?:1|v1)(?: 0)?
 2 gpl-2.0-or-later gnu gnu general public license (?:as published by the free software foundation )?(?:either )?(?:version |v )?(?:2|v2)(?: 0)? or (?:at your option )?(?:any )?later(?: version)?
 2 gpl-2.0 gnu gnu general public license (?:version |v )?(?:2|v2)(?: 0)?
@@ -313,14 +313,32 @@ RULES = r"""
 3 mit licensed licensed under (?:the )?(?:terms of the )?mit
 3 mit available available under (?:the )?(?:terms of the )?mit
 3 mit distributed distributed under (?:the )?(?:terms of the )?mit
-3 bsd released released under (?:the )?(?:terms of the )?bsd
-3 bsd licensed licensed under (?:the )?(?:terms of the )?bsd
-3 bsd available available under (?:the )?(?:terms of the )?bsd
-3 bsd distributed distributed under (?:the )?(?:terms of the )?bsd
-3 gpl released released under (?:the )?(?:terms of the )?gpl
-3 gpl licensed licensed under (?:the )?(?:terms of the )?gpl
-3 gpl available available under (?:the )?(?:terms of the )?gpl
-3 gpl distributed distributed under (?:the )?(?:terms of the )?gpl
+3 bsd bsd (?:released|licen[cs]ed|available|distributed|published|offered|covered) under (?:the |a )?(?:terms of |terms of the )?bsd
+3 gpl gpl (?:released|licen[cs]ed|available|distributed|published|offered|covered) under (?:the |a )?(?:terms of |terms of the )?gpl
+3 bsd implied this software is provided by (?:the )?(?:copyright holders?|authors?|regents)(?: and contributors)? as is and any express or implied warranties
+3 apache-2.0 distributed unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+3 gpl gnu you should have received a copy of the gnu general public license along with (?:this|the) (?:program|software|file|package)
+3 lgpl gnu you should have received a copy of the gnu (?:lesser|library) general public license along with (?:this|the) (?:program|software|file|library)
+3 agpl gnu you should have received a copy of the gnu affero general public license along with (?:this|the) (?:program|software|file)
+3 gfdl gnu permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
+3 mpl-2.0 mpl if a copy of the mpl was not distributed with this file you can obtain one at
+3 artistic artistic you (?:can|may) (?:re)?distribute (?:it|this package|this program|this module) (?:and or modify it )?under the terms of the artistic license
+3 perl perl this (?:library|module|program|package|distribution) is free software you (?:can|may) redistribute it and or modify it under the same terms as perl(?: itself)?
+3 python python (?:released|distributed|licen[cs]ed) under the same (?:terms|license) as python(?: itself)?
+3 zlib altered altered source versions must be plainly marked as such and must not be misrepresented
+3 cc0-1.0 waived to the extent possible under law (?:[a-z0-9]+ ){1,10}has waived all copyright and related or neighbou?ring rights
+3 unlicense compile anyone is free to copy modify publish use compile sell or distribute this software
+3 beerware retain as long as you retain this notice you can do whatever you want with this stuff
+3 creative-commons commons this (?:work|article|document|book|content) is (?:licen[cs]ed|available|published|released) under (?:a |the )?creative commons
+3 public-domain copyright (?:the )?authors? (?:hereby )?disclaims? copyright to this source code
+3 public-domain copyright no copyright is claimed (?:in|on|for) (?:this|the) (?:work|software|code|file)
+3 isc copyright provided that the above copyright notice and this permission notice appear in all copies
+3 hpnd copyright provided that the above copyright notice appear in (?:all|supporting) (?:copies|documentation)
+3 elastic elastic you may not use this file except in compliance with the elastic license(?: 2 0)?
+3 busl-1.1 licensor the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
+3 commons-clause sell the license does not grant to you the right to sell the software
+3 odbl-1.0 database this (?:[a-z0-9]+ ){0,4}database is made available under the open database licen[cs]e
+3 dual dual dual licen[cs]ed under (?:the )?(?:[a-z0-9]+ ){1,6}(?:and|or)
 3 public-domain domain (?:dedicated|released|placed) (?:in)?to the public domain
 3 public-domain domain this work is in the public domain
 3 all-rights-reserved reserved all rights reserved

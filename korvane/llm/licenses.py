@@ -72,45 +72,71 @@ def base_of(line: Column) -> Column:
     return F.filter(F.array(*entries), lambda e: e.isNotNull())
 
 
-def detections(line: Column) -> Column:
-    """What the rules find and what is left after suppression: (start, end, tier, rank, label), by place.
+def once(value: Column, then) -> Column:
+    """then(value), an array, with value computed once however often then uses it."""
+    return F.flatten(F.transform(F.array(value), then))
 
-    Only rules whose keyword the line holds are tried. A detection goes if it lies within another of the same or a better
-    tier; of two on one interval the better tier stays, then the earlier rule.
+
+#: Marks put around a match; lines of words hold no such characters.
+OPEN, CLOSE = "\u0001", "\u0002"
+
+
+def places(line: Column, rule: Column) -> Column:
+    """(start, less, tier, rank, label) of each match of a rule: its first word, counted from 0, and less the word behind it.
+
+    The matches are marked and the line cut into words, so that the k-th pair of marks has 2 k marks before it.
     """
-    table = F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(k).alias("rank"), F.lit(label).alias("label"), F.lit(f" {word} ").alias("word"), F.lit(padded(p)).alias("pattern")) for k, (t, label, word, p) in enumerate(rules())])
+    words = F.split(F.btrim(F.regexp_replace(line, rule["pattern"], F.lit(f" {OPEN} $0 {CLOSE} "))), " +")
+    at = lambda ws, mark: F.filter(F.transform(ws, lambda w, i: F.when(w == mark, i)), lambda i: i.isNotNull())
+    ends = lambda ws: F.array(F.struct(at(ws, OPEN).alias("open"), at(ws, CLOSE).alias("close")))
+    one = lambda m, i, k: F.struct((i - 2 * k).alias("start"), (2 * k + 1 - F.get(m["close"], k)).alias("less"), rule["tier"].alias("tier"), rule["rank"].alias("rank"), rule["label"].alias("label"))
+    return once(words, lambda ws: F.flatten(F.transform(ends(ws), lambda m: F.transform(m["open"], lambda i, k: one(m, i, k)))))
 
-    def places(rule: Column) -> Column:
-        # Each match starts at the first place from the end of the one before where its text stands.
-        none = F.array().cast("array<struct<start:int,less:int,tier:int,rank:int,label:string>>")
 
-        def step(a: Column, m: Column) -> Column:
-            at = F.call_function("locate", m, line, a["next"])
-            found = F.struct(at.alias("start"), (-(at + F.length(m))).alias("less"), rule["tier"].alias("tier"), rule["rank"].alias("rank"), rule["label"].alias("label"))
-            return F.struct((at + F.length(m)).alias("next"), F.concat(a["found"], F.array(found)).alias("found"))
+def outside(every: Column) -> Column:
+    """Of detections in order of start, longest first, then tier and rank, those that lie in none before of their own or a better tier.
 
-        matches = F.call_function("regexp_extract_all", line, rule["pattern"], F.lit(0))
-        return F.aggregate(matches, F.struct(F.lit(1).alias("next"), none.alias("found")), step, lambda a: a["found"])
+    How far the ones before reach, by tier, is found in blocks: within a block, and up to each block. A block holds the
+    cube root of their number, so the work grows with its power 4/3 and no array is built up item by item.
+    """
+    tiers = sorted(SURE)
+    none = F.struct(*[F.lit(-1).alias(f"e{t}") for t in tiers])
+    add = lambda a, d: F.struct(*[F.when(d["tier"] == t, F.greatest(a[f"e{t}"], -d["less"])).otherwise(a[f"e{t}"]).alias(f"e{t}") for t in tiers])
+    both = lambda a, b: F.struct(*[F.greatest(a[f"e{t}"], b[f"e{t}"]).alias(f"e{t}") for t in tiers])
+    size = lambda x: F.greatest(F.lit(8), F.ceil(F.cbrt(F.size(x)))).cast("int")
+    cut = lambda x: F.transform(F.sequence(F.lit(0), F.ceil(F.size(x) / size(x)).cast("int") - 1), lambda b: F.slice(x, b * size(x) + 1, size(x)))
+    reach = lambda blocks: F.transform(blocks, lambda b: F.aggregate(b, none, add))
 
-    held = F.filter(table, lambda r: F.contains(line, r["word"]))
-    every = F.array_sort(F.flatten(F.transform(held, places)))
+    def free(d: Column, before: Column) -> Column:
+        own = F.greatest(before["e1"], *[F.when(d["tier"] >= t, before[f"e{t}"]).otherwise(-1) for t in tiers[1:]])
+        return F.struct(d["start"].alias("start"), (-d["less"]).alias("end"), d["tier"].alias("tier"), d["rank"].alias("rank"), d["label"].alias("label"), (own < -d["less"]).alias("free"))
 
-    def keep(a: Column, d: Column) -> Column:
-        end = -d["less"]
-        reach = F.greatest(a["e1"], *[F.when(d["tier"] >= t, a[f"e{t}"]).otherwise(0) for t in (2, 3, 4)])
-        own = F.struct(d["start"].alias("start"), end.alias("end"), d["tier"].alias("tier"), d["rank"].alias("rank"), d["label"].alias("label"))
-        ends = [F.when(d["tier"] == t, F.greatest(a[f"e{t}"], end)).otherwise(a[f"e{t}"]).alias(f"e{t}") for t in (1, 2, 3, 4)]
-        return F.struct(*ends, F.when(reach >= end, a["kept"]).otherwise(F.concat(a["kept"], F.array(own))).alias("kept"))
+    def judged(blocks: Column) -> Column:
+        upto = lambda most: F.transform(most, lambda m, b: F.aggregate(F.slice(most, F.lit(1), b), none, both))
+        of = lambda start, block: F.transform(block, lambda d, i: free(d, F.aggregate(F.slice(block, F.lit(1), i), start, add)))
+        return once(reach(blocks), lambda most: once(upto(most), lambda starts: F.flatten(F.transform(blocks, lambda block, b: of(F.get(starts, b), block)))))
 
-    start = F.struct(*[F.lit(0).alias(f"e{t}") for t in (1, 2, 3, 4)], F.array().cast("array<struct<start:int,end:int,tier:int,rank:int,label:string>>").alias("kept"))
-    return F.aggregate(every, start, keep, lambda a: a["kept"])
+    some = once(every, lambda x: F.when(F.size(x) > 0, once(cut(x), judged)).otherwise(F.array().cast("array<struct<start:int,end:int,tier:int,rank:int,label:string,free:boolean>>")))
+    kept = F.filter(some, lambda d: d["free"])
+    return F.transform(kept, lambda d: F.struct(*[d[c].alias(c) for c in ("start", "end", "tier", "rank", "label")]))
+
+
+def detections(line: Column) -> Column:
+    """What the rules find and what is left after suppression: (start, end, tier, rank, label), by place.
+
+    Only rules whose keyword the line holds are tried. A detection goes if it lies within another of the same or a better
+    tier; of two on one interval the better tier stays, then the earlier rule.
+    """
+    table = F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(k).alias("rank"), F.lit(label).alias("label"), F.lit(f" {word} ").alias("word"), F.lit(padded(p)).alias("pattern")) for k, (t, label, word, p) in enumerate(rules())])
+    held = F.filter(table, lambda r: F.contains(line, r["word"]) & F.regexp_like(line, r["pattern"]))
+    return outside(F.array_sort(F.flatten(F.transform(held, lambda r: places(line, r)))))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, base, found) for each row of docs: base of base_of(), and found of detections(), hints only where nothing better is left.
 
     Null and empty texts have no words and nothing found. Texts are read whole. Repeated rows and null ids keep their
-    rows; other columns are not read. start and end count characters of the line of words, from 1, end exclusive.
+    rows; other columns are not read. start and end count the text's words from 0, end exclusive.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(text.rlike(gate()), line_of(text)).alias("line"))
@@ -122,6 +148,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scan over all documents, as the contract's columns."""
     rows = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     none = F.array().cast("array<string>")
     base = F.coalesce(F.transform("base", lambda e: e["label"]), none)
