@@ -59,6 +59,16 @@ def record(r: dict) -> bytes:
     return pack.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + pack.flush()
 
 
+def sha1_of(digest: str) -> str | None:
+    """Lower-case hex of a payload digest header in base 32 or hex; None for another algorithm or spelling."""
+    value = digest.removeprefix("sha1:")
+    if not digest.startswith("sha1:"):
+        return None
+    if re.fullmatch("[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch("[A-Za-z2-7]{32}", value) else None
+
+
 def parse(raw: bytes) -> dict | None:
     """The record that a decoded member holds; None if it holds none."""
     if not raw.startswith(b"WARC/1."):
@@ -72,13 +82,12 @@ def parse(raw: bytes) -> dict | None:
         return None
     http, _, payload = block.partition(b"\r\n\r\n")
     whole = re.search(rb"(?i)^content-length: *(\d+)", http, re.M)
-    digest = head.get("WARC-Payload-Digest", "")
     return {
         "record_id": head.get("WARC-Record-ID", "").strip("<>") or None,
         "record_type": head["WARC-Type"],
         "target_uri": head.get("WARC-Target-URI"),
         "refers_to": head["WARC-Refers-To"].strip("<>") if "WARC-Refers-To" in head else None,
-        "payload_digest": hashlib.sha1(payload).hexdigest() if head["WARC-Type"] == "response" else base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None,
+        "payload_digest": hashlib.sha1(payload).hexdigest() if head["WARC-Type"] == "response" else sha1_of(head.get("WARC-Payload-Digest", "")),
         "payload_bytes": len(payload) if head["WARC-Type"] == "response" else int(whole[1]) if whole else None,
         "payload": payload if head["WARC-Type"] == "response" else None,
     }
@@ -118,32 +127,42 @@ def member(tape: Tape, at: int) -> tuple[bytes, int] | None:
     return bytes(out), done - len(unpack.unused_data)
 
 
-def records_in(file, start: int, end: int) -> Iterator[tuple[int, dict]]:
+def records_in(file, start: int, end: int, damaged: bool = False) -> Iterator[tuple[int, dict]]:
     """(offset, record) of each record whose member starts in [start, end).
 
     The range is searched for the gzip magic. A candidate counts only if it decodes, checksum included, to a WARC record;
     the next member is then looked for right behind it, and by search again after damage. A member that starts inside is
-    read to its end, beyond the range if need be; one that starts before belongs to the range before.
+    read to its end, beyond the range if need be; one that starts before belongs to the range before. With `damaged`, a
+    stretch behind a record or at the file's start that holds no record gives an entry of type "damaged" at its offset.
     """
     tape, at = Tape(file, start), 0
+    due = 0 if start == 0 else None  # where a record has to start
     while start + at < end:
+        if damaged and due is not None and at > due:
+            yield start + due, {"record_type": "damaged"}
+            due = None
         tape.reach(at + READ_BYTES)
         at = tape.held.find(MAGIC, at)
         while at < 0 and start + len(tape.held) < end + len(MAGIC):
             before = max(0, len(tape.held) - len(MAGIC) + 1)
             if not tape.reach(len(tape.held) + READ_BYTES) and before >= len(tape.held) - len(MAGIC) + 1:
-                return
+                break
             at = tape.held.find(MAGIC, before)
         if at < 0 or start + at >= end:
+            if damaged and due is not None and start + due < min(end, start + len(tape.held)):
+                yield start + due, {"record_type": "damaged"}
             return
+        if damaged and due is not None and at > due:
+            yield start + due, {"record_type": "damaged"}
+            due = None
         found = member(tape, at)
         parsed = parse(found[0]) if found else None
         if parsed:
             yield start + at, parsed
-            at = found[1]
+            at = due = found[1]
             if at > 4 * READ_BYTES:  # what lies behind is not needed again
                 del tape.held[:at]
-                start, at = start + at, 0
+                start, at, due = start + at, 0, 0
         else:
             at += 1
 
@@ -162,16 +181,17 @@ class Written(WriterCommitMessage):
 
 
 class WarcReader(DataSourceReader):
-    """Options: path (a folder or a file), rangeBytes."""
+    """Options: path (a folder or a file), rangeBytes, damaged (true: rows of type "damaged" for stretches without a record)."""
 
     def __init__(self, options: dict):
+        self.damaged = str(options.get("damaged", "")).lower() == "true"
         self.path, self.size = options["path"], int(options.get("rangebytes") or options.get("rangeBytes") or RANGE_BYTES)
 
     def partitions(self) -> list[Range]:
         system, path = fs.FileSystem.from_uri(self.path)
         info = system.get_file_info(path)
         files = [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(path, recursive=True))
-        found = [Range(f.path, a, min(a + self.size, f.size)) for f in sorted(files, key=lambda f: f.path) if f.path.endswith(".warc.gz") for a in range(0, f.size, self.size)]
+        found = [Range(f.path, a, min(a + self.size, f.size)) for f in sorted(files, key=lambda f: f.path) if f.path.endswith(".warc.gz") and "/." not in f.path for a in range(0, f.size, self.size)]
         return found or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -182,9 +202,9 @@ class WarcReader(DataSourceReader):
         system, _ = fs.FileSystem.from_uri(self.path)
         rows, size = [], 0
         with system.open_input_file(partition.path) as file:
-            for offset, r in records_in(file, partition.start, partition.end):
+            for offset, r in records_in(file, partition.start, partition.end, self.damaged):
                 rows.append(r | {"offset": offset, "file": partition.path})
-                size += len(r["payload"] or b"")
+                size += len(r.get("payload") or b"")
                 if size > 8 << 20 or len(rows) >= 4096:
                     yield pa.RecordBatch.from_pylist(rows, arrow)
                     rows, size = [], 0
@@ -193,15 +213,15 @@ class WarcReader(DataSourceReader):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Each task writes an archive under a name of its own; a committed job gives the finished ones their final names."""
+    """Tasks write archives into a hidden folder of the job. A committed job drops what failed attempts left and shows the folder by one move."""
 
     def __init__(self, options: dict):
-        self.path = options["path"]
+        self.path, self.job = options["path"], uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, path = fs.FileSystem.from_uri(self.path)
-        system.create_dir(path, recursive=True)
-        target, rows = f"{path}/.part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.tmp", 0
+        system.create_dir(f"{path}/.{self.job}", recursive=True)
+        target, rows = f"{path}/.{self.job}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.warc.gz", 0
         with system.open_output_stream(target, compression=None) as out:
             for batch in iterator:
                 for r in batch.to_pylist():
@@ -211,17 +231,17 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         system, path = fs.FileSystem.from_uri(self.path)
-        for m in messages:
-            if m and m.rows:
-                system.move(m.path, f"{path}/{m.path.rpartition('/')[2].strip('.').removesuffix('.tmp')}.warc.gz")
-            elif m:
-                system.delete_file(m.path)
+        system.create_dir(f"{path}/.{self.job}", recursive=True)
+        done = {m.path.rpartition("/")[2] for m in messages if m and m.rows}
+        for f in system.get_file_info(fs.FileSelector(f"{path}/.{self.job}")):
+            if f.base_name not in done:
+                system.delete_file(f.path)
+        system.move(f"{path}/.{self.job}", f"{path}/{self.job}")
 
     def abort(self, messages: list[Written | None]) -> None:
-        system, _ = fs.FileSystem.from_uri(self.path)
-        for m in messages:
-            if m and system.get_file_info(m.path).type == fs.FileType.File:
-                system.delete_file(m.path)
+        system, path = fs.FileSystem.from_uri(self.path)
+        if system.get_file_info(f"{path}/.{self.job}").type == fs.FileType.Directory:
+            system.delete_dir(f"{path}/.{self.job}")
 
 
 class WarcSource(DataSource):
@@ -265,17 +285,19 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+    """Append the records of page_records to the archives under path. An empty table adds none."""
     pages.sparkSession.dataSource.register(WarcSource)
     page_records(pages, id_col, url_col, html_col).write.format("korvane_warc").mode("append").option("path", path).save()
 
 
-def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """All records of the archives under path: columns RECORDS."""
+def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, damaged: bool = False) -> DataFrame:
+    """All records of the archives under path: columns RECORDS. damaged adds rows for stretches that hold no record."""
     spark.dataSource.register(WarcSource)
-    return spark.read.format("korvane_warc").option("path", path).option("rangeBytes", str(range_bytes)).load()
+    return spark.read.format("korvane_warc").option("path", path).option("rangeBytes", str(range_bytes)).option("damaged", str(damaged).lower()).load()
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives in the shared folder and read back."""
     path = new_path(spark, "warc")
     write_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     number = lambda c: F.try_to_number(F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1), F.lit("S9999999999999999999")).cast("long")
