@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import own_columns
+from .common import own_columns, stage
 
 #: A mean is cut into equal parts of this size at most, each drawn on its own: a sum of Poisson draws is a Poisson draw.
 PART = 8.0
@@ -15,6 +15,10 @@ TERMS = 48
 ADDED = ["copy", "rate", "shuffle_key"]
 #: Rows of the table of rates up to which it is broadcast.
 BROADCAST_SOURCES = 50_000
+#: Rows of a source that one salt of the join takes.
+SALT_ROWS = 1_000_000
+#: Bytes of text of one partition of the mixture.
+PARTITION_BYTES = 64 << 20
 
 
 def unit(*parts: Column) -> Column:
@@ -23,13 +27,13 @@ def unit(*parts: Column) -> Column:
 
 
 def rates(docs: DataFrame, weights: DataFrame | None = None, temperature: float = 0.5, text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(source, rate): the mean number of copies of a source's documents.
+    """(source, rate, size): the mean number of copies of a source's documents, and their bytes.
 
     A source's size is its UTF-8 bytes. weights (source, weight) are the targets; without them a source's target is its
     size to the power `temperature`. The rates keep the total size: sum of rate * size is the size of all documents.
     Sources without a weight, and of size 0, have rate 0; a null source is a source of its own.
     """
-    size = docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("size"))
+    size = stage(docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("size")), "mixing-sizes")
     if weights is None:
         target = size.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(temperature)))
     else:
@@ -38,9 +42,9 @@ def rates(docs: DataFrame, weights: DataFrame | None = None, temperature: float
     sums = target.agg(F.sum("size").cast("double").alias("all_size"), F.sum(F.when(F.col("size") > 0, F.col("weight"))).alias("all_weight")).first()
     all_size, all_weight = float(sums["all_size"] or 0.0), float(sums["all_weight"] or 0.0)
     if not all_size or not all_weight:
-        return target.select("source", F.lit(0.0).alias("rate"))
+        return target.select("source", F.lit(0.0).alias("rate"), "size")
     rate = F.lit(all_size) * F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)) / F.lit(all_weight) / F.col("size").cast("double")
-    return target.select("source", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"))
+    return target.select("source", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"), "size")
 
 
 def poisson_table(rate: Column) -> Column:
@@ -66,9 +70,11 @@ def replicate(docs: DataFrame, table: DataFrame, seed: str = "mix", id_col: str
     on = F.col(source_col).eqNullSafe(F.col("_source"))
     if table.count() <= BROADCAST_SOURCES:
         rows = docs.join(F.broadcast(cdf), on)
-    else:  # salted: a source with very many rows is met by eight copies of its rate
-        salt = F.pmod(F.xxhash64(id_col), F.lit(8)).cast("int")
-        spread = cdf.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    else:  # salted: the source with most rows meets a copy of its rate for each SALT_ROWS of them
+        largest = docs.groupBy(source_col).count().agg(F.max("count")).first()[0] or 0
+        salts = max(1, -(-largest // SALT_ROWS))
+        salt = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
+        spread = cdf.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         rows = docs.withColumn("_mine", salt).join(spread, on & (F.col("_mine") == F.col("_salt"))).drop("_mine", "_salt")
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     drawn = F.aggregate(
@@ -83,17 +89,20 @@ def replicate(docs: DataFrame, table: DataFrame, seed: str = "mix", id_col: str
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, temperature: float = 0.5, seed: str = "mix") -> DataFrame:
-    """docs mixed to the target weights, in global random order.
+    """docs mixed to the target weights, in global random order: that of shuffle_key, over partitions and within each.
 
-    Rows are dealt out by shuffle_key, a hash, and lie in its order within each partition: all orders are equally likely
-    and the partitions even, whatever the sources. An empty table gives an empty result.
+    The key is a hash, so its leading bits say the partition and all are about even, whatever the sources, without a
+    sample. An empty table gives an empty result.
     """
-    rows = replicate(docs, rates(docs, weights, temperature), seed)
-    return rows.repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key")
+    table = rates(docs, weights, temperature)
+    size = table.agg(F.sum(F.col("rate") * F.col("size"))).first()[0] or 0.0
+    n = max(docs.sparkSession.sparkContext.defaultParallelism, int(size) // PARTITION_BYTES + 1)
+    part = F.floor(F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") * n / float(1 << 32)).cast("int")
+    return replicate(docs, table, seed).repartitionById(n, part).sortWithinPartitions("shuffle_key")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every copy of the mixture with its whole text."""
+    """mix over all documents: every copy with its whole text."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "copy", "source", F.round("rate", 9).alias("rate"), "shuffle_key", "lang", "n_chars", "text")
 
 
@@ -129,6 +138,9 @@ FROM copies
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the mixture, with the columns of docs, clashing ones too; a document drawn n times is n rows."""
+    """Pipeline stage: the mixture, with the columns of docs, clashing ones too; a document drawn n times is n rows.
+
+    Null texts count as empty, repeated rows and null ids are drawn as replicate says. An empty table gives an empty result.
+    """
     renamed = dict(zip(docs.columns, own_columns(docs, ADDED).columns, strict=True))
     return mix(docs).select([F.col(new).alias(old) for old, new in renamed.items()])
