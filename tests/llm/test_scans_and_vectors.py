@@ -154,6 +154,34 @@ def test_warc_owns_each_record_once_and_skips_damage():
     mixed = members[0] + fake + members[1] + members[2][:-4] + members[3]
     got = [r["record_id"] for a in range(0, len(mixed), 333) for _, r in warc.records_in(io.BytesIO(mixed), a, min(a + 333, len(mixed)))]
     assert got == ["urn:page:0", "urn:page:1", "urn:page:3"]
+    marks = [(o, r["record_type"]) for o, r in warc.records_in(io.BytesIO(mixed), 0, len(mixed), True)]
+    at = [0, len(members[0]), len(members[0] + fake), len(members[0] + fake + members[1]), len(members[0] + fake + members[1] + members[2]) - 4]
+    assert marks == list(zip(at, ["response", "damaged", "response", "damaged", "response"], strict=True))
+    cut = [(o, r["record_type"]) for o, r in warc.records_in(io.BytesIO(members[0] + members[1][:-9]), 0, len(members[0] + members[1]) - 9, True)]
+    assert cut == [(0, "response"), (len(members[0]), "damaged")]
+
+
+def test_warc_digests_of_other_writers():
+    raw = warc.record({"record_id": "a", "record_type": "revisit", "target_uri": "u", "refers_to": "b", "payload_digest": "ab" * 20, "payload_bytes": 5, "payload": None})
+    text = gzip.decompress(raw).decode()
+    at = re.search("sha1:[A-Z2-7]+", text)[0]
+    found = lambda d: warc.parse(text.replace(at, d).encode())["payload_digest"]
+    assert found(at) == found(at.lower()) == found("sha1:" + "AB" * 20) == "ab" * 20
+    assert found("sha1:not base 32!") is None and found("sha256:" + "0" * 64) is None and found("md5:xyz") is None
+
+
+def test_warc_writer_leaves_nothing_of_failed_attempts(tmp_path):
+    writer = warc.WarcWriter({"path": f"file://{tmp_path}/w"})
+    folder = tmp_path / "w" / f".{writer.job}"
+    folder.mkdir(parents=True)
+    for name in ("part-0-good.warc.gz", "part-0-failed.warc.gz", "part-1-empty.warc.gz"):
+        (folder / name).write_bytes(b"")
+    writer.commit([warc.Written(f"{folder}/part-0-good.warc.gz", 3), warc.Written(f"{folder}/part-1-empty.warc.gz", 0), None])
+    assert [p.name for p in (tmp_path / "w").rglob("*.gz")] == ["part-0-good.warc.gz"] and not folder.exists()
+    other = warc.WarcWriter({"path": f"file://{tmp_path}/w"})
+    (tmp_path / "w" / f".{other.job}").mkdir()
+    other.abort([])
+    assert sorted(p.name for p in (tmp_path / "w").iterdir()) == [writer.job]
 
 
 def test_warc_of_a_long_url():

@@ -281,6 +281,8 @@ def test_mixing_meets_targets(spark):
     docs = spark.range(40000).selectExpr("id AS doc_id", "repeat('x', 10) AS text", "CASE WHEN id % 10 = 0 THEN 'a' WHEN id = 1 THEN 'c' ELSE 'b' END AS source")
     weights = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("z", 5.0)], "source string, weight double")
     n = {r["source"]: r["count"] for r in mixing.mix(docs, weights).groupBy("source").count().collect()}
+    order = [[r["shuffle_key"] for r in part] for part in mixing.mix(docs.limit(3000), None).select("shuffle_key").rdd.glom().collect()]
+    assert [k for part in order for k in part] == sorted(k for part in order for k in part) and len([p for p in order if p]) > 1
     assert "c" not in n and abs(n["a"] / 30000 - 1) < 0.05 and abs(n["b"] / 10000 - 1) < 0.05
     assert mixing.mix(docs.limit(0)).count() == 0
 
