@@ -57,8 +57,8 @@ def labelled_sample(docs: DataFrame, most: int, most_bytes: int) -> pd.DataFrame
     rows = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND text != '' AND lang IS NOT NULL").where(crc_mod("doc_id", 4) != 2)
     held = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
     share = held.select("lang", F.least(F.lit(float(most)) / F.col("n"), F.lit(float(most_bytes)) / F.col("size")).alias("share"))
-    # A row for each language; the hash keeps about `most` rows of each.
-    chosen = rows.join(share, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    # A row for each language, for each of which the model holds BUCKETS numbers; the hash keeps about `most` rows of each.
+    chosen = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     return chosen.select("doc_id", "text", "lang").toPandas().sort_values("doc_id", kind="stable")
 
 
