@@ -176,7 +176,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fps = stage(fingerprints(docs, digest=True), "simhash")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.coalesce("digest", F.lit("")).alias("digest"))
     kept = fps.join(groups(fps).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k"))
-    kept = kept.select(F.col("k.id").alias("_id"), F.col("k.digest").alias("_digest"))
-    marked = docs.withColumn("_row_id", F.col("doc_id").cast("long")).withColumn("_row_digest", F.coalesce(F.md5("text"), F.lit("")))
-    chosen = marked.join(kept, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_digest") == F.col("_digest")), "left_semi")
-    return chosen.dropDuplicates(["_row_id", "_row_digest"]).select(columns)
+    # One key, of id and text, for the join and for repeated rows, so that texts are shuffled once.
+    key = lambda i, digest: F.md5(F.concat_ws("/", F.coalesce(i.cast("string"), F.lit("none")), digest)).alias("_key")
+    kept = kept.select(key(F.col("k.id"), F.col("k.digest")))
+    marked = docs.withColumn("_key", key(F.col("doc_id").cast("long"), F.coalesce(F.md5("text"), F.lit(""))))
+    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(columns)
