@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import stage
+
 #: Fixed values of the metric.
 REACH_M = 2000.0
 GROUND_UNIT_M = 500.0
@@ -16,44 +18,57 @@ WEIGHTS = {"ground": 1.0, "lot": 1.0, "floor": 1.0, "dwellings": 1.0, "use": 1.5
 SAME_CLASS, DIFFERENT_CLASS = 0.35, 1.0
 
 
-def ratio_distance(a: Column, b: Column) -> Column:
-    """How many doublings lie between two sizes; a missing one counts 1."""
-    return F.coalesce(F.abs(F.log1p(a) - F.log1p(b)) / math.log(2), F.lit(1.0))
-
-
 def use_distance(a: Column, b: Column) -> Column:
     """0 for equal codes, less for the same class (first digit) than for different ones; missing counts as different."""
     return F.when(a == b, 0.0).when(F.substring(a, 1, 1) == F.substring(b, 1, 1), SAME_CLASS).otherwise(DIFFERENT_CLASS)
 
 
+#: Radii searched in turn, as shares of the reach.
+RINGS = (0.25, 0.5, 1.0)
+SIZES = ("lot", "floor", "dwellings")
+
+
 def nearest(subjects: DataFrame, k: int = NEIGHBOURS, reach: float = REACH_M) -> DataFrame:
-    """For each subject its k nearest with a value: (key, other, distance, rank, value, ...).
+    """For each subject its k nearest with a value: (key, other, distance, rank, o_value, o_lot, o_floor, o_dwellings).
 
     subjects: key, x, y, lot, floor, dwellings, use, value. Others lie within `reach` on the ground, the subject itself
-    is none; the smaller key comes first at equal distances. Cells of `reach` and their eight neighbours hold all of them,
-    so the join is exact and its work grows with local density, not with the square of the table.
+    is none; the smaller key comes first at equal distances. Subjects without a place have none; keys are distinct.
+
+    The composite distance is never less than its ground part. So a subject with k others nearer than a ring's radius by
+    the composite distance has found its k nearest within that ring, and only the rest look farther. Cells of the ring's
+    radius and their eight neighbours hold all candidates. Pairs carry keys and distance only.
     """
-    cell = lambda c: F.floor(F.col(c) / reach)
-    placed = subjects.where("x IS NOT NULL AND y IS NOT NULL")
-    left = placed.withColumn("_cx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1))).withColumn("_cy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1)))
-    names = ["key", "x", "y", "lot", "floor", "dwellings", "use", "value"]
-    right = placed.where("value IS NOT NULL").select(cell("x").alias("_cx"), cell("y").alias("_cy"), *[F.col(n).alias(f"o_{n}") for n in names])
+    log = lambda c: (F.log1p(F.col(c).cast("double")) / math.log(2)).alias(f"l_{c}")
+    placed = stage(subjects.where("x IS NOT NULL AND y IS NOT NULL").select("key", "x", "y", *[log(c) for c in SIZES], "use", "value", *SIZES), "comparables")
+    others = placed.where("value IS NOT NULL").select(F.col("key").alias("o_key"), *[F.col(c).alias(f"o_{c}") for c in ("x", "y", "use", *[f"l_{c}" for c in SIZES])])
+    mine = placed.select("key", "x", "y", "use", *[f"l_{c}" for c in SIZES])
     ground = F.hypot(F.col("x") - F.col("o_x"), F.col("y") - F.col("o_y"))
-    parts = {
-        "ground": ground / GROUND_UNIT_M,
-        "lot": ratio_distance(F.col("lot"), F.col("o_lot")),
-        "floor": ratio_distance(F.col("floor"), F.col("o_floor")),
-        "dwellings": ratio_distance(F.col("dwellings"), F.col("o_dwellings")),
-        "use": use_distance(F.col("use"), F.col("o_use")),
-    }
-    total = None
+    parts = {"ground": ground / GROUND_UNIT_M} | {c: F.coalesce(F.abs(F.col(f"l_{c}") - F.col(f"o_l_{c}")), F.lit(1.0)) for c in SIZES} | {"use": use_distance(F.col("use"), F.col("o_use"))}
+    total = F.lit(0.0)
     for name, part in parts.items():
-        term = F.lit(WEIGHTS[name]) * part * part
-        total = term if total is None else total + term
-    pairs = left.join(right, ["_cx", "_cy"]).where((F.col("key") != F.col("o_key")) & (ground <= reach))
-    w = Window.partitionBy("key").orderBy("distance", "o_key")
-    ranked = pairs.withColumn("distance", F.sqrt(total)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select("key", F.col("o_key").alias("other"), "distance", "rank", "o_value", "o_lot", "o_floor", "o_dwellings")
+        total = total + F.lit(WEIGHTS[name]) * part * part
+    found, rest = [], mine
+    for ring in RINGS:
+        radius = reach * ring
+        cell = lambda c, radius=radius: F.floor(F.col(c) / radius)
+        left = rest.withColumn("_cx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1))).withColumn("_cy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1)))
+        right = others.withColumn("_cx", cell("o_x")).withColumn("_cy", cell("o_y"))
+        pairs = left.join(right, ["_cx", "_cy"]).where((F.col("key") != F.col("o_key")) & (ground <= radius)).select("key", "o_key", F.sqrt(total).alias("distance"))
+        if ring < 1:
+            pairs = pairs.where(F.col("distance") <= radius / GROUND_UNIT_M * WEIGHTS["ground"] ** 0.5)
+        w = Window.partitionBy("key").orderBy("distance", "o_key")
+        best = stage(pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "comparables-ring")
+        if ring == 1:
+            found.append(best)
+            break
+        done = best.where(F.col("rank") == k).select("key")
+        found.append(best.join(done, "key", "left_semi"))
+        rest = stage(rest.join(done, "key", "left_anti"), "comparables-rest")
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    values = placed.select(F.col("key").alias("o_key"), *[F.col(c).alias(f"o_{c}") for c in ("value", *SIZES)])
+    return every.join(values, "o_key").select("key", F.col("o_key").alias("other"), "distance", "rank", "o_value", *[f"o_{c}" for c in SIZES])
 
 
 def value_cascade(pairs: DataFrame, subjects: DataFrame) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import stage
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order. The order must end in a unique column, so that ties can't show."""
@@ -27,6 +30,52 @@ def flag_top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
     return df.withColumn(rank, F.row_number().over(w)).withColumn(flag, F.col(rank) <= n)
 
 
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str = "rank", parts: int | None = None) -> DataFrame:
+    """All rows with their rank within the key, for keys of which a few hold most rows. The order must end in a unique column.
+
+    Rows are range-partitioned by key and order, ranked within their partition, and raised by what the key has in the
+    partitions before: no task holds a key whole. The rank is that of row_number().
+    """
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stage(df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id()), "ranked")
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    starts = dealt.groupBy(*keys, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    on = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    local = dealt.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)))
+    rows = local.join(starts.select(*own, F.col("_part").alias("_p"), "_before"), on)
+    return rows.withColumn(rank, (F.col("_local") + F.col("_before")).cast("int")).select(*df.columns, rank)
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], buckets: int = 4096) -> DataFrame:
+    """(keys, a column for each share): interpolated percentiles of a value, nulls aside, for keys of any number of rows.
+
+    A histogram of each key says in which of `buckets` buckets a rank lies; only the values of those are then counted,
+    distinct ones once. So no task holds a key's values whole.
+    """
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    ends = stage(rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "percentile-ends")
+    same = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys], F.lit(True))
+    drop = lambda a, b, *more: a.join(b, same(a, b)).select(*[a[k] for k in keys], *more)
+    width = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1))).otherwise(0)
+    placed = drop(rows, ends, "_v", width.cast("int").alias("_b"))
+    upto = lambda *by: Window.partitionBy(*keys, *by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*keys, "_b").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(upto("_b")), F.lit(0)))
+    at = lambda q: (F.col("_n") - 1) * F.lit(float(q))
+    goals = ends.select(*keys, F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (F.floor if side == "low" else F.ceil)(at(q)).alias("r"), (at(q) - F.floor(at(q))).alias("part")) for name, q in shares.items() for side in ("low", "high")])).alias("g")).select(*keys, "g.*")
+    hit = drop(counts, goals, "_b", "_before", "_c", "name", "side", "r", "part").where((F.col("r") >= F.col("_before")) & (F.col("r") < F.col("_before") + F.col("_c")))
+    hit = stage(hit.select(*keys, F.col("_b").alias("_hit"), "name", "side", "part", (F.col("r") - F.col("_before")).alias("r")), "percentile-hits")
+    some = hit.select(*keys, "_hit").distinct()
+    few = placed.join(some, same(placed, some) & (placed["_b"] == some["_hit"]), "left_semi").groupBy(*keys, "_b", "_v").agg(F.count("*").alias("_c"))
+    few = few.withColumn("_before", F.coalesce(F.sum("_c").over(upto("_b", "_v")), F.lit(0)))
+    met = few.join(hit, same(few, hit) & (few["_b"] == hit["_hit"]) & (hit["r"] >= few["_before"]) & (hit["r"] < few["_before"] + few["_c"])).select(*[few[k] for k in keys], "_v", "name", "side", "part")
+    pick = lambda name, side, c: F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col(c)))
+    out = lambda name: pick(name, "low", "_v") + (pick(name, "high", "_v") - pick(name, "low", "_v")) * pick(name, "low", "part")
+    return met.groupBy(*keys).agg(*[out(name).alias(name) for name in shares])
+
+
 def argmax_row(df: DataFrame, keys: Sequence[str], value: str, tie: str, columns: Sequence[str]) -> DataFrame:
     """For each key the columns of the row with the largest value: nulls last, then the smallest tie column.
 

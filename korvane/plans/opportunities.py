@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.relational import flag_top, largest_label
+from ..operators.relational import largest_label, rank_within
 
 #: A use that holds so large a share of the floor area is the dominant one.
 DOMINANT_SHARE = 0.70
@@ -60,9 +60,12 @@ def yield_on_cost(noi: Column, cost: Column) -> Column:
 
 
 def rank_opportunities(df: DataFrame, label: str, key: str, top: int) -> DataFrame:
-    """Rank within each thesis: yield, value gained and cost (small first), then the key; and whether it is one of the top."""
+    """Rank within each thesis: yield, value gained and cost (small first), then the key; and whether it is one of the top.
+
+    There are three or four theses, so ranks are found over ranges and no task holds a thesis whole.
+    """
     order = [F.desc_nulls_last("yield_pct"), F.desc_nulls_last("gain"), F.asc_nulls_last("cost"), F.asc(key)]
-    return flag_top(df, [label], order, top, "thesis_rank", "is_top")
+    return rank_within(df, [label], order, "thesis_rank").withColumn("is_top", F.col("thesis_rank") <= top)
 
 
 def site_thesis(contaminated: Column, vacant: Column, year_built: Column, land_share: Column, gains: Column, old: int = 1960, worn: float = 0.6) -> Column:
