@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 #: Letters with marks and what they become; two letters for the ligatures.
 ACCENTS = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿÀÂÄÁÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
-ABSENT = ("", "-", "--", "n/a", "na", "none", "null", "nan")
+#: Words by which published grids say that there is nothing.
+ABSENT = ("", "-", "--", "n/a", "na", "non", "no", "none", "s.o.", "null", "nan")
 SQUARE_METRES_PER_SQUARE_FOOT = 0.09290304
 
 

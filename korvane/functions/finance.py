@@ -27,13 +27,14 @@ def npv(flows: Column, rate: Column) -> Column:
 
 
 def irr(flows: Column, low: float = -0.9, high: float = 2.0, steps: int = 80) -> Column:
-    """The rate at which the flows are worth nothing, by bisection. Null unless flows of both signs occur and the range holds a change of sign."""
+    """The rate at which the flows are worth nothing, by bisection. Null unless flows of both signs occur and the range holds a change of sign, either way round."""
     signs = F.exists(flows, lambda f: f > 0) & F.exists(flows, lambda f: f < 0)
-    crosses = (npv(flows, F.lit(low)) > 0) & (npv(flows, F.lit(high)) < 0)
+    first, last = npv(flows, F.lit(low)), npv(flows, F.lit(high))
+    crosses = F.signum(first) * F.signum(last) < 0
 
     def halve(a: Column, _: Column) -> Column:
         middle = (a["lo"] + a["hi"]) / 2
-        above = npv(flows, middle) > 0
+        above = (npv(flows, middle) > 0) == (first > 0)
         return F.struct(F.when(above, middle).otherwise(a["lo"]).alias("lo"), F.when(above, a["hi"]).otherwise(middle).alias("hi"))
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi")), halve, lambda a: (a["lo"] + a["hi"]) / 2)

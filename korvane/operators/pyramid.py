@@ -35,8 +35,12 @@ def adaptive_cut(keys: DataFrame, key: str, budget: int, coarsest: int, finest:
 
 
 def cell_in_cut(df: DataFrame, key: str, cut: DataFrame, coarsest: int, finest: int) -> DataFrame:
-    """df with the cell of the cut that each key lies under, as `cell`; null outside. The cut has one row for each budget's worth of keys."""
-    prefix: list[Column] = [F.substring(key, 1, z) for z in range(coarsest, finest + 1)]
-    spread = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("cell", F.explode(F.array(*prefix)))
-    found = spread.join(cut.select(F.col("quadkey").alias("cell")), "cell", "left_semi").select("_id", "cell")
-    return df.withColumn("_id", F.monotonically_increasing_id()).join(found, "_id", "left").drop("_id")
+    """df with the cell of the cut that each key lies under, as `cell`; null outside.
+
+    Each distinct key's prefixes are looked up in the cut, of which one at most is there, and the rows meet their key's
+    cell by the key itself; a null key lies under none.
+    """
+    prefix: list[Column] = [F.substring("_key", 1, z) for z in range(coarsest, finest + 1)]
+    keys = df.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct()
+    found = keys.withColumn("cell", F.explode(F.array_distinct(F.array(*prefix)))).join(cut.select(F.col("quadkey").alias("cell")), "cell", "left_semi")
+    return df.join(found, F.col(key) == F.col("_key"), "left").drop("_key")

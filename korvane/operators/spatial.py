@@ -66,12 +66,17 @@ def ring_length(ring: Column) -> Column:
 
 def inside(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd rule: whether a ray to the right crosses the ring an odd number of times. A lower side counts, an upper one does not."""
+    return within(x, y, edges(ring))
+
+
+def within(x: Column, y: Column, sides: Column) -> Column:
+    """inside() for a ring's edges(), which may be stored once for many points."""
 
     def crosses(e: Column) -> Column:
         straddles = (e["a"]["y"] > y) != (e["b"]["y"] > y)
         return straddles & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / F.nullif(e["b"]["y"] - e["a"]["y"], F.lit(0.0)) + e["a"]["x"])
 
-    return F.size(F.filter(edges(ring), lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+    return F.size(F.filter(sides, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
 
 
 def segment_distance(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
@@ -84,9 +89,9 @@ def segment_distance(x: Column, y: Column, ax: Column, ay: Column, bx: Column, b
 
 def smallest_container(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, x: str, y: str, ring: str, size: float) -> DataFrame:
     """Points with the smallest polygon that holds them: (point_key, polygon_key, _area); the smaller key of equal areas. Points in none are left out."""
-    sized = polygons.withColumn("_area", ring_area(F.col(ring)))
+    sized = polygons.select(polygon_key, ring_area(F.col(ring)).alias("_area"), edges(F.col(ring)).alias("_sides"), box_of(F.col(ring)).alias("_around"))
     spot = box(F.col(x), F.col(y), F.col(x), F.col(y))
-    pairs = cell_join(points, sized, spot, box_of(F.col(ring)), size, inside(F.col(x), F.col(y), F.col(ring)))
+    pairs = cell_join(points.select(point_key, x, y), sized, spot, F.col("_around"), size, within(F.col(x), F.col(y), F.col("_sides")))
     best = pairs.groupBy(point_key).agg(F.min(F.struct(F.col("_area").alias("a"), F.col(polygon_key).alias("k"))).alias("_best"))
     return best.select(point_key, F.col("_best.k").alias(polygon_key), F.col("_best.a").alias("_area"))
 

@@ -18,8 +18,9 @@ def words(text: str) -> int:
 def chunk(text: str | None, most: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOKENS, measure=words) -> list[str]:
     """Paragraphs packed greedily into chunks of at most `most` tokens.
 
-    A chunk starts with the last whole paragraphs of the one before, as many as fit `overlap` tokens. A paragraph that is
-    too long by itself is cut at words. measure counts the tokens of a text.
+    A chunk starts with the last whole paragraphs of the one before, as many as fit `overlap` tokens; the oldest of them go
+    until the next paragraph fits too. A paragraph that is too long by itself is cut at words, where as many are taken as
+    measure, which counts the tokens of a text, allows.
     """
     units: list[str] = []
     for paragraph in (p.strip() for p in (text or "").split("\n\n")):
@@ -28,27 +29,34 @@ def chunk(text: str | None, most: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOK
         if measure(paragraph) <= most:
             units.append(paragraph)
             continue
-        part: list[str] = []
-        for w in paragraph.split():
-            if part and measure(" ".join([*part, w])) > most if measure is not words else len(part) >= most:
-                units.append(" ".join(part))
-                part = []
-            part.append(w)
-        units.append(" ".join(part))
+        rest, at = paragraph.split(), 0
+        while at < len(rest):
+            n = 1
+            if measure is words:
+                n = most
+            else:  # the most words that fit, by doubling and then halving
+                fits = lambda k, at=at: measure(" ".join(rest[at : at + k])) <= most
+                while at + n < len(rest) and fits(2 * n):
+                    n *= 2
+                step = n
+                while step := step // 2:
+                    n += step if fits(n + step) else 0
+            units.append(" ".join(rest[at : at + n]))
+            at += n
     chunks, now, size = [], [], 0
     for u in units:
         n = measure(u)
         if now and size + n > most:
-            chunks.append("\n\n".join(now))
-            tail, held = [], 0
-            for x in reversed(now):
-                if held + measure(x) > overlap:
-                    break
-                tail, held = [x, *tail], held + measure(x)
-            now, size = (tail, held) if held + n <= most else ([], 0)
-        now.append(u)
+            chunks.append("\n\n".join(x for x, _ in now))
+            first, held = len(now), 0
+            while first and held + now[first - 1][1] <= overlap:
+                first, held = first - 1, held + now[first - 1][1]
+            while first < len(now) and held + n > most:
+                first, held = first + 1, held - now[first][1]
+            now, size = now[first:], held
+        now.append((u, n))
         size += n
-    return [*chunks, "\n\n".join(now)] if now else chunks
+    return [*chunks, "\n\n".join(x for x, _ in now)] if now else chunks
 
 
 def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = CHUNK_TOKENS, overlap: int = OVERLAP_TOKENS) -> DataFrame:
@@ -81,9 +89,16 @@ def links(html: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(html, F.lit(r"<a href=\"([^\"#]+)\""), F.lit(1)))
 
 
-def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, no fragment, no slash at the end."""
-    bare = F.regexp_replace(url, r"#.*$", "")
+def canonical_url(url: Column, drop_query: bool = False, one_scheme: bool = False, drop_www: bool = False) -> Column:
+    """Scheme and host in lower case, no fragment, no slash at the end.
+
+    On demand without the query, with https for http, and without a leading www.
+    """
+    bare = F.regexp_replace(url, r"[?#].*$" if drop_query else r"#.*$", "")
+    if one_scheme:
+        bare = F.regexp_replace(bare, r"(?i)^http://", "https://")
+    if drop_www:
+        bare = F.regexp_replace(bare, r"(?i)^([a-z][a-z0-9+.-]*://)www\.", "$1")
     head = F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)?", 1))
     rest = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*", "")
     return F.regexp_replace(F.concat(head, rest), r"/+$", "")

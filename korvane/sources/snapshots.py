@@ -58,9 +58,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[
 
 
 def cell_text(df: DataFrame, column: str) -> Column:
-    """A cell as text: nulls as such, doubles at 12 significant digits, so that the last bits don't count."""
+    """A cell as text: nulls as such, doubles at 12 significant digits, so that the last bits don't count. NaN is null and -0 is 0."""
     kind = dict(df.dtypes)[column]
     c = F.col(column)
+    if kind in ("double", "float"):
+        c = F.when(~F.isnan(c), c + F.lit(0.0).cast(kind))
     text = F.format_string("%.11e", c.cast("double")) if kind in ("double", "float") else F.to_json(c) if kind.startswith(("struct", "array", "map")) else c.cast("string")
     return F.when(c.isNull(), F.lit("\x00")).otherwise(text)
 
