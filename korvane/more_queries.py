@@ -11,30 +11,10 @@ from .plans import opportunities, programs
 from .queries import PLACES_SQL, boxes, places, query, table
 
 
-@query("""
-WITH RECURSIVE i AS (SELECT o_orderkey AS item, o_custkey, o_orderdate, o_orderpriority, o_orderstatus FROM orders WHERE o_totalprice > 470000),
-k AS (SELECT item, 'c:' || o_custkey AS key, o_orderpriority AS occasion FROM i UNION ALL SELECT item, 'd:' || strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority FROM i),
-rare AS (SELECT item, key FROM k WHERE key NOT IN (SELECT key FROM k WHERE key LIKE 'd:%' GROUP BY key HAVING count(DISTINCT occasion) >= 2)),
-e AS (SELECT DISTINCT a.item AS a, b.item AS b FROM rare a JOIN rare b USING (key)),
-r AS (SELECT item AS a, item AS b FROM i UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
-g AS (SELECT a AS item, min(b) AS grp FROM r GROUP BY a),
-m AS (SELECT grp, o_orderpriority AS kind, count(*) AS n FROM g JOIN i USING (item) GROUP BY ALL)
-SELECT grp AS group_id, count(*) AS n_items, min(o_orderdate) AS first_date, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS statuses,
-  (SELECT kind FROM m WHERE m.grp = x.grp ORDER BY n DESC, kind LIMIT 1) AS kind
-FROM g x JOIN i USING (item) GROUP BY grp HAVING bool_or(o_orderstatus = 'F')
-""")
-def decision_links(spark, sf_dir):
-    """Large orders stand in for items, their customers and dates for the keys that link them; decision_links_all takes all orders."""
-    return decided_groups(table(spark, sf_dir, "orders").where("o_totalprice > 470000"))
-
-
 @query()
-def decision_links_all(spark, sf_dir):
-    return decided_groups(table(spark, sf_dir, "orders"))
-
-
-def decided_groups(orders):
-    i = orders.withColumn("item", F.col("o_orderkey"))
+def decision_links(spark, sf_dir):
+    """All orders stand in for items, their customers and dates for the keys that link them. A test holds it against union-find."""
+    i = table(spark, sf_dir, "orders").withColumn("item", F.col("o_orderkey"))
     key = F.explode(F.array(F.concat(F.lit("c:"), F.col("o_custkey").cast("string")), F.concat(F.lit("d:"), F.date_format("o_orderdate", "yyyy-MM-dd"))))
     keys = linking.rare_keys(i.select("item", key.alias("key"), "o_orderpriority"), "o_orderpriority", 2, "d:")
     linked = linking.link_items(keys, i).withColumn("decided", F.col("o_orderstatus") == "F").withColumn("first_date", F.col("o_orderdate")).withColumn("kind", F.col("o_orderpriority"))
@@ -80,7 +60,7 @@ def zone_pieces(spark, sf_dir):
 
 @query("""
 WITH p AS (SELECT c_custkey AS pt, c_custkey * 7919 % 2003 + 0.5::DOUBLE AS x, c_custkey * 104729 % 2003 + 0.25::DOUBLE AS y FROM customer),
-b AS (SELECT p_partkey AS area, CAST(p_partkey * 6007 % 2003 AS DOUBLE) AS x0, CAST(p_partkey * 3331 % 2003 AS DOUBLE) AS y0, p_partkey % 30 + 2 AS s FROM part WHERE p_partkey % 4 = 0),
+b AS (SELECT p_partkey AS area, CAST(p_partkey * 6007 % 2003 AS DOUBLE) AS x0, CAST(p_partkey * 3331 % 2003 AS DOUBLE) AS y0, p_partkey % 30 + 2 AS s FROM part),
 w AS (SELECT pt, area FROM p JOIN b ON x >= x0 AND x < x0 + s AND y >= y0 AND y < y0 + s QUALIFY row_number() OVER (PARTITION BY pt ORDER BY s * s, area) = 1),
 n AS (SELECT pt, area, greatest(x0 - x, x - x0 - s, 0) AS dx, greatest(y0 - y, y - y0 - s, 0) AS dy FROM p JOIN b ON x >= x0 - 12 AND x <= x0 + s + 12 AND y >= y0 - 12 AND y <= y0 + s + 12 WHERE pt NOT IN (SELECT pt FROM w)),
 t AS (SELECT pt, area FROM n WHERE sqrt(dx * dx + dy * dy) <= 12 QUALIFY row_number() OVER (PARTITION BY pt ORDER BY round(sqrt(dx * dx + dy * dy), 9), area) = 1)
@@ -90,7 +70,7 @@ def contained_or_snapped(spark, sf_dir):
     p = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pt"), (F.col("c_custkey") * 7919 % 2003 + 0.5).alias("x"), (F.col("c_custkey") * 104729 % 2003 + 0.25).alias("y"))
     x0, y0, s = (F.col("p_partkey") * 6007 % 2003).cast("double"), (F.col("p_partkey") * 3331 % 2003).cast("double"), F.col("p_partkey") % 30 + 2
     corner = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
-    b = table(spark, sf_dir, "part").where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("area"), F.array(corner(x0, y0), corner(x0 + s, y0), corner(x0 + s, y0 + s), corner(x0, y0 + s)).alias("ring"))
+    b = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("area"), F.array(corner(x0, y0), corner(x0 + s, y0), corner(x0 + s, y0 + s), corner(x0, y0 + s)).alias("ring"))
     return spatial.contained_or_snapped(p, b, "pt", "area", "x", "y", "ring", 50.0, 12.0)
 
 
@@ -149,25 +129,18 @@ def tile_cover(spark, sf_dir):
     return rows.groupBy(F.col("tx").cast("long").alias("tx"), F.col("ty").cast("long").alias("ty")).agg(F.count("*").alias("n"), F.max("c_acctbal").alias("largest"))
 
 
-@query("""
-WITH w AS (SELECT doc_id, 'text' AS field, 0.4 AS weight, unnest(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS word FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7f]')
-  UNION ALL SELECT doc_id, 'source', 1.0, lower(source) FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7f]')),
-h AS (SELECT doc_id, field, word, max(weight) * (1 + ln(count(*))) AS s FROM w WHERE word IN ('licensed', 'license', 'gnu', 'src3') GROUP BY ALL)
+FOLD_SQL = "trim(regexp_replace(lower(translate(replace(replace({}, 'œ', 'oe'), 'æ', 'ae'), '" + C.ACCENTS + "', '" + C.PLAIN + "')), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""
+WITH w AS (SELECT doc_id, 'text' AS field, 0.4 AS weight, unnest(string_split({FOLD_SQL.format("text")}, ' ')) AS word FROM documents
+  UNION ALL SELECT doc_id, 'source', 1.0, unnest(string_split({FOLD_SQL.format("source")}, ' ')) FROM documents),
+h AS (SELECT doc_id, field, word, max(weight) * (1 + ln(count(*))) AS s FROM w WHERE word IN ('licensed', 'license', 'gnu', 'src3', 'ete') GROUP BY ALL)
 SELECT doc_id, round(sum(s), 6) AS score, count(DISTINCT word) AS n_words FROM h GROUP BY doc_id ORDER BY n_words DESC, round(sum(s), 9) DESC, doc_id LIMIT 20
 """)
 def full_text_search(spark, sf_dir):
-    """ASCII texts only, as its SQL does not fold accents; full_text_search_all searches all documents."""
-    return licence_hits(table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7f]")))
-
-
-@query()
-def full_text_search_all(spark, sf_dir):
-    """All documents: texts beyond ASCII are folded, and a row with a null text is found by its source."""
-    return licence_hits(table(spark, sf_dir, "documents"))
-
-
-def licence_hits(docs):
-    return fulltext.search(docs, [("text", "B"), ("source", "A")], "Licensed license GNU src3", 20, "doc_id").withColumn("score", F.round("score", 6))
+    """All documents: accents are folded in texts and words asked for, and a row with a null text is found by its source."""
+    return fulltext.search(table(spark, sf_dir, "documents"), [("text", "B"), ("source", "A")], "Licensed license GNU src3 ÉTÉ", 20, "doc_id").withColumn("score", F.round("score", 6))
 
 
 @query("""
@@ -185,15 +158,17 @@ def published_figures(spark, sf_dir):
 
 
 @query("""
-WITH e AS (SELECT vec_id, label, CAST(vec_id AS VARCHAR) AS chunk_id FROM embeddings),
-old AS (SELECT *, 1 AS scrape_date FROM e WHERE vec_id % 3 != 0), new AS (SELECT *, 2 AS scrape_date FROM e WHERE vec_id % 2 = 0 AND label < 5)
-SELECT label, chunk_id, max(scrape_date) AS scrape_date FROM (SELECT * FROM old UNION ALL SELECT * FROM new) GROUP BY ALL
+WITH e AS (SELECT vec_id, label, CAST(vec_id AS VARCHAR) AS chunk_id, embedding FROM embeddings),
+old AS (SELECT *, 1 AS scrape_date FROM e WHERE vec_id % 3 != 0), new AS (SELECT * REPLACE (list_reverse(embedding) AS embedding), 2 AS scrape_date FROM e WHERE vec_id % 2 = 0 AND label < 5)
+SELECT label, chunk_id, max(scrape_date) AS scrape_date, len(arg_max(embedding, scrape_date)) AS dimension, round(CAST(arg_max(embedding, scrape_date)[1] AS DOUBLE), 6) AS first_component FROM (SELECT * FROM old UNION ALL SELECT * FROM new) GROUP BY label, chunk_id
 HAVING max(scrape_date) = 2 OR label NOT IN (SELECT label FROM new)
 """)
 def index_load(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("vec_id").cast("string").alias("chunk_id"))
-    out = retrieval.load_index(e.where("vec_id % 3 != 0").withColumn("scrape_date", F.lit(1)), e.where("vec_id % 2 = 0 AND label < 5").withColumn("scrape_date", F.lit(2)), ["label", "chunk_id"])
-    return out.select("label", "chunk_id", "scrape_date")
+    """A second load of even ids of five labels, with vectors turned round, over a first one; the rows carry their vectors."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("vec_id").cast("string").alias("chunk_id"), "embedding")
+    again = e.where("vec_id % 2 = 0 AND label < 5").withColumn("embedding", F.reverse("embedding")).withColumn("scrape_date", F.lit(2))
+    out = retrieval.load_index(e.where("vec_id % 3 != 0").withColumn("scrape_date", F.lit(1)), again, ["label", "chunk_id"])
+    return out.select("label", "chunk_id", "scrape_date", F.size("embedding").cast("long").alias("dimension"), F.round(F.get("embedding", 0).cast("double"), 6).alias("first_component"))
 
 
 @query("""

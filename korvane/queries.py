@@ -107,30 +107,15 @@ def share_allocation(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("allocated_share", 6).alias("allocated_share"), F.round("allocated", 2).alias("allocated"), "allocated_basis")
 
 
-@query("""
-WITH s AS (SELECT c_mktsegment, o_orderpriority, count(*) AS n, round(avg(o_totalprice), 2) AS mean_price FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 480000 GROUP BY ALL)
-SELECT m.c_mktsegment, p.o_orderpriority, coalesce(s.n, 0) AS n, s.mean_price
-FROM (SELECT DISTINCT c_mktsegment FROM customer) m CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p
-LEFT JOIN s ON s.c_mktsegment = m.c_mktsegment AND s.o_orderpriority = p.o_orderpriority
-""")
-def densified_grid(spark, sf_dir):
-    """Large orders only, so that some combinations are empty; densified_grid_all takes all orders."""
-    return segment_grid(spark, sf_dir, "o_totalprice > 480000")
-
-
 @query("""
 WITH s AS (SELECT c_mktsegment, o_orderpriority, count(*) AS n, round(avg(o_totalprice), 2) AS mean_price FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
 SELECT m.c_mktsegment, p.o_orderpriority, coalesce(s.n, 0) AS n, s.mean_price
 FROM (SELECT DISTINCT c_mktsegment FROM customer) m CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p
 LEFT JOIN s ON s.c_mktsegment = m.c_mktsegment AND s.o_orderpriority = p.o_orderpriority
 """)
-def densified_grid_all(spark, sf_dir):
-    return segment_grid(spark, sf_dir, "true")
-
-
-def segment_grid(spark, sf_dir, counted: str) -> DataFrame:
+def densified_grid(spark, sf_dir):
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    stats = orders.where(counted).join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
+    stats = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
     return relational.densify(stats, [customers.select("c_mktsegment").distinct(), orders.select("o_orderpriority").distinct()], {"n": 0})
 
 
@@ -198,8 +183,10 @@ SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.1), 4)
 FROM lineitem GROUP BY ALL
 """)
 def percentiles(spark, sf_dir):
-    p = lambda q: F.round(F.percentile("l_extendedprice", q), 4)
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(p(0.1).alias("p10"), p(0.5).alias("p50"), p(0.9).alias("p90"), F.countDistinct(F.struct("l_partkey", "l_suppkey")).alias("pairs"))
+    rows, keys = table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"]
+    found = relational.exact_percentiles(rows, keys, "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+    pairs = rows.groupBy(*keys).agg(F.countDistinct(F.struct("l_partkey", "l_suppkey")).alias("pairs"))
+    return found.join(pairs, keys).select(*keys, *[F.round(c, 4).alias(c) for c in ("p10", "p50", "p90")], "pairs")
 
 
 @query("""
@@ -242,24 +229,10 @@ def star_profile(spark, sf_dir):
     return out.select("n_name", "r_name", F.coalesce("customers", F.lit(0)).alias("customers"), F.coalesce("suppliers", F.lit(0)).alias("suppliers"), F.round(F.coalesce("ordered", F.lit(0.0)), 2).alias("ordered"))
 
 
-@query("""
-WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, 1000000000 + l_orderkey AS b FROM lineitem WHERE l_extendedprice > 99000),
-both_ AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-reach AS (SELECT DISTINCT a AS node, a AS other FROM both_ UNION SELECT r.node, t.b FROM reach r JOIN both_ t ON r.other = t.a)
-SELECT node, min(other) AS component FROM reach GROUP BY node
-""")
-def connected_components(spark, sf_dir):
-    """Dear lines only, for the recursive SQL; connected_components_all takes the whole table."""
-    return part_components(table(spark, sf_dir, "lineitem").where("l_extendedprice > 99000"))
-
-
 @query()
-def connected_components_all(spark, sf_dir):
-    return part_components(table(spark, sf_dir, "lineitem"))
-
-
-def part_components(lines: DataFrame) -> DataFrame:
-    return components(lines.select(F.col("l_partkey").alias("a"), (F.lit(1000000000) + F.col("l_orderkey")).alias("b")))
+def connected_components(spark, sf_dir):
+    """Parts and orders linked by lines, all of them. The recursive SQL holds every pair of a component, so a test holds it against union-find."""
+    return components(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (F.lit(1000000000) + F.col("l_orderkey")).alias("b")))
 
 
 # Values and opportunities.
@@ -515,30 +488,16 @@ def nearest_within(spark, sf_dir):
 # Texts and vectors.
 
 
-@query("""
-WITH q AS (SELECT vec_id AS query_id, label, embedding AS e FROM embeddings WHERE vec_id % 100 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM (
-  SELECT query_id, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.e AS DOUBLE[])) AS score FROM q JOIN embeddings v ON v.label = q.label)
-QUALIFY rank <= 5
-""")
-def cosine_topk(spark, sf_dir):
-    """Half of the stated queries; cosine_topk_all takes every id divisible by 50."""
-    return nearest_of_label(spark, sf_dir, "vec_id % 100 = 0")
-
-
 @query("""
 WITH q AS (SELECT vec_id AS query_id, label, embedding AS e FROM embeddings WHERE vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM (
-  SELECT query_id, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.e AS DOUBLE[])) AS score FROM q JOIN embeddings v ON v.label = q.label)
+  SELECT query_id, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.e AS DOUBLE[])) AS score FROM q JOIN embeddings v ON v.label = q.label AND v.vec_id != query_id)
 QUALIFY rank <= 5
 """)
-def cosine_topk_all(spark, sf_dir):
-    return nearest_of_label(spark, sf_dir, "vec_id % 50 = 0")
-
-
-def nearest_of_label(spark, sf_dir, asked: str) -> DataFrame:
+def cosine_topk(spark, sf_dir):
+    """The stated queries are the ids divisible by 50, each against all other rows of its label."""
     e = table(spark, sf_dir, "embeddings")
-    q = e.where(asked).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), "label")
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), "label")
     return retrieval.search_many(e, q, 5, "vec_id", "embedding", ["label"]).withColumn("score", F.round("score", 6))
 
 
@@ -583,9 +542,18 @@ def chunk_documents(spark, sf_dir):
     return texts.chunk_documents(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query("""
+WITH o AS (SELECT o_custkey AS page_id, o_orderkey, o_orderstatus, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS row FROM orders)
+SELECT page_id, 0 AS "table", 0 AS row, 0 AS col, 'order' AS text FROM o GROUP BY 1 UNION ALL SELECT page_id, 0, 0, 1, 'status & state' FROM o GROUP BY 1
+UNION ALL SELECT page_id, 0, row, 0, CAST(o_orderkey AS VARCHAR) FROM o UNION ALL SELECT page_id, 0, row, 1, o_orderstatus FROM o
+UNION ALL SELECT page_id, 1, 0, 0, CAST(count(*) AS VARCHAR) FROM o GROUP BY 1
+""")
 def html_tables(spark, sf_dir):
-    return texts.html_tables(table(spark, sf_dir, "pages"))
+    """A page for each customer, with a table of its orders, loosely closed as pages are, and one of their number; the given pages hold no tables."""
+    line = F.concat(F.lit("<TR><td>"), F.col("o_orderkey").cast("string"), F.lit("\n<td class=s><b> "), F.col("o_orderstatus"), F.lit(" </b></td>"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("l")))), lambda e: e["l"]), "\n")
+    html = F.concat(F.lit("<p>x<table><thead><tr><th>order<th>status &amp; state</tr></thead>"), lines, F.lit("</table><hr><table><tr><td>"), F.count("*").cast("string"), F.lit("</table>"))
+    return texts.html_tables(table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("page_id")).agg(html.alias("html")))
 
 
 @query("""
@@ -597,12 +565,12 @@ def json_props(spark, sf_dir):
 
 
 @query("""
-WITH d AS (SELECT sha256(concat_ws(chr(31), n_name, CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS VARCHAR))) AS d FROM nation),
+WITH d AS (SELECT sha256(concat_ws(chr(31), format('{:.11e}', c_acctbal), CAST(c_custkey AS VARCHAR), c_mktsegment, c_name, CAST(c_nationkey AS VARCHAR))) AS d FROM customer),
 g AS (SELECT substr(d, 1, 4) AS g, sha256(string_agg(d, '' ORDER BY d)) AS d, count(*) AS n FROM d GROUP BY 1)
-SELECT sha256('korvane.digest.v1' || chr(31) || 'n_name' || chr(31) || 'n_nationkey' || chr(31) || 'n_regionkey' || string_agg(d, '' ORDER BY g)) AS digest, CAST(sum(n) AS BIGINT) AS n_rows FROM g
+SELECT sha256('korvane.digest.v1' || chr(31) || concat_ws(chr(31), 'c_acctbal', 'c_custkey', 'c_mktsegment', 'c_name', 'c_nationkey') || string_agg(d, '' ORDER BY g)) AS digest, CAST(sum(n) AS BIGINT) AS n_rows FROM g
 """)
 def content_digest(spark, sf_dir):
-    return snapshots.content_digest(table(spark, sf_dir, "nation"))
+    return snapshots.content_digest(table(spark, sf_dir, "customer"))
 
 
 @query("""
