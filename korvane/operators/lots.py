@@ -37,6 +37,12 @@ def frontage(shared: DataFrame, least: float = LEAST_FRONTAGE_M) -> DataFrame:
     return ranked.groupBy("lot").agg(at(1, "road").alias("primary_road"), at(1, "length").alias("primary_m"), at(2, "road").alias("secondary_road"), at(2, "length").alias("secondary_m"), F.count("*").alias("num_frontages"))
 
 
+def piece_frontage(shared: DataFrame, keys: tuple[str, ...] = ("lot", "zone"), least: float = LEAST_FRONTAGE_M) -> DataFrame:
+    """(keys, road, length, frontage_rank): frontages of at least `least` ranked anew within each piece of a lot."""
+    w = Window.partitionBy(*keys).orderBy(F.desc("length"), "road")
+    return shared.where(F.col("length") >= least).withColumn("frontage_rank", F.row_number().over(w)).select(*keys, "road", "length", "frontage_rank")
+
+
 def zone_pieces(overlaps: DataFrame) -> DataFrame:
     """Pieces of lots by zone from overlaps (lot, zone, area, lot_area): those that count, with share, rank and the number of zones."""
     share = F.col("area") / F.nullif("lot_area", F.lit(0.0))

@@ -34,6 +34,11 @@ def adaptive_cut(keys: DataFrame, key: str, budget: int, coarsest: int, finest:
     return with_above.where(fits & first).select("quadkey", "zoom", "n")
 
 
+def cell_bridge(lots: DataFrame, key: str, cut: DataFrame, borough: str, coarsest: int, finest: int) -> DataFrame:
+    """(borough, cell): which cells of a cut hold lots of which borough, each pair once; lots outside the cut or without a borough count in none."""
+    return cell_in_cut(lots, key, cut, coarsest, finest).where(F.col("cell").isNotNull() & F.col(borough).isNotNull()).select(borough, "cell").distinct()
+
+
 def cell_in_cut(df: DataFrame, key: str, cut: DataFrame, coarsest: int, finest: int) -> DataFrame:
     """df with the cell of the cut that each key lies under, as `cell`; null outside.
 

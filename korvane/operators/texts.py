@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -70,6 +71,42 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select("doc_id", "chunk_index", F.format_string("%s:%04d", F.col("doc_id").cast("string"), "chunk_index").alias("chunk_id"), F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")).alias("num_tokens"), "text")
 
 
+def chunk_spans(docs: DataFrame, chunks: DataFrame, most_words: int = 6) -> DataFrame:
+    """(doc_id, chunk_index, start, end): where each chunk of chunks (doc_id, chunk_index, text) stands in the whole text of docs (doc_id, text).
+
+    The first and the last words of a chunk are looked for from where the chunk before began, as chunks overlap; white
+    space may differ. start and end are null where they are not found.
+    """
+
+    def locate(text: str, piece: str, at: int) -> tuple[int | None, int | None]:
+        own = piece.split()
+        look = lambda ws, start: re.compile(r"\s+".join(map(re.escape, ws))).search(text, start) if ws else None
+        head = look(own[:most_words], at)
+        tail = look(own[-most_words:], max(head.start(), head.start() + len("".join(own)) - len("".join(own[-most_words:]))) if head else at)
+        return (head.start(), tail.end()) if head and tail else (None, None)
+
+    @F.pandas_udf("array<struct<chunk_index:int,start:int,end:int>>")
+    def spans(texts: pd.Series, pieces: pd.Series) -> pd.Series:
+        out = []
+        for text, rows in zip(texts, pieces, strict=True):
+            at, found = 0, []
+            for r in rows:
+                start, end = locate(text or "", r["text"] or "", at)
+                at = start if start is not None else at
+                found.append({"chunk_index": r["chunk_index"], "start": start, "end": end})
+            out.append(found)
+        return pd.Series(out)
+
+    lists = chunks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))).alias("pieces"))
+    return docs.select("doc_id", "text").join(lists, "doc_id").select("doc_id", F.explode(spans("text", "pieces")).alias("s")).select("doc_id", "s.*")
+
+
+def chunks_over(spans: DataFrame, marks: DataFrame) -> DataFrame:
+    """(mark, doc_id, chunk_index): the chunks that a stretch of text, marks (mark, doc_id, mark_start, mark_end), shares characters with."""
+    pairs = spans.join(marks, "doc_id").where((F.col("start") < F.col("mark_end")) & (F.col("end") > F.col("mark_start")))
+    return pairs.select("mark", "doc_id", "chunk_index")
+
+
 #: Fixed patterns of fields in running text.
 FIELDS = {
     "emails": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",

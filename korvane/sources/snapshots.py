@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.relational import latest_per_key
+from ..operators.relational import latest_per_key, not_in
+from ..storage import exists, names
 
 SEPARATOR = "\x1f"
 
@@ -18,6 +20,43 @@ def overwrite(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
+def publish(frames: dict[str, DataFrame], root: str, partitions: Sequence[str] = ()) -> int:
+    """Write several datasets and show them at once: returns the version. Until its last step readers see the version before.
+
+    Each dataset goes to a folder of its own; a manifest, written last, names the folders of all datasets of the version.
+    """
+    spark = next(iter(frames.values())).sparkSession
+    version, at = published(spark, root)
+    for name, df in frames.items():
+        folder = f"{name}/{uuid.uuid4().hex}"
+        writer = df.write.partitionBy(*partitions) if partitions else df.write
+        writer.parquet(f"{root}/{folder}")
+        at[name] = folder
+    spark.createDataFrame(sorted(at.items()), "dataset string, folder string").coalesce(1).write.mode("overwrite").json(f"{root}/manifest-{version + 1}")
+    return version + 1
+
+
+def published(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """The newest whole version under root, and the folder of each dataset."""
+    done = [int(n.rpartition("-")[2]) for n in names(spark, root) if n.startswith("manifest-") and exists(spark, f"{root}/{n}/_SUCCESS")]
+    if not done:
+        return 0, {}
+    rows = spark.read.schema("dataset string, folder string").json(f"{root}/manifest-{max(done)}").collect()  # a row for each dataset
+    return max(done), {r["dataset"]: r["folder"] for r in rows}
+
+
+def read_published(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{published(spark, root)[1][dataset]}")
+
+
+def left_to_do(todo: DataFrame, done: DataFrame, keys: Sequence[str], settings: dict[str, object]) -> DataFrame:
+    """Rows of todo whose key is not among the done ones that were made with the same settings (columns of done): what a stopped job has left."""
+    same = F.lit(True)
+    for name, value in settings.items():
+        same = same & F.col(name).eqNullSafe(F.lit(value))
+    return not_in(todo, done.where(same), keys)
+
+
 def write_vectors(df: DataFrame, path: str, vector: str, dimension: int) -> None:
     """Refuse vectors of another length, then write."""
     wrong = df.where(F.coalesce(F.size(vector) != dimension, F.lit(True))).limit(1).count()

@@ -11,7 +11,7 @@ import unicodedata
 from collections import Counter
 
 import pytest
-from korvane import more_queries  # noqa: F401
+from korvane import more_queries, site_queries  # noqa: F401
 from korvane.functions import columns as C
 from korvane.operators import lots, pyramid, relational, retrieval, spatial, texts
 from korvane.plans import programs
