@@ -53,6 +53,21 @@ def yearly_income(dwellings: Column, rent: Column, area_m2: Column, rate_per_squ
     return flats + floors
 
 
+def moved(value: Column, period: Column, index_then: Column, newest: Column, index_now: Column) -> Column:
+    """A value of one period moved to the newest of its index, as struct(value, period, basis).
+
+    measured where the periods are the same and the index has them, escalated where it was moved, else unescalated and as
+    it was. The index is that of the value's own series.
+    """
+    ok = index_then.isNotNull() & index_now.isNotNull() & (index_then > 0)
+    same = ok & (period == newest)
+    return F.struct(
+        F.when(ok & ~same, value * index_now / index_then).otherwise(value).alias("value"),
+        F.when(ok, newest).otherwise(period).alias("period"),
+        F.when(same, "measured").when(ok, "escalated").otherwise("unescalated").alias("basis"),
+    )
+
+
 def escalated(value: Column, index_then: Column, index_now: Column) -> Column:
     """A value moved by the ratio of an index, as struct(value, basis): escalated, or as it was where the index lacks a period."""
     ok = index_then.isNotNull() & index_now.isNotNull() & (index_then > 0)

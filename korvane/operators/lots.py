@@ -58,6 +58,38 @@ def permitted_floors(floors_max: Column, height_max: Column, ground: float = 4.0
     return F.least(floors_max.cast("long"), by_height.cast("long"))
 
 
+#: Dwellings that each class of housing may hold, null without a limit.
+CLASS_DWELLINGS = {"H.1": 1, "H.2": 2, "H.3": 3, "H.4": 8, "H.5": 12, "H.6": 36, "H.7": None}
+#: Levels a grid may mark for a use.
+ALL, ALL_BUT_GROUND, GROUND, BELOW, SECOND = "all", "all_except_ground", "ground", "below_ground", "second"
+
+
+def storeys_by_levels(levels: Column, total: Column) -> Column:
+    """How many of a building's storeys the marked levels (an array) give a use: they add up, to the whole at most; a cellar is no storey."""
+    share = lambda x: F.when(x == ALL, total).when(x == ALL_BUT_GROUND, F.greatest(total - 1, F.lit(0))).when(x.isin(GROUND, SECOND), F.lit(1)).otherwise(F.lit(0)).cast("int")
+    return F.least(F.aggregate(F.array_distinct(levels), F.lit(0), lambda s, x: s + share(x)), total.cast("int"))
+
+
+def basement_levels(levels: Column, dwellings: bool, allowed: int = 1) -> Column:
+    """Levels below ground that the marks allow: dwellings need the mark for it, other uses have it with 'all levels' too."""
+    reach = F.array_contains(levels, BELOW) if dwellings else F.array_contains(levels, BELOW) | F.array_contains(levels, ALL)
+    return F.when(F.coalesce(reach, F.lit(False)), allowed).otherwise(0)
+
+
+def storey_ceiling(height_max: Column, storey: float = 3.0) -> Column:
+    """The most storeys a height could hold, one at least; null without a height."""
+    return F.when(height_max.isNotNull(), F.greatest(F.floor(height_max / storey), F.lit(1)).cast("int"))
+
+
+def class_max_dwellings(usages: Column) -> Column:
+    """The limit of the most permissive housing class among usage codes (an array), footnotes aside. Null without housing, with a class that has no limit, and with a code of no class."""
+    codes = F.transform(usages, lambda u: F.trim(F.regexp_replace(u, r"\(\s*\d+\s*\)", "")))
+    homes = F.filter(codes, lambda u: u.rlike(r"^H(\.\d+[A-Za-z]?)?$"))
+    limits = F.create_map(*[F.lit(x) for k, v in CLASS_DWELLINGS.items() if v is not None for x in (k, v)])
+    caps = F.transform(homes, lambda u: F.try_element_at(limits, F.regexp_extract(u, r"^(H\.\d+)", 1)))
+    return F.when(~F.exists(caps, lambda c: c.isNull()), F.array_max(caps))
+
+
 def floor_stack(parts: list[tuple[str, Column, Column]]) -> Column:
     """Runs of floors as array<struct(use, from_level, to_level, floors, area)>, the parts in the order given from level 1; parts without floors are left out."""
     runs = F.filter(F.array(*[F.struct(F.lit(use).alias("use"), F.coalesce(n, F.lit(0)).cast("int").alias("floors"), plate.cast("double").alias("plate")) for use, n, plate in parts]), lambda r: r["floors"] > 0)

@@ -34,6 +34,16 @@ def adaptive_cut(keys: DataFrame, key: str, budget: int, coarsest: int, finest:
     return with_above.where(fits & first).select("quadkey", "zoom", "n")
 
 
+def require_in_cut(df: DataFrame, key: str, cut: DataFrame, coarsest: int, finest: int, what: str) -> DataFrame:
+    """df with its cells, or an error that counts the rows with a key under no cell and names three of the keys."""
+    placed = cell_in_cut(df, key, cut, coarsest, finest)
+    lost = placed.where(F.col("cell").isNull() & F.col(key).isNotNull())
+    some = [r[0] for r in lost.select(key).distinct().orderBy(key).limit(3).collect()]
+    if some:
+        raise ValueError(f"{what}: {lost.count()} rows outside the cut, such as {', '.join(some)}")
+    return placed
+
+
 def cell_bridge(lots: DataFrame, key: str, cut: DataFrame, borough: str, coarsest: int, finest: int) -> DataFrame:
     """(borough, cell): which cells of a cut hold lots of which borough, each pair once; lots outside the cut or without a borough count in none."""
     return cell_in_cut(lots, key, cut, coarsest, finest).where(F.col("cell").isNotNull() & F.col(borough).isNotNull()).select(borough, "cell").distinct()

@@ -191,6 +191,21 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     return pages.select(F.col(id_col).alias("page_id"), F.explode(cells(F.col(html_col))).alias("_c")).select("page_id", "_c.*")
 
 
+def pipe_tables(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, row, col, text): cells of tables that plain text prints with ' | ' between them; other lines are passed over."""
+    rows = docs.select(F.col(id_col), F.posexplode(F.filter(F.split(text_col, "\\r?\\n"), lambda x: F.contains(x, F.lit(" | ")))).alias("row", "_l"))
+    cells = rows.select(id_col, "row", F.posexplode(F.split("_l", r"\|")).alias("col", "text"))
+    return cells.withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
+
+
+def link_kind(url: Column, kinds: list[tuple[str, str]]) -> Column:
+    """The first kind whose pattern a link meets; null where it meets none. kinds: (kind, pattern over the whole address)."""
+    out = F.lit(None).cast("string")
+    for kind, pattern in reversed(kinds):
+        out = F.when(url.rlike(pattern), kind).otherwise(out)
+    return out
+
+
 def first_mentions(docs: DataFrame, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, mention, place): each different match of a pattern in a text, and which match (from 0) it first is."""
     found = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("place", "mention"))

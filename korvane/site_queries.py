@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .functions import geodesy, planning
+from .functions import finance, geodesy, planning
 from .functions.columns import truth
 from .operators import lots, placement, polygons, texts
-from .plans import envelopes, payloads
+from .plans import envelopes, payloads, proforma
 from .queries import PLACES_SQL, places, query, table
 from .sources import grids
 
@@ -369,3 +369,76 @@ def optional_columns(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_lines"))
     out = payloads.with_optional(payloads.with_optional(o, lines, ["o_orderkey"], {"n_lines": "long"}), None, ["o_orderkey"], {"absent": "double"})
     return out.select("o_orderkey", truth(F.col("n_lines") > 0).alias("has_lines"), "n_lines", "absent")
+
+
+@query("""
+WITH p AS (SELECT p_partkey, p_size % 9 + 1 AS total, p_size % 2 = 0 AS a, p_size % 3 = 0 AS g, p_size % 5 = 0 AS b, p_size % 7 = 0 AS s, p_partkey % 4 AS u FROM part)
+SELECT p_partkey, CAST(least(CASE WHEN a THEN total - 1 ELSE 0 END + CASE WHEN g THEN 1 ELSE 0 END + CASE WHEN s THEN 1 ELSE 0 END, total) AS INTEGER) AS storeys, CASE WHEN b THEN 1 ELSE 0 END AS cellars,
+  CAST(greatest(floor(total * 2.5 / 3), 1) AS INTEGER) AS ceiling, CASE u WHEN 0 THEN 8 WHEN 1 THEN 1 END AS most_dwellings FROM p
+""")
+def storey_permissions(spark, sf_dir):
+    """Parts stand in for columns of a grid: the levels it marks, a height, and its usage codes."""
+    size, k = F.col("p_size"), F.col("p_partkey")
+    total = size % 9 + 1
+    levels = F.array_compact(F.array(F.when(size % 2 == 0, lots.ALL_BUT_GROUND), F.when(size % 3 == 0, lots.GROUND), F.when(size % 5 == 0, lots.BELOW), F.when(size % 7 == 0, lots.SECOND)))
+    usages = F.when(k % 4 == 0, F.array(F.lit("H.2"), F.lit("H.4A (3)"), F.lit("C.1"))).when(k % 4 == 1, F.array(F.lit("H.1"))).when(k % 4 == 2, F.array(F.lit("H"), F.lit("H.1"))).otherwise(F.array(F.lit("C.4")))
+    return table(spark, sf_dir, "part").select(k, lots.storeys_by_levels(levels, total).alias("storeys"), lots.basement_levels(levels, True).alias("cellars"), lots.storey_ceiling(total * 2.5).alias("ceiling"), lots.class_max_dwellings(usages).alias("most_dwellings"))
+
+
+@query("""
+WITH i AS (SELECT o_orderstatus AS series, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter, avg(o_totalprice) AS idx FROM orders WHERE quarter(o_orderdate) != 2 GROUP BY ALL),
+n AS (SELECT series, max(quarter) AS newest, arg_max(idx, quarter) AS idx_now FROM i GROUP BY 1)
+SELECT o_orderkey, round(CASE WHEN i.idx > 0 AND i.quarter != newest THEN o_totalprice * idx_now / i.idx ELSE o_totalprice END, 2) AS value, CASE WHEN i.idx > 0 THEN newest ELSE CAST(date_trunc('quarter', o_orderdate) AS DATE) END AS period,
+  CASE WHEN i.idx IS NULL THEN 'unescalated' WHEN i.quarter = newest THEN 'measured' ELSE 'escalated' END AS basis
+FROM orders LEFT JOIN i ON i.series = o_orderstatus AND i.quarter = CAST(date_trunc('quarter', o_orderdate) AS DATE) LEFT JOIN n ON n.series = o_orderstatus
+""")
+def moved_rents(spark, sf_dir):
+    """Prices of orders moved to the newest quarter of their own status's index, which lacks every second quarter of a year."""
+    o = table(spark, sf_dir, "orders").withColumn("quarter", F.trunc("o_orderdate", "quarter"))
+    index = o.where(F.quarter("o_orderdate") != 2).groupBy("o_orderstatus", "quarter").agg(F.avg("o_totalprice").alias("idx"))
+    newest = index.groupBy("o_orderstatus").agg(F.max("quarter").alias("newest"), F.max_by("idx", "quarter").alias("idx_now"))
+    rows = o.join(index, ["o_orderstatus", "quarter"], "left").join(newest, "o_orderstatus", "left")
+    return rows.select("o_orderkey", finance.moved(F.col("o_totalprice"), F.col("quarter"), F.col("idx"), F.col("newest"), F.col("idx_now")).alias("m")).select("o_orderkey", F.round("m.value", 2).alias("value"), "m.period", "m.basis")
+
+
+@query("""
+WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey % 7 AS a, 100 + l_suppkey % 5 AS n, l_shipdate FROM lineitem),
+r AS (SELECT 'Z' || a AS feature_id, 'R.V.Q. ' || n AS bylaw_number, CAST(l_shipdate AS DATE) AS in_force_date, l_orderkey AS doc_id, l_linenumber AS k FROM c UNION ALL SELECT 'Z' || (a + 1), 'R.V.Q. ' || n, CAST(l_shipdate AS DATE), l_orderkey, l_linenumber FROM c)
+SELECT feature_id, bylaw_number, in_force_date, 'R.V.Q.' || substr(bylaw_number, 8) || ' En vigueur le ' || strftime(in_force_date, '%Y-%m-%d') AS excerpt, doc_id FROM r QUALIFY row_number() OVER (PARTITION BY feature_id, bylaw_number ORDER BY doc_id, k, in_force_date) = 1
+""")
+def bylaws_in_force(spark, sf_dir):
+    """Lines stand in for chunks of sheets of two zones that print a by-law."""
+    a, n = F.col("l_partkey") % 7, (100 + F.col("l_suppkey") % 5).cast("string")
+    ids = F.to_json(F.array(F.concat(F.lit("Z"), a.cast("string")), F.concat(F.lit("Z"), (a + 1).cast("string"))))
+    text = F.concat(F.lit("Règlement: R.V.Q."), n, F.lit("\n  En vigueur le "), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(". Rien d'autre."))
+    return planning.bylaws_in_force(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("chunk_index"), ids.alias("feature_ids"), text.alias("text")))
+
+
+@query("""
+WITH f AS (SELECT p_partkey, CASE WHEN p_partkey % 5 != 0 THEN p_retailprice * 100 END AS acquisition, p_retailprice * 300 AS cost, p_retailprice * 25 AS homes, p_retailprice * (p_size % 4) * 5 AS shops, p_size % 30 + 1 AS dwellings, p_retailprice * 6 AS standing FROM part),
+g AS (SELECT *, homes + shops AS noi, 4.5 + shops * 1.75 / (homes + shops) AS cap, greatest(ceil(dwellings / 8.0), 6) AS let, cost * 1.26 AS budget FROM f)
+SELECT p_partkey, round(standing / acquisition * 100, 6) AS hold_yield_pct, round(noi / (acquisition + budget) * 100, 6) AS rebuild_yield_pct, round(cap, 6) AS rebuild_cap_pct, CAST(let AS INTEGER) AS rebuild_let_months,
+  round((standing * 10 + standing / 4.5 * 100 * 0.98) / acquisition, 6) AS buyer_hold_multiple, coalesce((noi / (acquisition + budget) * 100 - cap) * 100 >= 150, false) AS clears_cap FROM g
+""")
+def site_returns_of_futures(spark, sf_dir):
+    """Parts stand in for sites with what stands on them and what could be built; every fifth has no price. The rates are held against a plain walk in a test."""
+    k, size, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
+    nothing = F.lit(None).cast("double")
+    sites = table(spark, sf_dir, "part").select(
+        k, F.when(k % 5 != 0, price * 100).alias("acquisition"), nothing.alias("site_costs"), (price * 300).alias("rebuild_cost"), (price * 25).alias("rebuild_residential_noi"), (price * (size % 4) * 5).alias("rebuild_commercial_noi"), nothing.alias("rebuild_industrial_noi"),
+        (size % 30 + 1).cast("double").alias("rebuild_dwellings"), nothing.alias("rebuild_commercial_m2"), nothing.alias("rebuild_industrial_m2"), F.when(k % 3 == 0, price * 60).alias("enhance_cost"), (price * 5).alias("enhance_residential_noi"), nothing.alias("enhance_commercial_noi"),
+        nothing.alias("enhance_industrial_noi"), F.lit(4.0).alias("enhance_dwellings"), (price * 6).alias("standing_noi"), F.lit("teardown").alias("thesis"), F.lit(1.0).alias("verdict"),
+    )
+    out = proforma.screened(proforma.returns(sites), "thesis", "verdict")
+    return out.select(k, *[F.round(c, 6).alias(c) for c in ("hold_yield_pct", "rebuild_yield_pct", "rebuild_cap_pct")], "rebuild_let_months", F.round("buyer_hold_multiple", 6).alias("buyer_hold_multiple"), "clears_cap")
+
+
+@query("""
+SELECT page_id, count(*) AS n_links, count(*) FILTER (WHERE regexp_matches(l, '\\.pdf$')) AS documents, count(*) FILTER (WHERE NOT regexp_matches(l, '\\.pdf$') AND regexp_matches(l, '^https?://')) AS absolute, count(*) FILTER (WHERE NOT regexp_matches(l, '\\.pdf$') AND NOT regexp_matches(l, '^https?://')) AS others
+FROM (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '<a href="([^"#]+)"', 1))) AS l FROM pages) GROUP BY page_id
+""")
+def link_kinds(spark, sf_dir):
+    """Links of each page by kind."""
+    rows = table(spark, sf_dir, "pages").select("page_id", F.explode(texts.links(F.col("html"))).alias("l"))
+    kind = F.coalesce(texts.link_kind(F.col("l"), [("documents", r"\.pdf$"), ("absolute", r"^https?://")]), F.lit("others"))
+    return rows.withColumn("kind", kind).groupBy("page_id").agg(F.count("*").alias("n_links"), *[F.count_if(F.col("kind") == x).alias(x) for x in ("documents", "absolute", "others")])

@@ -38,10 +38,17 @@ def union_optional(frames: Sequence[DataFrame | None]) -> DataFrame | None:
     return out
 
 
-def read_geojson(spark: SparkSession, path: str, properties: str, drop: Sequence[str] = ()) -> DataFrame:
-    """A row for each feature: the properties (a DDL schema), and the geometry as its type and its coordinates in JSON."""
-    schema = f"features array<struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>>"
-    features = spark.read.schema(schema).option("multiLine", "true").json(path).select(F.explode("features").alias("f"))
+def read_geojson(spark: SparkSession, path: str, properties: str, drop: Sequence[str] = (), lines: bool = False) -> DataFrame:
+    """A row for each feature: the properties (a DDL schema), and the geometry as its type and its coordinates in JSON.
+
+    A collection is one JSON document, so one task reads a file whole; large layers should come with a feature on each
+    line (lines=True), which Spark splits.
+    """
+    feature = f"struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>"
+    if lines:
+        features = spark.read.schema(feature.removeprefix("struct<").removesuffix(">").replace("properties:", "properties ", 1).replace(",geometry:", ", geometry ", 1)).json(path).where("geometry IS NOT NULL OR properties IS NOT NULL").select(F.struct("properties", "geometry").alias("f"))
+    else:
+        features = spark.read.schema(f"features array<{feature}>").option("multiLine", "true").json(path).select(F.explode("features").alias("f"))
     df = features.select("f.properties.*", F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
     nested = {n: F.to_json(n) for n, t in df.dtypes if t.startswith(("struct", "array", "map"))}
     return df.withColumns(nested).drop(*drop) if nested else df.drop(*drop)
@@ -55,7 +62,7 @@ def ring_of(coordinates: Column) -> Column:
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), separator: str = ",") -> DataFrame:
-    """Delimited text with a header, in the first of the encodings that decodes all of it."""
+    """Delimited text with a header, in the first of the encodings that decodes all of it. Fields may hold line breaks, so one task reads a file whole."""
     for encoding in encodings:
         df = spark.read.schema(schema).option("header", "true").option("sep", separator).option("encoding", encoding).option("multiLine", "true").csv(path)
         text = [F.coalesce(F.bool_or(F.contains(c, F.lit("�"))), F.lit(False)) for c, t in df.dtypes if t == "string"]
@@ -64,6 +71,19 @@ def read_delimited(spark: SparkSession, path: str, schema: str, encodings: Seque
     return df
 
 
+def below_header(rows: DataFrame, marks: Sequence[str], index: str = "row_index", cells: str = "cells") -> DataFrame:
+    """Rows of a sheet (index, cells array<string>) below its header, which is the first row that holds all the marks; none without such a row."""
+    flat = F.transform(cells, lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    wanted = F.array(*[F.lit(m.lower()) for m in marks])
+    first = rows.where(F.size(F.array_except(wanted, flat)) == 0).agg(F.min(index)).first()[0]
+    return rows.where(F.lit(False)) if first is None else rows.where(F.col(index) > first)
+
+
+def read_ordered(spark: SparkSession, root: str, dataset: str, order: Sequence[str], columns: Sequence[str] | None = None, where: Column | None = None) -> DataFrame:
+    """read_snapshot in the order of columns, which ends in a unique one."""
+    return read_snapshot(spark, root, dataset, columns, where).orderBy(*order)
+
+
 def unpivot_pairs(df: DataFrame, ids: Sequence[str], pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """A crosstab of (value, grade) columns in pairs as long rows: ids, class, value, grade."""
     entries = [F.struct(F.lit(name).alias("class"), F.col(v).cast("string").alias("value"), F.col(g).cast("string").alias("grade")) for name, (v, g) in pairs.items()]

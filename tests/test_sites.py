@@ -226,3 +226,92 @@ def test_chunk_positions_are_those_of_the_words(spark, sf_dir):
     rows = QUERIES["chunk_positions"](spark, sf_dir).collect()
     assert len(rows) == len(chunks)
     assert np.mean([r["start"] is not None and docs[r["doc_id"]][r["start"] : r["end"]].split() == chunks[r["doc_id"], r["chunk_index"]].split() for r in rows]) > 0.95
+
+
+def test_returns_equal_a_plain_walk(spark):
+    from korvane.plans import proforma
+
+    t = proforma.Terms(hold_years=4)
+    numbers = "acquisition site_costs rebuild_cost rebuild_residential_noi rebuild_commercial_noi rebuild_industrial_noi rebuild_dwellings rebuild_commercial_m2 rebuild_industrial_m2 enhance_cost enhance_residential_noi enhance_commercial_noi enhance_industrial_noi enhance_dwellings standing_noi verdict".split()
+    base = dict(zip(numbers, [900.0, 20.0, 3000.0, 260.0, 90.0, None, 90.0, 1000.0, None, 400.0, 45.0, None, None, 10.0, 60.0, 5.0], strict=True))
+    cases = [base | {"thesis": "teardown"}, base | {"acquisition": None, "thesis": "infill"}, base | {"enhance_cost": 0.0, "thesis": "improvement"}, base | {"thesis": "improvement", "verdict": None}]
+    rows = spark.createDataFrame([(k, c["thesis"], *[c[n] for n in numbers]) for k, c in enumerate(cases)], "k int, thesis string, " + ", ".join(f"{n} double" for n in numbers))
+    got = {r["k"]: r for r in proforma.screened(proforma.returns(rows, t), "thesis", "verdict", t).collect()}
+
+    def stream(outlay, budget, income, cap, let, before=0.0, cap_before=4.5):
+        built, years = (18 if let else 0), [-outlay]
+        for y in range(4):
+            total = 0.0
+            for m in range(12 * y + 1, 12 * y + 13):
+                total += income / 12 * (max(0.0, min(1.0, (m - built) / let)) if let else 1.0) - (budget / built if let and m <= built else 0.0) - before / 12
+            years.append(total)
+        years[-1] += (income / cap * 100 - before / cap_before * 100) * 0.98
+        return years
+
+    def rate(flows):
+        value = lambda q: sum(f / (1 + q) ** i for i, f in enumerate(flows))
+        lo, hi = -0.9, 2.0
+        if value(lo) * value(hi) >= 0:
+            return None
+        for _ in range(80):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if (value(mid) > 0) == (value(lo) > 0) else (lo, mid)
+        return lo * 100
+
+    cap = 4.5 + 90 * 1.75 / 350
+    rebuild = stream(920, 3000 * 1.26, 350, cap, 12)
+    adding = stream(0, 400 * 1.26, 45, 4.5, 6)
+    hold = stream(900, 0, 60, 4.5, 0)
+    owner = stream(20, 3000 * 1.26, 350, cap, 12, 60.0)
+    expected = {"buyer_hold": hold, "buyer_enhance": [a + b for a, b in zip(hold, adding, strict=True)], "buyer_rebuild": rebuild, "owner_enhance": adding, "owner_rebuild": owner}
+    for name, flows in expected.items():
+        assert abs(got[0][f"{name}_irr_pct"] - rate(flows)) < 1e-6, name
+        assert abs(got[0][f"{name}_multiple"] - sum(x for x in flows if x > 0) / -sum(x for x in flows if x < 0)) < 1e-9
+    assert got[0]["rebuild_let_months"] == 12 and abs(got[0]["rebuild_cap_pct"] - cap) < 1e-9
+    assert got[1]["buyer_rebuild_irr_pct"] is None and got[1]["owner_rebuild_irr_pct"] is not None and not got[1]["is_good"]
+    assert got[2]["buyer_enhance_irr_pct"] is None and got[2]["site_irr_pct"] is None and not got[2]["clears_hurdle"]
+    assert got[3]["site_irr_pct"] == got[3]["buyer_enhance_irr_pct"] and not got[3]["is_good"]
+    assert proforma.returns(rows.limit(0), t).count() == 0
+
+
+def test_second_readings(spark):
+    text = F.col("t")
+    rows = spark.createDataFrame([("zoning_amendment", "minutes", "Le conseil de quartier parle de logements", None), ("housing", "extract", "rien", 4), (None, "minutes", "logement", None)], "kind string, source string, t string, after int")
+    none = F.lit(None).cast("string")
+    got = [r[0] for r in rows.select(planning.gaps(text, F.col("kind"), F.col("source"), F.col("after"), F.array().cast("array<string>"), none, none)).collect()]
+    assert got == [["max_dwellings_after", "subject_zone_codes", "decision", "council_opinion"], ["decision"], []]
+    long = "a" * 3000 + " avis de motion " + "b" * 5000 + " logement " + "c" * 5000
+    shown = said(spark, long, planning.focus)
+    assert shown.startswith("a" * 2000) and "avis de motion" in shown and " logement " in shown and "[…]" in shown and len(shown) <= 7000 and "\x01" not in shown
+    assert said(spark, "court", planning.focus) == "court"
+    key = lambda *v: said(spark, "x", lambda c: planning.cache_key(F.lit(1), F.lit(2), c, *v))
+    assert len(key("1", "m")) == 64 and key("1", "m") != key("2", "m")
+
+
+def test_permissions(spark):
+    from korvane.operators import lots
+
+    of = lambda codes: spark.range(1).select(lots.class_max_dwellings(F.array(*[F.lit(c) for c in codes]) if codes else F.array().cast("array<string>"))).first()[0]
+    assert (of(["H.1(2)"]), of(["H.2", "H.4"]), of(["H", "H.1"]), of(["H.7", "H.1"]), of(["C.1"]), of([]), of(["H.3A", "I.2"])) == (1, 8, None, None, None, None, 3)
+    levels = [(["all", "ground"], 4, 0), (["all_except_ground", "ground"], 4, 0), (["below_ground"], 0, 1), (["ground", "second", "second"], 2, 0), ([], 0, 0)]
+    for marks, storeys, cellars in levels:
+        a = F.array(*[F.lit(m) for m in marks]) if marks else F.array().cast("array<string>")
+        r = spark.range(1).select(lots.storeys_by_levels(a, F.lit(4)), lots.basement_levels(a, True), lots.basement_levels(a, False), lots.storey_ceiling(F.lit(20.0)), lots.storey_ceiling(F.lit(1.0))).first()
+        assert tuple(r) == (storeys, cellars, 1 if "all" in marks or "below_ground" in marks else 0, 6, 1)
+
+
+def test_tables_of_bars_headers_and_cuts(spark, tmp_path):
+    from korvane.sources import readers
+
+    docs = spark.createDataFrame([(1, "title\na | b  c | \nx|y\n1 | 2 | 3"), (2, None)], "doc_id long, text string")
+    assert [tuple(r) for r in texts.pipe_tables(docs).orderBy("row", "col").collect()] == [(1, 0, 0, "a"), (1, 0, 1, "b c"), (1, 0, 2, ""), (1, 1, 0, "1"), (1, 1, 1, "2"), (1, 1, 2, "3")]
+    sheet = spark.createDataFrame([(0, ["Titre", None]), (1, ["Quartier", " Studio "]), (2, ["a", "1"]), (3, ["b", "2"])], "row_index int, cells array<string>")
+    assert [r["row_index"] for r in readers.below_header(sheet, ["quartier", "studio"]).orderBy("row_index").collect()] == [2, 3] and readers.below_header(sheet, ["none"]).count() == 0
+    keys = spark.createDataFrame([("0123",), ("3333",), (None,)], "q string")
+    with pytest.raises(ValueError, match="lots: 1 rows outside the cut, such as 3333"):
+        pyramid.require_in_cut(keys, "q", spark.createDataFrame([("01",)], "quadkey string"), 1, 4, "lots")
+    (tmp_path / "f.json").write_text("\n".join(json.dumps({"type": "Feature", "properties": {"id": k}, "geometry": {"type": "Point", "coordinates": [k, 2]}}) for k in range(3)))
+    rows = readers.read_geojson(spark, str(tmp_path / "f.json"), "id long", lines=True).orderBy("id").collect()
+    assert [(r["id"], r["geometry_type"], json.loads(r["coordinates"])) for r in rows] == [(k, "Point", [k, 2]) for k in range(3)]
+    kinds = [("pdf", r"\.pdf$"), ("page", "^https://a/")]
+    assert [r[0] for r in spark.createDataFrame([("https://a/x.pdf",), ("https://a/x",), ("ftp://b",)], "u string").select(texts.link_kind(F.col("u"), kinds)).collect()] == ["pdf", "page", None]
