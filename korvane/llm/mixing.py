@@ -17,8 +17,8 @@ ADDED = ["copy", "rate", "shuffle_key"]
 BROADCAST_SOURCES = 50_000
 #: Rows of a source that one salt of the join takes.
 SALT_ROWS = 1_000_000
-#: Bytes of text of one partition of the mixture.
-PARTITION_BYTES = 64 << 20
+#: Bytes of text of one partition of the mixture, at most; there are as many partitions as a shuffle has, at least.
+PARTITION_BYTES = 128 << 20
 
 
 def unit(*parts: Column) -> Column:
@@ -96,7 +96,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, temperature: float =
     """
     table = rates(docs, weights, temperature)
     size = table.agg(F.sum(F.col("rate") * F.col("size"))).first()[0] or 0.0
-    n = max(docs.sparkSession.sparkContext.defaultParallelism, int(size) // PARTITION_BYTES + 1)
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size) // PARTITION_BYTES + 1)
     part = F.floor(F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") * n / float(1 << 32)).cast("int")
     return replicate(docs, table, seed).repartitionById(n, part).sortWithinPartitions("shuffle_key")
 
