@@ -11,6 +11,7 @@ from .functions import finance, geodesy, planning
 from .functions.columns import truth
 from .operators import lots, placement, polygons, texts
 from .plans import envelopes, payloads, proforma
+from .plans import sites as planning_sites
 from .queries import PLACES_SQL, places, query, table
 from .sources import grids
 
@@ -442,3 +443,75 @@ def link_kinds(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", F.explode(texts.links(F.col("html"))).alias("l"))
     kind = F.coalesce(texts.link_kind(F.col("l"), [("documents", r"\.pdf$"), ("absolute", r"^https?://")]), F.lit("others"))
     return rows.withColumn("kind", kind).groupBy("page_id").agg(F.count("*").alias("n_links"), *[F.count_if(F.col("kind") == x).alias(x) for x in ("documents", "absolute", "others")])
+
+
+@query("""
+WITH p AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'non' WHEN 1 THEN 'Secteur A' ELSE ' ' END AS heritage, CASE WHEN p_partkey % 3 = 0 THEN 'PIIA-1' END AS review, 1900 + p_size AS built, CASE WHEN p_partkey % 5 != 0 THEN p_size * 10.0::DOUBLE END AS floor, p_partkey % 7 = 0 AS dirty, p_size % 2 = 0 AS home, (p_size % 3) / 2.0::DOUBLE AS share FROM part),
+h AS (SELECT *, heritage = 'Secteur A' AS a, review IS NOT NULL AS b, built < 1940 AS o FROM p),
+c AS (SELECT *, coalesce(floor, 0) * CASE WHEN home THEN 150 ELSE 250 END AS demolition, CASE WHEN dirty THEN 12000 ELSE 0 END AS assessment, CASE WHEN dirty THEN 500.0::DOUBLE * CASE WHEN share > 0 THEN 150 ELSE 75 END ELSE 0 END AS remediation FROM h)
+SELECT p_partkey, a AS is_heritage_sector, b AS has_review, a OR o AS demolition_review_required, coalesce(floor > 0, false) AND (a OR b) AS is_demolition_restricted, CAST(demolition AS DOUBLE) AS demolition, CAST(assessment AS DOUBLE) AS assessment, CAST(remediation AS DOUBLE) AS remediation, CAST(demolition + assessment + remediation AS DOUBLE) AS site_costs FROM c
+""")
+def clearing_costs(spark, sf_dir):
+    """Parts stand in for sites in sectors, old and new, clean and not."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    heritage = F.when(k % 4 == 0, "non").when(k % 4 == 1, "Secteur A").otherwise(" ")
+    floor = F.when(k % 5 != 0, size * 10.0)
+    flags = planning_sites.heritage_flags(heritage, F.when(k % 3 == 0, "PIIA-1"), 1900 + size, floor)
+    return table(spark, sf_dir, "part").select(k, *flags, *planning_sites.site_costs(floor, F.lit(500.0), size % 2 == 0, k % 7 == 0, (size % 3) / 2.0))
+
+
+@query("""
+WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 != 0 THEN o_totalprice END AS hold, CASE WHEN o_orderkey % 3 = 0 THEN (o_custkey % 11 - 5) * 10000.0::DOUBLE END AS gain, o_totalprice * (0.6 + o_custkey % 9 / 10.0::DOUBLE) AS rebuild, CASE WHEN o_orderkey % 5 != 0 THEN o_totalprice * 1.1 END AS assessed, (o_custkey % 4) * 5000.0::DOUBLE AS costs, o_orderstatus AS thesis FROM orders),
+v AS (SELECT *, coalesce(hold, 0) AS h, rebuild - costs AS r, CASE WHEN assessed IS NOT NULL THEN greatest(assessed, coalesce(hold, 0)) END AS price FROM p),
+b AS (SELECT *, h + gain AS e, r - h AS g, greatest(h, h + gain, r) - price AS best FROM v),
+f AS (SELECT k, thesis, round(g, 4) AS owner_gain_rebuild, CASE WHEN 0 >= coalesce(gain, -1) AND 0 >= g THEN 'hold' WHEN coalesce(gain, -1e300) >= g THEN 'enhance' ELSE 'rebuild' END AS owner_best, round(price, 4) AS price,
+  CASE WHEN price IS NULL THEN NULL WHEN best < 0 THEN 'none' WHEN h >= coalesce(e, h) AND h >= r THEN 'hold' WHEN coalesce(e, -1e300) >= r THEN 'enhance' ELSE 'rebuild' END AS buyer_best, CASE WHEN price IS NOT NULL THEN round((r - price) / price * 100, 6) END AS rate, g FROM b),
+o AS (SELECT *, rate IS NOT NULL AND g > 0 AS ok FROM f)
+SELECT k, owner_gain_rebuild, owner_best, price, buyer_best, CASE WHEN ok THEN CAST(row_number() OVER (PARTITION BY ok, thesis ORDER BY rate DESC NULLS LAST, owner_gain_rebuild DESC, k) AS INTEGER) END AS thesis_rank,
+  ok AND row_number() OVER (PARTITION BY ok, thesis ORDER BY rate DESC NULLS LAST, owner_gain_rebuild DESC, k) <= 25 AS is_top, count(*) FILTER (WHERE ok) OVER (PARTITION BY thesis) AS num_ranked FROM o
+""")
+def ranked_sites(spark, sf_dir):
+    """Orders stand in for sites; the rate is what rebuilding brings over its price, the status the thesis."""
+    k, price, c = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_custkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("k"), F.when(k % 7 != 0, price).alias("hold"), F.when(k % 3 == 0, (c % 11 - 5) * 10000.0).alias("enhance_gain"), (price * (0.6 + c % 9 / 10)).alias("rebuild"), F.when(k % 5 != 0, price * 1.1).alias("assessed"), ((c % 4) * 5000.0).alias("site_costs"), F.col("o_orderstatus").alias("thesis"))
+    valued = planning_sites.futures(rows).withColumns({"rate": F.round(F.col("buyer_rebuild") / F.col("price") * 100, 6), "owner_gain_rebuild": F.round("owner_gain_rebuild", 4)})
+    out = planning_sites.rank_sites(valued, "thesis", "rate", "rate", "owner_gain_rebuild", "k")
+    return out.select("k", "owner_gain_rebuild", "owner_best", F.round("price", 4).alias("price"), "buyer_best", "thesis_rank", "is_top", "num_ranked")
+
+
+@query("""
+WITH r AS (SELECT CASE WHEN c_nationkey % 6 != 0 THEN c_nationkey % 6 END AS hood, ['studio', '1_bedroom', '2_bedroom', '3_bedroom_plus', 'all'][c_custkey % 5 + 1] AS kind, max(CASE WHEN c_acctbal > 9000 THEN c_acctbal END) AS rent, max(CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN -c_acctbal END) AS rate, bool_or(c_mktsegment = 'BUILDING') AS any_rate FROM customer GROUP BY ALL)
+SELECT hood AS neighborhood, count(rent) FILTER (WHERE kind != 'all') AS n_priced, round(sum(rent) FILTER (WHERE kind != 'all'), 2) AS rents, count(rate) FILTER (WHERE kind != 'all') AS n_rates, 4 - count(rent) FILTER (WHERE kind != 'all') AS n_suppressed FROM r GROUP BY 1
+""")
+def unit_economics(spark, sf_dir):
+    """Customers stand in for the cells of two surveys."""
+    n, k, bal = F.col("c_nationkey"), F.col("c_custkey"), F.col("c_acctbal")
+    kind = F.element_at(F.array(*[F.lit(x) for x in (*payloads.PRICED, "all")]), (k % 5 + 1).cast("int"))
+    c = table(spark, sf_dir, "customer").select(F.when(n % 6 != 0, n % 6).alias("neighborhood"), kind.alias("bedroom_type"), F.when(bal > 9000, bal).alias("average_rent_cad"), F.when(bal < 0, -bal).alias("vacancy_rate_pct"), F.when(F.col("c_mktsegment") == "BUILDING", "all").otherwise("rows").alias("dwelling_type"))
+    out = payloads.unit_economics(c, c)
+    total = F.aggregate(F.map_values("rents"), F.lit(0.0), lambda s, x: s + x)
+    return out.select("neighborhood", F.size("rents").cast("long").alias("n_priced"), F.round(F.when(F.size("rents") > 0, total), 2).alias("rents"), F.size("vacancies").cast("long").alias("n_rates"), F.size("suppressed").cast("long").alias("n_suppressed"))
+
+
+@query("""
+WITH e AS (SELECT l_orderkey AS lot, l_linenumber AS column_index, 'Z' || (l_partkey % 3) AS feature_id, CAST(l_quantity AS DOUBLE) AS pct_of_lot, l_suppkey FROM lineitem)
+SELECT lot, string_agg(feature_id || ':' || column_index || ':' || (l_suppkey % 4), ',' ORDER BY pct_of_lot DESC, feature_id, column_index, l_suppkey % 4) AS listed FROM e GROUP BY lot
+""")
+def envelope_lists(spark, sf_dir):
+    """Lines stand in for zoning rows of lots; a JSON text of each becomes a value of the list, which is read back."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("lot"), F.col("l_linenumber").alias("column_index"), F.concat(F.lit("Z"), (F.col("l_partkey") % 3).cast("string")).alias("feature_id"), F.col("l_quantity").cast("double").alias("pct_of_lot"), F.to_json(F.array(F.col("l_suppkey") % 4)).alias("usages"))
+    read = F.from_json("envelopes", "array<struct<feature_id:string,column_index:int,usages:array<int>>>")
+    text = lambda e: F.concat_ws(":", e["feature_id"], e["column_index"].cast("string"), F.get(e["usages"], 0).cast("string"))
+    return payloads.envelope_lists(rows, ["lot"], {"usages": "array<int>"}).select("lot", F.array_join(F.transform(read, text), ",").alias("listed"))
+
+
+@query("""
+WITH f AS (SELECT regexp_extract(url, '^([a-z]+://[^/?]*)', 1) AS url, page_id AS feature_id, CASE WHEN page_id % 3 != 0 THEN 't' || (page_id % 4) END AS title FROM pages),
+t AS (SELECT url, title, min(feature_id) AS first FROM f WHERE title IS NOT NULL GROUP BY ALL)
+SELECT f.url, count(DISTINCT feature_id) AS n_features, min(feature_id) AS first_feature, coalesce((SELECT string_agg(title, '; ' ORDER BY first) FROM t WHERE t.url = f.url), '') AS title FROM f GROUP BY f.url
+""")
+def features_by_url(spark, sf_dir):
+    """Pages stand in for features, their hosts for the documents that describe them."""
+    k = F.col("page_id")
+    rows = table(spark, sf_dir, "pages").select(F.regexp_extract("url", r"^([a-z]+://[^/?]*)", 1).alias("url"), k.alias("feature_id"), F.when(k % 3 != 0, F.concat(F.lit("t"), (k % 4).cast("string"))).alias("title"))
+    return payloads.features_by_url(rows).select("url", F.size("feature_ids").cast("long").alias("n_features"), F.get("feature_ids", 0).alias("first_feature"), "title")

@@ -315,3 +315,24 @@ def test_tables_of_bars_headers_and_cuts(spark, tmp_path):
     assert [(r["id"], r["geometry_type"], json.loads(r["coordinates"])) for r in rows] == [(k, "Point", [k, 2]) for k in range(3)]
     kinds = [("pdf", r"\.pdf$"), ("page", "^https://a/")]
     assert [r[0] for r in spark.createDataFrame([("https://a/x.pdf",), ("https://a/x",), ("ftp://b",)], "u string").select(texts.link_kind(F.col("u"), kinds)).collect()] == ["pdf", "page", None]
+
+
+def test_sites_and_their_futures(spark):
+    from korvane.plans import sites
+
+    rows = spark.createDataFrame([("A", None, 1930, 100.0), (None, "P", 2000, 0.0), ("non", "s.o.", None, None), (None, None, 1930, 50.0)], "h string, r string, y int, f double")
+    got = [tuple(r) for r in rows.select(*sites.heritage_flags(*[F.col(c) for c in "hryf"])).collect()]
+    assert got == [(True, False, True, True), (False, True, False, False), (False, False, False, False), (False, False, True, False)]
+    values = [(1, 100.0, 20.0, 150.0, 0.0, 90.0, "a"), (2, 100.0, None, 100.0, 0.0, 200.0, "a"), (3, None, None, 50.0, 60.0, None, "a"), (4, 100.0, -5.0, 100.0, 0.0, 100.0, "none")]
+    valued = sites.futures(spark.createDataFrame(values, "k int, hold double, enhance_gain double, rebuild double, site_costs double, assessed double, thesis string"))
+    got = {r["k"]: (r["owner_best"], r["price"], r["buyer_best"]) for r in valued.collect()}
+    assert got == {1: ("rebuild", 100.0, "rebuild"), 2: ("hold", 200.0, "none"), 3: ("hold", None, None), 4: ("hold", 100.0, "hold")}
+    ranked = sites.rank_sites(valued.withColumn("rate", F.col("buyer_rebuild")), "thesis", "rate", "rate", "owner_gain_rebuild", "k", 1)
+    assert {r["k"]: (r["thesis_rank"], r["is_top"], r["num_ranked"]) for r in ranked.collect()} == {1: (1, True, 1), 2: (None, False, 1), 3: (None, False, 1), 4: (None, False, 0)}
+
+
+def test_unit_economics_of_missing_boroughs(spark):
+    rents = spark.createDataFrame([("n1", "studio", 800.0), ("n1", "all", 900.0), ("n1", "2_bedroom", None), (None, "studio", 700.0)], "neighborhood string, bedroom_type string, average_rent_cad double")
+    vacancy = spark.createDataFrame([("n1", "studio", "all", 2.0), ("n1", "studio", "rows", 9.0), ("n2", "studio", "all", 1.0)], "neighborhood string, bedroom_type string, dwelling_type string, vacancy_rate_pct double")
+    got = {r["neighborhood"]: (r["rents"], r["vacancies"], len(r["suppressed"])) for r in payloads.unit_economics(rents, vacancy).collect()}
+    assert got == {"n1": ({"studio": 800.0}, {"studio": 2.0}, 3), None: ({"studio": 700.0}, {}, 3), "n2": ({}, {"studio": 1.0}, 4)}
