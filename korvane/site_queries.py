@@ -515,3 +515,22 @@ def features_by_url(spark, sf_dir):
     k = F.col("page_id")
     rows = table(spark, sf_dir, "pages").select(F.regexp_extract("url", r"^([a-z]+://[^/?]*)", 1).alias("url"), k.alias("feature_id"), F.when(k % 3 != 0, F.concat(F.lit("t"), (k % 4).cast("string"))).alias("title"))
     return payloads.features_by_url(rows).select("url", F.size("feature_ids").cast("long").alias("n_features"), F.get("feature_ids", 0).alias("first_feature"), "title")
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS page, p_size, p_brand, p_partkey % 3 AS gap FROM part)
+SELECT page, 'Hauteur max' AS label, 0 AS column_index, CAST(p_size AS VARCHAR) AS text FROM p WHERE gap != 0 UNION ALL SELECT page, 'Hauteur max', 1, CAST(p_size + 1 AS VARCHAR) FROM p WHERE gap != 1
+UNION ALL SELECT page, 'Densité', 1, p_brand || ' et plus' FROM p
+""")
+def placed_grids(spark, sf_dir):
+    """A printed page for each part: a title, a header with two columns, and two lines, shown in pieces as typesetters do."""
+    size, gap = F.col("p_size"), F.col("p_partkey") % 3
+    piece = lambda x0, x1, y, text: F.struct(F.lit(float(x0)).alias("x0"), F.lit(float(x1)).alias("x1"), F.lit(float(y)).alias("y"), F.lit(10.0).alias("height"), text.alias("text"))
+    w = F.lit
+    pieces = F.array(
+        piece(10, 40, 700, w("Grille")), piece(10, 38, 680, w("Colonne")), piece(100, 110, 680, w("A")), piece(200, 210, 680.5, w("B")), piece(10, 45, 660, w("Haut")), piece(45.5, 60, 660, w("eur")), piece(63, 80, 660, w("max")),
+        piece(102, 108, 661, F.when(gap != 0, size.cast("string")).otherwise(" ")), piece(198, 212, 659.5, F.when(gap != 1, (size + 1).cast("string")).otherwise("")), piece(10, 30, 640, w("Densit")), piece(30, 34, 640, w("é")),
+        piece(180, 195, 640, F.col("p_brand")), piece(198, 203, 640, w("et")), piece(206, 220, 640, w("plus")), piece(154, 156, 640, w("x")),
+    )
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.explode(pieces).alias("p")).select("page", "p.*")
+    return grids.placed_grid(grids.placed_cells(rows), "colonne")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Classes and characteristics of network lines that are no roadway.
 NOT_ROAD_CLASSES = ("Liaison maritime",)
@@ -62,3 +63,51 @@ def read_grid(rows: DataFrame, key: str, headers: int = 2) -> DataFrame:
     if twice:
         raise ValueError(f"{key} stated more than once: {', '.join(r[key] for r in twice)}")
     return out
+
+
+# Grids printed on pages, from pieces of text with their places.
+
+#: Gaps between pieces, in heights of the font: from the first on two cells, from the second on two words. Least distance of two lines.
+CELL_GAP, WORD_GAP, LINE_M = 1.0, 0.15, 2.0
+
+
+def placed_cells(pieces: DataFrame, page: Sequence[str] = ("page",)) -> DataFrame:
+    """(page, line, cell, x0, x1, text): pieces (page, x0, x1, y, height, text) joined into the cells they were printed as; y grows upwards.
+
+    A line ends where the next piece down lies LINE_M or half its height lower. In a line a piece goes on the cell before
+    unless the gap to all before it is over CELL_GAP heights, and stands apart as a word from WORD_GAP on. Blank pieces
+    are passed over. Lines count from 1 at the top of the page, cells from 1 at the left.
+    """
+    page = list(page)
+    down = Window.partitionBy(*page).orderBy(F.desc("y"), "x0", "x1", "text")
+    across = Window.partitionBy(*page, "line").orderBy("x0", "x1", "text")
+    shown = pieces.where(F.trim("text") != "")
+    drop = F.lag("y").over(down) - F.col("y")
+    lines = shown.withColumn("_new", F.coalesce((drop >= F.greatest(F.lit(LINE_M), F.col("height") / 2)).cast("int"), F.lit(1))).withColumn("line", F.sum("_new").over(down))
+    gap = F.col("x0") - F.max("x1").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    cells = lines.withColumn("_gap", gap / F.col("height")).withColumn("cell", F.sum(F.coalesce((F.col("_gap") > CELL_GAP).cast("int"), F.lit(1))).over(across))
+    part = F.struct("x0", "x1", F.when(F.col("_gap") > WORD_GAP, F.concat(F.lit(" "), F.trim("text"))).otherwise(F.trim("text")).alias("t"))
+    joined = F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p["t"]), ""))
+    return cells.groupBy(*page, "line", "cell").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), joined.alias("text"))
+
+
+def placed_grid(cells: DataFrame, header: str, page: Sequence[str] = ("page",)) -> DataFrame:
+    """(page, label, column_index, text): values of a printed grid, from placed_cells().
+
+    The first line whose first cell reads `header` says where the columns are: its further cells' centres, in order from
+    0. In the lines below it the first cell is the label, and each further one belongs to the nearest centre, if that is
+    nearer than half the distance between two columns; of several the leftmost counts. Pages without the header give none.
+    """
+    page = list(page)
+    plain = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    first = cells.where((F.col("cell") == 1) & (plain(F.col("text")) == header.lower())).groupBy(*page).agg(F.min("line").alias("_top"))
+    below = cells.join(first, page)
+    centre = (F.col("x0") + F.col("x1")) / 2
+    columns = below.where((F.col("line") == F.col("_top")) & (F.col("cell") > 1)).groupBy(*page).agg(F.array_sort(F.collect_list(centre)).alias("_centres"))
+    apart = F.array_min(F.transform(F.slice("_centres", F.lit(2), F.size("_centres")), lambda c, k: c - F.get("_centres", k)))
+    labels = below.where((F.col("line") > F.col("_top")) & (F.col("cell") == 1)).select(*page, "line", F.col("text").alias("label"))
+    values = below.where((F.col("line") > F.col("_top")) & (F.col("cell") > 1)).join(columns, page)
+    near = F.array_min(F.transform("_centres", lambda c, k: F.struct(F.abs(c - centre).alias("d"), k.alias("k"))))
+    placed = values.withColumn("_near", near).where(F.col("_near.d") < F.coalesce(apart / 2, F.lit(float("inf"))))
+    best = placed.groupBy(*page, "line", F.col("_near.k").alias("column_index")).agg(F.min(F.struct("x0", "text")).alias("_v"))
+    return best.join(labels, [*page, "line"]).select(*page, "label", "column_index", F.col("_v.text").alias("text"))
