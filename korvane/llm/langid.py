@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from .common import crc_mod
 BUCKETS, DIM, SIZES = 1 << 16, 16, (2, 3, 4, 5)
 #: ASCII letters are lower-cased, other ASCII bytes part words, all other bytes stay.
 TO_WORDS = bytes((c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32) for c in range(256))
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"
 NONE = "und"
 #: Words whose sums a worker keeps.
 KEPT_WORDS = 200_000
@@ -99,7 +100,7 @@ def fit(docs: DataFrame, most: int = 800, reject: float = 0.5, most_bytes: int =
     rows = labelled_sample(docs, most, most_bytes)
     langs = sorted(rows["lang"].unique().tolist())
     index = {x: k for k, x in enumerate(langs)}
-    all_of = [(words_of(t), index[x]) for t, x in zip(rows["text"], rows["lang"], strict=True)]
+    all_of = [(words_of(t), index[x], t) for t, x in zip(rows["text"], rows["lang"], strict=True)]
     all_of = [x for x in all_of if x[0]]
     if not all_of:
         return {"langs": langs, "scores": np.zeros((BUCKETS, len(langs)), np.float32), "bias": np.zeros(len(langs)), "heat": 1.0, "reject": 0.0}
@@ -108,10 +109,10 @@ def fit(docs: DataFrame, most: int = 800, reject: float = 0.5, most_bytes: int =
         seen[x[1]] += 1
         (kept if seen[x[1]] % 5 else held).append(x)
     held = held or kept
-    e, w, b = train(kept, len(langs))
+    e, w, b = train([x[:2] for x in kept], len(langs))
     model = {"langs": langs, "scores": (e @ w).astype(np.float32), "bias": b, "heat": 1.0, "reject": reject}
-    logits = logits_of((ws for ws, _ in held), len(held), model, Sums(model))
-    y = np.array([k for _, k in held])
+    logits = logits_of(pa.array([t for _, _, t in held], pa.string()), model, Sums(model))
+    y = np.array([k for _, k, _ in held])
     grid = 2.0 ** np.arange(-4, 4.25, 0.25)
     model["heat"] = float(min(grid, key=lambda h: -np.log(np.maximum(softmax(logits / h)[np.arange(len(y)), y], 1e-9)).mean()))
     return model
@@ -141,28 +142,53 @@ class Sums(dict):
         return self.rows
 
 
-def logits_of(lists: Iterable[list[bytes]], n: int, model: dict, sums: Sums) -> np.ndarray:
-    """A row of logits for each of n lists of words, that of a whole text."""
-    totals = np.zeros((n, len(model["langs"]) + 1))
-    for k, words in enumerate(lists):
-        if words:
-            counts = Counter(words)
-            at = np.fromiter(map(sums.__getitem__, counts), np.int64, len(counts))
-            totals[k] = np.fromiter(counts.values(), float, len(counts)) @ sums.table()[at]
+def logits_of(texts: pa.Array, model: dict, sums: Sums) -> np.ndarray:
+    """A row of logits for each whole text. Each distinct word of a slice is looked up once."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    _, offsets, data = texts.buffers()
+    plain = pa.py_buffer(data.to_pybytes().translate(TO_WORDS)) if data else data
+    texts = pa.Array.from_buffers(pa.string(), len(texts), [None, offsets, plain], offset=texts.offset)
+    totals = np.zeros((len(texts), len(model["langs"]) + 1))
+    for start, stop in slices(texts):
+        lists = pc.ascii_split_whitespace(texts.slice(start, stop - start))
+        words = lists.flatten().cast(pa.binary()).dictionary_encode()
+        if len(words):
+            distinct = words.dictionary.to_pylist()
+            at = np.fromiter(map(sums.__getitem__, distinct), np.int64, len(distinct))
+            which = words.indices.to_numpy(zero_copy_only=False)
+            sizes = np.diff(lists.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            table = sums.table()[at]
+            table[[not w for w in distinct]] = 0  # white space at either end of a text gives an empty word
+            for c in range(table.shape[1]):
+                totals[start:stop, c] = np.bincount(owner, table[which, c], len(sizes))
         if len(sums) > KEPT_WORDS:
             sums.clear()
             sums.rows = sums.rows[:0]
     return totals[:, :-1] / np.maximum(totals[:, -1:], 1) + model["bias"]
 
 
-def predict_batch(texts, model: dict, sums: Sums) -> tuple[list[str], np.ndarray]:
+def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Stretches of texts of about `most` bytes; a longer text is one of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right")))
+        yield start, stop
+        start = stop
+
+
+def predict_batch(texts: pa.Array, model: dict, sums: Sums) -> tuple[np.ndarray, np.ndarray]:
     """The language and calibrated score of each whole text. `und`, score 0: null, or without a letter."""
     if not model["langs"]:
-        return [NONE] * len(texts), np.zeros(len(texts))
-    p = softmax(logits_of((words_of(t) for t in texts), len(texts), model, sums) / model["heat"])
-    known = [bool(t and LETTER.search(t)) for t in texts]
-    best = p.argmax(1)
-    return [model["langs"][b] if ok else NONE for b, ok in zip(best, known, strict=True)], np.where(known, p.max(1), 0.0)
+        return np.full(len(texts), NONE, object), np.zeros(len(texts))
+    p = softmax(logits_of(texts, model, sums) / model["heat"])
+    known = with_letter(texts)
+    return np.where(known, np.array(model["langs"], object)[p.argmax(1)], NONE), np.where(known, p.max(1), 0.0)
+
+
+def with_letter(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.match_substring_regex(texts, LETTER), False).to_numpy(zero_copy_only=False)
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,15 +200,15 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers for each language
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         sums = Sums(model)
         for b in batches:
-            lang, p = predict_batch(b["t"].tolist(), model, sums)
-            yield pd.DataFrame({"id": b["id"], "lang_pred": lang, "score": p, "accepted": [x != NONE and s >= model["reject"] for x, s in zip(lang, p, strict=True)]})
+            lang, p = predict_batch(b.column("t"), model, sums)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(lang, pa.string()), pa.array(p), pa.array((lang != NONE) & (p >= model["reject"]), pa.bool_())], ["id", "lang_pred", "score", "accepted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "id long, lang_pred string, score double, accepted boolean")
+    return rows.mapInArrow(run, "id long, lang_pred string, score double, accepted boolean")
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,15 +228,15 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     model = fit(docs)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers for each language
 
-    @F.pandas_udf("boolean")
-    def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def accepted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         sums = Sums(model)
         for texts in batches:
-            if not model["langs"]:
-                yield pd.Series([bool(t and LETTER.search(t)) for t in texts], dtype=bool)
-                continue
-            lang, p = predict_batch(texts.tolist(), model, sums)
-            yield pd.Series([x != NONE and s >= model["reject"] for x, s in zip(lang, p, strict=True)], dtype=bool)
+            if model["langs"]:
+                lang, p = predict_batch(texts, model, sums)
+                yield pa.array((lang != NONE) & (p >= model["reject"]), pa.bool_())
+            else:
+                yield pa.array(with_letter(texts), pa.bool_())
 
     return docs.where(accepted(F.col("text"))).select(docs.columns)
