@@ -534,3 +534,27 @@ def placed_grids(spark, sf_dir):
     )
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.explode(pieces).alias("p")).select("page", "p.*")
     return grids.placed_grid(grids.placed_cells(rows), "colonne")
+
+
+@query("""
+WITH s AS (SELECT p_partkey AS key, p_size * 30.0::DOUBLE AS lot, p_size % 7 AS fm, p_size % 3 AS cm, CASE WHEN p_partkey % 4 != 0 THEN p_size % 20 END AS dm, CASE WHEN p_partkey % 5 != 0 THEN 1.0 + (p_size % 4) / 2.0::DOUBLE END AS density,
+  CASE WHEN p_partkey % 6 != 0 THEN p_size * 20.0::DOUBLE * CASE WHEN p_partkey % 9 = 0 THEN 0.5 ELSE 1 END END AS floor, p_partkey % 3 AS storeys, CAST(round(p_size % 5 * CASE WHEN p_partkey % 9 = 0 THEN 0.5 ELSE 1 END) AS BIGINT) AS homes FROM part),
+b AS (SELECT *, coalesce(floor > 0 AND storeys >= 1, false) AS stands, floor / nullif(storeys, 0) AS plate FROM s),
+c AS (SELECT b.*, r, cc FROM b, range(0, 3) t1(r), range(0, 3) t2(cc) WHERE stands AND r <= least(2, fm - storeys) AND cc <= least(cm, least(2, fm - storeys) - r) AND r + cc > 0),
+d AS (SELECT *, least(CAST(floor(plate * r / 85.0) AS BIGINT), greatest(coalesce(dm, 1099511627776) - homes, 0)) AS dw, plate * (r + cc) AS added FROM c),
+v AS (SELECT *, (dw * 2400.0 * 12 * 0.95 + plate * cc / 0.09290304 * 60.0 * 0.95) * 0.65 AS noi, added * 1400.0 * 1.5 AS cost FROM d WHERE ceil(dw * 0.5 + plate * cc / 100 * 1.0) <= floor(greatest(lot - plate, 0) * 0.25 / 32.0) AND coalesce((floor + added) / lot <= density, true)),
+w AS (SELECT *, noi * ((1 - power(1.06, -30)) / 0.06) - cost AS npv FROM v QUALIFY row_number() OVER (PARTITION BY key ORDER BY round(noi * ((1 - power(1.06, -30)) / 0.06) - cost, 2) DESC, r, cc) = 1)
+SELECT b.key, CASE WHEN NOT stands THEN 'no_building' WHEN w.key IS NULL THEN 'no_room' WHEN npv <= 0 THEN 'nothing_pencils' ELSE 'enhanced' END AS status, CASE WHEN npv > 0 THEN CAST(r AS INTEGER) END AS added_residential, CASE WHEN npv > 0 THEN CAST(cc AS INTEGER) END AS added_commercial,
+  CASE WHEN npv > 0 THEN dw END AS added_dwellings, CASE WHEN npv > 0 THEN round(npv, 1) END AS npv FROM b LEFT JOIN (SELECT key, r, cc, dw, npv FROM w) w ON w.key = b.key
+""")
+def enhancements(spark, sf_dir):
+    """Parts stand in for pieces of ground with what stands on them."""
+    from .plans import programs
+
+    k, size = F.col("p_partkey"), F.col("p_size")
+    sites = table(spark, sf_dir, "part").select(
+        k.alias("key"), (size * 30.0).alias("lot_m2"), (size % 7).alias("floors_max"), (size % 3).alias("commercial_max"), F.when(k % 4 != 0, size % 20).alias("dwellings_max"), F.when(k % 5 != 0, 1.0 + (size % 4) / 2.0).alias("density_max"),
+        F.when(k % 6 != 0, size * 20.0).alias("standing_m2"), (k % 3).alias("standing_storeys"), (size % 5).alias("standing_dwellings"), F.when(k % 9 == 0, 0.5).alias("share"),
+    )
+    out = programs.best_enhancements(sites, programs.Economics(rent=2400.0, rate_per_square_foot=60.0, cost_m2=1400.0))
+    return out.select("key", "status", "added_residential", "added_commercial", "added_dwellings", F.round("npv", 1).alias("npv"))
