@@ -139,30 +139,45 @@ def weights(salt: int, size: int) -> np.ndarray:
     return -np.log(u + 1e-18) / (t + np.uint64(64)).astype(float)
 
 
-def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None) -> DataFrame:
-    """A row for each document (kind 0: uid, id, tokens, signatures, compressed ids), and for each task one (kind 1) whose ids are how many of its documents hold each token."""
-    schema = pa.schema([("kind", pa.int32()), ("uid", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int32()), ("s2", pa.int32()), ("ids", pa.binary())])
+#: Rows of the tokenized table: what is left of a document to be packed, a task's document frequencies, full windows of a document.
+REST, COUNTS, FULL = 0, 1, 2
+
+
+def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None, window: int) -> DataFrame:
+    """The rows of all documents: (kind, uid, id, n, skip, s1, s2, ids), n being a document's tokens and ids compressed.
+
+    A document of a window or more is cut into full windows where it is read (FULL: its first ids, s1 the task's number of
+    the first window). What is left, less than a window, is REST: skip ids come before it, s1 and s2 are its signatures.
+    Each task gives one row of COUNTS: n documents with a rest, of skip tokens together, and how many of them hold each token.
+    """
+    schema = pa.schema([("kind", pa.int32()), ("uid", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("skip", pa.int64()), ("s1", pa.int32()), ("s2", pa.int32()), ("ids", pa.binary())])
 
     def run(batches):
         words, pack, part = words_table(path), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
         hashes = [weights(salt, words.size) for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-        end, df, k = np.array([END], words.dtype), np.zeros(words.size, np.uint32), 0
+        end, df, k, sequence, rests, tokens = np.array([END], words.dtype), np.zeros(words.size, np.uint32), 0, 0, 0, 0
         for b in batches:
             for some in slices(b):
                 ids, ends = words.encode_all(some.column(1))
                 rows, start = [], 0
                 for i, stop in zip(some.column(0).to_pylist(), ends.tolist(), strict=True):
                     own = np.concatenate([ids[start:stop], end])
-                    distinct = np.unique(own)
-                    df[distinct] += 1
-                    s1, s2 = (int(distinct[h[distinct].argmin()]) for h in hashes)
-                    rows.append((0, part << 36 | k, i, len(own), s1, s2, pack.compress(own.tobytes())))
+                    uid, full = part << 36 | k, len(own) // window * window
+                    if full:
+                        rows.append((FULL, uid, i, len(own), 0, sequence, 0, pack.compress(own[:full].tobytes())))
+                        sequence += full // window
+                    if full < len(own):
+                        distinct = np.unique(own[full:])
+                        df[distinct] += 1
+                        rests, tokens = rests + 1, tokens + len(own) - full
+                        s1, s2 = (int(distinct[h[distinct].argmin()]) for h in hashes)
+                        rows.append((REST, uid, i, len(own), full, s1, s2, pack.compress(own[full:].tobytes())))
                     start, k = stop, k + 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-        yield pa.RecordBatch.from_pylist([{"kind": 1, "uid": part, "id": None, "n": k, "s1": 0, "s2": 0, "ids": pack.compress(df.tobytes())}], schema)
+        yield pa.RecordBatch.from_pylist([{"kind": COUNTS, "uid": part, "id": None, "n": rests, "skip": tokens, "s1": 0, "s2": 0, "ids": pack.compress(df.tobytes())}], schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(run, "kind int, uid long, id long, n long, s1 int, s2 int, ids binary")
+    return rows.mapInArrow(run, "kind int, uid long, id long, n long, skip long, s1 int, s2 int, ids binary")
 
 
 def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -179,7 +194,7 @@ def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatc
 
 
 def document_frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
-    """(documents holding each token, documents, tokens) over the whole table. The vocabulary bounds what is collected."""
+    """(rests holding each token, rests, their tokens) over the whole table. The vocabulary bounds what is collected."""
 
     def run(batches):
         for b in batches:
@@ -188,20 +203,22 @@ def document_frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int,
                 held = np.flatnonzero(df)
                 yield pd.DataFrame({"token": held, "df": df[held].astype(np.int64)})
 
-    sums = table.where("kind = 1").select("ids").mapInPandas(run, "token int, df long").groupBy("token").agg(F.sum("df").alias("df")).toPandas()
-    all_of = table.where("kind = 0").agg(F.count("*").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    counts = table.where(F.col("kind") == COUNTS)
+    sums = counts.select("ids").mapInPandas(run, "token int, df long").groupBy("token").agg(F.sum("df").alias("df")).toPandas()
+    all_of = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("docs"), F.coalesce(F.sum("skip"), F.lit(0)).alias("tokens")).first()
     df = np.zeros(size, np.int64)
     df[sums["token"]] = sums["df"]
     return df, int(all_of["docs"]), int(all_of["tokens"])
 
 
 class Doc:
-    """A document that is not used up: ids[start:] are left."""
+    """What is left of a document of n tokens: ids, of which `skip` come before; ids[start:] are not used up."""
 
-    __slots__ = ("id", "ids", "start", "terms", "tf", "uid")
+    __slots__ = ("id", "ids", "n", "skip", "start", "terms", "tf", "uid")
 
-    def __init__(self, uid: int, id, ids: np.ndarray):
+    def __init__(self, uid: int, id, ids: np.ndarray, n: int | None = None, skip: int = 0):
         self.uid, self.id, self.ids, self.start, self.terms, self.tf = uid, id, ids, 0, None, None
+        self.n, self.skip = len(ids) if n is None else n, skip
 
     def left(self) -> int:
         return len(self.ids) - self.start
@@ -235,7 +252,7 @@ class Index:
 def fill(docs: list[Doc], idf: np.ndarray, mean: float, last: bool, window: int = WINDOW) -> Iterator[list[tuple[Doc, int, int]]]:
     """Full windows of pieces (document, start, length) from one shard; what is left stays in the documents.
 
-    A document longer than the window first gives windows of its own. Then the longest with anything left is the seed: its
+    A document of a window or more first gives windows of its own. Then the longest with anything left is the seed: its
     neighbours by BM25 follow in rank order, whole ones first; the best that does not fit is cut to fill the rest, and
     what is left of it waits, unused. The last call of a task also parts the remaining tokens into windows of powers of two.
     """
@@ -298,17 +315,31 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     """Pieces (doc_uid, id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]) that cover every id of every row once.
 
     A document's ids are its text's by the tokenizer file, then END; null and blank texts are END alone. Rows of one id are documents of their
-    own, told apart by doc_uid. Shards of the index are neighbours by lexical signature: rows are range-partitioned by it
-    and then by row, so a group of copies of any size is parted too. All windows are full, but for the ends of tasks,
-    which are parted into powers of two: nothing is padded. An empty table gives an empty result.
+    own, told apart by doc_uid. A document of a window or more first fills windows of its own, where it is read, and only
+    what is left, less than a window, is indexed and shuffled. Shards of the index are neighbours by lexical signature:
+    rows are range-partitioned by it and then by row, so a group of copies of any size is parted too. All windows are
+    full, but for the ends of tasks, which are parted into powers of two: nothing is padded. An empty table gives an
+    empty result.
     """
-    table = stage(tokenized(docs, id_col, text_col, tokenizer), "tokens")
+    table = stage(tokenized(docs, id_col, text_col, tokenizer, window), "tokens")
     words = words_table(tokenizer)
     dtype = words.dtype
     df, n_docs, n_tokens = document_frequencies(table, words.size)
     idf = np.maximum(0, np.log((n_docs - df + 0.5) / (df + 0.5))).astype(np.float32)
     mean = n_tokens / max(1, n_docs)
 
+    names = ["doc_uid", "id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
+
+    def whole(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for b in batches:
+            rows = []
+            for uid, i, n, first, raw in zip(b["uid"], b["id"], b["n"], b["s1"], b["ids"], strict=True):
+                ids = np.frombuffer(unpack.decompress(raw), dtype).astype("<u4").reshape(-1, window)
+                for k, own in enumerate(ids):
+                    rows.append((uid, None if pd.isna(i) else int(i), k * window, window, zlib.crc32(own), n, 1 << 62 | uid >> 36 << 36 | first + k, 0, *[own] * with_ids))
+            yield pd.DataFrame(rows, columns=names).astype({"id": "Int64"})
+
     def run(batches):
         unpack, part, sequence = zstandard.ZstdDecompressor(), TaskContext.get().partitionId(), 0
         pool: list[Doc] = []
@@ -320,16 +351,16 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
                 offset = 0
                 for d, start, n in pieces:
                     ids = d.ids[start : start + n].astype("<u4")
-                    rows.append((d.uid, d.id, start, n, zlib.crc32(ids), len(d.ids), part << 36 | sequence, offset, *[ids] * with_ids))
+                    rows.append((d.uid, d.id, d.skip + start, n, zlib.crc32(ids), d.n, part << 36 | sequence, offset, *[ids] * with_ids))
                     offset += n
                 sequence += 1
             pool = [d for d in pool if d.left()]
-            return pd.DataFrame(rows, columns=["doc_uid", "id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]).astype({"id": "Int64"})
+            return pd.DataFrame(rows, columns=names).astype({"id": "Int64"})
 
         waiting = 0
         for b in batches:
-            for uid, i, raw in zip(b["uid"], b["id"], b["ids"], strict=True):
-                pool.append(Doc(uid, None if pd.isna(i) else int(i), np.frombuffer(unpack.decompress(raw), dtype)))
+            for uid, i, n, skip, raw in zip(b["uid"], b["id"], b["n"], b["skip"], b["ids"], strict=True):
+                pool.append(Doc(uid, None if pd.isna(i) else int(i), np.frombuffer(unpack.decompress(raw), dtype), n, skip))
                 waiting += len(pool[-1].ids)
                 if len(pool) >= SHARD_DOCS or waiting >= SHARD_TOKENS:
                     yield windows(False)
@@ -337,8 +368,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         yield windows(True)
 
     schema = "doc_uid long, id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    dealt = table.where("kind = 0").select("uid", "id", "s1", "s2", "ids").repartitionByRange(max(12, -(-n_tokens // TASK_TOKENS)), "s1", "s2", "uid")
-    return dealt.sortWithinPartitions("s1", "s2", "uid").mapInPandas(run, schema)
+    full = table.where(F.col("kind") == FULL).select("uid", "id", "n", "s1", "ids").mapInPandas(whole, schema)
+    dealt = table.where(F.col("kind") == REST).select("uid", "id", "n", "skip", "s1", "s2", "ids").repartitionByRange(max(12, -(-n_tokens // TASK_TOKENS)), "s1", "s2", "uid")
+    return full.union(dealt.sortWithinPartitions("s1", "s2", "uid").mapInPandas(run, schema))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
