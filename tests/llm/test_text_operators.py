@@ -219,6 +219,7 @@ def test_quality_equals_brute_force(spark, docs):
         good, bad = (sum(size(model[c], p) for p in parts) for c in ("good", "bad"))
         score = 1 / (1 + math.exp(-(model["w"][0] + model["w"][1] * 10 * (bad - good) / max(len(raw), 1))))
         assert (r["bytes"], r["good_bytes"], r["bad_bytes"]) == (len(raw), good, bad) and abs(r["score"] - score) < 1e-9
+    assert quality.score(docs.limit(0), model).count() == 0
 
 
 def test_filter_stages_on_awkward_rows(spark, docs, tmp_path):
