@@ -226,8 +226,9 @@ FIT_SAMPLE, PER_CELL, CELLS = 16_384, 48, 4
 #: Queries that cells read and shortlists are set by, and the share of their true neighbours that cells and shortlist must hold.
 TUNE_QUERIES, CELL_RECALL, LIST_RECALL = 192, 0.955, 0.99
 PARTS_OF, CODES = 4, 256
-#: Coded vectors, and queries, that one task scans.
-SCAN, ASK = 2_048, 20_000
+#: Groups of cells of a small table; coded vectors, and queries, that one task scans at most. A query gets a shortlist from each
+#: group, so a small table has a fixed number of them; a large one is split further.
+GROUPS, SCAN, ASK = 8, 1 << 20, 20_000
 
 
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int = 1) -> np.ndarray:
@@ -373,11 +374,12 @@ def totals(df: DataFrame, key: str, n: int) -> np.ndarray:
 
 
 def groups_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(parts, first group) of each cell: cells share a group up to SCAN coded vectors, and a larger cell has several of its own."""
-    parts, base, group, room = np.maximum(1, -(-sizes // SCAN)), np.zeros(len(sizes), np.int64), -1, 0
+    """(parts, first group) of each cell: cells share a group up to a GROUPS-th of all coded vectors, SCAN at most, and a larger cell has several of its own."""
+    most = max(1, min(SCAN, -(-int(sizes.sum()) // GROUPS)))
+    parts, base, group, room = np.maximum(1, -(-sizes // most)), np.zeros(len(sizes), np.int64), -1, 0
     for cell, (n, size) in enumerate(zip(parts.tolist(), sizes.tolist(), strict=True)):
         if n > 1 or size > room:
-            group, room = group + 1, SCAN
+            group, room = group + 1, most
         base[cell], room = group, room - size
         if n > 1:
             group, room = group + n - 1, 0
@@ -483,8 +485,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
             right = right.sort_values("node", kind="stable")
             codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
             cell, node, least, own = right["cell"].to_numpy(), right["node"].to_numpy(), right["least"].to_numpy(), left["node"].to_numpy()
-            for s in range(0, len(left), 64):
-                some = left.iloc[s : s + 64]
+            step = max(1, min(64, (8 << 20) // len(right)))
+            for s in range(0, len(left), step):
+                some = left.iloc[s : s + step]
                 d = index.value.distances(unit(matrix(some["vector"])), cell, codes)
                 for i, (line, read) in enumerate(zip(d, some["cells"], strict=True)):
                     at = np.flatnonzero(np.isin(cell, read))

@@ -347,6 +347,7 @@ def test_search_of_a_repeated_id(spark):
 
 def test_groups_of_cells_hold_all_parts(monkeypatch):
     monkeypatch.setattr(vectors, "SCAN", 10)
+    monkeypatch.setattr(vectors, "GROUPS", 1)
     parts, base = vectors.groups_of(np.array([3, 4, 5, 25, 2, 10, 1]))
     used = [(base[c] + p) for c in range(7) for p in range(parts[c])]
     assert parts.tolist() == [1, 1, 1, 3, 1, 1, 1] and base.tolist()[0] == base.tolist()[1] != base.tolist()[2] and len(set(range(base[3], base[3] + 3)) & {g for c, g in enumerate(base) if c != 3}) == 0 and min(used) == 0
