@@ -228,7 +228,7 @@ TUNE_QUERIES, CELL_RECALL, LIST_RECALL = 192, 0.955, 0.99
 PARTS_OF, CODES = 4, 256
 #: Groups of cells of a small table; coded vectors, and queries, that one task scans at most. A query gets a shortlist from each
 #: group, so a small table has a fixed number of them; a large one is split further.
-GROUPS, SCAN, ASK = 8, 1 << 20, 20_000
+GROUPS, SCAN, ASK = 5, 1 << 20, 20_000
 
 
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int = 1) -> np.ndarray:
