@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..storage import drop_staged, new_path, shared_dir, stage
 
-__all__ = ["LOWER", "components", "crc_mod", "drop_staged", "forest", "named_groups", "new_path", "own_columns", "shared_dir", "stage", "task_rows"]
+__all__ = ["LOWER", "components", "crc_mod", "drop_staged", "finite_vector", "forest", "named_groups", "new_path", "own_columns", "shared_dir", "stage", "task_rows"]
 
 #: bytes.translate table that lower-cases A-Z and leaves every other byte.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -33,6 +33,11 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string")) % n
 
 
+def finite_vector(vector: Column) -> Column:
+    """Not null, and without null or non-finite components."""
+    return F.coalesce(F.forall(vector, lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))), F.lit(False))
+
+
 def task_rows(df: DataFrame, key: list[str], item: str, limit: int) -> DataFrame:
     """Deal rows out into bounded tasks for comparisons within a key.
 

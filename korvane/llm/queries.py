@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ctw, langid, licenses, mixing, packing, quality, simhash, vectors, warc
+from . import clustering, ctw, langid, licenses, lines, mixing, packing, quality, simhash, vectors, warc, whitening
 
 QUERIES = {
     "op1_ctw": ctw.op1_ctw,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_simhash": simhash.op9_simhash,
     "op10_licenses": licenses.op10_licenses,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_lines": lines.op12_lines,
+    "op13_lloyd": clustering.op13_lloyd,
 }
-ORACLE_SQL = {"op3_warc": warc.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op5_metric": vectors.OP5_SQL}
+ORACLE_SQL = {"op3_warc": warc.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op5_metric": vectors.OP5_SQL, "op12_lines": lines.OP12_SQL, "op13_lloyd": clustering.OP13_SQL}

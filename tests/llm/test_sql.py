@@ -15,6 +15,9 @@ COLUMNS = {
     "op8_quality": "doc_id held_out score predicted",
     "op9_simhash": "doc_id fingerprint component_id",
     "op10_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_lines": "doc_id n_lines n_dropped kept_sha256",
+    "op13_lloyd": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 
 
