@@ -13,6 +13,11 @@ ABSENT = ("", "-", "--", "n/a", "na", "non", "no", "none", "s.o.", "null", "nan"
 SQUARE_METRES_PER_SQUARE_FOOT = 0.09290304
 
 
+def once(value: Column, use) -> Column:
+    """use(value), where value is worked out once however often use names it, in lambdas too."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def number(c: Column) -> Column:
     """Text as a double; null where it is none. NaN counts as null."""
     x = F.trim(c.cast("string")).try_cast("double")
