@@ -40,7 +40,7 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def share_of(key: str, n: float, salt: str) -> Column:
     """True for the share n (0 to 1) of rows, by a hash of the key."""
-    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 20)) < F.lit(min(1.0, n) * (1 << 20))
+    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 52)) < F.lit(min(1.0, n) * (1 << 52))
 
 
 # Near-duplicates.
@@ -90,7 +90,7 @@ def split_cells(rows: DataFrame, big: DataFrame, radius: float) -> DataFrame:
     """
     schema = rows.schema
     wanted = rows.join(big, CELL)
-    sample = wanted.where(F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 20)) * F.col("n") < PIVOT_SAMPLE * (1 << 20)).select(*CELL, "n", "node", "vector")
+    sample = wanted.where(F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 52)) / (1 << 52) * F.col("n") < PIVOT_SAMPLE).select(*CELL, "n", "node", "vector")
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", kind="stable")
@@ -147,7 +147,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     vectors of a label are one node with a weight, so copies are never paired. Vectors that are null, zero, or hold null
     or non-finite components, those with a null label or a null id, and vectors of unequal length never link: n_links 0,
     component the id itself. Rows with a repeated id stay rows of their own, with the links of their own vectors, and
-    count as links. Norms may be as large or small as doubles go. threshold lies in (0, 1].
+    count as links. Norms may be as large or small as doubles go. threshold lies in (0, 1]. An empty table gives an empty
+    result. Other columns are not read, so their names clash with nothing.
     """
     all_rows = stage(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label")), "vectors")
     fit = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector"))
@@ -270,12 +271,48 @@ class Index:
         over the parts of b^2 + 2 b c, which no query changes, minus twice that of q b, which is one table for each query.
         """
         near = 1 + (self.centres**2).sum(1)[None] - 2 * q @ self.centres.T
-        out, fixed = near[:, cell], np.zeros(len(codes))
+        out = near[:, cell] + self.fixed(cell, codes)
+        for p, table in enumerate(self.tables(q)):
+            out -= 2 * table[:, codes[:, p]]
+        return out
+
+    def fixed(self, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The part of coded vectors' distances that no query changes."""
+        out = np.zeros(len(codes))
         for p, (c, b) in enumerate(zip(self.cuts, self.books, strict=True)):
-            code = codes[:, p]
-            fixed += (b[code] ** 2).sum(1) + 2 * (b[code] * self.centres[cell, c : c + PARTS_OF]).sum(1)
-            out -= 2 * (q[:, c : c + PARTS_OF] @ b.T)[:, code]
-        return out + fixed
+            entry = b[codes[:, p]]
+            out += (entry**2).sum(1) + 2 * (entry * self.centres[cell, c : c + PARTS_OF]).sum(1)
+        return out
+
+    def tables(self, q: np.ndarray) -> list[np.ndarray]:
+        """For each part what queries have in common with each entry."""
+        return [q[:, c : c + PARTS_OF] @ b.T for c, b in zip(self.cuts, self.books, strict=True)]
+
+
+class Cells:
+    """The coded vectors of a group of cells, sorted by cell, so that a query meets those of the cells it reads and no others."""
+
+    def __init__(self, index: Index, cell: np.ndarray, codes: np.ndarray):
+        self.index, self.here, self.starts = index, *np.unique(cell, return_index=True)
+        self.ends = np.append(self.starts[1:], len(cell))
+        self.own = np.repeat(np.arange(len(self.here)), self.ends - self.starts)
+        # Places in the tables of all parts, one behind the other.
+        self.codes = codes.astype(np.int64) + CODES * np.arange(codes.shape[1])[None]
+        self.fixed, self.scored = index.fixed(cell, codes), 0
+
+    def read(self, q: np.ndarray, cells: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, squared distances) of the coded vectors in the cells of each unit query."""
+        centres = self.index.centres[self.here]
+        near = 1 + (centres**2).sum(1)[None] - 2 * q @ centres.T
+        tables = [np.pad(t, ((0, 0), (0, CODES - t.shape[1]))) for t in self.index.tables(q)]
+        lines = np.concatenate(tables, 1)
+        for i, read in enumerate(cells):
+            at = np.searchsorted(self.here, read)
+            at = at[(at < len(self.here)) & (self.here[np.minimum(at, len(self.here) - 1)] == read)]
+            sizes = self.ends[at] - self.starts[at]
+            places = np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            self.scored += len(places)
+            yield places, near[i, self.own[places]] + self.fixed[places] - 2 * lines[i][self.codes[places]].sum(1)
 
 
 def cell_centres(distinct: DataFrame, sample: np.ndarray, total: int) -> np.ndarray:
@@ -395,7 +432,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     Vectors that are null, zero or hold null or non-finite components, null ids, and vectors of another length than the
     most frequent one take no part. A query reads on past the tuned number of cells until those read hold k + 1 ids, so
     fewer rows are returned only where there are fewer candidates. Rows with a repeated id count once, with their best
-    score; a query id of several vectors has the best of their neighbours.
+    score; a query id of several vectors has the best of their neighbours. An empty table gives an empty result. Other
+    columns are not read, so their names clash with nothing.
     """
     spark = vectors.sparkSession
     query = F.coalesce(is_query, F.lit(False))
@@ -435,9 +473,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     last = int((base + parts).max())
 
     def reads(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        ranked = index.value.ranked(unit(matrix(b["vector"])))
-        row, rank = np.nonzero(np.arange(cells)[None] < cells_needed(ranked, held_ids.value, probes, k + 1)[:, None])
-        return row, ranked[row, rank]
+        q, rows, read = unit(matrix(b["vector"])), [], []
+        step = max(1, (1 << 22) // cells)  # queries ranked at once: all cells in order for each
+        for s in range(0, len(q), step):
+            ranked = index.value.ranked(q[s : s + step])
+            row, rank = np.nonzero(np.arange(cells)[None] < cells_needed(ranked, held_ids.value, probes, k + 1)[:, None])
+            rows.append(row + s)
+            read.append(ranked[row, rank])
+        return np.concatenate(rows), np.concatenate(read)
 
     def asked_groups(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """(row, group, cells read there) for each group of cells that a query reads."""
@@ -482,17 +525,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            right = right.sort_values("node", kind="stable")
+            right = right.sort_values(["cell", "node"], kind="stable")
             codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
-            cell, node, least, own = right["cell"].to_numpy(), right["node"].to_numpy(), right["least"].to_numpy(), left["node"].to_numpy()
-            step = max(1, min(64, (8 << 20) // len(right)))
-            for s in range(0, len(left), step):
-                some = left.iloc[s : s + step]
-                d = index.value.distances(unit(matrix(some["vector"])), cell, codes)
-                for i, (line, read) in enumerate(zip(d, some["cells"], strict=True)):
-                    at = np.flatnonzero(np.isin(cell, read))
-                    near = at[shortlist(np.argsort(line[at], kind="stable"), least[at], most, k + 1)]
-                    out.append(pd.DataFrame({"query": own[s + i], "node": node[near], "least": least[near], "d": line[near]}))
+            node, least, own = right["node"].to_numpy(), right["least"].to_numpy(), left["node"].to_numpy()
+            held = Cells(index.value, right["cell"].to_numpy(), codes)
+            for s in range(0, len(left), 256):
+                some = left.iloc[s : s + 256]
+                for i, (at, line) in enumerate(held.read(unit(matrix(some["vector"])), list(some["cells"]))):
+                    order = np.lexsort((node[at], line))
+                    chosen = shortlist(order, least[at], most, k + 1)
+                    near = at[chosen]
+                    out.append(pd.DataFrame({"query": own[s + i], "node": node[near], "least": least[near], "d": line[chosen]}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "node": [], "least": [], "d": []})
 
     keys = ["group", "salt"]
