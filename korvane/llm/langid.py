@@ -50,21 +50,24 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def labelled_sample(docs: DataFrame, most: int, most_bytes: int) -> pd.DataFrame:
-    """(text, lang) of documents whose crc32(doc_id as text) mod 4 is not 2, about `most` rows and `most_bytes` of text at most for each language.
+def labelled_sample(docs: DataFrame, most: int, most_bytes: int, total_bytes: int = 256 << 20, most_langs: int = 1000) -> pd.DataFrame:
+    """(text, lang) of documents whose crc32(doc_id as text) mod 4 is not 2.
 
-    The bounds are kept by a hash of the id, and texts are whole. All languages are learnt, rare ones from all their rows.
+    Of each of the `most_langs` most frequent languages about `most` rows, and `most_bytes` or its even share of `total_bytes`
+    of text, at most. The bounds are kept by a hash of the id, and texts are whole. Rare languages are learnt from all their rows.
     """
     rows = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND text != '' AND lang IS NOT NULL").where(crc_mod("doc_id", 4) != 2)
-    held = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
-    share = held.select("lang", F.least(F.lit(float(most)) / F.col("n"), F.lit(float(most_bytes)) / F.col("size")).alias("share"))
-    # A row for each language, for each of which the model holds BUCKETS numbers; the hash keeps about `most` rows of each.
-    chosen = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    held = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).orderBy(F.desc("n"), "lang").limit(most_langs).toPandas()
+    each = float(min(most_bytes, total_bytes / max(1, len(held))))
+    shares = [(x, float(min(most / n, each / size))) for x, n, size in zip(held["lang"], held["n"], held["size"], strict=True)]
+    share = docs.sparkSession.createDataFrame(shares, f"lang {rows.schema['lang'].dataType.simpleString()}, share double")
+    # At most most_langs rows, for each of which the model holds BUCKETS numbers; the hash keeps about `most` rows of each.
+    chosen = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 52)) < F.col("share") * (1 << 52))
     return chosen.select("doc_id", "text", "lang").toPandas().sort_values("doc_id", kind="stable")
 
 
-def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3, rate: float = 0.3, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stochastic gradient descent, one span of a text at a time. Spans have 2 to 60 words, so that short texts are learnt too."""
+def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3, rate: float = 0.3, seed: int = 1, span: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stochastic gradient descent, one span of a text at a time. Spans have 2 to `span` words, so that short texts are learnt too."""
     rng = np.random.default_rng(seed)
     e = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     w, b = np.zeros((DIM, classes)), np.zeros(classes)
@@ -72,7 +75,7 @@ def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3,
     for _ in range(epochs):
         for k in rng.permutation(len(samples)):
             words, y = samples[k]
-            n = int(min(len(words), rng.integers(2, 61)))
+            n = int(min(len(words), rng.integers(2, span + 1)))
             at = int(rng.integers(0, len(words) - n + 1))
             grams, _ = subwords(words[at : at + n])
             step, done = rate * (1 - done / steps), done + 1
@@ -90,14 +93,15 @@ def train(samples: list[tuple[list[bytes], int]], classes: int, epochs: int = 3,
     return e, w, b
 
 
-def fit(docs: DataFrame, most: int = 800, reject: float = 0.5, most_bytes: int = 8 << 20) -> dict:
+def fit(docs: DataFrame, most: int = 800, reject: float = 0.5, most_bytes: int = 8 << 20, total_bytes: int = 256 << 20, most_langs: int = 1000, span: int = 60) -> dict:
     """Train on four fifths of the labelled sample; the temperature comes from the rest.
 
     Whole texts are calibrated, as whole texts are scored. `most` and `most_bytes` bound what of each language is gathered
-    to the driver. The temperature makes the scores probabilities, so that a document under `reject` is one whose language
+    to the driver, `total_bytes` what of all, and `most_langs` how many languages are learnt, the most frequent first. A
+    step of training reads a random span of a text, of `span` words at most. The temperature makes the scores probabilities, so that a document under `reject` is one whose language
     is more likely wrong than right. A language's first four rows are always trained on.
     """
-    rows = labelled_sample(docs, most, most_bytes)
+    rows = labelled_sample(docs, most, most_bytes, total_bytes, most_langs)
     langs = sorted(rows["lang"].unique().tolist())
     index = {x: k for k, x in enumerate(langs)}
     all_of = [(words_of(t), index[x], t) for t, x in zip(rows["text"], rows["lang"], strict=True)]
@@ -109,7 +113,7 @@ def fit(docs: DataFrame, most: int = 800, reject: float = 0.5, most_bytes: int =
         seen[x[1]] += 1
         (kept if seen[x[1]] % 5 else held).append(x)
     held = held or kept
-    e, w, b = train([x[:2] for x in kept], len(langs))
+    e, w, b = train([x[:2] for x in kept], len(langs), span=span)
     model = {"langs": langs, "scores": (e @ w).astype(np.float32), "bias": b, "heat": 1.0, "reject": reject}
     logits = logits_of(pa.array([t for _, _, t in held], pa.string()), model, Sums(model))
     y = np.array([k for _, k, _ in held])
@@ -194,8 +198,8 @@ def with_letter(texts: pa.Array) -> np.ndarray:
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, accepted) for each row of docs; accepted is false for `und` and below the rejection score.
 
-    Null texts and texts without a letter: `und`, 0. Repeated rows and null ids keep their rows. Other columns, a language
-    label among them, are never read.
+    Null texts and texts without a letter: `und`, 0. Repeated rows and null ids keep their rows. An empty table gives an
+    empty result. Other columns, a language label among them, are never read, so their names clash with nothing.
     """
 
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers for each language
