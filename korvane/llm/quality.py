@@ -79,29 +79,35 @@ def calibrate(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 60, ridg
     return w
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[pd.DataFrame, float]:
-    """(text, y), and the share of good rows among all labelled ones, of labelled training rows, about `most` of each class at most.
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, most_bytes: int = 64 << 20) -> tuple[pd.DataFrame, float]:
+    """(text, y), and the share of good rows among all labelled ones, of labelled training rows, about `most` of each class, with about `most_bytes` of text, at most.
 
-    Training rows are those whose crc32(doc_id as text) mod 3 is not 1. The bound is kept by a hash of the id: each class
-    keeps the share most / (rows of the class), so the same rows come back each time.
+    Training rows are those whose crc32(doc_id as text) mod 3 is not 1; a document with several labels has the largest.
+    The bounds are kept by a hash of the id: each class keeps the share most / (rows of the class), so the same rows come
+    back each time, and of these ids in the order of the hash those before its bytes are used up. Texts are whole.
     """
     good = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(crc_mod("doc_id", 3) != 1).groupBy("doc_id").agg(F.max("quality").alias("y"))
     n = {r["y"]: r["count"] for r in good.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, most / max(1, n.get(1, 0))).otherwise(most / max(1, n.get(0, 0)))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 52))
     # About 2 * most rows, whatever the size of the tables: they are broadcast.
-    chosen = good.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = good.withColumn("place", place).where(F.col("place") < share * (1 << 52))
     texts = docs.select("doc_id", "text").where("text IS NOT NULL AND text != ''")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id", kind="stable")
+    sizes = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y", "place").agg(F.sum(F.octet_length("text")).alias("size")).toPandas().sort_values(["y", "place", "doc_id"])
+    before = sizes.groupby("y")["size"].cumsum() - sizes["size"]
+    kept = sizes[before < most_bytes]
+    ids = docs.sparkSession.createDataFrame(list(zip(kept["doc_id"].tolist(), kept["y"].tolist(), strict=True)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int")
+    rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id", kind="stable")
     return rows, n.get(1, 0) / max(1, sum(n.values())) if n else 0.5
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 2500) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 2500, most_bytes: int = 64 << 20) -> dict:
     """Dictionaries from three quarters of the labelled sample, calibration on the rest.
 
-    `most` bounds the labelled rows of each class that are gathered to the driver. Without rows of both classes the score
+    `most` bounds the labelled rows of each class that are gathered to the driver, `most_bytes` their text. Without rows of both classes the score
     is the share of good rows (0.5 without any).
     """
-    rows, share = labelled_sample(docs, labels, most)
+    rows, share = labelled_sample(docs, labels, most, most_bytes)
     y = rows["y"].to_numpy(int) if len(rows) else np.zeros(0, int)
     rest = np.arange(len(rows)) % 4 == 3
     a, b = (rows["text"][~rest & (y == c)].tolist() if len(rows) else [] for c in (1, 0))
@@ -121,7 +127,8 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     """(id, bytes, good_bytes, bad_bytes, score) for each row of docs.
 
     Null and empty texts compress to nothing and get the score at difference 0. Texts of any length are read whole, piece
-    by piece. Repeated rows and null ids keep their rows; other columns are not read.
+    by piece. Repeated rows and null ids keep their rows. An empty table gives an empty result. Other columns are not read,
+    so their names clash with nothing.
     """
 
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICT_BYTES
@@ -130,7 +137,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         model = shared.value
         sizes = sizer(model["good"], model["bad"]) if "w" in model else None
         for b in batches:
-            s = np.array([sizes(t) if sizes else (len(t or ""), 0, 0) for t in b["t"]]).reshape(-1, 3)
+            s = np.array([sizes(t) if sizes else (len((t or "").encode("utf-8", "replace")), 0, 0) for t in b["t"]]).reshape(-1, 3)
             p = 1 / (1 + np.exp(-np.clip(features(s) @ model["w"], -30, 30))) if sizes else np.full(len(s), model["prior"])
             yield pd.DataFrame({"id": b["id"], "bytes": s[:, 0], "good_bytes": s[:, 1], "bad_bytes": s[:, 2], "score": p})
 
