@@ -136,7 +136,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """(id, n_words, base, found) for each row of docs: base of base_of(), and found of detections(), hints only where nothing better is left.
 
     Null and empty texts have no words and nothing found. Texts are read whole. Repeated rows and null ids keep their
-    rows; other columns are not read. start and end count the text's words from 0, end exclusive.
+    rows; other columns are not read. An empty table gives an empty result. start and end count the text's words from 0, end exclusive.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(text.rlike(gate()), line_of(text)).alias("line"))
