@@ -89,9 +89,12 @@ def segment_distance(x: Column, y: Column, ax: Column, ay: Column, bx: Column, b
 
 def smallest_container(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, x: str, y: str, ring: str, size: float) -> DataFrame:
     """Points with the smallest polygon that holds them: (point_key, polygon_key, _area); the smaller key of equal areas. Points in none are left out."""
-    sized = polygons.select(polygon_key, ring_area(F.col(ring)).alias("_area"), edges(F.col(ring)).alias("_sides"), box_of(F.col(ring)).alias("_around"))
+    boxes = polygons.select(polygon_key, box_of(F.col(ring)).alias("_around"))
+    shapes = polygons.select(polygon_key, ring_area(F.col(ring)).alias("_area"), edges(F.col(ring)).alias("_sides"))
     spot = box(F.col(x), F.col(y), F.col(x), F.col(y))
-    pairs = cell_join(points.select(point_key, x, y), sized, spot, F.col("_around"), size, within(F.col(x), F.col(y), F.col("_sides")))
+    # Keys and boxes are copied to cells; sides are fetched once, for pairs whose box holds the point.
+    near = cell_join(points.select(point_key, x, y), boxes, spot, F.col("_around"), size, F.lit(True)).select(point_key, polygon_key, x, y)
+    pairs = near.join(shapes, polygon_key).where(within(F.col(x), F.col(y), F.col("_sides")))
     best = pairs.groupBy(point_key).agg(F.min(F.struct(F.col("_area").alias("a"), F.col(polygon_key).alias("k"))).alias("_best"))
     return best.select(point_key, F.col("_best.k").alias(polygon_key), F.col("_best.a").alias("_area"))
 

@@ -601,14 +601,15 @@ def event_sessions(spark, sf_dir):
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS url, l_suppkey + 1000000 AS target FROM lineitem WHERE l_linenumber = 1 UNION SELECT DISTINCT l_suppkey + 1000000, l_partkey FROM lineitem WHERE l_linenumber = 2),
+WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS url, l_suppkey + 1000000 AS target FROM lineitem WHERE l_linenumber % 2 = 1 UNION SELECT DISTINCT l_suppkey + 1000000, l_partkey FROM lineitem WHERE l_linenumber % 2 = 0),
 f AS (SELECT CAST(1 AS BIGINT) AS url, 0 AS hop UNION SELECT e.target, f.hop + 1 FROM f JOIN e ON e.url = f.url WHERE f.hop < 3)
 SELECT url, CAST(min(hop) AS INTEGER) AS hop FROM f GROUP BY url
 """)
 def follow_links(spark, sf_dir):
+    """Lines as links: odd ones from parts to suppliers, even ones back."""
     li = table(spark, sf_dir, "lineitem")
-    a = li.where("l_linenumber = 1").selectExpr("l_partkey AS url", "l_suppkey + 1000000 AS target")
-    b = li.where("l_linenumber = 2").selectExpr("l_suppkey + 1000000 AS url", "l_partkey AS target")
+    a = li.where("l_linenumber % 2 = 1").selectExpr("l_partkey AS url", "l_suppkey + 1000000 AS target")
+    b = li.where("l_linenumber % 2 = 0").selectExpr("l_suppkey + 1000000 AS url", "l_partkey AS target")
     return readers.follow(a.union(b).distinct(), spark.createDataFrame([(1,)], "url long"))
 
 

@@ -362,12 +362,12 @@ def two_row_headers(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, coalesce(l.n, 0) > 0 AS has_lines, l.n AS n_lines, CAST(NULL AS DOUBLE) AS absent FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) l ON l_orderkey = o_orderkey
+SELECT o_orderkey, coalesce(l.n, 0) > 0 AS has_lines, l.n AS n_lines, CAST(NULL AS DOUBLE) AS absent FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey
 """)
 def optional_columns(spark, sf_dir):
     """Columns of an input that may be absent: one that is there, and one that is not."""
     o = table(spark, sf_dir, "orders").select("o_orderkey")
-    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_lines"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_lines"))
     out = payloads.with_optional(payloads.with_optional(o, lines, ["o_orderkey"], {"n_lines": "long"}), None, ["o_orderkey"], {"absent": "double"})
     return out.select("o_orderkey", truth(F.col("n_lines") > 0).alias("has_lines"), "n_lines", "absent")
 
@@ -416,13 +416,22 @@ def bylaws_in_force(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT p_partkey, CASE WHEN p_partkey % 5 != 0 THEN p_retailprice * 100 END AS acquisition, p_retailprice * 300 AS cost, p_retailprice * 25 AS homes, p_retailprice * (p_size % 4) * 5 AS shops, p_size % 30 + 1 AS dwellings, p_retailprice * 6 AS standing FROM part),
-g AS (SELECT *, homes + shops AS noi, 4.5 + shops * 1.75 / (homes + shops) AS cap, greatest(ceil(dwellings / 8.0), 6) AS let, cost * 1.26 AS budget FROM f)
-SELECT p_partkey, round(standing / acquisition * 100, 6) AS hold_yield_pct, round(noi / (acquisition + budget) * 100, 6) AS rebuild_yield_pct, round(cap, 6) AS rebuild_cap_pct, CAST(let AS INTEGER) AS rebuild_let_months,
-  round((standing * 10 + standing / 4.5 * 100 * 0.98) / acquisition, 6) AS buyer_hold_multiple, coalesce((noi / (acquisition + budget) * 100 - cap) * 100 >= 150, false) AS clears_cap FROM g
+WITH RECURSIVE f AS (SELECT p_partkey, CASE WHEN p_partkey % 5 != 0 THEN p_retailprice * 100 END AS acquisition, p_retailprice * 300 AS cost, p_retailprice * 25 AS homes, p_retailprice * (p_size % 4) * 5 AS shops, p_size % 30 + 1 AS dwellings, p_retailprice * 6 AS standing, p_retailprice FROM part),
+g AS (SELECT *, homes + shops AS noi, 4.5 + shops * 1.75 / (homes + shops) AS cap, greatest(ceil(dwellings / 8.0), 6) AS let, cost * 1.26 AS budget, CASE WHEN p_partkey % 3 = 0 THEN p_retailprice * 60 * 1.26 END AS budget2, p_retailprice * 5 AS noi2 FROM f),
+m AS (SELECT g.*, y, (SELECT sum(CASE WHEN t > 18 THEN least((t - 18) / let, 1) ELSE 0 END) FROM range(12 * y - 11, 12 * y + 1) r(t)) AS open1, (SELECT sum(CASE WHEN t > 18 THEN least((t - 18) / 6.0, 1) ELSE 0 END) FROM range(12 * y - 11, 12 * y + 1) r(t)) AS open2, (SELECT count(*) FROM range(12 * y - 11, 12 * y + 1) r(t) WHERE t <= 18) / 18.0 AS built FROM g, range(1, 11) years(y)),
+z AS (SELECT p_partkey, list(standing + CASE WHEN y = 10 THEN standing / 4.5 * 100 * 0.98 ELSE 0 END ORDER BY y) AS hold, list(noi / 12 * open1 - budget * built + CASE WHEN y = 10 THEN noi / cap * 100 * 0.98 ELSE 0 END ORDER BY y) AS build,
+  list(noi / 12 * open1 - budget * built - standing + CASE WHEN y = 10 THEN (noi / cap * 100 - standing / 4.5 * 100) * 0.98 ELSE 0 END ORDER BY y) AS own, list(noi2 / 12 * open2 - budget2 * built + CASE WHEN y = 10 THEN noi2 / 4.5 * 100 * 0.98 ELSE 0 END ORDER BY y) AS adding FROM m GROUP BY p_partkey),
+k AS (SELECT g.p_partkey, name, flow FROM g JOIN z USING (p_partkey), LATERAL (SELECT unnest([{'name': 'buyer_hold', 'flow': CASE WHEN acquisition IS NOT NULL THEN list_concat([-acquisition], hold) END}, {'name': 'buyer_rebuild', 'flow': CASE WHEN acquisition IS NOT NULL THEN list_concat([-acquisition], build) END},
+  {'name': 'owner_rebuild', 'flow': list_concat([0.0], own)}, {'name': 'owner_enhance', 'flow': CASE WHEN budget2 IS NOT NULL THEN list_concat([0.0], adding) END}, {'name': 'buyer_enhance', 'flow': CASE WHEN acquisition IS NOT NULL AND budget2 IS NOT NULL THEN list_concat([-acquisition], list_transform(hold, lambda x, i: x + adding[i])) END}], recursive := true)) u),
+w AS (SELECT p_partkey, name, flow, len(list_filter(flow, lambda x: x > 0)) > 0 AND len(list_filter(flow, lambda x: x < 0)) > 0 AS signs FROM k WHERE flow IS NOT NULL),
+h AS (SELECT p_partkey, name, flow, -0.9::DOUBLE AS lo, 2.0::DOUBLE AS hi, 0 AS step FROM w WHERE signs AND list_sum(list_transform(flow, lambda x, i: x / power(0.1, i - 1))) * list_sum(list_transform(flow, lambda x, i: x / power(3.0, i - 1))) < 0
+  UNION ALL SELECT p_partkey, name, flow, CASE WHEN up THEN mid ELSE lo END, CASE WHEN up THEN hi ELSE mid END, step + 1 FROM (SELECT *, (lo + hi) / 2 AS mid, list_sum(list_transform(flow, lambda x, i: x / power(1 + (lo + hi) / 2, i - 1))) * list_sum(list_transform(flow, lambda x, i: x / power(1 + lo, i - 1))) > 0 AS up FROM h WHERE step < 60) b),
+irr AS (SELECT p_partkey, max(CASE WHEN name = 'buyer_hold' THEN r END) AS a, max(CASE WHEN name = 'buyer_rebuild' THEN r END) AS b, max(CASE WHEN name = 'owner_rebuild' THEN r END) AS c, max(CASE WHEN name = 'owner_enhance' THEN r END) AS d, max(CASE WHEN name = 'buyer_enhance' THEN r END) AS e FROM (SELECT p_partkey, name, (lo + hi) * 50 AS r FROM h WHERE step = 60) x GROUP BY 1)
+SELECT p_partkey, round(a, 4) AS buyer_hold_irr_pct, round(b, 4) AS buyer_rebuild_irr_pct, round(c, 4) AS owner_rebuild_irr_pct, round(d, 4) AS owner_enhance_irr_pct, round(e, 4) AS buyer_enhance_irr_pct, round(standing / acquisition * 100, 6) AS hold_yield_pct, round(noi / (acquisition + budget) * 100, 6) AS rebuild_yield_pct, round(cap, 6) AS rebuild_cap_pct, CAST(let AS INTEGER) AS rebuild_let_months,
+  round((standing * 10 + standing / 4.5 * 100 * 0.98) / acquisition, 6) AS buyer_hold_multiple, coalesce((noi / (acquisition + budget) * 100 - cap) * 100 >= 150, false) AS clears_cap FROM g LEFT JOIN irr USING (p_partkey)
 """)
 def site_returns_of_futures(spark, sf_dir):
-    """Parts stand in for sites with what stands on them and what could be built; every fifth has no price. The rates are held against a plain walk in a test."""
+    """Parts stand in for sites with what stands on them and what could be built; every fifth has no price. The SQL halves its way to the rates of all five flows."""
     k, size, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
     nothing = F.lit(None).cast("double")
     sites = table(spark, sf_dir, "part").select(
@@ -431,7 +440,8 @@ def site_returns_of_futures(spark, sf_dir):
         nothing.alias("enhance_industrial_noi"), F.lit(4.0).alias("enhance_dwellings"), (price * 6).alias("standing_noi"), F.lit("teardown").alias("thesis"), F.lit(1.0).alias("verdict"),
     )
     out = proforma.screened(proforma.returns(sites), "thesis", "verdict")
-    return out.select(k, *[F.round(c, 6).alias(c) for c in ("hold_yield_pct", "rebuild_yield_pct", "rebuild_cap_pct")], "rebuild_let_months", F.round("buyer_hold_multiple", 6).alias("buyer_hold_multiple"), "clears_cap")
+    rates = [F.round(f"{c}_irr_pct", 4).alias(f"{c}_irr_pct") for c in ("buyer_hold", "buyer_rebuild", "owner_rebuild", "owner_enhance", "buyer_enhance")]
+    return out.select(k, *rates, *[F.round(c, 6).alias(c) for c in ("hold_yield_pct", "rebuild_yield_pct", "rebuild_cap_pct")], "rebuild_let_months", F.round("buyer_hold_multiple", 6).alias("buyer_hold_multiple"), "clears_cap")
 
 
 @query("""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import exists
+from ..storage import exists, stage
 
 
 class MissingDataset(FileNotFoundError):
@@ -61,10 +61,10 @@ def ring_of(coordinates: Column) -> Column:
     return F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), separator: str = ",") -> DataFrame:
-    """Delimited text with a header, in the first of the encodings that decodes all of it. Fields may hold line breaks, so one task reads a file whole."""
+def read_delimited(spark: SparkSession, path: str, schema: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), separator: str = ",", breaks: bool = False) -> DataFrame:
+    """Delimited text with a header, in the first of the encodings that decodes all of it. Files are split; only where fields may hold line breaks (breaks=True) does one task read a file whole."""
     for encoding in encodings:
-        df = spark.read.schema(schema).option("header", "true").option("sep", separator).option("encoding", encoding).option("multiLine", "true").csv(path)
+        df = spark.read.schema(schema).option("header", "true").option("sep", separator).option("encoding", encoding).option("multiLine", str(breaks).lower()).csv(path)
         text = [F.coalesce(F.bool_or(F.contains(c, F.lit("�"))), F.lit(False)) for c, t in df.dtypes if t == "string"]
         if encoding == encodings[-1] or not text or not any(df.agg(*[x.alias(f"_{k}") for k, x in enumerate(text)]).first()):
             return df
@@ -97,9 +97,10 @@ def newest_listed(files: DataFrame, path: str = "path", pattern: str = r"((?:19|
 
 
 def follow(edges: DataFrame, start: DataFrame, hops: int = 3) -> DataFrame:
-    """(url, hop): what can be reached over links (url, target) in at most so many hops, each once at its fewest hops."""
-    seen = start.select("url").distinct().withColumn("hop", F.lit(0))
-    edge = lambda k: seen.where(F.col("hop") == k).join(edges.select("url", "target"), "url").select(F.col("target").alias("url")).distinct()
+    """(url, hop): what can be reached over links (url, target) in at most so many hops, each once at its fewest hops. What a hop finds is staged, so that no hop works out those before it again."""
+    seen = last = stage(start.select("url").distinct().withColumn("hop", F.lit(0)), "follow")
     for k in range(hops):
-        seen = seen.unionByName(edge(k).join(seen.select("url"), "url", "left_anti").withColumn("hop", F.lit(k + 1)))
+        found = last.join(edges.select("url", "target"), "url").select(F.col("target").alias("url")).distinct().join(seen.select("url"), "url", "left_anti")
+        last = stage(found.withColumn("hop", F.lit(k + 1)), "follow")
+        seen = seen.unionByName(last)
     return seen
