@@ -49,28 +49,47 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ran
     return rows.withColumn(rank, (F.col("_local") + F.col("_before")).cast("int")).select(*df.columns, rank)
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], buckets: int = 4096) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], buckets: int = 4096, few: int = 100_000) -> DataFrame:
     """(keys, a column for each share): interpolated percentiles of a value, nulls aside, for keys of any number of rows.
 
-    A histogram of each key says in which of `buckets` buckets a rank lies; only the values of those are then counted,
-    distinct ones once. So no task holds a key's values whole.
+    A histogram of each key says in which of `buckets` buckets a rank lies. A bucket of more than `few` rows and more than one
+    value is cut again between its own least and largest value, as often as it takes, so that a few far values, which
+    leave nearly all others in one bucket, cost a round and no large task. The rest is counted by distinct values.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     ends = stage(rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "percentile-ends")
-    same = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys], F.lit(True))
-    drop = lambda a, b, *more: a.join(b, same(a, b)).select(*[a[k] for k in keys], *more)
-    width = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1))).otherwise(0)
-    placed = drop(rows, ends, "_v", width.cast("int").alias("_b"))
-    upto = lambda *by: Window.partitionBy(*keys, *by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy(*keys, "_b").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(upto("_b")), F.lit(0)))
+    # The other side of a join by keys and ends, under names of its own.
+    other = {k: f"_k{i}" for i, k in enumerate(keys)} | {"_lo": "_lo2", "_hi": "_hi2"}
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
     at = lambda q: (F.col("_n") - 1) * F.lit(float(q))
-    goals = ends.select(*keys, F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (F.floor if side == "low" else F.ceil)(at(q)).alias("r"), (at(q) - F.floor(at(q))).alias("part")) for name, q in shares.items() for side in ("low", "high")])).alias("g")).select(*keys, "g.*")
-    hit = drop(counts, goals, "_b", "_before", "_c", "name", "side", "r", "part").where((F.col("r") >= F.col("_before")) & (F.col("r") < F.col("_before") + F.col("_c")))
-    hit = stage(hit.select(*keys, F.col("_b").alias("_hit"), "name", "side", "part", (F.col("r") - F.col("_before")).alias("r")), "percentile-hits")
-    some = hit.select(*keys, "_hit").distinct()
-    few = placed.join(some, same(placed, some) & (placed["_b"] == some["_hit"]), "left_semi").groupBy(*keys, "_b", "_v").agg(F.count("*").alias("_c"))
-    few = few.withColumn("_before", F.coalesce(F.sum("_c").over(upto("_b", "_v")), F.lit(0)))
-    met = few.join(hit, same(few, hit) & (few["_b"] == hit["_hit"]) & (hit["r"] >= few["_before"]) & (hit["r"] < few["_before"] + few["_c"])).select(*[few[k] for k in keys], "_v", "name", "side", "part")
+    sides = [F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (F.floor if side == "low" else F.ceil)(at(q)).alias("r"), (at(q) - F.floor(at(q))).alias("part")) for name, q in shares.items() for side in ("low", "high")]
+    # A goal is the rank r among the values from _lo to _hi of its key, of which there are _n.
+    goals = stage(ends.select(*keys, "_lo", "_hi", "_n", F.explode(F.array(*sides)).alias("g")).select(*keys, "_lo", "_hi", "_n", "g.*"), "percentile-goals")
+    wide = (F.col("_n") > few) & (F.col("_lo") < F.col("_hi"))
+    upto = lambda *by: Window.partitionBy(*keys, "_lo", "_hi", *by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    def within(ranges: DataFrame) -> DataFrame:
+        """Values of the ranges (keys, _lo, _hi)."""
+        named = ranges.withColumnsRenamed(other)
+        return rows.join(named, same & F.col("_v").between(F.col("_lo2"), F.col("_hi2"))).select(*keys, "_v", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"))
+
+    def reached(counts: DataFrame, goals: DataFrame, *more: Column | str) -> DataFrame:
+        named = goals.select(*[F.col(c).alias(other.get(c, c)) for c in [*keys, "_lo", "_hi", "name", "side", "r", "part"]])
+        on = same & (F.col("_lo") == F.col("_lo2")) & (F.col("_hi") == F.col("_hi2")) & (F.col("r") >= F.col("_before")) & (F.col("r") < F.col("_before") + F.col("_c"))
+        return counts.join(named, on).select(*keys, *more, "name", "side", "part")
+
+    while goals.where(wide).limit(1).count():
+        open_ = goals.where(wide)
+        # Halves, so that no difference overflows.
+        width = F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2) * buckets)
+        cut = within(open_.select(*keys, "_lo", "_hi").distinct()).groupBy(*keys, "_lo", "_hi", F.coalesce(F.least(width, F.lit(buckets - 1)), F.lit(0)).alias("_b"))
+        counts = cut.agg(F.count("*").alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to")).withColumn("_before", F.coalesce(F.sum("_c").over(upto("_b")), F.lit(0)))
+        found = reached(counts, open_, "_from", "_to", "_c", (F.col("r") - F.col("_before")).alias("r"))
+        found = found.select(*keys, F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_c").alias("_n"), "name", "side", "r", "part")
+        goals = stage(goals.where(~wide).select(found.columns).unionByName(found), "percentile-goals")
+    distinct = within(goals.select(*keys, "_lo", "_hi").distinct()).groupBy(*keys, "_lo", "_hi", "_v").agg(F.count("*").alias("_c"))
+    distinct = distinct.withColumn("_before", F.coalesce(F.sum("_c").over(upto("_v")), F.lit(0)))
+    met = reached(distinct, goals, "_v")
     pick = lambda name, side, c: F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col(c)))
     out = lambda name: pick(name, "low", "_v") + (pick(name, "high", "_v") - pick(name, "low", "_v")) * pick(name, "low", "part")
     return met.groupBy(*keys).agg(*[out(name).alias(name) for name in shares])
