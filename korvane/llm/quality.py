@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, stage
 
 #: Texts are compressed in pieces of so many bytes, each on its own, so that the dictionary and not the text's own history decides.
 PIECE = 2048
@@ -93,11 +93,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, most_bytes: i
     # About 2 * most rows, whatever the size of the tables: they are broadcast.
     chosen = good.withColumn("place", place).where(F.col("place") < share * (1 << 52))
     texts = docs.select("doc_id", "text").where("text IS NOT NULL AND text != ''")
-    sizes = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y", "place").agg(F.sum(F.octet_length("text")).alias("size")).toPandas().sort_values(["y", "place", "doc_id"])
+    sample = stage(texts.join(F.broadcast(chosen), "doc_id"), "quality-sample")
+    sizes = sample.select("doc_id", "y", "place", F.octet_length("text").alias("size")).toPandas().sort_values(["y", "place", "doc_id"], kind="stable")
     before = sizes.groupby("y")["size"].cumsum() - sizes["size"]
-    kept = sizes[before < most_bytes]
+    kept = sizes[before < most_bytes].drop_duplicates("doc_id")
     ids = docs.sparkSession.createDataFrame(list(zip(kept["doc_id"].tolist(), kept["y"].tolist(), strict=True)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int")
-    rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id", kind="stable")
+    rows = sample.drop("y").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id", kind="stable")
     return rows, n.get(1, 0) / max(1, sum(n.values())) if n else 0.5
 
 
