@@ -149,12 +149,9 @@ class Sums(dict):
 def logits_of(texts: pa.Array, model: dict, sums: Sums) -> np.ndarray:
     """A row of logits for each whole text. Each distinct word of a slice is looked up once."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
-    _, offsets, data = texts.buffers()
-    plain = pa.py_buffer(data.to_pybytes().translate(TO_WORDS)) if data else data
-    texts = pa.Array.from_buffers(pa.string(), len(texts), [None, offsets, plain], offset=texts.offset)
     totals = np.zeros((len(texts), len(model["langs"]) + 1))
     for start, stop in slices(texts):
-        lists = pc.ascii_split_whitespace(texts.slice(start, stop - start))
+        lists = pc.ascii_split_whitespace(plain(texts.slice(start, stop - start)))
         words = lists.flatten().cast(pa.binary()).dictionary_encode()
         if len(words):
             distinct = words.dictionary.to_pylist()
@@ -172,6 +169,14 @@ def logits_of(texts: pa.Array, model: dict, sums: Sums) -> np.ndarray:
     return totals[:, :-1] / np.maximum(totals[:, -1:], 1) + model["bias"]
 
 
+def plain(texts: pa.Array) -> pa.Array:
+    """The texts under TO_WORDS. Only the bytes of this slice are copied, not those of the batch it lies in."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset) if offsets and len(texts) else np.zeros(len(texts) + 1, np.int32)
+    raw = memoryview(data)[ends[0] : ends[-1]].tobytes() if data else b""
+    return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(ends - ends[0]), pa.py_buffer(raw.translate(TO_WORDS))])
+
+
 def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Stretches of texts of about `most` bytes; a longer text is one of its own."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
