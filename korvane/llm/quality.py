@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,12 +167,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = min(0.5, model["keep_from"])
     shared = spark.sparkContext.broadcast(model)  # two dictionaries of DICT_BYTES
 
-    @F.pandas_udf("double")
-    def quality(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def quality(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         sizes = sizer(m["good"], m["bad"])
-        for texts in batches:
-            x = features(np.array([sizes(t) for t in texts]).reshape(-1, 3))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ m["w"], -30, 30))))
+        for texts in batches:  # one text at a time is a Python object
+            x = features(np.array([sizes(t.as_py()) for t in texts]).reshape(-1, 3))
+            yield pa.array(1 / (1 + np.exp(-np.clip(x @ m["w"], -30, 30))))
 
     return docs.where(quality(F.col("text")) >= cut).select(docs.columns)
