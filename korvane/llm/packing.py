@@ -28,8 +28,8 @@ SHARD_DOCS, SHARD_TOKENS = 512, 2_000_000
 TASK_TOKENS = 3_000_000
 #: Neighbours in rank order among which whole ones are sought before one is cut.
 LOOK = 64
-#: Entries of a worker's table of words; it starts anew beyond that.
-KEPT_WORDS = 400_000
+#: Most words, pieces of words and bytes of words that a worker keeps between two slices of texts.
+KEPT_WORDS, KEPT_PIECES, KEPT_BYTES = 600_000, 300_000, 64 << 20
 
 #: What the table of words assumes of a tokenizer; others encode texts themselves.
 ASSUMED = {
@@ -65,8 +65,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Words(dict):
-    """A word without white space, A-Z lower-cased -> its ids as little-endian numbers.
+class Words:
+    """Ids of texts by a tokenizer file, from a table of words without white space, A-Z lower-cased, and their ids.
 
     This holds for tokenizers of the kind ASSUMED describes: they drop white space and never join what they part, so a
     text's ids are its words' ids in turn. Words of Latin letters are parted here, and only their pieces go to the
@@ -84,16 +84,17 @@ class Words(dict):
         self.plain = all(config[k] == v for k, v in ASSUMED.items()) and config["model"]["type"] == "BPE" and not config["model"].get("dropout") and all(t.startswith("<|") for t in added)
         self.size = max([END, *self.whole.get_vocab(with_added_tokens=True).values()]) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            found = self.pieces.get(word) or self.piece(word)
-        elif LATIN.fullmatch(word) and "<|" not in word:
-            found = b"".join([self.pieces.get(p) or self.piece(p) for p in PIECES.findall(word.lower())])
-        else:
-            found = np.array(self.whole.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
-        self[word] = found
-        return found
+        #: The table: words, the ids of all of them end to end, how many each has, and how often it was met.
+        self.known, self.flat, self.sizes, self.met = pa.array([], pa.string()), np.zeros(0, self.dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids_of(self, word: str) -> bytes:
+        """A word's ids as little-endian numbers."""
+        plain = word.isascii() and word.isprintable()
+        if plain and word.isalpha():
+            return self.pieces.get(word) or self.piece(word)
+        if (plain or LATIN.fullmatch(word)) and "<|" not in word:
+            return b"".join([self.pieces.get(p) or self.piece(p) for p in PIECES.findall(word.lower())])
+        return np.array(self.whole.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(AS_CHARS))]
@@ -101,25 +102,55 @@ class Words(dict):
         return found
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and where each text's ids end. Each distinct word is looked up once."""
+        """Ids of all texts in one array, and where each text's ids end. Words are numbered behind the table's own, and only those it lacks are encoded."""
         if not self.plain:
             lists = [self.whole.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
             return np.concatenate([np.zeros(0, self.dtype), *[np.array(x, self.dtype) for x in lists]]), np.cumsum([len(x) for x in lists], dtype=np.int64)
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-        words = lists.flatten().dictionary_encode()
-        ids = [self[w] for w in words.dictionary.to_pylist()]
-        flat = np.frombuffer(b"".join(ids), self.dtype)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        which = words.indices.to_numpy(zero_copy_only=False)
+        words = lists.flatten()
+        if not len(words):
+            return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
+        words = pa.chunked_array([self.known.cast(words.type), words]).dictionary_encode().chunks[-1]
+        which, known = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+        new = [self.ids_of(w) for w in known[len(self.known) :].to_pylist()]
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, new), np.int64, len(new)) // self.dtype.itemsize])
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), self.dtype)])
+        met = np.bincount(which, minlength=len(known))
+        met[: len(self.met)] += self.met
+        self.known, self.flat, self.sizes, self.met = known, flat, sizes, met
         n = sizes[which]
-        ends = np.cumsum(n)
-        at = np.repeat((np.cumsum(sizes) - sizes)[which] - ends + n, n) + np.arange(int(n.sum()))
+        ends = np.concatenate(([0], np.cumsum(n)))
+        ids = flat[spans((np.cumsum(sizes) - sizes)[which], n)]
         offsets = lists.offsets.to_numpy()
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        if len(self.pieces) > KEPT_WORDS:
+        self.forget()
+        return ids, ends[offsets[1:] - offsets[0]]
+
+    def forget(self) -> None:
+        """Keep the table within its bounds: counts of how often words were met are halved, and words whose count ends go."""
+        if len(self.pieces) > KEPT_PIECES:
             self.pieces.clear()
-        return flat[at], np.concatenate(([0], ends))[offsets[1:] - offsets[0]]
+        while len(self.known) > KEPT_WORDS or self.known.nbytes + self.flat.nbytes > KEPT_BYTES and len(self.known):
+            self.met >>= 1
+            stay = self.met > 0
+            self.known, self.flat = self.known.filter(pa.array(stay)), self.flat[np.repeat(stay, self.sizes)]
+            self.sizes, self.met = self.sizes[stay], self.met[stay]
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... to sizes[0] numbers, then the same of starts[1], and so on."""
+    if not len(sizes):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(sizes)
+    kind = np.int32 if ends[-1] + starts.max() < 1 << 31 else np.int64  # half the memory, where it will do
+    at = np.repeat((starts - ends + sizes).astype(kind), sizes)
+    at += np.arange(len(at), dtype=kind)
+    return at
+
+
+def distinct_of(ids: np.ndarray) -> np.ndarray:
+    """The distinct ids of some, ascending. Sorting numbers this short takes less time than np.unique's hash table."""
+    ids = np.sort(ids)
+    return ids[np.concatenate(([True], ids[1:] != ids[:-1]))]
 
 
 def words_table(path: str | None) -> Words:
@@ -167,7 +198,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None, win
                         rows.append((FULL, uid, i, len(own), 0, sequence, 0, pack.compress(own[:full].tobytes())))
                         sequence += full // window
                     if full < len(own):
-                        distinct = np.unique(own[full:])
+                        distinct = distinct_of(own[full:])
                         df[distinct] += 1
                         rests, tokens = rests + 1, tokens + len(own) - full
                         s1, s2 = (int(distinct[h[distinct].argmin()]) for h in hashes)
@@ -180,7 +211,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None, win
     return rows.mapInArrow(run, "kind int, uid long, id long, n long, skip long, s1 int, s2 int, ids binary")
 
 
-def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in parts of about `most` bytes of text; a longer text is a part of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
     start = size = 0
@@ -288,10 +319,10 @@ def fill(docs: list[Doc], idf: np.ndarray, mean: float, last: bool, window: int
                 room -= (n := int(left[k]))
                 put(k, n)
         while room:
-            k = next((k for k in near.tolist() if left[k]), None)
-            if k is None:  # all looked at are used up: the next ones
+            near = near[left[near] > 0]
+            if not len(near):  # all looked at are used up: the next ones
                 near = np.argsort(-np.where(left > 0, scores, -2.0), kind="stable")[: int((left > 0).sum())]
-                k = int(near[0])
+            k = int(near[0])
             room -= (n := min(room, int(left[k])))
             put(k, n)
         total -= window

@@ -393,3 +393,26 @@ def test_words_are_parted_as_the_tokenizer_does():
     ids, ends = words.encode_all(pa.array(texts))
     for t, a, b in zip(texts, [0, *ends[:-1]], ends, strict=True):
         assert ids[a:b].tolist() == words.whole.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_common_words_outlast_a_full_table(monkeypatch):
+    """A table of words beyond its bounds forgets rare words, and encodes common ones once; slices without a word are no matter."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "KEPT_WORDS", 50)
+    monkeypatch.setattr(packing, "KEPT_PIECES", 50, raising=False)
+    words, asked = packing.Words(packing.tokenizer_path()), Counter()
+    piece = words.piece
+    monkeypatch.setattr(words, "piece", lambda p: asked.update([p]) or piece(p))
+    letters = "abcdefghij"
+    common = [f"the{x}" for x in letters]
+    for k in range(5):
+        rare = [f"q{letters[k]}{x}{y}z" for x in letters[:7] for y in letters]
+        texts = [None, " ".join(common * 8), " \n", " ".join(rare), "Thea x\u00e9"]
+        ids, ends = words.encode_all(pa.array(texts))
+        for t, a, b in zip(texts, [0, *ends[:-1]], ends, strict=True):
+            assert ids[a:b].tolist() == words.whole.encode(t or "", add_special_tokens=False).ids
+        ids, ends = words.encode_all(pa.array([None, "", " "], pa.string()))
+        assert len(ids) == 0 and ends.tolist() == [0, 0, 0]
+    assert [asked[w] for w in common] == [1] * len(common)
+    assert all(asked[f"q{letters[k]}abz"] == 1 for k in range(5)) and len(words.known) <= 50
