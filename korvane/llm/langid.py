@@ -21,6 +21,8 @@ LETTER = r"\p{L}"
 NONE = "und"
 #: Words whose sums a worker keeps.
 KEPT_WORDS = 200_000
+#: Numbers that summing a part of the unseen words takes at once: some for each subword, and one for each language.
+AT_ONCE = 1 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -128,7 +130,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 class Sums(dict):
-    """word -> row of the table of sums over its subwords; unseen words queue up and are summed together."""
+    """word -> row of the table of sums over its subwords; unseen words queue up and are summed in parts, a very long word alone."""
 
     def __init__(self, model: dict):
         self.model, self.rows, self.new = model, np.zeros((0, len(model["langs"]) + 1)), []
@@ -140,35 +142,50 @@ class Sums(dict):
 
     def table(self) -> np.ndarray:
         if self.new:
-            grams, owner = subwords(self.new)
-            more = np.stack([np.bincount(owner, s, len(self.new)) for s in (*self.model["scores"][grams].T, None)], 1)
-            self.rows, self.new = np.concatenate([self.rows, more]), []
+            self.rows, self.new = np.concatenate([self.rows, *map(self.sums_of, self.parts())]), []
         return self.rows
 
+    def parts(self) -> Iterator[list[bytes]]:
+        """The queued words, about AT_ONCE numbers at a time."""
+        most = AT_ONCE // (len(SIZES) * (len(self.model["langs"]) + 2))
+        ends = np.cumsum(np.fromiter(map(len, self.new), np.int64, len(self.new)) + 2)
+        for start, stop in stretches(ends, most):
+            yield self.new[start:stop]
+
+    def sums_of(self, words: list[bytes]) -> np.ndarray:
+        grams, owner = subwords(words)
+        return np.stack([np.bincount(owner, s, len(words)) for s in (*self.model["scores"][grams].T, None)], 1)
+
 
 def logits_of(texts: pa.Array, model: dict, sums: Sums) -> np.ndarray:
     """A row of logits for each whole text. Each distinct word of a slice is looked up once."""
-    texts = pc.fill_null(texts.cast(pa.string()), "")
+    texts = texts.cast(pa.string())
     totals = np.zeros((len(texts), len(model["langs"]) + 1))
     for start, stop in slices(texts):
-        lists = pc.ascii_split_whitespace(plain(texts.slice(start, stop - start)))
-        words = lists.flatten().cast(pa.binary()).dictionary_encode()
-        if len(words):
-            distinct = words.dictionary.to_pylist()
-            at = np.fromiter(map(sums.__getitem__, distinct), np.int64, len(distinct))
-            which = words.indices.to_numpy(zero_copy_only=False)
-            sizes = np.diff(lists.offsets.to_numpy())
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            table = sums.table()[at]
-            table[[not w for w in distinct]] = 0  # white space at either end of a text gives an empty word
-            for c in range(table.shape[1]):
-                totals[start:stop, c] = np.bincount(owner, table[which, c], len(sizes))
+        add_up(pc.fill_null(texts.slice(start, stop - start), ""), sums, totals[start:stop])
         if len(sums) > KEPT_WORDS:
             sums.clear()
-            sums.rows = sums.rows[:0]
+            sums.rows = sums.rows[:0].copy()  # a view would keep the table
     return totals[:, :-1] / np.maximum(totals[:, -1:], 1) + model["bias"]
 
 
+def add_up(texts: pa.Array, sums: Sums, totals: np.ndarray) -> None:
+    """Put the sums over each text's words into totals. What this takes is freed before the next slice."""
+    lists = pc.ascii_split_whitespace(plain(texts))
+    words = lists.flatten().cast(pa.binary()).dictionary_encode()
+    if not len(words):
+        return
+    distinct = words.dictionary.to_pylist()
+    at = np.fromiter(map(sums.__getitem__, distinct), np.int64, len(distinct))
+    which = words.indices.to_numpy(zero_copy_only=False)
+    sizes = np.diff(lists.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    table = sums.table()[at]
+    table[[not w for w in distinct]] = 0  # white space at either end of a text gives an empty word
+    for c in range(table.shape[1]):
+        totals[:, c] = np.bincount(owner, table[which, c], len(sizes))
+
+
 def plain(texts: pa.Array) -> pa.Array:
     """The texts under TO_WORDS. Only the bytes of this slice are copied, not those of the batch it lies in."""
     _, offsets, data = texts.buffers()
@@ -179,9 +196,13 @@ def plain(texts: pa.Array) -> pa.Array:
 
 def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Stretches of texts of about `most` bytes; a longer text is one of its own."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    return stretches(np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)), most)
+
+
+def stretches(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of stretches of items of `most` together, or of one larger item; ends: the running sums of their sizes."""
     start = 0
-    while start < len(texts):
+    while start < len(ends):
         stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right")))
         yield start, stop
         start = stop
@@ -193,6 +214,7 @@ def predict_batch(texts: pa.Array, model: dict, sums: Sums) -> tuple[np.ndarray,
         return np.full(len(texts), NONE, object), np.zeros(len(texts))
     p = softmax(logits_of(texts, model, sums) / model["heat"])
     known = with_letter(texts)
+    pa.default_memory_pool().release_unused()  # else the worker holds what its largest slice took, in later stages too
     return np.where(known, np.array(model["langs"], object)[p.argmax(1)], NONE), np.where(known, p.max(1), 0.0)
 
 

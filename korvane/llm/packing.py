@@ -205,6 +205,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str | None, win
                         rows.append((REST, uid, i, len(own), full, s1, s2, pack.compress(own[full:].tobytes())))
                     start, k = stop, k + 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            pa.default_memory_pool().release_unused()  # else the worker holds what its largest slice took, in later stages too
         yield pa.RecordBatch.from_pylist([{"kind": COUNTS, "uid": part, "id": None, "n": rests, "skip": tokens, "s1": 0, "s2": 0, "ids": pack.compress(df.tobytes())}], schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))

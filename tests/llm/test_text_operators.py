@@ -1,5 +1,6 @@
 """SimHash, quality, language, mixing and packing, against brute force and on awkward rows."""
 
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -260,6 +261,24 @@ def test_subwords_are_those_of_each_word_alone():
         assert sorted(grams[owner == k]) == sorted(langid.subwords([w])[0])
 
 
+def test_unseen_words_are_summed_in_parts():
+    """All words of a slice summed at once took a worker some 200 MB beside its texts."""
+    rng = np.random.default_rng(3)
+    model = {"langs": ["a", "b", "c", "d"], "scores": rng.normal(size=(langid.BUCKETS, 4)).astype(np.float32)}
+    words = [*(b"wort%x" % k for k in range(100_000)), b"", b"w" * 200_000, b"end"]
+    grams, owner = langid.subwords(words)
+    whole = np.stack([np.bincount(owner, s, len(words)) for s in (*model["scores"][grams].T, None)], 1)
+    sums = langid.Sums(model)
+    assert [sums[w] for w in words] == [*range(len(words))]
+    tracemalloc.start()
+    table = sums.table()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(table, whole)
+    assert peak < 64 << 20
+    assert langid.Sums(model).table().shape == (0, 5)
+
+
 def test_mixing_equals_sql(docs):
     documents = docs.select("doc_id", "text", "lang", "source", "n_chars").toPandas()
     documents["n_chars"] = documents["n_chars"].astype("Int64")
