@@ -44,6 +44,8 @@ class Model:
     expenses: float = 0.35
     discount: float = 0.06
     years: int = 30
+    #: Whether ground that can't hold the smallest coverage refuses a site; otherwise such a site builds on all of its ground.
+    coverage_min_refuses: bool = True
 
 
 def present(yearly: Column, m: Model) -> Column:
@@ -86,9 +88,9 @@ def refusal(m: Model) -> Column:
         ("floors_min_exceeds_permitted_levels", F.coalesce("floors_min", F.lit(0)) > F.least(all_levels, F.coalesce("floors_max", F.lit(1 << 20)))),
         ("no_priced_unit_type", no_shops & unpriced),
         ("site_coverage_range", F.col("coverage_min_pct") > F.col("coverage_max_pct")),
-        ("buildable_area_below_site_coverage_min", F.col("buildable_m2") < low),
-        ("placeable_area_below_site_coverage_min", F.col("placeable_m2") < low),
     ]
+    if m.coverage_min_refuses:
+        out += [("buildable_area_below_site_coverage_min", F.col("buildable_m2") < low), ("placeable_area_below_site_coverage_min", F.col("placeable_m2") < low)]
     return F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), name) for name, c in out])
 
 
