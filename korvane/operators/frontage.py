@@ -65,11 +65,12 @@ def lot_addresses(addresses: DataFrame, lots: DataFrame, pieces: DataFrame, snap
     within a lot and its piece by civic number, nulls last, suffix, nulls first, and id. Addresses near no lot are left out.
     """
     placed = contained_or_snapped(addresses.select("address_id", "x", "y"), lots.select("lot", "ring"), "address_id", "lot", "x", "y", "ring", size, snap)
-    rows = addresses.join(placed, "address_id").join(lots.select("lot", F.col("ring").alias("_lot")), "lot")
+    # Rings are large and their files small, so none of them is broadcast.
+    rows = addresses.join(placed.hint("merge"), "address_id").join(lots.select("lot", F.col("ring").alias("_lot")).hint("merge"), "lot")
     away = F.array_min(F.transform(edges(F.col("_lot")), lambda e: segment_distance(F.col("x"), F.col("y"), e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])))
     rows = rows.withColumn("snap_distance_m", F.when(F.col("placed_by") == "snapped", away)).drop("_lot")
     # One pass over the lot's own pieces, of which there are a few: those that hold the address come first.
-    tried = rows.join(pieces.select("lot", "feature_id", "zone_rank", F.col("ring").alias("_piece")), "lot", "left")
+    tried = rows.join(pieces.select("lot", "feature_id", "zone_rank", F.col("ring").alias("_piece")).hint("merge"), "lot", "left")
     held = F.coalesce(within(F.col("x"), F.col("y"), edges(F.col("_piece"))), F.lit(False))
     basis = F.when(held, "piece").when(F.col("zone_rank") == 1, "primary")
     order = F.struct(F.when(held, 0).when(F.col("zone_rank") == 1, 1).otherwise(2).alias("o"), F.coalesce("zone_rank", F.lit(1 << 30)).alias("r"), F.when(basis.isNotNull(), F.col("feature_id")).alias("feature_id"), F.coalesce(basis, F.lit("none")).alias("piece_basis"))
