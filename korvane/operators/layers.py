@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.columns import worked_out
 from ..functions.grid import EDGE
 from ..storage import stage
 from .polygons import clip, covered_length, sides_of, strips
@@ -89,8 +90,8 @@ def cut_to_cells(df: DataFrame, shape: str, sizes: tuple[float, ...]) -> DataFra
         # The box may end on an edge: the cell beyond it holds none of the shape.
         alone = lambda c: (F.floor(F.col(f"_around.{c}0") / size) == F.col("_c" + c)) & (F.ceil(F.col(f"_around.{c}1") / size) - 1 == F.col("_c" + c))  # noqa: B023, E731
         parts = F.filter(F.transform(shape, lambda r: clip(r, cell)), lambda r: F.size(r) > 2)  # noqa: B023
-        df = df.withColumn(shape, F.when(alone("x") & alone("y"), F.col(shape)).otherwise(parts)).where(F.size(shape) > 0).drop("_around")
-        df = df.where(F.exists(shape, lambda r: ring_area(r) > 0))
+        kept = worked_out(df, _kept=F.when(alone("x") & alone("y"), F.col(shape)).otherwise(parts)).drop(shape, "_around")
+        df = kept.where((F.size("_kept") > 0) & F.exists("_kept", lambda r: ring_area(r) > 0)).withColumnRenamed("_kept", shape)
     return df
 
 
@@ -163,12 +164,12 @@ def with_inner_point(df: DataFrame, shape: str) -> DataFrame:
     It stands at half the height between the two vertex heights next to the middle of the box, in the middle of the widest
     stretch inside (the leftmost of equal ones). A shape without height has the middle of its box.
     """
-    box = df.withColumn("_b", box_of(F.flatten(shape))).withColumn("_ys", F.transform(F.flatten(shape), lambda p: p["y"]))
+    box = worked_out(df, _b=box_of(F.flatten(shape)), _ys=F.transform(F.flatten(shape), lambda p: p["y"]))
     mid = (F.col("_b.y0") + F.col("_b.y1")) / 2
-    at = box.withColumn("_y", (F.array_max(F.filter("_ys", lambda y: y <= mid)) + F.array_min(F.filter("_ys", lambda y: y > mid))) / 2)
+    at = worked_out(box, _y=(F.array_max(F.filter("_ys", lambda y: y <= mid)) + F.array_min(F.filter("_ys", lambda y: y > mid))) / 2)
     meets = lambda e: e["a"]["x"] + (F.col("_y") - e["a"]["y"]) * (e["b"]["x"] - e["a"]["x"]) / (e["b"]["y"] - e["a"]["y"])
     crossed = lambda r: F.transform(F.filter(edges(r), lambda e: (e["a"]["y"] > F.col("_y")) != (e["b"]["y"] > F.col("_y"))), meets)
-    at = at.withColumn("_xs", F.array_sort(F.flatten(F.transform(shape, crossed))))
+    at = worked_out(at, _xs=F.array_sort(F.flatten(F.transform(shape, crossed))))
     x = lambda i: F.get("_xs", i)
     stretch = lambda i: F.struct((x(2 * i + 1) - x(2 * i)).alias("w"), (-x(2 * i)).alias("left"), ((x(2 * i) + x(2 * i + 1)) / 2).alias("x"))
     widest = F.when(F.size("_xs") > 1, F.array_max(F.transform(F.sequence(F.lit(0), (F.size("_xs") / 2).cast("int") - 1), stretch)))["x"]
@@ -197,10 +198,10 @@ def finest_cells(layer: Layer, grid: Grid) -> DataFrame:
     rows = rows.where(F.size("s") > 0 if layer.lines else F.size(F.flatten("s")) > 0)
     ground = grid.cell_area(F.col("_cy"), F.lit(grid.finest))
     if layer.lines:
-        shape = run_length(rows.select("s")).select(*CELL, F.lit(0.0).alias("area"), (F.col("run") * F.sqrt(ground)).alias("length"))
+        shape = run_length(rows.select("s").distinct()).select(*CELL, F.lit(0.0).alias("area"), (F.col("run") * F.sqrt(ground)).alias("length"))
         pointed = with_middle_vertex(rows, "s")
     else:
-        shape = covered(cut_to_cells(rows.select("s"), "s", (64.0, 8.0, 1.0))).select(*CELL, (F.col("covered") * ground).alias("area"), F.lit(0.0).alias("length"))
+        shape = covered(cut_to_cells(rows.select("s").distinct(), "s", (64.0, 8.0, 1.0))).select(*CELL, (F.col("covered") * ground).alias("area"), F.lit(0.0).alias("length"))
         pointed = with_inner_point(rows, "s")
     sums = pointed.select(F.floor("_p.x").alias("_cx"), F.floor("_p.y").alias("_cy"), *named).groupBy(*CELL).agg(F.count("*").alias("feature_count"), *[F.sum(k).alias(k) for k in named])
     return shape.join(sums, CELL, "left")
