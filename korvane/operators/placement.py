@@ -46,7 +46,10 @@ def place_items(items: DataFrame, lots: DataFrame, doors: DataFrame, zones: Data
     tried = asked.withColumn("_t", F.explode(spelled)).select("item", "site_key", "is_subject", "civic_number", "_t.*")
     door = latest_per_key(doors.where("civic_number IS NOT NULL AND street_name IS NOT NULL"), ["address_id"], [F.desc("scrape_date"), F.asc("lot_number")])
     door = door.select("civic_number", street_core(F.col("street_name")).alias("street"), digits(F.col("lot_number")).alias("digits"), "neighborhood").join(lot, "digits")
-    order = F.struct((F.col("match_basis") != "address").alias("a"), (~F.coalesce(F.col("neighborhood") == borough, F.lit(False))).alias("b"), F.col("lot_number").alias("lot_number"), F.col("match_basis").alias("match_basis"))
+    # Of the doors of one number and street only the first can be chosen, so items meet one row and not all doors.
+    first = F.struct((~F.coalesce(F.col("neighborhood") == borough, F.lit(False))).alias("b"), F.col("lot_number").alias("lot_number"))
+    door = door.groupBy("civic_number", "street").agg(F.min(first).alias("_d"))
+    order = F.struct((F.col("match_basis") != "address").alias("a"), F.col("_d.b").alias("b"), F.col("_d.lot_number").alias("lot_number"), F.col("match_basis").alias("match_basis"))
     best = tried.join(door, ["civic_number", "street"]).groupBy("item", "site_key", "is_subject").agg(F.min(order).alias("k"))
     by_address = best.select("item", F.lit("address").alias("site_kind"), "site_key", "is_subject", "k.match_basis", "k.lot_number", none.alias("feature_id"))
 
