@@ -5,18 +5,21 @@ A shape is an array of rings, a ring an array of struct(x, y) in metres; inner r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .lots import SIDE_MARGINS
-from .polygons import ALONG_SINE, PIECE_M, SLACK_M, heights, point, sides_of, signed_area
-from .spatial import edges, segment_distance
+from .polygons import ALONG_SINE, PIECE_M, SLACK_M, heights, side_pieces, sides_of, signed_area
+from .spatial import edges
 
 #: Sides of a round cap's quarter; lengths below SNAP are none.
 QUARTER, SNAP = 8, 1e-7
+LINE_KINDS = np.array(["front", "secondary", "other", "rear", "side"], dtype=object)
 RINGS = "array<array<struct<x:double,y:double>>>"
 
 
@@ -113,20 +116,34 @@ def straight(ring: np.ndarray) -> np.ndarray:
 
 
 def less(shape: Column, cuts: Column, within: Column | None = None) -> Column:
-    """What a shape has outside the ground within m of segments (array<struct(ax, ay, bx, by, m)>), and inside another shape where one is given: rings as in rings_around(). Null for a null shape; null cuts or m are none."""
+    """What a shape has outside the ground within m of segments (array<struct(ax, ay, bx, by, m)>), and inside another shape where one is given: rings as in rings_around(). Null for a null shape; null cuts or m are none.
+
+    Each shape is worked out as seen from its first corner, and rows of a batch that are alike but for their place only once.
+    """
 
     @F.pandas_udf(RINGS)
     def run(shapes: pd.Series, segments: pd.Series, windows: pd.Series) -> pd.Series:
-        out = []
+        out, known = [], {}
         for rings, lines, window in zip(shapes, segments, windows, strict=True):
             if rings is None:
                 out.append(None)
                 continue
-            cutters = [capsule(*(e[c] for c in ("ax", "ay", "bx", "by", "m"))) for e in (lines if lines is not None else []) if e["m"] is not None and e["m"] > 0]
-            parts = [sides_of(rings), *cutters] + ([sides_of(window)] if window is not None else [])
-            n = len(cutters)
-            keep = lambda s, n=n, w=window is not None: s[0] and not any(s[1 : n + 1]) and (not w or s[-1])
-            out.append([[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings_around(strips_where(parts, keep))] if len(parts[0]) else [])
+            own = sides_of(rings)
+            if not len(own):
+                out.append([])
+                continue
+            x, y = own[0, :2]
+            at = np.array([x, y, x, y])
+            capsules = np.array([[e[c] for c in ("ax", "ay", "bx", "by", "m")] for e in (lines if lines is not None else []) if e["m"] is not None and e["m"] > 0], float).reshape(-1, 5)
+            capsules[:, :4] -= at
+            # A part without sides has no ground: a window of none leaves nothing.
+            parts = [own - at, *([sides_of(window) - at] if window is not None else [])]
+            key = (capsules.tobytes(), *[p.tobytes() for p in parts])
+            if key not in known:
+                n = len(capsules)
+                keep = lambda s, n=n, w=window is not None: s[0] and not any(s[1 : n + 1]) and (not w or s[-1])
+                known[key] = rings_around(strips_where([parts[0], *[capsule(*e) for e in capsules], *parts[1:]], keep))
+            out.append([[{"x": float(px + x), "y": float(py + y)} for px, py in ring] for ring in known[key]])
         return pd.Series(out, dtype=object)
 
     return run(shape, cuts, within if within is not None else F.lit(None).cast(RINGS))
@@ -148,22 +165,30 @@ def boundary_lines(lots: DataFrame, front: DataFrame, piece: float = PIECE_M, si
     of the piece's length, else side. Neighbouring pieces of a side and a kind are one line; along_m is how much of it
     runs so, whatever its kind. Holes are boundary too. Lots without a front are left out.
     """
-    street = F.struct("rank", point(F.col("ax"), F.col("ay")).alias("a"), point(F.col("bx"), F.col("by")).alias("b"))
+    street = F.struct(F.col("rank").cast("int").alias("rank"), *[F.col(c).cast("double").alias(c) for c in ("ax", "ay", "bx", "by")])
     streets = front.groupBy("lot").agg(F.collect_list(street).alias("streets")).where(F.exists("streets", lambda s: s["rank"] == 1))
-    sides = lots.select("lot", F.posexplode(F.flatten(F.transform("shape", edges))).alias("side", "e")).join(streets, "lot")
-    length = F.hypot(F.col("e.b.x") - F.col("e.a.x"), F.col("e.b.y") - F.col("e.a.y"))
-    sides = sides.withColumns({"len": length, "n": F.greatest(F.ceil(length / piece - 1e-9), F.lit(1)).cast("int")}).where("len > 0")
-    at = lambda k: point(F.col("e.a.x") + (F.col("e.b.x") - F.col("e.a.x")) * k / F.col("n"), F.col("e.a.y") + (F.col("e.b.y") - F.col("e.a.y")) * k / F.col("n"))
-    pieces = sides.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumns({"p": at(F.col("k")), "q": at(F.col("k") + 1)})
-    away = lambda p, s: segment_distance(p["x"], p["y"], s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"])
-    to_front = lambda p: F.array_min(F.transform(F.filter("streets", lambda s: s["rank"] == 1), lambda s: away(p, s)))
-    touched = F.array_min(F.transform(F.filter("streets", lambda s: (away(F.col("p"), s) <= slack) & (away(F.col("q"), s) <= slack)), lambda s: s["rank"]))
-    along = F.abs(to_front(F.col("p")) - to_front(F.col("q"))) <= sine * F.col("len") / F.col("n")
-    kind = F.when(touched == 1, "front").when(touched == 2, "secondary").when(touched.isNotNull(), "other").when(along, "rear").otherwise("side")
-    marked = pieces.select("lot", "side", "k", (F.col("len") / F.col("n")).alias("m"), "p", "q", kind.alias("kind"), along.alias("along"))
-    run = F.col("k") - F.row_number().over(Window.partitionBy("lot", "side", "kind").orderBy("k"))
-    lines = marked.withColumn("run", run).groupBy("lot", "side", "kind", "run").agg(F.min_by("p", "k").alias("p"), F.max_by("q", "k").alias("q"), F.sum("m").alias("m"), F.sum(F.when(F.col("along"), F.col("m")).otherwise(0.0)).alias("along_m"))
-    return lines.select("lot", "kind", F.col("p.x").alias("ax"), F.col("p.y").alias("ay"), F.col("q.x").alias("bx"), F.col("q.y").alias("by"), "m", "along_m")
+    n = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = lots.select("lot", F.explode(F.flatten(F.transform("shape", edges))).alias("e")).select("lot", *[F.col(f"e.{p}.{c}").alias(p + c) for p in "ab" for c in "xy"])
+    # Dealt over all partitions, however few bytes they are: a side makes many pieces. Streets are no broadcast.
+    sides = sides.repartition(n, "lot").join(streets.repartition(n, "lot").hint("merge"), "lot")
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 4096):
+                part = batch.slice(first, 4096)
+                ax, ay, bx, by = ends = [part.column(c).to_numpy(zero_copy_only=False) for c in ("ax", "ay", "bx", "by")]
+                row, k, n, m, touched, along = side_pieces(*ends, part.column("streets"), piece, sine, slack)
+                kind = np.select([touched == 1, touched == 2, np.isfinite(touched), along], [0, 1, 2, 3], 4)
+                starts = np.flatnonzero(np.concatenate([np.ones(min(len(row), 1), bool), (np.diff(row) != 0) | (np.diff(kind) != 0)]))
+                stops = np.concatenate([starts[1:], np.full(min(len(row), 1), len(row), int)]) - 1
+                side = row[starts]
+                at = lambda a, b, k: a[side] + (b - a)[side] * k / n[side]  # noqa: B023, E731
+                spots = [at(ax, bx, k[starts]), at(ay, by, k[starts]), at(ax, bx, k[stops] + 1), at(ay, by, k[stops] + 1)]
+                sums = [np.add.reduceat(x, starts) if len(starts) else np.zeros(0) for x in (m, np.where(along, m, 0.0))]
+                yield pa.RecordBatch.from_arrays([part.column("lot").take(pa.array(side)), pa.array(LINE_KINDS[kind[starts]], pa.string()), *[pa.array(x) for x in (*spots, *sums)]], ["lot", "kind", "ax", "ay", "bx", "by", "m", "along_m"])
+
+    key = {f.name: f.dataType.simpleString() for f in lots.schema}["lot"]
+    return sides.mapInArrow(lines, f"lot {key}, kind string, ax double, ay double, bx double, by double, m double, along_m double")
 
 
 def buildable(lots: DataFrame, front: DataFrame, envelopes: DataFrame) -> DataFrame:
@@ -184,11 +209,14 @@ def buildable(lots: DataFrame, front: DataFrame, envelopes: DataFrame) -> DataFr
     is_rear = F.coalesce(F.sum(F.when(secondary, F.col("along_m"))) * 2 > F.sum(F.when(secondary, F.col("m"))), F.lit(False))
     each = lines.groupBy("lot").agg(*[total(k) for k in ("front", "secondary", "rear", "side")], is_rear.alias("secondary_is_rear"), F.collect_list(F.struct("kind", "ax", "ay", "bx", "by")).alias("_lines"))
     share = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in SIDE_MARGINS.items() for x in kv]), F.col("attachment")), F.lit(1.0))
-    rows = envelopes.join(lots.select("lot", F.col("shape").alias("_shape")), "lot").join(each, "lot").withColumn("side_setback_m", F.coalesce("side_m", F.lit(0.0)) * share)
+    rows = envelopes.join(lots.select("lot", F.col("shape").alias("_shape")).hint("merge"), "lot").join(each.hint("merge"), "lot").withColumn("side_setback_m", F.coalesce("side_m", F.lit(0.0)) * share)
     second = F.when(F.col("secondary_is_rear"), F.coalesce("rear_on_street_m", "secondary_m")).otherwise(F.col("secondary_m"))
     margin = lambda kind: F.when(kind == "front", F.col("front_m")).when(kind == "secondary", second).when(kind == "rear", F.col("rear_m")).when(kind == "side", F.col("side_setback_m"))
     cuts = F.transform("_lines", lambda e: F.struct(e["ax"].alias("ax"), e["ay"].alias("ay"), e["bx"].alias("bx"), e["by"].alias("by"), margin(e["kind"]).cast("double").alias("m")))
-    rows = rows.withColumn("buildable", less(F.col("_shape"), cuts, F.col("piece")))
+    # Shapes that are alike but for their place meet in one task, where they are worked out once.
+    n, corner = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.get(F.get("_shape", 0), 0)
+    alike = F.transform("_shape", lambda r: F.transform(r, lambda p: F.struct(p["x"] - corner["x"], p["y"] - corner["y"])))
+    rows = rows.repartition(n, alike, "front_m", "rear_m", "side_setback_m").withColumn("buildable", less(F.col("_shape"), cuts, F.col("piece")))
     even_odd = lambda shape: F.aggregate(shape, F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("a")), lambda s, r: F.struct((s["k"] + 1).alias("k"), (s["a"] + F.when(s["k"] == 0, F.abs(signed_area(r))).otherwise(-F.abs(signed_area(r)))).alias("a")))["a"]
     ground = F.coalesce(F.col("piece_area_m2"), even_odd(F.col("_shape"))) if "piece_area_m2" in envelopes.columns else even_odd(F.coalesce("piece", "_shape"))
     rows = rows.withColumns({"buildable_area_m2": shape_area(F.col("buildable")), "_ground": ground})
