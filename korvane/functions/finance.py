@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +43,36 @@ def irr(flows: Column, low: float = -0.9, high: float = 2.0, steps: int = 80) ->
     return F.when(signs & crosses, found)
 
 
+def irr_of_many(flows: Column, low: float = -0.9, high: float = 2.0, steps: int = 80) -> Column:
+    """irr() in batches: the same halvings, for all rows of a batch at once."""
+
+    @F.pandas_udf("double")
+    def run(rows: pd.Series) -> pd.Series:
+        out = np.full(len(rows), np.nan)
+        sizes = rows.map(lambda f: -1 if f is None else len(f)).to_numpy()
+        for n in np.unique(sizes[sizes > 0]):
+            at = np.flatnonzero(sizes == n)
+            f = np.stack(rows.iloc[at].to_numpy()).astype(float)
+
+            def worth(rate: np.ndarray | float, f: np.ndarray = f) -> np.ndarray:
+                total, factor = np.zeros(len(f)), np.ones(len(f))
+                for k in range(f.shape[1]):
+                    total, factor = total + f[:, k] * factor, factor / (1 + rate)
+                return total
+
+            first = worth(low)
+            ok = (f > 0).any(1) & (f < 0).any(1) & (np.sign(first) * np.sign(worth(high)) < 0)
+            lo, hi = np.full(len(f), low), np.full(len(f), high)
+            for _ in range(steps):
+                middle = (lo + hi) / 2
+                above = (worth(middle) > 0) == (first > 0)
+                lo, hi = np.where(above, middle, lo), np.where(above, hi, middle)
+            out[at] = np.where(ok, (lo + hi) / 2, np.nan)
+        return pd.Series(out).astype(object).where(~np.isnan(out), None)
+
+    return run(flows)
+
+
 def expense_ratio(age: Column, base: float = 0.30, per_year: float = 0.0012, most_for_age: float = 0.10, cap: float = 0.60) -> Column:
     """Operating expenses over income; older buildings cost more, up to a limit."""
     return F.least(F.lit(base) + F.least(F.greatest(age, F.lit(0)) * per_year, F.lit(most_for_age)), F.lit(cap))

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.finance import irr
+from ..functions.columns import worked_out
+from ..functions.finance import irr_of_many
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,6 @@ def flows(outlay: Column, budget: Column, income: Column, cap_pct: Column, t: Te
     """
     zero = F.lit(0.0)
     built = t.construction_months if let_months is not None else 0
-    months = F.sequence(F.lit(1), F.lit(12 * t.hold_years))
 
     def of_month(m: Column) -> Column:
         let = F.greatest(F.least((m - built).cast("double") / F.greatest(let_months, F.lit(1)), F.lit(1.0)), zero) if let_months is not None else F.lit(1.0)
@@ -70,7 +70,7 @@ def flows(outlay: Column, budget: Column, income: Column, cap_pct: Column, t: Te
     sale = F.when(cap_pct > 0, F.coalesce(income, zero) / cap_pct * 100).otherwise(0.0)
     if before is not None:
         sale = sale - F.when(cap_before_pct > 0, F.coalesce(before, zero) / cap_before_pct * 100).otherwise(0.0)
-    years = F.transform(F.sequence(F.lit(1), F.lit(t.hold_years)), lambda y: F.aggregate(F.filter(months, lambda m: F.ceil(m / 12) == y), zero, lambda s, m: s + of_month(m)) + F.when(y == t.hold_years, sale * (1 - t.selling_pct / 100)).otherwise(0.0))
+    years = F.transform(F.sequence(F.lit(1), F.lit(t.hold_years)), lambda y: F.aggregate(F.sequence(12 * y - 11, 12 * y), zero, lambda s, m: s + of_month(m)) + F.when(y == t.hold_years, sale * (1 - t.selling_pct / 100)).otherwise(0.0))
     return F.concat(F.array(-F.coalesce(outlay, zero)), years)
 
 
@@ -102,6 +102,10 @@ def returns(sites: DataFrame, t: Terms = Terms()) -> DataFrame:
     budget, budget_added, before = get("rebuild_cost") * t.factor, get("enhance_cost") * t.factor, get("standing_noi")
     hold = flows(F.col("acquisition"), zero, before, caps["standing"], t)
     adding = flows(zero, budget_added, noi_added, caps["enhance"], t, let_added)
+    # A small file of sites is one task, and each row costs much: they are dealt over all partitions. What several figures use is worked out once.
+    sites = sites.repartition(int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sites = worked_out(sites, _hold=hold, _adding=adding)
+    hold, adding = F.col("_hold"), F.col("_adding")
     found = {
         "buyer_hold": (hold, priced),
         "buyer_enhance": (F.zip_with(hold, adding, lambda a, b: a + b), priced & enhanced),
@@ -109,12 +113,12 @@ def returns(sites: DataFrame, t: Terms = Terms()) -> DataFrame:
         "owner_enhance": (adding, enhanced),
         "owner_rebuild": (flows(F.col("site_costs"), budget, noi_after, caps["rebuild"], t, let, before, caps["standing"]), F.lit(True)),
     }
-    staged = sites.withColumns({f"_{k}": F.when(ok, f) for k, (f, ok) in found.items()})
-    figures = {f"{k}_irr_pct": irr(F.col(f"_{k}")) * 100 for k in found} | {f"{k}_multiple": multiple(F.col(f"_{k}")) for k in found}
+    staged = worked_out(sites, **{f"_{k}": F.when(ok, f) for k, (f, ok) in found.items()})
+    figures = {f"{k}_irr_pct": irr_of_many(F.col(f"_{k}")) * 100 for k in found} | {f"{k}_multiple": multiple(F.col(f"_{k}")) for k in found}
     cost, cost_added = F.col("acquisition") + get("site_costs") + budget, F.col("acquisition") + budget_added
     ratio = lambda a, b: F.when(b > 0, a / b * 100)
     yields = {"hold_yield_pct": ratio(before, F.col("acquisition")), "rebuild_yield_pct": ratio(noi_after, cost), "enhance_yield_pct": F.when(enhanced, ratio(before + noi_added, cost_added))}
-    return staged.withColumns(figures | yields | {"rebuild_cap_pct": caps["rebuild"], "enhance_cap_pct": F.when(enhanced, cap_rate(both, t)), "rebuild_let_months": let}).drop(*[f"_{k}" for k in found])
+    return staged.withColumns(figures | yields | {"rebuild_cap_pct": caps["rebuild"], "enhance_cap_pct": F.when(enhanced, cap_rate(both, t)), "rebuild_let_months": let}).drop("_hold", "_adding", *[f"_{k}" for k in found])
 
 
 def screened(rows: DataFrame, thesis: str, verdict: str, t: Terms = Terms()) -> DataFrame:
